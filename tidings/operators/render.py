@@ -27,6 +27,10 @@ def _join_lines(df: DataFrame, group: str, keys: list[str], line: str, sep: str)
     return df.groupBy(group).agg(F.array_join(F.transform(ordered, lambda s: s["_l"]), sep).alias("_joined"))
 
 
+def _line(a, b, c, line) -> Column:
+    return F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), c.cast("int").alias("c"), line.alias("l"))
+
+
 def render_markdown(topics: DataFrame, bullets: DataFrame, titles: DataFrame, label: str = "消息来源") -> DataFrame:
     """Markdown per briefing: ``# title``, ``> date``, ``## i. headline`` (blank -> ``Topic i``) and
     ``- text [label](url)`` (non-http url dropped, blank bullet skipped); joined, stripped, newline-terminated.
@@ -37,22 +41,21 @@ def render_markdown(topics: DataFrame, bullets: DataFrame, titles: DataFrame, la
     z = F.lit(0)
     title = F.coalesce(F.when(py_strip(F.col("title")) != "", py_strip(F.col("title"))), F.lit("Briefing"))
     head = titles.select("briefing_id", F.array(
-        F.struct(z.alias("a"), z.alias("b"), z.alias("c"), F.concat(F.lit("# "), title).alias("l")),
-        F.struct(z, F.lit(1), z, F.lit("")),
-        F.struct(z, F.lit(2), z, F.concat(F.lit("> "), py_strip(F.coalesce(F.col("date"), F.lit(""))))),
-        F.struct(z, F.lit(3), z, F.lit(""))).alias("ls")).select("briefing_id", F.inline("ls"))
+        _line(z, z, z, F.concat(F.lit("# "), title)),
+        _line(z, F.lit(1), z, F.lit("")),
+        _line(z, F.lit(2), z, F.concat(F.lit("> "), py_strip(F.coalesce(F.col("date"), F.lit(""))))),
+        _line(z, F.lit(3), z, F.lit(""))).alias("ls")).select("briefing_id", F.inline("ls"))
     h = py_strip(F.coalesce(F.col("headline"), F.lit("")))
     h = F.when(h == "", F.concat(F.lit("Topic "), F.col("topic_pos").cast("string"))).otherwise(h)
     tl = topics.select("briefing_id", F.array(
-        F.struct(F.col("topic_pos").alias("a"), z.alias("b"), z.alias("c"),
-                 F.concat(F.lit("## "), F.col("topic_pos").cast("string"), F.lit(". "), h).alias("l")),
-        F.struct("topic_pos", F.lit(1), z, F.lit("")),
-        F.struct("topic_pos", F.lit(3), z, F.lit(""))).alias("ls")).select("briefing_id", F.inline("ls"))
+        _line(F.col("topic_pos"), z, z, F.concat(F.lit("## "), F.col("topic_pos").cast("string"), F.lit(". "), h)),
+        _line(F.col("topic_pos"), F.lit(1), z, F.lit("")),
+        _line(F.col("topic_pos"), F.lit(3), z, F.lit(""))).alias("ls")).select("briefing_id", F.inline("ls"))
     t = py_strip(F.coalesce(F.col("text"), F.lit("")))
     u = py_strip(F.coalesce(F.col("url"), F.lit("")))
     u = F.when(u.startswith("http://") | u.startswith("https://"), u).otherwise(F.lit(""))
     bl = bullets.filter(t != "").select(
-        "briefing_id", F.col("topic_pos").alias("a"), F.lit(2).alias("b"), F.col("bullet_pos").alias("c"),
+        "briefing_id", F.col("topic_pos").cast("int").alias("a"), F.lit(2).alias("b"), F.col("bullet_pos").cast("int").alias("c"),
         F.when(u != "", F.concat(F.lit("- "), t, F.lit(f" [{label}]("), u, F.lit(")"))).otherwise(F.concat(F.lit("- "), t)).alias("l"))
     lines = head.unionByName(tl).unionByName(bl)
     j = _join_lines(lines, "briefing_id", ["a", "b", "c"], "l", "\n")
