@@ -50,6 +50,14 @@ def _meta(**kv: Column) -> Column:
     return F.create_map(*args)
 
 
+def with_fields(df: DataFrame, names) -> DataFrame:
+    """Optional feed fields absent from the landed schema read as null strings."""
+    for n in names:
+        if n not in df.columns:
+            df = df.withColumn(n, F.lit(None).cast("string"))
+    return df
+
+
 def _project(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(ITEM_SCHEMA[c].dataType) for c in ITEM_COLUMNS])
 
@@ -117,6 +125,10 @@ def ingest_feed_entries(raw: DataFrame, briefing_id: str = "feed", source: str =
 
 
 def split_entries(raw: DataFrame, briefing_id: str = "feed", source: str = "rss") -> DataFrame:
+    raw = with_fields(raw, ["id", "link", "title", "summary", "author", "feedburner_origlink", "origlink",
+                            "originallink"] + ENTRY_DATE_FIELDS)
+    if "links" not in raw.columns:
+        raw = raw.withColumn("links", F.array().cast("array<struct<rel:string,href:string>>"))
     text = clean_html(first_nonempty(F.col("summary"), F.col("title")))
     ts = parse_ts(first_nonempty(*[F.col(c) for c in ENTRY_DATE_FIELDS]))
     url = resolve_entry_url(F.struct(*[F.col(c) for c in ["link", "links", "feedburner_origlink", "origlink",
@@ -141,7 +153,8 @@ def ingest_list_feed(raw: DataFrame, briefing_id: str = "list", source: str = "t
     """JSON-feed ingest: one row per feed document with ``items`` (array of entries with author as a
     JSON string or plain string). Text = description else title; url = url else link; id falls back
     to the url."""
-    e = raw.select(F.explode("items").alias("e")).select("e.*")
+    e = with_fields(raw.select(F.explode("items").alias("e")).select("e.*"),
+                    ["id", "title", "description", "url", "link", "author"] + LIST_DATE_FIELDS)
     text = clean_html(first_nonempty(F.col("description"), F.col("title")))
     ts = parse_ts(first_nonempty(*[F.col(c) for c in LIST_DATE_FIELDS]))
     author = F.coalesce(F.get_json_object(F.col("author"), "$.name"),
