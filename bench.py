@@ -34,6 +34,7 @@ def main():
         t0 = time.time()
         QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.time() - t0, 3)
+        print(f"bench {n}: {times[n]}s", file=sys.stderr, flush=True)
     sf = sf_dir.rstrip("/").split("sf")[-1]
     print(json.dumps({"metric": "headline_queries_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))

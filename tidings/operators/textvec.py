@@ -60,6 +60,88 @@ def text_cosine_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_col
     return dots.filter(F.col("cos") >= t)
 
 
+def _sparse_kernel(id_col, group_cols, threshold):
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        out_cols = list(group_cols) + ["a", "b", "score"]
+        if pdf.empty:
+            return pd.DataFrame(columns=out_cols)
+        bi, bj = int(pdf["_bi"].iat[0]), int(pdf["_bj"].iat[0])
+        left = pdf[pdf["_blk"] == bi]
+        right = left if bi == bj else pdf[pdf["_blk"] == bj]
+        if left.empty or right.empty:
+            return pd.DataFrame(columns=out_cols)
+        ta = np.unique(np.concatenate(left["_t"].to_numpy()))
+        vocab = ta if bi == bj else np.intersect1d(ta, np.unique(np.concatenate(right["_t"].to_numpy())))
+        if vocab.size == 0:
+            return pd.DataFrame(columns=out_cols)
+
+        def dense(part):
+            m = np.zeros((len(part), vocab.size), dtype=np.float64)
+            for r, (t, w) in enumerate(zip(part["_t"].to_numpy(), part["_w"].to_numpy())):
+                t = np.asarray(t)
+                pos = np.searchsorted(vocab, t)
+                ok = (pos < vocab.size) & (vocab[np.minimum(pos, vocab.size - 1)] == t)
+                m[r, pos[ok]] = np.asarray(w, dtype=np.float64)[ok]
+            return m
+
+        A = dense(left)
+        B = A if bi == bj else dense(right)
+        G = A @ B.T
+        ida = left[id_col].to_numpy()
+        idb = ida if bi == bj else right[id_col].to_numpy()
+        hit = G >= threshold
+        if bi == bj:
+            hit &= ida[:, None] < idb[None, :]
+        r, c = np.nonzero(hit)
+        a, b = ida[r], idb[c]
+        res = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "score": G[r, c]})
+        for g in reversed(list(group_cols)):
+            res.insert(0, g, pdf[g].iat[0])
+        return res[out_cols]
+
+    return kernel
+
+
+def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = (),
+                     block_rows: int = 512) -> DataFrame:
+    """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form unit vectors, by block pairs.
+
+    Tokens get exact integer ids (``monotonically_increasing_id`` on the distinct tokens, a distributed
+    dictionary), each document becomes (ids, weights) arrays, documents are hashed into blocks per group
+    (more blocks for bigger groups) and each block pair is one task that densifies both blocks over the
+    tokens they share and multiplies them; only pairs over ``t`` leave the task. Work is predictable
+    whatever the token distribution; use :func:`text_cosine_pairs` (prefix filter) for Zipfian text
+    where prefixes are short. Output: ``group_cols, a, b, cos``.
+    """
+    g = list(group_cols)
+    user_groups = bool(g)
+    if not user_groups:
+        vec = vec.withColumn("_grp", F.lit(0))
+        g = ["_grp"]
+    tokens = vec.select("token").distinct().withColumn("_tid", F.monotonically_increasing_id())
+    docs = (vec.join(tokens, "token")
+            .groupBy(*g, id_col)
+            .agg(F.collect_list(F.struct(F.col("_tid"), F.col("w"))).alias("_tw")))
+    docs = docs.select(*g, id_col, F.col("_tw._tid").alias("_t"), F.col("_tw.w").alias("_w"))
+    if user_groups:
+        sizes = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+        docs = docs.join(sizes, g)
+    else:
+        docs = docs.withColumn("_n", F.lit(docs.count()))
+    docs = docs.withColumn("_g", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(block_rows)))).cast("int"))
+    docs = docs.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_g")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_g") - 1),
+                        lambda x: F.struct(F.least(F.col("_blk"), x).alias("bi"), F.greatest(F.col("_blk"), x).alias("bj")))
+    rep = docs.withColumn("_p", F.explode(pairs)).select(*g, id_col, "_t", "_w", "_blk",
+                                                          F.col("_p.bi").alias("_bi"), F.col("_p.bj").alias("_bj"))
+    id_type = vec.schema[id_col].dataType.simpleString()
+    schema = ", ".join([f"{c} {vec.schema[c].dataType.simpleString()}" for c in g] +
+                       [f"a {id_type}", f"b {id_type}", "score double"])
+    out = rep.groupBy(*g, "_bi", "_bj").applyInPandas(_sparse_kernel(id_col, g, t), schema=schema)
+    out = out.withColumnRenamed("score", "cos")
+    return out if user_groups else out.drop("_grp")
+
+
 def tf_medoid_scores(vec: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("cluster_id",)) -> DataFrame:
     """Mean cosine of each member to all members (self included) = w · mean(w), linear in the data.
     Output: ``key_cols, id, score``."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings.functions.text import approx_tokens, truncate_for_model
-from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_cosine_pairs, tf_medoid_scores
+from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_block_pairs, tf_medoid_scores
 from tidings.operators.vectors import build_bundles, near_dup_keep
 from tidings.plans.registry import register
 from tidings.tables import read
@@ -74,7 +74,7 @@ def q_embed_tf(spark, sf):
 def _text_pairs(spark, sf):
     d = read(spark, sf, "documents")
     vec = embed_tf(d, id_col="doc_id", group_cols=["lang"])
-    return d, text_cosine_pairs(vec, T_TEXT, id_col="doc_id", group_cols=["lang"])
+    return d, text_block_pairs(vec, T_TEXT, id_col="doc_id", group_cols=["lang"])
 
 
 @register("near_dup_text", "WITH RECURSIVE " + SQL_TEXT_GREEDY + "\nSELECT doc_id FROM kept")
