@@ -22,3 +22,32 @@ def test_stream_dedup_and_counts(spark):
     got = {(r.window_start, r.source): r.n for r in spark.sql("select * from wc_out").collect()}
     batch = {(r.window_start, r.source): r.n for r in window_counts(df, "1 hour").collect()}
     assert got and all(batch[k] == v for k, v in got.items())
+
+
+def test_stream_ingest_equals_batch(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from tidings.sources.items import split_entries
+    from tidings.streaming.streams import stream_ingest
+
+    d = tempfile.mkdtemp(prefix="tidings-ingest-", dir="/tmp")
+    os.makedirs(os.path.join(d, "in"))
+    entries = [
+        {"id": "a", "link": "example.com/a", "summary": "<p>Hello \\x4 world</p>", "published": "2024-01-02T00:00:00Z"},
+        {"id": "urn:b", "link": "javascript:alert(1)", "summary": "text", "published": "2024-01-02T00:00:00Z"},
+        {"id": "c", "link": "https://e.com/c", "summary": "", "title": "", "published": "2024-01-02T00:00:00Z"},
+        {"id": "d", "link": "https://e.com/d", "summary": "old", "published": "Mon, 01 Jan 2024 00:00:00 +0000"},
+        {"id": "e", "link": "https://e.com/e", "summary": "bad date", "published": "not-a-date"},
+    ]
+    with open(os.path.join(d, "in", "part-0.json"), "w") as fh:
+        fh.write("\n".join(json.dumps(e) for e in entries))
+    schema = "id string, link string, title string, summary string, published string"
+    q = stream_ingest(spark, os.path.join(d, "in"), os.path.join(d, "out"), os.path.join(d, "ck"),
+                      schema, hours=12, as_of=dt.datetime(2024, 1, 2, 6))
+    q.awaitTermination()
+    got = {r.id: r.status for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    assert got == {"a": "kept", "urn:b": "invalid_url", "c": "empty_text", "d": "too_old", "e": "invalid_ts"}
+    batch = split_entries(spark.read.schema(schema).json(os.path.join(d, "in")))
+    assert {r.id for r in batch.filter(F.col("status") == "kept").collect()} == {"a", "d"}

@@ -69,3 +69,17 @@ def test_no_cartesian_in_similarity_plan(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "id long, embedding array<double>")
     plan = cosine_pairs(df, 0.5)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_density_hierarchy_prefers_stable_children(spark):
+    from tidings.operators.cluster import density_hierarchy
+
+    def blob(cx, cy):
+        return [(cx + dx * 0.05, cy + dy * 0.05) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+
+    pts = blob(0, 0) + blob(0.6, 0) + blob(5, 5) + [(20, 20)]
+    df = spark.createDataFrame([(i, [float(x), float(y)]) for i, (x, y) in enumerate(pts)], "id long, embedding array<double>")
+    lab = {r.id: r.label for r in density_hierarchy(df, [2.0, 1.0, 0.3, 0.1], 3).collect()}
+    a, b, c = {lab[i] for i in range(9)}, {lab[i] for i in range(9, 18)}, {lab[i] for i in range(18, 27)}
+    assert len(a) == len(b) == len(c) == 1 and len(a | b | c) == 3 and -1 not in a | b | c
+    assert lab[27] == -1

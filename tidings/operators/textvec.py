@@ -76,25 +76,33 @@ def _sparse_kernel(id_col, group_cols, threshold):
             return pd.DataFrame(columns=out_cols)
 
         def dense(part):
-            m = np.zeros((len(part), vocab.size), dtype=np.float64)
-            for r, (t, w) in enumerate(zip(part["_t"].to_numpy(), part["_w"].to_numpy())):
-                t = np.asarray(t)
-                pos = np.searchsorted(vocab, t)
-                ok = (pos < vocab.size) & (vocab[np.minimum(pos, vocab.size - 1)] == t)
-                m[r, pos[ok]] = np.asarray(w, dtype=np.float64)[ok]
+            toks = part["_t"].to_numpy()
+            lens = np.fromiter((len(x) for x in toks), dtype=np.int64, count=len(toks))
+            rows = np.repeat(np.arange(len(toks)), lens)
+            t = np.concatenate(toks).astype(np.int64)
+            w = np.concatenate(part["_w"].to_numpy()).astype(np.float64)
+            pos = np.searchsorted(vocab, t)
+            ok = (pos < vocab.size) & (vocab[np.minimum(pos, vocab.size - 1)] == t)
+            m = np.zeros((len(toks), vocab.size), dtype=np.float64)
+            m[rows[ok], pos[ok]] = w[ok]
             return m
 
         A = dense(left)
         B = A if bi == bj else dense(right)
-        G = A @ B.T
+        # float32 product to find candidates, float64 dot products to decide them (exact result)
+        G32 = A.astype(np.float32) @ B.astype(np.float32).T
         ida = left[id_col].to_numpy()
         idb = ida if bi == bj else right[id_col].to_numpy()
-        hit = G >= threshold
+        near = G32 >= threshold - 1e-3
         if bi == bj:
-            hit &= ida[:, None] < idb[None, :]
-        r, c = np.nonzero(hit)
+            near &= ida[:, None] < idb[None, :]
+        r0, c0 = np.nonzero(near)
+        exact = np.einsum("ij,ij->i", A[r0], B[c0]) if r0.size else np.zeros(0)
+        keep = exact >= threshold
+        r, c = r0[keep], c0[keep]
+        score = exact[keep]
         a, b = ida[r], idb[c]
-        res = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "score": G[r, c]})
+        res = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "score": score})
         for g in reversed(list(group_cols)):
             res.insert(0, g, pdf[g].iat[0])
         return res[out_cols]

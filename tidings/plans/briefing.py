@@ -73,17 +73,30 @@ def q_quality_report(spark, sf):
     return q.select("briefing_id", "duplicate_headlines", "near_identical_bullets", F.round("valid_url_share", 6).alias("valid_url_share"))
 
 
-@register("record_violations", W + """
+SQL_PLANTED = """, pt AS (SELECT briefing_id, topic_pos, headline, n_bullets FROM final
+  UNION ALL SELECT briefing_id, topic_pos, '  ', n_bullets + 4 FROM final WHERE topic_pos = 1),
+pb AS (SELECT briefing_id, topic_pos, bullet_pos, text, url FROM final_bullets
+  UNION ALL SELECT briefing_id, topic_pos, bullet_pos, substr(text, 1, 5), 'ftp://' || briefing_id FROM final_bullets WHERE bullet_pos = 2)
+"""
+
+
+@register("record_violations", W + SQL_PLANTED + """
 SELECT 'fact' AS entity, cluster_id || '/' || fact_id AS key, 'actionability out of range' AS rule FROM picked WHERE actionability NOT BETWEEN 0 AND 3
 UNION ALL SELECT 'fact', cluster_id || '/' || fact_id, 'novelty out of range' FROM picked WHERE novelty NOT BETWEEN 0 AND 2
-UNION ALL SELECT 'topic', briefing_id || '/' || topic_pos, 'bullets outside 1..4' FROM final WHERE n_bullets NOT BETWEEN 1 AND 4
-UNION ALL SELECT 'topic', briefing_id || '/' || topic_pos, 'empty headline' FROM final WHERE trim(headline) = ''
-UNION ALL SELECT 'bullet', briefing_id || '/' || topic_pos || '/' || bullet_pos, 'bullet text shorter than 8' FROM final_bullets WHERE length(text) < 8
-UNION ALL SELECT 'bullet', briefing_id || '/' || topic_pos || '/' || bullet_pos, 'url not http(s)' FROM final_bullets
+UNION ALL SELECT 'topic', briefing_id || '/' || topic_pos, 'bullets outside 1..4' FROM pt WHERE n_bullets NOT BETWEEN 1 AND 4
+UNION ALL SELECT 'topic', briefing_id || '/' || topic_pos, 'empty headline' FROM pt WHERE trim(headline) = ''
+UNION ALL SELECT 'bullet', briefing_id || '/' || topic_pos || '/' || bullet_pos, 'bullet text shorter than 8' FROM pb WHERE length(text) < 8
+UNION ALL SELECT 'bullet', briefing_id || '/' || topic_pos || '/' || bullet_pos, 'url not http(s)' FROM pb
   WHERE """ + __import__("tidings.plans.sqlfrag", fromlist=["x"]).normalize_url("url") + " IS NULL")
 def q_record_violations(spark, sf):
     t = digest_tables(spark, sf)
-    return check_records(t["picked"], t["final"], t["final_bullets"])
+    final, fb = t["final"], t["final_bullets"]
+    # planted faults from the rows themselves: an over-full topic with a blank headline, a short bullet with an ftp url
+    pt = final.unionByName(final.filter(F.col("topic_pos") == 1).withColumn("headline", F.lit("  "))
+                           .withColumn("n_bullets", F.col("n_bullets") + 4))
+    pb = fb.unionByName(fb.filter(F.col("bullet_pos") == 2).withColumn("text", F.substring("text", 1, 5))
+                        .withColumn("url", F.concat(F.lit("ftp://"), F.col("briefing_id"))))
+    return check_records(t["picked"], pt, pb)
 
 
 _ = normalize_url

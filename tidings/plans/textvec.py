@@ -9,6 +9,7 @@ from tidings.functions.text import approx_tokens, truncate_for_model
 from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_block_pairs, tf_medoid_scores
 from tidings.operators.vectors import build_bundles, near_dup_keep
 from tidings.plans.registry import register
+from tidings.session import cut_lineage
 from tidings.tables import read
 
 T_TEXT = 0.95
@@ -73,7 +74,7 @@ def q_embed_tf(spark, sf):
 
 def _text_pairs(spark, sf):
     d = read(spark, sf, "documents")
-    vec = embed_tf(d, id_col="doc_id", group_cols=["lang"])
+    vec = cut_lineage(embed_tf(d, id_col="doc_id", group_cols=["lang"]))
     return d, text_block_pairs(vec, T_TEXT, id_col="doc_id", group_cols=["lang"])
 
 
@@ -94,7 +95,8 @@ def q_text_pairs(spark, sf):
 def ranked_documents(spark, sf):
     """Per cluster: TF vectors, centroid candidates (<= 300), query = medoid, BM25 rerank."""
     d = doc_clusters(spark, sf)
-    vec = embed_tf(d, id_col="doc_id", group_cols=["cluster_id"])
+    # the vectors are the embed stage's output: written once, read by the medoid, candidate and BM25 steps
+    vec = cut_lineage(embed_tf(d, id_col="doc_id", group_cols=["cluster_id"]))
     ms = tf_medoid_scores(vec, id_col="doc_id", key_cols=["cluster_id"])
     q = ms.groupBy("cluster_id").agg(
         F.max_by("doc_id", F.struct(F.col("score"), F.negative("doc_id"))).alias("qid"))
