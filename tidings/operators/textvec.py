@@ -18,6 +18,7 @@ from tidings.functions.text import approx_tokens
 
 # Token pattern and BM25 parameters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
+TOKEN_SEPARATOR = r"[^\p{L}\p{N}_]+"
 BM25_K1 = 1.2
 BM25_B = 0.75
 
@@ -28,10 +29,12 @@ def embed_tf(docs: DataFrame, *, id_col: str = "id", text_col: str = "text", gro
     The token counts are a partial aggregate, so a long document never materialises as one array.
     """
     g = list(group_cols)
-    toks = docs.select(*g, id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TOKEN_PATTERN), F.lit(0))).alias("token"))
+    # maximal runs of letters, digits and underscore == the pieces between runs of anything else
+    toks = docs.select(*g, id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SEPARATOR)).alias("token")) \
+        .filter(F.col("token") != "")
     tf = toks.groupBy(*g, id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
-    norm = tf.groupBy(*g, id_col).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("_n"))
-    return tf.join(norm, g + [id_col]).withColumn("w", F.col("tf") / F.col("_n")).drop("_n")
+    norm = F.sqrt(F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(*g, id_col)))
+    return tf.withColumn("w", F.col("tf") / norm)
 
 
 def text_cosine_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
@@ -80,24 +83,30 @@ def _sparse_kernel(id_col, group_cols, threshold):
             lens = np.fromiter((len(x) for x in toks), dtype=np.int64, count=len(toks))
             rows = np.repeat(np.arange(len(toks)), lens)
             t = np.concatenate(toks).astype(np.int64)
-            w = np.concatenate(part["_w"].to_numpy()).astype(np.float64)
+            w = np.concatenate(part["_w"].to_numpy()).astype(np.float32)
             pos = np.searchsorted(vocab, t)
             ok = (pos < vocab.size) & (vocab[np.minimum(pos, vocab.size - 1)] == t)
-            m = np.zeros((len(toks), vocab.size), dtype=np.float64)
+            m = np.zeros((len(toks), vocab.size), dtype=np.float32)
             m[rows[ok], pos[ok]] = w[ok]
             return m
 
         A = dense(left)
-        B = A if bi == bj else dense(right)
-        # float32 product to find candidates, float64 dot products to decide them (exact result)
-        G32 = A.astype(np.float32) @ B.astype(np.float32).T
+        G32 = A @ (A if bi == bj else dense(right)).T
+        del A
         ida = left[id_col].to_numpy()
         idb = ida if bi == bj else right[id_col].to_numpy()
+        # float32 product finds candidates; each candidate is decided by an exact float64 sparse dot product
         near = G32 >= threshold - 1e-3
         if bi == bj:
             near &= ida[:, None] < idb[None, :]
         r0, c0 = np.nonzero(near)
-        exact = np.einsum("ij,ij->i", A[r0], B[c0]) if r0.size else np.zeros(0)
+        lt, lw = left["_t"].to_numpy(), left["_w"].to_numpy()
+        rt, rw = right["_t"].to_numpy(), right["_w"].to_numpy()
+        exact = np.empty(r0.size)
+        for k, (i, j) in enumerate(zip(r0, c0)):
+            ti, tj = np.asarray(lt[i]), np.asarray(rt[j])
+            _, xi, xj = np.intersect1d(ti, tj, assume_unique=True, return_indices=True)
+            exact[k] = float(np.dot(np.asarray(lw[i], dtype=np.float64)[xi], np.asarray(rw[j], dtype=np.float64)[xj]))
         keep = exact >= threshold
         r, c = r0[keep], c0[keep]
         score = exact[keep]
@@ -111,7 +120,7 @@ def _sparse_kernel(id_col, group_cols, threshold):
 
 
 def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = (),
-                     block_rows: int = 512) -> DataFrame:
+                     block_rows: int = 1024) -> DataFrame:
     """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form unit vectors, by block pairs.
 
     Tokens get exact integer ids (``monotonically_increasing_id`` on the distinct tokens, a distributed
@@ -178,7 +187,8 @@ def rerank_bm25(vec: DataFrame, queries: DataFrame, *, id_col: str = "id", key_c
            .select(*k, "token", F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf")))
     tf = vec.join(idf, k + ["token"]).join(dl, k + [id_col]).join(stats, k)
     term = F.col("_idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("_avgdl")))
-    scored = tf.groupBy(*k, id_col).agg(F.sum(term).alias("score"))
+    # rounded to 1e-9 so that equal scores (copies) rank by id, not by float summation order
+    scored = tf.groupBy(*k, id_col).agg(F.round(F.sum(term), 9).alias("score"))
     everyone = vec.select(*k, id_col).distinct()
     scored = everyone.join(scored, k + [id_col], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     w = Window.partitionBy(*k).orderBy(F.col("score").desc(), F.col(id_col))

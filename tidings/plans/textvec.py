@@ -59,7 +59,7 @@ qt AS (SELECT DISTINCT cv.cluster_id, token FROM cv JOIN q ON q.cluster_id = cv.
 idf AS (SELECT qt.cluster_id, qt.token, ln(1.0 + (nn - df + 0.5) / (df + 0.5)) AS idf
         FROM qt JOIN dfq USING (cluster_id, token) JOIN st USING (cluster_id)),
 sc AS (SELECT cv.cluster_id, cv.doc_id,
-              sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))) AS score
+              round(sum(idf * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))), 9) AS score
        FROM cv JOIN idf USING (cluster_id, token) JOIN dl USING (cluster_id, doc_id) JOIN st USING (cluster_id) GROUP BY ALL),
 rr AS (SELECT cand.cluster_id, cand.doc_id, coalesce(sc.score, 0.0) AS score,
               row_number() OVER (PARTITION BY cand.cluster_id ORDER BY coalesce(sc.score, 0.0) DESC, cand.doc_id)::INTEGER AS rank
