@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import connected_components
-from tidings.session import cut_lineage
+from tidings.session import checkpoint_round as cut_lineage
 from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join
 
 

@@ -154,6 +154,8 @@ def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols
     id_type = vec.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"{c} {vec.schema[c].dataType.simpleString()}" for c in g] +
                        [f"a {id_type}", f"b {id_type}", "score double"])
+    # explicit partition count so AQE does not pack the CPU-heavy block pairs into a few tasks
+    rep = rep.repartition(int(vec.sparkSession.conf.get("spark.sql.shuffle.partitions")), *g, "_bi", "_bj")
     out = rep.groupBy(*g, "_bi", "_bj").applyInPandas(_sparse_kernel(id_col, g, t), schema=schema)
     out = out.withColumnRenamed("score", "cos")
     return out if user_groups else out.drop("_grp")
