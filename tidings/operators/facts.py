@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA, merge_weights
 from tidings.functions.text import py_strip
 from tidings.functions.urls import url_key
+from tidings.session import cut_lineage
 
 SENTENCE_MARK = "\u0001"
 SENTENCE_END = r"([.!?])\s+"
@@ -54,13 +55,14 @@ def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFr
     """
     s = split_sentences(items)
     s = s.withColumn("fact_url", fact_url if fact_url is not None else F.col("url"))
+    s = s.withColumn("_k", url_key(F.col("fact_url")))
+    # the candidate sentences are the stage-1 table: written once, read by the dedup, evidence and numbering steps
+    s = cut_lineage(s)
     first = s.groupBy("cluster_id", "sentence").agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
     s = s.join(first, ["cluster_id", "sentence"])
     is_dup = F.struct("doc_id", "_p") != F.col("_first")
-    known = items.select("cluster_id", url_key(F.col("url")).alias("_k")).distinct()
-    s = s.withColumn("_k", url_key(F.col("fact_url")))
-    ok = s.join(known, ["cluster_id", "_k"], "left_semi").select("cluster_id", "doc_id", "_p").withColumn("_ev", F.lit(True))
-    s = s.join(ok, ["cluster_id", "doc_id", "_p"], "left")
+    known = items.select("cluster_id", url_key(F.col("url")).alias("_k")).distinct().withColumn("_ev", F.lit(True))
+    s = s.join(known, ["cluster_id", "_k"], "left")
     reason = F.when(is_dup, F.lit("duplicate")).when(F.col("_ev").isNull(), F.lit("unverifiable"))
     s = s.withColumn("reason", reason).drop("_first", "_k", "_ev")
     rejected = s.filter(F.col("reason").isNotNull()).select(

@@ -183,11 +183,12 @@ def rerank_bm25(vec: DataFrame, queries: DataFrame, *, id_col: str = "id", key_c
     k = list(key_cols)
     dl = vec.groupBy(*k, id_col).agg(F.sum("tf").alias("_dl"))
     stats = dl.groupBy(*k).agg(F.count(F.lit(1)).alias("_N"), F.avg("_dl").alias("_avgdl"))
-    dfreq = vec.groupBy(*k, "token").agg(F.count(F.lit(1)).alias("_df"))
     qtok = vec.join(queries.withColumnRenamed("qid", id_col), k + [id_col], "left_semi").select(*k, "token").distinct()
-    idf = (qtok.join(dfreq, k + ["token"]).join(stats, k)
-           .select(*k, "token", F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf")))
-    tf = vec.join(idf, k + ["token"]).join(dl, k + [id_col]).join(stats, k)
+    # only the query's tokens score: cut the vectors to them before counting and joining
+    qv = vec.join(qtok, k + ["token"], "left_semi")
+    dfreq = qv.groupBy(*k, "token").agg(F.count(F.lit(1)).alias("_df"))
+    idf = dfreq.join(stats, k).select(*k, "token", F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf"))
+    tf = qv.join(idf, k + ["token"]).join(dl, k + [id_col]).join(stats, k)
     term = F.col("_idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("_avgdl")))
     # rounded to 1e-9 so that equal scores (copies) rank by id, not by float summation order
     scored = tf.groupBy(*k, id_col).agg(F.round(F.sum(term), 9).alias("score"))
