@@ -71,3 +71,21 @@ def test_writers(spark):
     assert spark.read.parquet(os.path.join(d, "st")).filter("stage = 'stage1'").count() == 1
     write_metrics(spark.createDataFrame([("en", 3)], "briefing_id string, topics_final int"), os.path.join(d, "m"))
     assert spark.read.json(os.path.join(d, "m")).count() == 1
+
+
+def test_parse_responses_defaults_and_quarantine(spark):
+    from tidings.operators.requests import parse_responses
+
+    df = spark.createDataFrame([(1, '{"cluster_id": "c", "n": 2}'), (2, '{"cluster_id": "c"}'), (3, '{"n": 1}'),
+                                (4, '{"cluster_id": ')], "i int, j string")
+    got = {r.i: (r.status, r.n) for r in parse_responses(df, "j", {"cluster_id": "string", "n": "int"}, {"n": 0}).collect()}
+    assert got == {1: ("ok", 2), 2: ("ok", 0), 3: ("invalid", 1), 4: ("unparsable", None)}
+
+
+def test_duplicate_cluster_ids(spark):
+    from tidings.operators.quality import duplicate_clusters
+
+    b = spark.createDataFrame([("en", "c1", 1), ("en", "c2", 2), ("en", "c1", 3)], "briefing_id string, cluster_id string, bundle_pos int")
+    kept, viol = duplicate_clusters(b)
+    assert sorted((r.cluster_id, r.bundle_pos) for r in kept.collect()) == [("c1", 1), ("c2", 2)]
+    assert [(r.key, r.rule) for r in viol.collect()] == [("en/c1", "duplicate cluster id")]

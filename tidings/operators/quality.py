@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.functions.scores import SCORE_MAXIMA
@@ -38,6 +38,17 @@ def check_records(picked: DataFrame, topics: DataFrame, bullets: DataFrame) -> D
     return f.unionByName(t).unionByName(b)
 
 
+def duplicate_clusters(bundles: DataFrame, *, order_col: str = "bundle_pos") -> tuple[DataFrame, DataFrame]:
+    """A cluster id given twice in one briefing is reported as a violation and only its first bundle is
+    kept. Returns (bundles without repeats, violations: entity, key, rule)."""
+    w = Window.partitionBy("briefing_id", "cluster_id").orderBy(order_col)
+    ranked = bundles.withColumn("_r", F.row_number().over(w))
+    viol = ranked.filter(F.col("_r") > 1).select(
+        F.lit("bundle").alias("entity"), F.concat_ws("/", "briefing_id", "cluster_id").alias("key"),
+        F.lit("duplicate cluster id").alias("rule"))
+    return ranked.filter(F.col("_r") == 1).drop("_r"), viol
+
+
 def quality_report(topics: DataFrame, bullets: DataFrame, items: DataFrame) -> DataFrame:
     """Per briefing: duplicate headlines, near-identical bullet pairs (TF cosine >= 0.9, exact join) and
     the share of bullets whose url is one of the briefing's item urls."""

@@ -26,13 +26,19 @@ def build_requests(items: DataFrame, template: str, *, max_items: int = MAX_CAND
     return bundle.select("cluster_id", prompt.alias("prompt"))
 
 
-def parse_responses(df: DataFrame, col: str, fields: dict[str, str]) -> DataFrame:
+def parse_responses(df: DataFrame, col: str, fields: dict[str, str], defaults: dict | None = None) -> DataFrame:
     """JSON text to typed columns. ``status``: ``unparsable`` (not JSON), ``invalid`` (a required field
-    missing or of the wrong type) or ``ok``; bad rows stay in the table for quarantine, others go on."""
+    missing or of the wrong type) or ``ok``; bad rows stay in the table for quarantine, others go on.
+    Fields named in ``defaults`` are optional: a missing key takes the default (as ``facts: []``)."""
+    defaults = defaults or {}
     v = F.try_parse_json(F.col(col))
     out = df.withColumn("_v", v)
     for name, typ in fields.items():
-        out = out.withColumn(name, F.try_variant_get("_v", f"$.{name}", typ))
+        got = F.try_variant_get("_v", f"$.{name}", typ)
+        if name in defaults:
+            absent = F.col("_v").isNotNull() & F.try_variant_get("_v", f"$.{name}", "variant").isNull()
+            got = F.when(absent, F.lit(defaults[name]).cast(typ)).otherwise(got)
+        out = out.withColumn(name, got)
     missing = F.lit(False)
     for name in fields:
         missing = missing | F.col(name).isNull()
