@@ -179,21 +179,28 @@ def rerank_bm25(vec: DataFrame, queries: DataFrame, *, id_col: str = "id", key_c
     ``vec``: candidates in long form (``key_cols, id, token, tf``); ``queries``: ``key_cols, qid``.
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)). Output ``key_cols, id, score, rank`` (rank 1 = best;
     ties by id).
+
+    The candidates of a cluster are bounded (the centroid cut), so the vectors are hash-partitioned by
+    cluster once and every statistic (N, avgdl, dl, df, query tokens) is a window or aggregate that reuses
+    that partitioning: one shuffle in place of one per statistic.
     """
     k = list(key_cols)
-    dl = vec.groupBy(*k, id_col).agg(F.sum("tf").alias("_dl"))
-    stats = dl.groupBy(*k).agg(F.count(F.lit(1)).alias("_N"), F.avg("_dl").alias("_avgdl"))
-    qtok = vec.join(queries.withColumnRenamed("qid", id_col), k + [id_col], "left_semi").select(*k, "token").distinct()
-    # only the query's tokens score: cut the vectors to them before counting and joining
-    qv = vec.join(qtok, k + ["token"], "left_semi")
-    dfreq = qv.groupBy(*k, "token").agg(F.count(F.lit(1)).alias("_df"))
-    idf = dfreq.join(stats, k).select(*k, "token", F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf"))
-    tf = qv.join(idf, k + ["token"]).join(dl, k + [id_col]).join(stats, k)
-    term = F.col("_idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("_avgdl")))
+    n = int(vec.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = vec.join(queries, k).repartition(n, *k)
+    wc = Window.partitionBy(*k)
+    wd = Window.partitionBy(*k, id_col)
+    wt = Window.partitionBy(*k, "token")
+    first_tok = F.row_number().over(wd.orderBy("token")) == 1
+    v = (v.withColumn("_dl", F.sum("tf").over(wd))
+         .withColumn("_df", F.count(F.lit(1)).over(wt))
+         .withColumn("_q", F.max(F.when(F.col(id_col) == F.col("qid"), F.lit(1)).otherwise(F.lit(0))).over(wt))
+         .withColumn("_first", first_tok.cast("int")))
+    v = v.withColumn("_N", F.sum("_first").over(wc)).withColumn("_sumdl", F.sum(F.when(F.col("_first") == 1, F.col("_dl"))).over(wc))
+    avgdl = F.col("_sumdl") / F.col("_N")
+    idf = F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    term = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / avgdl))
     # rounded to 1e-9 so that equal scores (copies) rank by id, not by float summation order
-    scored = tf.groupBy(*k, id_col).agg(F.round(F.sum(term), 9).alias("score"))
-    everyone = vec.select(*k, id_col).distinct()
-    scored = everyone.join(scored, k + [id_col], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    scored = v.groupBy(*k, id_col).agg(F.round(F.sum(F.when(F.col("_q") == 1, term).otherwise(F.lit(0.0))), 9).alias("score"))
     w = Window.partitionBy(*k).orderBy(F.col("score").desc(), F.col(id_col))
     return scored.withColumn("rank", F.row_number().over(w))
 

@@ -97,14 +97,14 @@ def ranked_documents(spark, sf):
     d = doc_clusters(spark, sf)
     # the vectors are the embed stage's output: written once, read by the medoid, candidate and BM25 steps
     vec = cut_lineage(embed_tf(d, id_col="doc_id", group_cols=["cluster_id"]))
-    ms = tf_medoid_scores(vec, id_col="doc_id", key_cols=["cluster_id"])
+    ms = cut_lineage(tf_medoid_scores(vec, id_col="doc_id", key_cols=["cluster_id"]))
     q = ms.groupBy("cluster_id").agg(
         F.max_by("doc_id", F.struct(F.col("score"), F.negative("doc_id"))).alias("qid"))
     from pyspark.sql import Window
 
     w = Window.partitionBy("cluster_id").orderBy(F.col("score").desc(), "doc_id")
     cand = ms.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= MAX_CANDIDATES).select("cluster_id", "doc_id")
-    cvec = vec.join(cand, ["cluster_id", "doc_id"], "left_semi")
+    cvec = cut_lineage(vec.join(cand, ["cluster_id", "doc_id"], "left_semi"))
     return rerank_bm25(cvec, q, id_col="doc_id", key_cols=["cluster_id"])
 
 
