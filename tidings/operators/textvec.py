@@ -6,7 +6,6 @@ letters, digits and underscore after lower-casing (the same in Java regex and RE
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -245,5 +244,3 @@ def pack_batches(items: DataFrame, budget: int, *, group_col: str = "source", or
 def item_tokens(text_col: str = "text", chars_per_token: float = 4.0):
     return approx_tokens(text_col, chars_per_token)
 
-
-_ = (math, pd)

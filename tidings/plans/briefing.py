@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.functions.urls import normalize_url
 from tidings.operators.briefing import run_metrics
 from tidings.operators.quality import check_records, quality_report
+from tidings.plans import sqlfrag as S
 from tidings.plans.digest import SQL_CHAIN, digest_tables
 from tidings.plans.registry import register
 
@@ -87,7 +87,7 @@ UNION ALL SELECT 'topic', briefing_id || '/' || topic_pos, 'bullets outside 1..4
 UNION ALL SELECT 'topic', briefing_id || '/' || topic_pos, 'empty headline' FROM pt WHERE trim(headline) = ''
 UNION ALL SELECT 'bullet', briefing_id || '/' || topic_pos || '/' || bullet_pos, 'bullet text shorter than 8' FROM pb WHERE length(text) < 8
 UNION ALL SELECT 'bullet', briefing_id || '/' || topic_pos || '/' || bullet_pos, 'url not http(s)' FROM pb
-  WHERE """ + __import__("tidings.plans.sqlfrag", fromlist=["x"]).normalize_url("url") + " IS NULL")
+  WHERE """ + S.normalize_url("url") + " IS NULL")
 def q_record_violations(spark, sf):
     t = digest_tables(spark, sf)
     final, fb = t["final"], t["final_bullets"]
@@ -98,5 +98,3 @@ def q_record_violations(spark, sf):
                         .withColumn("url", F.concat(F.lit("ftp://"), F.col("briefing_id"))))
     return check_records(t["picked"], pt, pb)
 
-
-_ = normalize_url

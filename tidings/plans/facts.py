@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidings.functions.scores import SCORE_DIMENSIONS, weighted_total
@@ -217,5 +216,3 @@ def q_citation_violations(spark, sf):
     v = check_citations(b, t["picked"])
     return v.select("cluster_id", "topic_id", F.col("bullet_pos").cast("int").alias("bullet_pos"), "fact_id", "violation")
 
-
-_ = Window

@@ -6,7 +6,6 @@ query from a column of the table, identically in the oracle, so their count grow
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -247,5 +246,3 @@ def q_window_counts(spark, sf):
     ev = events_items(spark, sf).withColumnRenamed("event_type", "source")
     return window_counts(ev, "1 hour").select(F.unix_micros("window_start").alias("window_start_us"), "source", "n")
 
-
-_ = Window

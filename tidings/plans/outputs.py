@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.functions.urls import normalize_url
 from tidings.operators.render import render_channel, render_markdown, split_messages
 from tidings.operators.requests import build_requests, parse_briefings, parse_responses
 from tidings.plans import sqlfrag as S
@@ -185,5 +184,3 @@ def q_sanitize_bundles(spark, sf):
     return ci.join(ki, "cluster_id", "left").join(kl, "cluster_id", "left").select(
         "cluster_id", "items_in", F.coalesce("items_kept", z).alias("items_kept"), F.coalesce("links_kept", z).alias("links_kept"))
 
-
-_ = normalize_url

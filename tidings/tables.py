@@ -15,7 +15,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     row group) is spread round-robin so per-row text work uses every core; at cluster scale the scan
     already has thousands of splits and nothing is added. Filters and projections still reach the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
-    return df
+    try:
+        target = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Connect session): leave the scan as it is
+        return df
+    return df.repartition(target) if splits < target else df
