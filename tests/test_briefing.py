@@ -45,3 +45,15 @@ def test_finalize_focus_first(spark):
     assert [(r.topic_id, r.headline, r.n_bullets) for r in rows] == [
         ("agentic-focus", "Agentic Focus", 1), ("cluster-hn-001", "HN headline", 1)]
     assert all(r.valid for r in rows)
+
+
+def test_briefing_header_iso_date(spark):
+    import datetime as dt
+
+    from tidings.operators.briefing import briefing_header
+
+    t = spark.createDataFrame([("en",), ("de",)], "briefing_id string")
+    got = {r.briefing_id: (r.title, r.date) for r in briefing_header(t, None, dt.datetime(2024, 1, 31)).collect()}
+    assert got == {"en": ("Digest en", "2024-01-31T00:00:00Z"), "de": ("Digest de", "2024-01-31T00:00:00Z")}
+    (r,) = briefing_header(t.limit(1), "T", dt.datetime(2024, 1, 31, 1, 2, 3, 4500)).collect()
+    assert r.date == "2024-01-31T01:02:03.004500Z"

@@ -171,3 +171,19 @@ def run_metrics(bundles: DataFrame, facts: DataFrame, picked: DataFrame, dropped
         F.coalesce("avg_weighted_score", F.lit(0.0)).alias("avg_weighted_score"),
         F.coalesce("agentic_topics", z).alias("agentic_topics"), F.coalesce("strategic_topics", z).alias("strategic_topics"),
         F.lit(0.0).alias("json_repair_rate"))
+
+
+def iso_utc(ts) -> "F.Column":
+    """UTC ISO-8601 with ``Z``, microseconds only when present (as Python's ``isoformat`` writes it)."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    plain = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    micro = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.when(F.unix_micros(c) % 1_000_000 == 0, plain).otherwise(micro)
+
+
+def briefing_header(final_topics: DataFrame, title: str | None, date) -> DataFrame:
+    """One row per briefing: ``briefing_id, title, date``. ``title`` None keeps a per-briefing default
+    (``Digest <id>``); ``date`` is a timestamp literal or column (the run's ``as_of``, never the clock)."""
+    t = F.lit(title) if title is not None else F.concat(F.lit("Digest "), F.col("briefing_id"))
+    d = F.lit(date).cast("timestamp") if not hasattr(date, "alias") else date
+    return final_topics.select("briefing_id").distinct().select("briefing_id", t.alias("title"), iso_utc(d).alias("date"))

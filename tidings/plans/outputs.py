@@ -17,8 +17,11 @@ LABEL = "消息来源"
 
 
 def _titles(final):
-    return final.select("briefing_id").distinct().select(
-        "briefing_id", F.concat(F.lit("Digest "), "briefing_id").alias("title"), F.lit(DATE).alias("date"))
+    import datetime as dt
+
+    from tidings.operators.briefing import briefing_header
+
+    return briefing_header(final, None, dt.datetime(2024, 1, 31))
 
 
 def _md_sql():
