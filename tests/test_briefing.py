@@ -57,3 +57,23 @@ def test_briefing_header_iso_date(spark):
     assert got == {"en": ("Digest en", "2024-01-31T00:00:00Z"), "de": ("Digest de", "2024-01-31T00:00:00Z")}
     (r,) = briefing_header(t.limit(1), "T", dt.datetime(2024, 1, 31, 1, 2, 3, 4500)).collect()
     assert r.date == "2024-01-31T01:02:03.004500Z"
+
+
+def test_split_focus_edge_cases(spark):
+    from tidings.operators.briefing import split_focus
+
+    rows = [("one", "a", 1, True), ("two", "b", 1, True), ("two", "c", 2, True), ("mix", "d", 1, True), ("mix", "e", 2, False)]
+    df = spark.createDataFrame(rows, "briefing_id string, topic_id string, ord int, agentic boolean")
+    got = {r.topic_id: r.in_focus for r in split_focus(df).collect()}
+    # a lone agentic topic goes back; of two, the best moves to the main list; with general topics all agentic leave
+    assert got == {"a": False, "b": False, "c": True, "d": True, "e": False}
+    assert not any(r.in_focus for r in split_focus(df, enabled=False).collect())
+
+
+def test_lookup_exact_key_wins(spark):
+    from tidings.operators.briefing import lookup_with_fallback
+
+    left = spark.createDataFrame([("cluster-x",), ("cluster-y",), ("z",)], "key string")
+    dim = spark.createDataFrame([("cluster-x", 1), ("x", 2), ("y", 3)], "cluster_id string, v int")
+    got = {r.key: r.d_v for r in lookup_with_fallback(left, dim, left_key="key", dim_key="cluster_id").collect()}
+    assert got == {"cluster-x": 1, "cluster-y": 3, "z": None}
