@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import connected_components
-from tidings.session import checkpoint_round as cut_lineage
+from tidings.session import cut_lineage
 from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join
 
 
@@ -27,10 +27,11 @@ def density_cluster(vecs: DataFrame, eps: float, min_size: int = 3, *, id_col: s
                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """``group_cols, id, label, is_core`` for every input row."""
     g = list(group_cols)
-    pairs = block_pair_join(vecs, id_col, vec_col, eps, metric="euclid", group_cols=g, block_rows=block_rows)
+    # the eps-neighbour pairs feed degrees, core points and core edges: computed once
+    pairs = cut_lineage(block_pair_join(vecs, id_col, vec_col, eps, metric="euclid", group_cols=g, block_rows=block_rows))
     ends = pairs.select(*g, F.col("a").alias("node")).union(pairs.select(*g, F.col("b").alias("node")))
     deg = ends.groupBy(*g, "node").agg(F.count(F.lit(1)).alias("_d"))
-    core = deg.filter(F.col("_d") + 1 >= min_size).select(*g, "node")
+    core = cut_lineage(deg.filter(F.col("_d") + 1 >= min_size).select(*g, "node"))
     core_edges = (
         pairs.join(core.withColumnRenamed("node", "a"), g + ["a"], "left_semi")
         .join(core.withColumnRenamed("node", "b"), g + ["b"], "left_semi")

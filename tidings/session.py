@@ -61,9 +61,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
-
-def checkpoint_round(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small per-round state table (greedy dedup, components) into the shared
-    checkpoint folder: one job per round, no write-commit protocol. Never a local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
