@@ -32,6 +32,7 @@ MAX_BATCH_TOKENS = 8192
 MAX_ITEM_CHARS = 6000
 CHARS_PER_TOKEN = 4.0
 
+# The headline prefix of strategic topics.
 STRATEGIC_PREFIX = "【Strategic/Risk】"
 
 

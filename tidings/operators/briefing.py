@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.text import flag_headline, sanitize_topic_id
 
+# Id and headline of the focus section topic.
 FOCUS_TOPIC_ID = "agentic-focus"
 FOCUS_HEADLINE = "Agentic Focus"
 

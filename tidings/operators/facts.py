@@ -32,6 +32,7 @@ SCORE_RULES = [
     ("reusability", "minlen", 60, 1),
     ("reliability", "regex", "(?i)(eau|sch|th)", 1),
 ]
+# At most three picked facts per cluster.
 TOP_FACTS = 3
 
 

@@ -9,6 +9,7 @@ from tidings.functions.scores import SCORE_MAXIMA
 from tidings.functions.urls import normalize_url
 from tidings.operators.textvec import embed_tf, text_cosine_pairs
 
+# Shortest bullet text; our near-identical bullet threshold.
 MIN_BULLET_CHARS = 8
 NEAR_IDENTICAL = 0.9
 

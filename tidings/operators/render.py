@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidings.functions.text import py_lstrip, py_strip
 from tidings.functions.urls import safe_url
 
+# The channel message size limit.
 CHANNEL_LIMIT = 4096
 # Message boundaries, in priority order, and how much of each stays with the left part.
 BOUNDARY_TOKENS = [("\n\n", 0), ("</pre>", 6), ("</blockquote>", 13)]
