@@ -59,5 +59,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _TABLES[id(out)] = path
+    return out
+
+
+_TABLES: dict[int, str] = {}
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind a :func:`cut_lineage` result once nothing reads it any more (round states)."""
+    path = _TABLES.pop(id(df), None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
