@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import connected_components
-from tidings.session import cut_lineage
+from tidings.session import checkpoint_round, cut_lineage
 from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join
 
 
@@ -31,7 +31,7 @@ def density_cluster(vecs: DataFrame, eps: float, min_size: int = 3, *, id_col: s
     pairs = cut_lineage(block_pair_join(vecs, id_col, vec_col, eps, metric="euclid", group_cols=g, block_rows=block_rows))
     ends = pairs.select(*g, F.col("a").alias("node")).union(pairs.select(*g, F.col("b").alias("node")))
     deg = ends.groupBy(*g, "node").agg(F.count(F.lit(1)).alias("_d"))
-    core = cut_lineage(deg.filter(F.col("_d") + 1 >= min_size).select(*g, "node"))
+    core = checkpoint_round(deg.filter(F.col("_d") + 1 >= min_size).select(*g, "node"))
     core_edges = (
         pairs.join(core.withColumnRenamed("node", "a"), g + ["a"], "left_semi")
         .join(core.withColumnRenamed("node", "b"), g + ["b"], "left_semi")
@@ -96,7 +96,7 @@ def density_hierarchy(vecs: DataFrame, eps_grid: Sequence[float], min_size: int
                .select(*[F.col(f"x.{v}").alias(v) for v in g], F.col("x.level").alias("level"), F.col("x.cl").alias("cl"),
                        F.when(F.col("k._k") == 1, F.col("q.b")).otherwise(F.col("x.level")).alias("b"),
                        F.when(F.col("k._k") == 1, F.col("q.bc")).otherwise(F.col("x.cl")).alias("bc")))
-        cid = cut_lineage(cid.unionByName(lvl))
+        cid = checkpoint_round(cid.unionByName(lvl))
     lam_of = F.create_map(*[x for i, v in enumerate(lam) for x in (F.lit(i), F.lit(v))])
     lam_next = F.create_map(*[x for i in range(nlev) for x in (F.lit(i), F.lit(lam[min(i + 1, nlev - 1)]))])
     pts = member.join(cid, g + ["level", "cl"]).groupBy(*g, "b", "bc", id_col).agg(F.max("level").alias("_last"))
@@ -117,7 +117,7 @@ def density_hierarchy(vecs: DataFrame, eps_grid: Sequence[float], min_size: int
                 .withColumn("sel", F.when(F.col("b") == li, F.col("stab") >= F.coalesce("_ks", F.lit(0.0))).otherwise(F.col("sel")))
                 .withColumn("best", F.when(F.col("b") == li, F.greatest("stab", F.coalesce("_ks", F.lit(0.0)))).otherwise(F.col("best")))
                 .drop("_ks"))
-        best = cut_lineage(best)
+        best = checkpoint_round(best)
     # keep selected clusters without a selected ancestor (top-down over levels)
     chosen = best.filter("sel").select(*g, "b", "bc")
     blocked = None
@@ -127,7 +127,7 @@ def density_hierarchy(vecs: DataFrame, eps_grid: Sequence[float], min_size: int
         if blocked is not None:
             anc_sel = anc_sel.unionByName(blocked.select(*g, F.col("b").alias("pb"), F.col("bc").alias("pbc")))
         newly = up.join(anc_sel, g + ["pb", "pbc"], "left_semi").select(*g, "b", "bc")
-        blocked = newly if blocked is None else cut_lineage(blocked.unionByName(newly))
+        blocked = newly if blocked is None else checkpoint_round(blocked.unionByName(newly))
     final = chosen if blocked is None else chosen.join(blocked, g + ["b", "bc"], "left_anti")
     w = Window.partitionBy(*g).orderBy("b", "bc")
     final = final.withColumn("label", (F.row_number().over(w) - 1).cast("int"))

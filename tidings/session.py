@@ -76,3 +76,11 @@ def release(df: DataFrame) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
+
+
+def checkpoint_round(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small per-round state table (greedy dedup, components) into the shared
+    checkpoint folder. For these small tables it is cheaper than a written table (no commit protocol);
+    Spark's cleaner removes superseded checkpoints. Never a local checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
