@@ -68,14 +68,25 @@ rr AS (SELECT cand.cluster_id, cand.doc_id, coalesce(sc.score, 0.0) AS score,
 
 @register("embed_tf", "WITH " + SQL_TF + "\nSELECT doc_id, token, tf, round(w, 6) AS w FROM w")
 def q_embed_tf(spark, sf):
-    v = embed_tf(read(spark, sf, "documents"), id_col="doc_id")
-    return v.select("doc_id", "token", "tf", F.round("w", 6).alias("w"))
+    return doc_vectors(spark, sf).select("doc_id", "token", "tf", F.round("w", 6).alias("w"))
+
+
+_VEC_MEMO: dict = {}
+
+
+def doc_vectors(spark, sf):
+    """TF vectors of every document with both grouping keys (language, cluster), written once per session
+    and scale and shared by the text near-dup, pair and rerank queries (the weights do not depend on the
+    grouping)."""
+    key = (id(spark.sparkContext._jsc), sf)
+    if key not in _VEC_MEMO:
+        _VEC_MEMO[key] = cut_lineage(embed_tf(doc_clusters(spark, sf), id_col="doc_id", group_cols=["lang", "cluster_id"]))
+    return _VEC_MEMO[key]
 
 
 def _text_pairs(spark, sf):
     d = read(spark, sf, "documents")
-    vec = cut_lineage(embed_tf(d, id_col="doc_id", group_cols=["lang"]))
-    return d, text_block_pairs(vec, T_TEXT, id_col="doc_id", group_cols=["lang"])
+    return d, text_block_pairs(doc_vectors(spark, sf), T_TEXT, id_col="doc_id", group_cols=["lang"])
 
 
 @register("near_dup_text", "WITH RECURSIVE " + SQL_TEXT_GREEDY + "\nSELECT doc_id FROM kept")
@@ -94,9 +105,8 @@ def q_text_pairs(spark, sf):
 
 def ranked_documents(spark, sf):
     """Per cluster: TF vectors, centroid candidates (<= 300), query = medoid, BM25 rerank."""
-    d = doc_clusters(spark, sf)
     # the vectors are the embed stage's output: written once, read by the medoid, candidate and BM25 steps
-    vec = cut_lineage(embed_tf(d, id_col="doc_id", group_cols=["cluster_id"]))
+    vec = doc_vectors(spark, sf).drop("lang")
     ms = cut_lineage(tf_medoid_scores(vec, id_col="doc_id", key_cols=["cluster_id"]))
     q = ms.groupBy("cluster_id").agg(
         F.max_by("doc_id", F.struct(F.col("score"), F.negative("doc_id"))).alias("qid"))
