@@ -21,3 +21,15 @@ def test_time_window_filter_reaches_scan(spark):
     load_all()
     plan = QUERIES["time_window"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver data absent")
+def test_heavy_plans_have_no_cartesian(spark):
+    import re
+
+    from tidings.plans import QUERIES, load_all
+
+    load_all()
+    for name in ["near_dup_text", "rerank_bm25", "density_cluster", "dedup_report", "finalize_briefing", "quality_report"]:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), name
