@@ -83,3 +83,19 @@ def test_density_hierarchy_prefers_stable_children(spark):
     a, b, c = {lab[i] for i in range(9)}, {lab[i] for i in range(9, 18)}, {lab[i] for i in range(18, 27)}
     assert len(a) == len(b) == len(c) == 1 and len(a | b | c) == 3 and -1 not in a | b | c
     assert lab[27] == -1
+
+
+def test_density_hierarchy_per_group(spark):
+    from tidings.operators.cluster import density_hierarchy
+
+    def blob(cx, cy):
+        return [(cx + dx * 0.05, cy + dy * 0.05) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
+
+    rows = []
+    for grp, pts in (("g1", blob(0, 0) + blob(0.6, 0)), ("g2", blob(0, 0) + [(9, 9)])):
+        rows += [(grp, i, [float(x), float(y)]) for i, (x, y) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "grp string, id long, embedding array<double>")
+    lab = {(r.grp, r.id): r.label for r in density_hierarchy(df, [2.0, 0.3, 0.1], 3, group_cols=["grp"]).collect()}
+    g1a, g1b = {lab[("g1", i)] for i in range(9)}, {lab[("g1", i)] for i in range(9, 18)}
+    assert len(g1a) == len(g1b) == 1 and g1a != g1b and -1 not in g1a | g1b
+    assert {lab[("g2", i)] for i in range(9)} == {0} and lab[("g2", 9)] == -1
