@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.scores import SCORE_MAXIMA
 from tidings.functions.urls import normalize_url
-from tidings.operators.textvec import embed_tf, text_cosine_pairs
+from tidings.operators.textvec import embed_tf, text_block_pairs
 
 # Shortest bullet text; our near-identical bullet threshold.
 MIN_BULLET_CHARS = 8
@@ -57,7 +57,7 @@ def quality_report(topics: DataFrame, bullets: DataFrame, items: DataFrame) -> D
            .groupBy("briefing_id").agg(F.count(F.lit(1)).alias("duplicate_headlines")))
     b = bullets.withColumn("_bid", F.col("topic_pos") * 100 + F.col("bullet_pos"))
     vec = embed_tf(b, id_col="_bid", group_cols=["briefing_id"])
-    near = (text_cosine_pairs(vec, NEAR_IDENTICAL, id_col="_bid", group_cols=["briefing_id"])
+    near = (text_block_pairs(vec, NEAR_IDENTICAL, id_col="_bid", group_cols=["briefing_id"])
             .groupBy("briefing_id").agg(F.count(F.lit(1)).alias("near_identical_bullets")))
     known = items.select("briefing_id", "url").distinct().withColumn("_ok", F.lit(1.0))
     share = (b.join(known, ["briefing_id", "url"], "left").groupBy("briefing_id")
