@@ -40,12 +40,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is configured (local tests) make a scratch one."""
+    """The session's checkpoint folder. Only a local session (tests, bench) without one gets a scratch
+    folder; a cluster session must name a shared folder in ``spark.checkpoint.dir``, because a
+    machine-local folder would not survive the loss of the machine."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     d = checkpoint_dir(spark)
     if d is None:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (stage tables and round states go there)")
         d = tempfile.mkdtemp(prefix="tidings-ckpt-", dir=os.environ.get("TIDINGS_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)  # Spark adds one application subfolder under it
+    return sc.getCheckpointDir() or d
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
