@@ -21,17 +21,28 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable (keeps generated code small)."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def normalize_url(col) -> Column:
     """Trim, repair ``//host`` and scheme-less values to https, accept http(s) only; else null.
 
     The accepted string is returned as given (no host lower-casing or slash added).
     """
-    s = py_strip(_c(col).cast("string"))
-    s = F.when(s.startswith("//"), F.concat(F.lit("https:"), s)).otherwise(s)
-    s = F.when(s.rlike(SCHEME_PATTERN), s).otherwise(F.concat(F.lit("https://"), s))
-    ok = s.rlike(HTTP_URL_PATTERN) & (F.length(s) <= MAX_URL_LENGTH)
-    raw = _c(col)
-    return F.when(raw.isNotNull() & (py_strip(raw.cast("string")) != "") & ok, s)
+    def on_raw(raw):
+        def on_stripped(s):
+            def on_fixed(s2):
+                ok = s2.rlike(HTTP_URL_PATTERN) & (F.length(s2) <= MAX_URL_LENGTH)
+                return F.when(raw.isNotNull() & (s != "") & ok, s2)
+
+            s1 = F.when(s.startswith("//"), F.concat(F.lit("https:"), s)).otherwise(s)
+            return _bind(s1, lambda v: on_fixed(F.when(v.rlike(SCHEME_PATTERN), v).otherwise(F.concat(F.lit("https://"), v))))
+
+        return _bind(py_strip(raw), on_stripped)
+
+    return _bind(_c(col).cast("string"), on_raw)
 
 
 def url_key(col) -> Column:
