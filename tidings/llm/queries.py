@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import chunkdedup, linechunks, sharding, urlfilter
+from tidings.llm import chunkdedup, decontam, jaccard, linechunks, sharding, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,38 @@ def op2_url_vocabulary(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def _shingle_sql(name: str, source: str, key: str) -> str:
+    """CTEs: word lists and distinct 5-word shingles (a shorter text is one shingle) of a table's texts."""
+    return f"""{name}w AS (SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM {source}),
+{name} AS (SELECT DISTINCT {key}, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS sh FROM {name}w)"""
+
+
+@register("op3_segment_join", f"""
+WITH RECURSIVE {_shingle_sql('s', 'documents', 'doc_id')},
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+links AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, links.b FROM reach r JOIN links ON links.a = r.c)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+FROM documents JOIN reach ON reach.id = doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id
+""")
+def op3_segment_join(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op10_containment_search", f"""
+WITH {_shingle_sql('s', 'documents', 'doc_id')}, {_shingle_sql('i', 'benchmark', 'item_id')},
+n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id),
+h AS (SELECT doc_id, item_id, count(*) AS c FROM s JOIN i USING (sh) GROUP BY 1, 2)
+SELECT doc_id, item_id, n AS n_item_shingles, c AS n_shared, c / n AS containment FROM h JOIN n USING (item_id) WHERE c / n >= 0.8
+""")
+def op10_containment_search(spark, sf_dir):
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op4_chunk_recipes", """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS txt,
                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents),
