@@ -19,6 +19,8 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+LETTERS_ONLY = np.ones(256, dtype=bool)  # gaps when only ASCII letters, digits and non-ASCII bytes make words
+LETTERS_ONLY[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"): ord("Z") + 1] += 32
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, size=256, dtype=np.int64).astype(_U) | _U(1)
@@ -71,11 +73,11 @@ def chunked(arr: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
 class Words:
     """Word bounds, owning text and hash of every word of a chunk of texts."""
 
-    def __init__(self, raw: np.ndarray, off: np.ndarray):
+    def __init__(self, raw: np.ndarray, off: np.ndarray, gap: np.ndarray = _SPACE):
         n = len(raw)
         self.n_docs = len(off) - 1
         self.low = _LOWER[raw]
-        solid = ~_SPACE[raw]
+        solid = ~gap[raw]
         first = np.zeros(n + 1, dtype=bool)
         first[off] = True
         before = np.empty(n, dtype=bool)
@@ -102,6 +104,18 @@ class Words:
         return self.span_hash(self.start, self.end)
 
 
+def word_counts(arr: pa.Array) -> np.ndarray:
+    """Number of words of every text."""
+    raw, off = string_buffers(arr)
+    solid = ~_SPACE[raw]
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    inner = off[:-1][(off[:-1] < off[1:])]
+    begins[inner] = solid[inner]
+    total = np.concatenate(([0], np.cumsum(begins)))
+    return total[off[1:]] - total[off[:-1]]
+
+
 def shingles(words: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` words in order, and the bounds per text (n + 1).
 

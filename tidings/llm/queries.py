@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import chunkdedup, decontam, jaccard, linechunks, sharding, urlfilter
+from tidings.llm import chunkdedup, decontam, folds, jaccard, linechunks, quality, sharding, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _scored(df: DataFrame, score: str, n: int, held: int) -> DataFrame:
+    return df.select("doc_id", F.coalesce(folds.fold(F.col("doc_id"), n) == held, F.lit(False)).alias("held_out"),
+                     F.col(score).alias("score"), F.when(F.col(score) >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@register("op1_counterfactual_toxicity")
+def op1_counterfactual_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), folds_=3, held=1)
+    return _scored(toxicity.score_texts(docs, model), "toxicity", 3, 1)
+
+
+@register("op5_positive_unlabelled")
+def op5_positive_unlabelled(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fitted = quality.fit(docs, table(spark, sf_dir, "labels"), folds_=4, held=2)
+    return _scored(quality.score_texts(docs, fitted), "quality", 4, 2)
+
+
 @register("op2_url_vocabulary")
 def op2_url_vocabulary(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
