@@ -29,6 +29,7 @@ from tidings.llm import folds, kernels
 PER_CLASS = 4000  # bound of the training sample, texts per label
 DIMENSIONS = 1 << 20
 L1, L2, COUNTERFACTUAL = 2e-4, 1e-4, 1.0
+MIN_Z = 1.6  # features whose shares in the two classes differ by fewer standard errors are left out
 STEPS = 400
 
 #: Groups of identity terms; a term is swapped for the next of its group.
@@ -111,7 +112,7 @@ def fit_linear(x: list, y: np.ndarray, twins: list, prior: float, strength: floa
     n_pos, n_neg = int(y.sum()), int((1 - y).sum())
     p, q = (pos + 0.5) / (n_pos + 1), (neg + 0.5) / (n_neg + 1)
     z = np.abs(p - q) / np.sqrt(p * (1 - p) / n_pos + q * (1 - q) / n_neg)
-    columns = np.flatnonzero((pos + neg >= 3) & (z > 3.0))
+    columns = np.flatnonzero((pos + neg >= 3) & (z > MIN_Z))
     if not len(columns):
         return Model(columns.astype(np.int32), np.zeros(0), float(np.log(prior / (1 - prior))))
     row, col = _rows(x, columns)
