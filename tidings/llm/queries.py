@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import chunkdedup, decontam, folds, jaccard, linechunks, quality, sharding, toxicity, urlfilter
+from tidings.llm import chunkdedup, decontam, folds, jaccard, linechunks, mixing, pfp, quality, sharding, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +94,19 @@ def op4_chunk_recipes(spark, sf_dir):
     return chunkdedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op6_prefix_free_parsing")
+def op6_prefix_free_parsing(spark, sf_dir):
+    left = pfp.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return left.withColumnRenamed("kept", "kept_sha256")
+
+
+@register("op7_entropy_balancing")
+def op7_entropy_balancing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    mixed = mixing.mix(docs)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 @register("op8_jump_shards")
 def op8_jump_shards(spark, sf_dir):
     s = sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
