@@ -8,24 +8,60 @@ from pyspark.sql import types as T
 
 from tidings.functions.text import py_strip
 
-# An ISO value must start with a full calendar date; RFC-2822 drops the weekday first.
-ISO_GUARD = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
-RFC_WEEKDAY = r"\A[A-Za-z]{3}, *"
-RFC_PATTERN = "d MMM yyyy HH:mm:ss Z"
-RFC_GUARD = r"\A[0-9]{1,2} [A-Za-z]{3} [0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2} [+-][0-9]{4}\z"
+# Month names and the zone names of RFC-2822 mail dates (hours from UTC).
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+ZONE_HOURS = {"Z": 0, "UT": 0, "UTC": 0, "GMT": 0, "AST": -4, "ADT": -3, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5,
+              "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
+
+_CLOCK = r"(?:[T ]([0-9]{2})(?::([0-9]{2})(?::([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?"
+_CLOCK_BASIC = r"(?:[T ]([0-9]{2})(?:([0-9]{2})(?:([0-9]{2})(?:[.,]([0-9]+))?)?)?(Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?"
+ISO_EXTENDED = r"\A([0-9]{4})-([0-9]{2})-([0-9]{2})" + _CLOCK + r"\z"
+ISO_BASIC = r"\A([0-9]{4})([0-9]{2})([0-9]{2})" + _CLOCK_BASIC + r"\z"
+MAIL_DATE = (r"(?i)\A(?:[a-z]{3,9},?\s+)?([0-9]{1,2})[\s-]+([a-z]{3})[a-z]*[\s-]+([0-9]{4}|[0-9]{2})\s+"
+             r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}))?(?:\s+([a-z]{1,5}|[+-][0-9]{4}))?\z")
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _int(s: Column, pattern: str, group: int) -> Column:
+    part = F.regexp_extract(s, pattern, group)
+    return F.when(part == "", F.lit(0)).otherwise(part.try_cast("int"))
+
+
+def _offset(zone: Column) -> Column:
+    """``+HH:MM`` of ``Z``, ``+HH``, ``+HHMM``, ``+HH:MM`` or a known zone name; anything else is UTC."""
+    digits = F.regexp_replace(zone, ":", "")
+    hours = F.create_map(*[F.lit(x) for name, h in ZONE_HOURS.items() for x in (name, f"{h:+03d}:00")])
+    numeric = F.concat(F.substring(digits, 1, 3), F.lit(":"), F.coalesce(F.nullif(F.substring(digits, 4, 2), F.lit("")), F.lit("00")))
+    return F.when(digits.rlike(r"\A[+-]"), numeric).otherwise(F.coalesce(F.try_element_at(hours, F.upper(zone)), F.lit("+00:00")))
+
+
+def _iso(s: Column, pattern: str) -> Column:
+    fraction = F.rpad(F.substring(F.regexp_extract(s, pattern, 7), 1, 6), 6, "0")
+    seconds = _int(s, pattern, 6).cast("decimal(8,6)") + (fraction.try_cast("int") / 1_000_000).cast("decimal(8,6)")
+    return F.when(s.rlike(pattern), F.try_make_timestamp(
+        _int(s, pattern, 1), _int(s, pattern, 2), _int(s, pattern, 3), _int(s, pattern, 4), _int(s, pattern, 5),
+        seconds.cast("decimal(8,6)"), _offset(F.regexp_extract(s, pattern, 8))))
+
+
+def _mail(s: Column) -> Column:
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(s, MAIL_DATE, 2))).cast("int")
+    year = _int(s, MAIL_DATE, 3)
+    short = F.length(F.regexp_extract(s, MAIL_DATE, 3)) == 2
+    year = F.when(short & (year > 68), year + 1900).when(short, year + 2000).otherwise(year)
+    return F.when(s.rlike(MAIL_DATE) & (month > 0), F.try_make_timestamp(
+        year, month, _int(s, MAIL_DATE, 1), _int(s, MAIL_DATE, 4), _int(s, MAIL_DATE, 5),
+        _int(s, MAIL_DATE, 6).cast("decimal(8,6)"), _offset(F.regexp_extract(s, MAIL_DATE, 7))))
+
+
 def parse_ts(col) -> Column:
-    """String to UTC timestamp; naive values are UTC; anything unparsable (``2024``, ``12:30``) is null."""
+    """String to an instant: ISO-8601 (extended or basic) or a mail date (weekday, seconds and zone optional,
+    named or numeric zone). Values without a zone are UTC in any session; anything else (``2024``, ``12:30``)
+    is null."""
     s = py_strip(_c(col))
-    iso = F.when(s.rlike(ISO_GUARD), s.try_cast(T.TimestampType()))
-    rfc_s = F.regexp_replace(s, RFC_WEEKDAY, "")
-    rfc = F.when(rfc_s.rlike(RFC_GUARD), F.try_to_timestamp(rfc_s, F.lit(RFC_PATTERN)))
-    return F.when(_c(col).isNull() | (s == ""), F.lit(None).cast("timestamp")).otherwise(F.coalesce(iso, rfc))
+    return F.coalesce(_iso(s, ISO_EXTENDED), _iso(s, ISO_BASIC), _mail(s))
 
 
 def coerce_ts(df, col: str) -> Column:
@@ -35,7 +71,7 @@ def coerce_ts(df, col: str) -> Column:
     if isinstance(dtype, T.StringType):
         return parse_ts(c)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.to_utc_timestamp(c.cast("timestamp"), "UTC")
+        return F.to_timestamp(F.concat(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("Z")))
     if isinstance(dtype, T.TimestampType):
         return c
     if isinstance(dtype, (T.IntegralType, T.FloatType, T.DoubleType, T.DecimalType)):

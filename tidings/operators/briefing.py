@@ -6,55 +6,74 @@ explicit last tie-break (``bundle_pos``), so results do not depend on partitioni
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.functions.scores import weighted_total
 from tidings.functions.text import flag_headline, sanitize_topic_id
+from tidings.operators.facts import CLUSTER
 
 # Id and headline of the focus section topic.
 FOCUS_TOPIC_ID = "agentic-focus"
 FOCUS_HEADLINE = "Agentic Focus"
 
 
-def lookup_with_fallback(left: DataFrame, dim: DataFrame, *, left_key: str, dim_key: str) -> DataFrame:
-    """Left join on the key; when the exact key is missing, retry with one leading ``cluster-`` removed.
-    The exact match wins. Dim columns are prefixed ``d_``; unmatched rows keep nulls."""
+def lookup_with_fallback(left: DataFrame, dim: DataFrame, *, left_key: str, dim_key: str,
+                         by: tuple[str, ...] = ("briefing_id",)) -> DataFrame:
+    """Left join on the key inside ``by``; when the exact key is missing, retry with one leading ``cluster-``
+    removed. The exact match wins. Dim columns are prefixed ``d_``; unmatched rows keep nulls."""
     d = dim.select([F.col(c).alias("d_" + c) for c in dim.columns])
-    exact = left.join(d, left[left_key] == d["d_" + dim_key], "left")
+    stripped = F.when(F.col(left_key).startswith("cluster-"), F.substring(F.col(left_key), 9, 1 << 30))
+
+    def matches(rows: DataFrame, key) -> DataFrame:
+        on = key == d["d_" + dim_key]
+        for c in by:
+            on = on & (rows[c] == d["d_" + c])
+        return rows.join(d, on, "left")
+
+    exact = matches(left, F.col(left_key))
     miss = exact.filter(F.col("d_" + dim_key).isNull()).select(*left.columns)
     hit = exact.filter(F.col("d_" + dim_key).isNotNull())
-    stripped = F.when(F.col(left_key).startswith("cluster-"), F.substring(F.col(left_key), 9, 1 << 30))
-    fb = miss.join(d, stripped == d["d_" + dim_key], "left")
-    return hit.unionByName(fb)
+    return hit.unionByName(matches(miss, stripped))
 
 
-def score_selection(picked: DataFrame) -> DataFrame:
-    """(max weighted total, max actionability, picked count) per cluster."""
-    return picked.groupBy("cluster_id").agg(
-        F.max("weighted_total").alias("score"), F.max("actionability").alias("actionability"),
+def score_selection(picked: DataFrame, weights: dict | None = None) -> DataFrame:
+    """(max weighted total, max actionability, picked count) per cluster, under the configured ``weights``."""
+    return picked.groupBy(*CLUSTER).agg(
+        F.max(weighted_total(weights=weights)).alias("score"), F.max("actionability").alias("actionability"),
         F.count(F.lit(1)).alias("picked_count"))
 
 
 def selection_flags(picked: DataFrame) -> DataFrame:
     """Model-level flags per cluster: max raw total, any agentic bonus, any strategic flag."""
-    return picked.groupBy("cluster_id").agg(
+    return picked.groupBy(*CLUSTER).agg(
         F.max("raw_total").alias("max_raw_score"), F.bool_or(F.col("agentic_bonus") > 0).alias("has_agentic"),
         F.bool_or("strategic_flag").alias("has_strategic"))
 
 
-def cluster_sources(items: DataFrame, *, order_col: str = "doc_id") -> DataFrame:
+def item_source(items: DataFrame, legacy_source: bool = False) -> Column:
+    """Source of an item: its own field, else ``metadata['source']`` where items carry metadata. With
+    ``legacy_source`` the metadata is not looked at (items written before the field existed keep null)."""
+    own = F.col("source")
+    if legacy_source or "metadata" not in items.columns:
+        return own
+    return F.coalesce(own, F.col("metadata")["source"])
+
+
+def cluster_sources(items: DataFrame, *, order_col: str = "doc_id", legacy_source: bool = False) -> DataFrame:
     """Distinct item sources of each cluster in first-seen order, null as ``unknown``, joined by ``,``."""
-    src = F.coalesce(F.col("source"), F.lit("unknown"))
-    first = items.groupBy("cluster_id", src.alias("src")).agg(F.min(order_col).alias("_f"))
-    return first.groupBy("cluster_id").agg(
+    src = F.coalesce(F.nullif(item_source(items, legacy_source), F.lit("")), F.lit("unknown"))
+    first = items.groupBy(*CLUSTER, src.alias("src")).agg(F.min(order_col).alias("_f"))
+    return first.groupBy(*CLUSTER).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f", "src"))), lambda s: s["src"]), ",")
         .alias("sources"))
 
 
-def primary_source(items: DataFrame, *, order_col: str = "doc_id") -> DataFrame:
+def primary_source(items: DataFrame, *, order_col: str = "doc_id", legacy_source: bool = False) -> DataFrame:
     """First non-empty item source per cluster (null when none)."""
-    ok = items.filter(F.col("source").isNotNull() & (F.col("source") != ""))
-    return ok.groupBy("cluster_id").agg(F.min_by("source", order_col).alias("primary_source"))
+    named = items.withColumn("_src", item_source(items, legacy_source))
+    ok = named.filter(F.col("_src").isNotNull() & (F.col("_src") != ""))
+    return ok.groupBy(*CLUSTER).agg(F.min_by("_src", order_col).alias("primary_source"))
 
 
 def order_topics(topics: DataFrame) -> DataFrame:
@@ -104,7 +123,7 @@ def diversify_top3(general: DataFrame) -> DataFrame:
 def focus_section(focus_topics: DataFrame, bullets: DataFrame, max_bullets: int = 4) -> tuple[DataFrame, DataFrame]:
     """One ``agentic-focus`` topic per briefing: the focus topics' bullets in (topic order, bullet order),
     cut to ``max_bullets`` overall. Returns (topic rows, bullet rows)."""
-    b = bullets.join(focus_topics.select("briefing_id", "topic_id", "ord"), "topic_id")
+    b = bullets.join(focus_topics.select("briefing_id", "topic_id", "ord"), ["briefing_id", "topic_id"])
     w = Window.partitionBy("briefing_id").orderBy("ord", "bullet_pos")
     fb = b.withColumn("fpos", F.row_number().over(w)).filter(F.col("fpos") <= max_bullets).select(
         "briefing_id", F.lit(FOCUS_TOPIC_ID).alias("topic_id"), F.col("fpos").alias("bullet_pos"), "text", "url")
@@ -119,10 +138,10 @@ def finalize(topics: DataFrame, bullets: DataFrame, *, max_bullets: int = 4,
 
     ``topics``: briefing_id, topic_id, cluster_id (selection id, may be null), headline, agentic,
     strategic, score, actionability, picked_count, bundle_pos, primary_source.
-    ``bullets``: topic_id, bullet_pos, text, url.
+    ``bullets``: briefing_id, topic_id, bullet_pos, text, url.
     Focus topic first, then the diversified general topics with sanitised ids, flagged headlines and
     bullets capped at ``max_bullets``. A briefing with any topic outside 1..4 bullets is marked
-    ``valid = false`` as a whole. Returns (topics with topic_pos, bullets with topic_pos).
+    ``valid = false`` as a whole (:func:`split_valid` sets it apart). Returns (topics with topic_pos, bullets with topic_pos).
     """
     o = split_focus(order_topics(topics), focus_enabled)
     o = o.withColumn("_n_focus", F.count_if("in_focus").over(Window.partitionBy("briefing_id")))
@@ -131,7 +150,8 @@ def finalize(topics: DataFrame, bullets: DataFrame, *, max_bullets: int = 4,
     ft, fb = focus_section(foc, bullets, max_bullets)
     # a focus topic exists when some topic of the briefing went to the focus section
     gen = gen.withColumn("topic_pos", F.col("place") + F.when(F.col("_n_focus") > 0, F.lit(1)).otherwise(F.lit(0)))
-    gb = bullets.filter(F.col("bullet_pos") <= max_bullets).join(gen.select("topic_id", "briefing_id", "topic_pos"), "topic_id")
+    gb = bullets.filter(F.col("bullet_pos") <= max_bullets).join(
+        gen.select("topic_id", "briefing_id", "topic_pos"), ["briefing_id", "topic_id"])
     gen_n = gb.groupBy("briefing_id", "topic_id").agg(F.count(F.lit(1)).alias("n_bullets"))
     gt = gen.join(gen_n, ["briefing_id", "topic_id"], "left").select(
         "briefing_id", "topic_pos",
@@ -140,22 +160,34 @@ def finalize(topics: DataFrame, bullets: DataFrame, *, max_bullets: int = 4,
         F.coalesce("n_bullets", F.lit(0)).alias("n_bullets"))
     ftopics = ft.select("briefing_id", F.lit(1).alias("topic_pos"), "topic_id", "headline", "n_bullets")
     final = gt.unionByName(ftopics)
-    final = final.withColumn("valid", F.bool_and((F.col("n_bullets") >= 1) & (F.col("n_bullets") <= 4))
-                             .over(Window.partitionBy("briefing_id")))
+    final = mark_valid(final)
     fbul = fb.select("briefing_id", F.lit(1).alias("topic_pos"), "bullet_pos", "text", "url").unionByName(
         gb.select("briefing_id", "topic_pos", "bullet_pos", "text", "url"))
     return final, fbul
 
 
+def mark_valid(topics: DataFrame) -> DataFrame:
+    """Adds ``valid``: every topic of the briefing has 1..4 bullets (a missing count is none)."""
+    ok = F.coalesce(F.col("n_bullets").between(1, 4), F.lit(False))
+    return topics.withColumn("valid", F.bool_and(ok).over(Window.partitionBy("briefing_id")))
+
+
+def split_valid(topics: DataFrame, bullets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(topics, bullets) of the valid briefings, and the topics of the others as quarantine: a briefing that fails
+    its checks is not rendered at all."""
+    bad = topics.filter(~F.col("valid")).select("briefing_id").distinct()
+    return topics.filter("valid"), bullets.join(bad, "briefing_id", "left_anti"), topics.filter(~F.col("valid"))
+
+
 def run_metrics(bundles: DataFrame, facts: DataFrame, picked: DataFrame, dropped: DataFrame,
-                drafts: DataFrame, final_topics: DataFrame) -> DataFrame:
-    """The eleven run metrics per briefing (0.0 for empty means). Every input carries briefing_id."""
+                drafts: DataFrame, final_topics: DataFrame, weights: dict | None = None) -> DataFrame:
+    """The eleven run metrics per briefing (0.0 for empty means), under the configured ``weights``."""
     b = bundles.groupBy("briefing_id").agg(F.count_distinct("cluster_id").alias("clusters_total"))
     tf = final_topics.groupBy("briefing_id").agg(F.count(F.lit(1)).alias("topics_final"))
     f = facts.groupBy("briefing_id").agg(F.count(F.lit(1)).alias("facts_total"))
     p = picked.groupBy("briefing_id").agg(F.count(F.lit(1)).alias("facts_picked"),
                                           F.avg("actionability").alias("avg_actionability"),
-                                          F.avg("weighted_total").alias("avg_weighted_score"))
+                                          F.avg(weighted_total(weights=weights)).alias("avg_weighted_score"))
     d = dropped.groupBy("briefing_id").agg(F.count(F.lit(1)).alias("facts_dropped"))
     t = drafts.groupBy("briefing_id").agg(F.count_if("agentic").alias("agentic_topics"),
                                           F.count_if("strategic").alias("strategic_topics"))
@@ -175,11 +207,13 @@ def run_metrics(bundles: DataFrame, facts: DataFrame, picked: DataFrame, dropped
 
 
 def iso_utc(ts) -> "F.Column":
-    """UTC ISO-8601 with ``Z``, microseconds only when present (as Python's ``isoformat`` writes it)."""
+    """UTC ISO-8601 with ``Z``, microseconds only when present (as Python's ``isoformat`` writes it), whatever
+    the session's time zone."""
     c = F.col(ts) if isinstance(ts, str) else ts
+    c = F.to_utc_timestamp(c, F.current_timezone())
     plain = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     micro = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.when(F.unix_micros(c) % 1_000_000 == 0, plain).otherwise(micro)
+    return F.when(F.date_format(c, "SSSSSS") == "000000", plain).otherwise(micro)
 
 
 def briefing_header(final_topics: DataFrame, title: str | None, date) -> DataFrame:

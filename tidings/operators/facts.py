@@ -2,7 +2,8 @@
 
 The model stages of the reference are re-aimed as table jobs: stage 1 takes every sentence of every
 item as a fact candidate, stage 2 scores facts with a fixed rule table, stage 3 composes one topic per
-cluster from its picked facts. All keyed by ``cluster_id``; nothing is collected per cluster.
+cluster from its picked facts. All keyed by (``briefing_id``, ``cluster_id``): labels restart in every run, so
+a cluster id alone names nothing. Nothing is collected per cluster.
 """
 
 from __future__ import annotations
@@ -10,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA, merge_weights
+from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA, raw_total, weighted_total
 from tidings.functions.text import py_strip
 from tidings.functions.urls import url_key
+from tidings.operators.ranking import prefix_row_number
 from tidings.session import cut_lineage
 
+CLUSTER = ["briefing_id", "cluster_id"]
 SENTENCE_MARK = "\u0001"
 SENTENCE_END = r"([.!?])\s+"
 
@@ -45,45 +48,51 @@ def split_sentences(items: DataFrame, *, text_col: str = "text") -> DataFrame:
     return s.drop("_s", text_col)
 
 
+def evidence_keys(items: DataFrame) -> DataFrame:
+    """Distinct url keys of each cluster's items: what a fact may cite."""
+    return items.select(*CLUSTER, url_key(F.col("url")).alias("_k")).distinct()
+
+
+def verify_evidence(facts: DataFrame, items: DataFrame, *, url_col: str = "url") -> DataFrame:
+    """``facts`` with ``verified``: its url is the url of an item of the same cluster of the same briefing."""
+    known = evidence_keys(items).withColumn("_ev", F.lit(True))
+    return facts.withColumn("_k", url_key(F.col(url_col))).join(known, [*CLUSTER, "_k"], "left").withColumn(
+        "verified", F.col("_ev").isNotNull()).drop("_k", "_ev")
+
+
 def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFrame]:
-    """Stage 1. ``items``: cluster_id, doc_id (input order), url, text (+ any flags).
+    """Stage 1. ``items``: briefing_id, cluster_id, doc_id (input order), url, text (+ any flags).
 
     Returns ``(facts, rejected)``. A sentence repeated in its cluster is rejected as ``duplicate`` (the
     first copy stays); a fact whose url is not one of the cluster's item urls is rejected as
     ``unverifiable``. Facts get ``fact_idx`` 0.. per cluster in (doc, sentence) order and
-    ``fact_id = fact-<idx>``. Numbering is a prefix sum over per-document counts, so no window holds a
-    whole cluster's sentences.
+    ``fact_id = fact-<idx>``. Repeats are found on a 128-bit sentence key, numbers come from range
+    partitions, so neither step holds a whole cluster in one task.
     """
     s = split_sentences(items)
     s = s.withColumn("fact_url", fact_url if fact_url is not None else F.col("url"))
-    s = s.withColumn("_k", url_key(F.col("fact_url")))
+    s = s.withColumn("_h1", F.xxhash64("sentence")).withColumn("_h2", F.xxhash64(F.lit("second"), F.col("sentence")))
     # the candidate sentences are the stage-1 table: written once, read by the dedup, evidence and numbering steps
     s = cut_lineage(s)
-    first = s.groupBy("cluster_id", "sentence").agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
-    s = s.join(first, ["cluster_id", "sentence"])
+    first = s.groupBy(*CLUSTER, "_h1", "_h2").agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
+    s = s.join(first, [*CLUSTER, "_h1", "_h2"])
     is_dup = F.struct("doc_id", "_p") != F.col("_first")
-    known = items.select("cluster_id", url_key(F.col("url")).alias("_k")).distinct().withColumn("_ev", F.lit(True))
-    s = s.join(known, ["cluster_id", "_k"], "left")
-    reason = F.when(is_dup, F.lit("duplicate")).when(F.col("_ev").isNull(), F.lit("unverifiable"))
-    s = s.withColumn("reason", reason).drop("_first", "_k", "_ev")
+    s = verify_evidence(s, items, url_col="fact_url")
+    reason = F.when(is_dup, F.lit("duplicate")).when(~F.col("verified"), F.lit("unverifiable"))
+    s = s.withColumn("reason", reason).drop("_first", "_h1", "_h2", "verified")
     rejected = s.filter(F.col("reason").isNotNull()).select(
-        "cluster_id", F.col("doc_id").cast("string").alias("item_id"), F.col("_p").alias("pos"), "reason")
+        *CLUSTER, F.col("doc_id").cast("string").alias("item_id"), F.col("_p").alias("pos"), "reason")
     kept = s.filter(F.col("reason").isNull()).drop("reason")
-    per_doc = kept.groupBy("cluster_id", "doc_id").agg(F.count(F.lit(1)).alias("_c"))
-    wdoc = Window.partitionBy("cluster_id").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    per_doc = per_doc.withColumn("_off", F.coalesce(F.sum("_c").over(wdoc), F.lit(0)))
-    wpos = Window.partitionBy("cluster_id", "doc_id").orderBy("_p")
-    facts = (kept.join(per_doc.select("cluster_id", "doc_id", "_off"), ["cluster_id", "doc_id"])
-             .withColumn("fact_idx", (F.col("_off") + F.row_number().over(wpos) - 1).cast("long"))
-             .withColumn("fact_id", F.concat(F.lit("fact-"), F.col("fact_idx").cast("string")))
-             .select("*").drop("_off"))
+    facts = prefix_row_number(kept, CLUSTER, ["doc_id", "_p"], "_nth")
+    facts = (facts.withColumn("fact_idx", (F.col("_nth") - 1).cast("long"))
+             .withColumn("fact_id", F.concat(F.lit("fact-"), F.col("fact_idx").cast("string"))).drop("_nth"))
     facts = facts.withColumnRenamed("sentence", "text").withColumnRenamed("_p", "pos")
     return facts.drop("url").withColumnRenamed("fact_url", "url"), rejected
 
 
-def score_facts(facts: DataFrame, *, agentic=None, strategic=None, rules=SCORE_RULES) -> DataFrame:
+def score_facts(facts: DataFrame, *, agentic=None, strategic=None, rules=SCORE_RULES, weights: dict | None = None) -> DataFrame:
     """Stage 2 scores as column expressions (the rule table is fixed, so no join): six int columns,
-    ``strategic_flag``, ``raw_total`` and ``weighted_total``."""
+    ``strategic_flag``, ``raw_total`` and ``weighted_total`` (with the configured ``weights``)."""
     t = F.col("text")
     out = facts
     for dim in SCORE_DIMENSIONS:
@@ -95,54 +104,67 @@ def score_facts(facts: DataFrame, *, agentic=None, strategic=None, rules=SCORE_R
             val = F.least(sum(pts, F.lit(0)), F.lit(SCORE_MAXIMA[dim])) if pts else F.lit(0)
         out = out.withColumn(dim, val.cast("int"))
     out = out.withColumn("strategic_flag", F.coalesce(strategic, F.lit(False)) if strategic is not None else F.lit(False))
-    w = merge_weights()
-    out = out.withColumn("raw_total", sum((F.col(d) for d in SCORE_DIMENSIONS), F.lit(0)).cast("int"))
-    return out.withColumn("weighted_total", sum((F.col(d) * F.lit(w[d]) for d in SCORE_DIMENSIONS), F.lit(0.0)))
+    return out.withColumn("raw_total", raw_total()).withColumn("weighted_total", weighted_total(weights=weights))
 
 
 def low_value_gate(scored: DataFrame) -> DataFrame:
     """Clusters that may pick: some fact has actionability > 0 or impact > 0."""
-    return (scored.groupBy("cluster_id")
+    return (scored.groupBy(*CLUSTER)
             .agg(F.bool_or((F.col("actionability") > 0) | (F.col("impact") > 0)).alias("_any"))
-            .filter("_any").select("cluster_id"))
+            .filter("_any").select(*CLUSTER))
 
 
 def pick_facts(scored: DataFrame, k: int = TOP_FACTS) -> tuple[DataFrame, DataFrame]:
     """Stage 2 selection: the ``k`` best facts per cluster by (weighted total desc, fact index); clusters
     failing :func:`low_value_gate` pick nothing. Returns ``(picked with pick_rank, dropped with reason)``."""
     gate = low_value_gate(scored)
-    w = Window.partitionBy("cluster_id").orderBy(F.col("weighted_total").desc(), F.col("fact_idx"))
-    eligible = scored.join(gate, "cluster_id", "left_semi").withColumn("pick_rank", F.row_number().over(w))
+    w = Window.partitionBy(*CLUSTER).orderBy(F.col("weighted_total").desc(), F.col("fact_idx"))
+    eligible = scored.join(gate, CLUSTER, "left_semi").withColumn("pick_rank", F.row_number().over(w))
     picked = eligible.filter(F.col("pick_rank") <= k)
-    dropped = scored.join(picked.select("cluster_id", "fact_id"), ["cluster_id", "fact_id"], "left_anti").join(
-        gate.withColumn("_g", F.lit(True)), "cluster_id", "left").select(
-        "cluster_id", "fact_id",
+    dropped = scored.join(picked.select(*CLUSTER, "fact_id"), [*CLUSTER, "fact_id"], "left_anti").join(
+        gate.withColumn("_g", F.lit(True)), CLUSTER, "left").select(
+        *CLUSTER, "fact_id",
         F.when(F.col("_g").isNull(), F.lit("low value")).otherwise(F.lit("not in top picks")).alias("reason"))
     return picked, dropped
 
 
+def draft_id() -> F.Column:
+    """The default id of a topic draft: the cluster id behind one more ``cluster-``."""
+    return F.concat(F.lit("cluster-"), F.col("cluster_id"))
+
+
 def compose_topics(picked: DataFrame, *, max_bullets: int = 4) -> tuple[DataFrame, DataFrame]:
     """Stage 3: one topic per cluster with picks. Headline = best fact's text; bullets = picked facts in
-    pick order (at most 4); annotations agentic / strategic = any among the picks. The draft's id carries
-    the ``cluster-`` prefix once more, as the reference's default does.
-    Returns ``(topics, bullets)``; bullets: topic_id, cluster_id, bullet_pos, text, url, fact_id."""
-    topics = picked.groupBy("cluster_id").agg(
+    pick order (at most ``max_bullets``); annotations agentic / strategic = any among the picks.
+    Returns ``(topics, bullets)``; bullets: briefing_id, topic_id, cluster_id, bullet_pos, text, url, fact_id."""
+    topics = picked.groupBy(*CLUSTER).agg(
         F.min_by("text", "pick_rank").alias("headline"),
         F.bool_or(F.col("agentic_bonus") > 0).alias("agentic"),
         F.bool_or("strategic_flag").alias("strategic"),
         F.count(F.lit(1)).alias("n_bullets"),
-    ).withColumn("topic_id", F.concat(F.lit("cluster-"), F.col("cluster_id")))
+    ).withColumn("topic_id", draft_id())
     bullets = picked.filter(F.col("pick_rank") <= max_bullets).select(
-        F.concat(F.lit("cluster-"), F.col("cluster_id")).alias("topic_id"), "cluster_id",
+        "briefing_id", draft_id().alias("topic_id"), "cluster_id",
         F.col("pick_rank").alias("bullet_pos"), "text", "url", "fact_id")
     return topics, bullets
 
 
+def gate_clusters(bundles: DataFrame, picked: DataFrame, bullets: DataFrame) -> DataFrame:
+    """What became of every bundle, in bundle order: without a picked fact it is skipped after scoring, without
+    a bullet after composition, else it is a topic. ``bundles``: briefing_id, cluster_id, bundle_pos."""
+    p = picked.groupBy(*CLUSTER).agg(F.count(F.lit(1)).alias("_p"))
+    b = bullets.groupBy(*CLUSTER).agg(F.count(F.lit(1)).alias("_b"))
+    status = (F.when(F.col("_p").isNull(), F.lit("skipped: no picked fact"))
+              .when(F.col("_b").isNull(), F.lit("skipped: no bullets")).otherwise(F.lit("topic")))
+    return bundles.join(p, CLUSTER, "left").join(b, CLUSTER, "left").withColumn("status", status).drop("_p", "_b")
+
+
 def check_citations(bullet_facts: DataFrame, picked: DataFrame) -> DataFrame:
-    """Bullets citing a fact that is not picked in the same cluster, or whose url differs from the cited
-    fact's url (compared as url keys). ``bullet_facts``: cluster_id, topic_id, bullet_pos, url, fact_id."""
-    p = picked.select("cluster_id", "fact_id", url_key(F.col("url")).alias("_pk"))
-    j = bullet_facts.withColumn("_bk", url_key(F.col("url"))).join(p, ["cluster_id", "fact_id"], "left")
-    return j.filter(F.col("_pk").isNull() | (F.col("_pk") != F.col("_bk"))).select(
-        "cluster_id", "topic_id", "bullet_pos", "fact_id",
-        F.when(F.col("_pk").isNull(), F.lit("fact not picked")).otherwise(F.lit("url mismatch")).alias("violation"))
+    """Bullets citing a fact that is not picked in the same cluster, or whose url is missing or differs from the
+    cited fact's url (as url keys). ``bullet_facts``: briefing_id, cluster_id, topic_id, bullet_pos, url, fact_id."""
+    p = picked.select(*CLUSTER, "fact_id", url_key(F.col("url")).alias("_pk"), F.lit(True).alias("_found"))
+    j = bullet_facts.withColumn("_bk", url_key(F.col("url"))).join(p, [*CLUSTER, "fact_id"], "left")
+    mismatch = F.coalesce(F.col("_pk") != F.col("_bk"), F.lit(True))
+    return j.filter(F.col("_found").isNull() | mismatch).select(
+        *CLUSTER, "topic_id", "bullet_pos", "fact_id",
+        F.when(F.col("_found").isNull(), F.lit("fact not picked")).otherwise(F.lit("url mismatch")).alias("violation"))

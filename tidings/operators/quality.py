@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.functions.scores import SCORE_MAXIMA
+from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA
+from tidings.functions.text import py_strip
 from tidings.functions.urls import normalize_url
 from tidings.operators.textvec import embed_tf, text_block_pairs
 
@@ -15,28 +16,44 @@ NEAR_IDENTICAL = 0.9
 
 
 def _violations(df: DataFrame, entity: str, key, rules: list) -> DataFrame:
-    fails = F.array(*[F.when(cond, F.lit(name)) for name, cond in rules])
+    """``rules``: (name, condition that must hold). A condition that is null does not hold."""
+    fails = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules])
     return df.select(F.lit(entity).alias("entity"), key.alias("key"),
                      F.explode(F.filter(fails, lambda x: x.isNotNull())).alias("rule"))
 
 
-def check_records(picked: DataFrame, topics: DataFrame, bullets: DataFrame) -> DataFrame:
-    """One row per failed rule: score ranges of picked facts, 1..4 bullets and a headline per topic,
-    bullet text of at least 8 characters and an http(s) url. Output: entity, key, rule."""
-    f = _violations(picked, "fact", F.concat_ws("/", "cluster_id", "fact_id"), [
-        ("actionability out of range", ~F.col("actionability").between(0, SCORE_MAXIMA["actionability"])),
-        ("novelty out of range", ~F.col("novelty").between(0, SCORE_MAXIMA["novelty"])),
+def _filled(name: str):
+    return py_strip(F.col(name)) != ""
+
+
+def _key(*names: str):
+    return F.concat_ws("/", *[F.coalesce(F.col(n).cast("string"), F.lit("null")) for n in names])
+
+
+def check_records(picked: DataFrame, topics: DataFrame, bullets: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """One row per failed rule: the six score ranges and required fields of picked facts, id, headline and 1..4
+    bullets per topic, bullet text of at least 8 characters and an http(s) url, and (with ``headers``) title
+    and date of a briefing. A missing value fails its rule. Output: entity, key, rule."""
+    f = _violations(picked, "fact", _key("briefing_id", "cluster_id", "fact_id"), [
+        *[(f"{d} out of range", F.col(d).between(0, SCORE_MAXIMA[d])) for d in SCORE_DIMENSIONS],
+        ("fact id missing", _filled("fact_id")),
+        ("fact text missing", _filled("text")),
+        ("url not http(s)", normalize_url(F.col("url")).isNotNull()),
     ])
-    t = _violations(topics, "topic", F.concat_ws("/", "briefing_id", F.col("topic_pos").cast("string")), [
-        ("bullets outside 1..4", ~F.col("n_bullets").between(1, 4)),
-        ("empty headline", F.trim(F.col("headline")) == ""),
+    t = _violations(topics, "topic", _key("briefing_id", "topic_pos"), [
+        ("bullets outside 1..4", F.col("n_bullets").between(1, 4)),
+        ("empty headline", _filled("headline")),
+        ("topic id missing", _filled("topic_id")),
     ])
-    b = _violations(bullets, "bullet", F.concat_ws("/", "briefing_id", F.col("topic_pos").cast("string"),
-                                                   F.col("bullet_pos").cast("string")), [
-        ("bullet text shorter than 8", F.length("text") < MIN_BULLET_CHARS),
-        ("url not http(s)", normalize_url(F.col("url")).isNull()),
+    b = _violations(bullets, "bullet", _key("briefing_id", "topic_pos", "bullet_pos"), [
+        ("bullet text shorter than 8", F.length("text") >= MIN_BULLET_CHARS),
+        ("url not http(s)", normalize_url(F.col("url")).isNotNull()),
     ])
-    return f.unionByName(t).unionByName(b)
+    out = f.unionByName(t).unionByName(b)
+    if headers is not None:
+        out = out.unionByName(_violations(headers, "briefing", _key("briefing_id"), [
+            ("title missing", _filled("title")), ("date missing", _filled("date"))]))
+    return out
 
 
 def duplicate_clusters(bundles: DataFrame, *, order_col: str = "bundle_pos") -> tuple[DataFrame, DataFrame]:

@@ -16,11 +16,11 @@ BOUNDARY_TOKENS = [("\n\n", 0), ("</pre>", 6), ("</blockquote>", 13)]
 SOURCE_LABELS = {"zh": "消息来源", "en": "Source"}
 
 
-def cap_bullets(bullets: DataFrame, n: int, *, key: str = "cluster_id") -> DataFrame:
+def cap_bullets(bullets: DataFrame, n: int, *, keys: tuple[str, ...] = ("briefing_id", "cluster_id")) -> DataFrame:
     """Drafts with more than 4 bullets fail validation and are skipped whole; the rest keep bullets 1..n."""
-    counts = bullets.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    ok = counts.filter(F.col("_n") <= 4).select(key)
-    return bullets.join(ok, key, "left_semi").filter(F.col("bullet_pos") <= n)
+    counts = bullets.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ok = counts.filter(F.col("_n") <= 4).select(*keys)
+    return bullets.join(ok, list(keys), "left_semi").filter(F.col("bullet_pos") <= n)
 
 
 def _join_lines(df: DataFrame, group: str, keys: list[str], line: str, sep: str) -> DataFrame:
@@ -94,6 +94,19 @@ def render_channel(topics: DataFrame, bullets: DataFrame, titles: DataFrame, lab
     return j.select("briefing_id", py_strip(F.col("_joined")).alias("message"))
 
 
+def briefing_json(topics: DataFrame, bullets: DataFrame, titles: DataFrame) -> DataFrame:
+    """The briefing as one JSON document: title, date, topics (topic_id, headline, bullets of text and url) in
+    order. A digest has at most 4 bullets a topic, so a document is bounded by its topics.
+    Output: briefing_id, json."""
+    b = bullets.groupBy("briefing_id", "topic_pos").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("bullet_pos", "text", "url"))),
+        lambda x: F.struct(x["text"].alias("text"), x["url"].alias("url"))).alias("bullets"))
+    t = topics.join(b, ["briefing_id", "topic_pos"], "left").groupBy("briefing_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("topic_pos", "topic_id", "headline", "bullets"))),
+        lambda x: F.struct(x["topic_id"].alias("topic_id"), x["headline"].alias("headline"), x["bullets"].alias("bullets"))).alias("topics"))
+    return titles.join(t, "briefing_id").select("briefing_id", F.to_json(F.struct("title", "date", "topics")).alias("json"))
+
+
 def render_html(markdown, title) -> Column:
     """The page wrapper: Markdown in ``<pre>``, not escaped (as the reference writes it)."""
     md = F.col(markdown) if isinstance(markdown, str) else markdown

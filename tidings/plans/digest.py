@@ -1,7 +1,7 @@
 """The digest chain over ``documents`` (+ ``labels``), shared by the fact, briefing and output queries.
 
-Item view (FIXTURES B): briefing = language, cluster = (language, source), url per source, input order =
-doc_id. Item sources are coarsened to three feeds (a sixth of the items have none), so the diversity rule
+Item view (FIXTURES B): briefing = language, cluster = source (the same cluster ids in every briefing, as labels
+restart in every run), url per source, input order = doc_id. Item sources are coarsened to three feeds (a sixth of the items have none), so the diversity rule
 has work to do. Flags: agentic = quality 1, not toxic and doc_id % 7 = 0; strategic = toxic.
 """
 
@@ -15,6 +15,7 @@ from tidings.operators.briefing import (
     lookup_with_fallback,
     primary_source,
     score_selection,
+    split_valid,
 )
 from tidings.operators.facts import compose_topics, extract_facts, pick_facts, score_facts
 from tidings.plans import sqlfrag as S
@@ -28,7 +29,7 @@ def fact_items(spark, sf):
     j = d.join(lab, "doc_id", "left")
     return j.select(
         F.col("lang").alias("briefing_id"),
-        F.concat(F.lit("cluster-"), "lang", F.lit("-"), "source").alias("cluster_id"),
+        F.concat(F.lit("cluster-"), "source").alias("cluster_id"),
         "doc_id", "text",
         F.concat(F.lit("https://"), "source", F.lit(".example.com/"), F.col("doc_id").cast("string")).alias("url"),
         F.when(F.col("doc_id") % 6 == 0, F.lit(None).cast("string"))
@@ -38,25 +39,16 @@ def fact_items(spark, sf):
     )
 
 
-_MEMO: dict = {}
-
-
-def digest_tables(spark, sf, max_bullets: int = 4) -> "Digest":
-    """Stage tables of the digest chain, built lazily and shared by the queries of one session.
-
-    Stage outputs that several later steps read (scored facts, topic inputs) are reliable checkpoints in
-    the session's checkpoint folder, as the reference persists each stage's table: later plans stay small
-    and a lost executor recomputes from the last stage, not from the raw texts.
-    """
-    key = (id(spark.sparkContext._jsc), sf, max_bullets)
-    if key not in _MEMO:
-        _MEMO[key] = Digest(spark, sf, max_bullets)
-    return _MEMO[key]
+def digest_tables(spark, sf, max_bullets: int = 4, weights: dict | None = None) -> "Digest":
+    """The digest chain over the tables of ``sf``. Stage outputs that several later steps read (scored facts,
+    topic inputs, final tables) are written once in the checkpoint folder and shared inside this object; the
+    caller that wants to share them between queries passes the object on."""
+    return Digest(spark, sf, max_bullets, weights)
 
 
 class Digest:
-    def __init__(self, spark, sf, max_bullets=4):
-        self.spark, self.sf, self.max_bullets = spark, sf, max_bullets
+    def __init__(self, spark, sf, max_bullets=4, weights=None):
+        self.spark, self.sf, self.max_bullets, self.weights = spark, sf, max_bullets, weights
         self._t = {}
 
     def __getitem__(self, name):
@@ -82,7 +74,7 @@ class Digest:
 
     def _scored(self):
         facts = self["stage1"][0]
-        return cut_lineage(score_facts(facts, agentic=F.col("agentic"), strategic=F.col("strategic")))
+        return cut_lineage(score_facts(facts, agentic=F.col("agentic"), strategic=F.col("strategic"), weights=self.weights))
 
     def _stage2(self):
         return pick_facts(self["scored"])
@@ -115,21 +107,23 @@ class Digest:
 
     def _topics_in(self):
         drafts = self["drafts"]
-        sel = score_selection(self["picked"])
-        t = lookup_with_fallback(drafts.select("topic_id", "headline", "agentic", "strategic",
+        sel = score_selection(self["picked"], self.weights)
+        t = lookup_with_fallback(drafts.select("briefing_id", "topic_id", "headline", "agentic", "strategic",
                                                F.col("cluster_id").alias("_cl")), sel,
                                  left_key="topic_id", dim_key="cluster_id")
-        t = t.select("topic_id", "headline", "agentic", "strategic", "_cl", F.col("d_cluster_id").alias("cluster_id"),
+        t = t.select("briefing_id", "topic_id", "headline", "agentic", "strategic", "_cl", F.col("d_cluster_id").alias("cluster_id"),
                      F.coalesce("d_score", F.lit(0.0)).alias("score"),
                      F.coalesce("d_actionability", F.lit(0)).alias("actionability"),
                      F.coalesce("d_picked_count", F.lit(0)).alias("picked_count"))
         b = self["bundles"].select(F.col("cluster_id").alias("_cl"), "briefing_id", "bundle_pos")
         ps = primary_source(self["items"]).withColumnRenamed("cluster_id", "_cl")
-        return cut_lineage(t.join(b, "_cl").join(ps, "_cl", "left").drop("_cl"))
+        on = ["briefing_id", "_cl"]
+        return cut_lineage(t.join(b, on).join(ps, on, "left").drop("_cl"))
 
     def _stage4(self):
-        return finalize(self["topics_in"], self["bullets"].select("topic_id", "bullet_pos", "text", "url"),
-                        max_bullets=self.max_bullets)
+        topics, bullets = finalize(self["topics_in"], self["bullets"].select("briefing_id", "topic_id", "bullet_pos", "text", "url"),
+                                   max_bullets=self.max_bullets)
+        return cut_lineage(topics), cut_lineage(bullets)
 
     def _final(self):
         return self["stage4"][0]
@@ -137,6 +131,9 @@ class Digest:
     def _final_bullets(self):
         return self["stage4"][1]
 
+    def _published(self):
+        return split_valid(self["final"], self["final_bullets"])
+
 
 # ------------------------------------------------------------------ the same chain in DuckDB SQL
 def _rule_sql():
@@ -159,7 +156,7 @@ def _rule_sql():
 
 
 SQL_CHAIN = rf"""
-fi AS MATERIALIZED (SELECT d.lang AS briefing_id, 'cluster-' || d.lang || '-' || d.source AS cluster_id, d.doc_id, d.text,
+fi AS MATERIALIZED (SELECT d.lang AS briefing_id, 'cluster-' || d.source AS cluster_id, d.doc_id, d.text,
         'https://' || d.source || '.example.com/' || d.doc_id AS url,
         CASE WHEN d.doc_id % 6 = 0 THEN NULL ELSE 'feed' || (CAST(substr(d.source, 4, 10) AS INTEGER) % 3) END AS source,
         coalesce(l.quality = 1 AND l.toxic = 0 AND d.doc_id % 7 = 0, false) AS agentic,
@@ -170,37 +167,37 @@ sp AS (SELECT briefing_id, cluster_id, doc_id, url, agentic, strategic,
        FROM (SELECT *, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS parts FROM fi)),
 ss AS (SELECT * FROM (SELECT *, {S.py_strip('s')} AS sentence FROM sp) WHERE sentence <> ''),
 fu AS (SELECT *, CASE WHEN (doc_id + p) % 17 = 0 THEN 'https://elsewhere.example.org/' || doc_id ELSE url END AS fact_url,
-              row_number() OVER (PARTITION BY cluster_id, sentence ORDER BY doc_id, p) > 1 AS is_dup FROM ss),
+              row_number() OVER (PARTITION BY briefing_id, cluster_id, sentence ORDER BY doc_id, p) > 1 AS is_dup FROM ss),
 fr AS (SELECT fu.*, CASE WHEN is_dup THEN 'duplicate'
-                         WHEN fact_url NOT IN (SELECT url FROM fi WHERE fi.cluster_id = fu.cluster_id) THEN 'unverifiable' END AS reason
+                         WHEN fact_url NOT IN (SELECT url FROM fi WHERE fi.cluster_id = fu.cluster_id AND fi.briefing_id = fu.briefing_id) THEN 'unverifiable' END AS reason
        FROM fu),
 facts AS MATERIALIZED (SELECT briefing_id, cluster_id, doc_id, p AS pos, sentence AS text, fact_url AS url, agentic, strategic,
-                 row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id, p) - 1 AS fact_idx
+                 row_number() OVER (PARTITION BY briefing_id, cluster_id ORDER BY doc_id, p) - 1 AS fact_idx
           FROM fr WHERE reason IS NULL),
 scored AS MATERIALIZED (SELECT *, 'fact-' || fact_idx AS fact_id,
                  (actionability + novelty + impact + reusability + reliability + agentic_bonus)::INTEGER AS raw_total,
                  (3.0 * actionability + 2.0 * novelty + 2.0 * impact + 2.0 * reusability + 1.0 * reliability + 1.0 * agentic_bonus)::DOUBLE AS weighted_total,
                  strategic AS strategic_flag
           FROM (SELECT *, {_rule_sql()} FROM facts)),
-gate AS (SELECT cluster_id FROM scored GROUP BY cluster_id HAVING bool_or(actionability > 0 OR impact > 0)),
-picked AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY weighted_total DESC, fact_idx) AS pick_rank
-                 FROM scored WHERE cluster_id IN (SELECT cluster_id FROM gate)) WHERE pick_rank <= 3),
+gate AS (SELECT briefing_id, cluster_id FROM scored GROUP BY briefing_id, cluster_id HAVING bool_or(actionability > 0 OR impact > 0)),
+picked AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY briefing_id, cluster_id ORDER BY weighted_total DESC, fact_idx) AS pick_rank
+                 FROM scored WHERE (briefing_id, cluster_id) IN (SELECT briefing_id, cluster_id FROM gate)) WHERE pick_rank <= 3),
 dropped AS (SELECT s.briefing_id, s.cluster_id, s.fact_id,
-                   CASE WHEN s.cluster_id IN (SELECT cluster_id FROM gate) THEN 'not in top picks' ELSE 'low value' END AS reason
-            FROM scored s WHERE NOT EXISTS (SELECT 1 FROM picked p WHERE p.cluster_id = s.cluster_id AND p.fact_id = s.fact_id)),
-drafts AS MATERIALIZED (SELECT cluster_id, any_value(briefing_id) AS briefing_id, 'cluster-' || cluster_id AS topic_id,
+                   CASE WHEN (s.briefing_id, s.cluster_id) IN (SELECT briefing_id, cluster_id FROM gate) THEN 'not in top picks' ELSE 'low value' END AS reason
+            FROM scored s WHERE NOT EXISTS (SELECT 1 FROM picked p WHERE p.briefing_id = s.briefing_id AND p.cluster_id = s.cluster_id AND p.fact_id = s.fact_id)),
+drafts AS MATERIALIZED (SELECT cluster_id, briefing_id, 'cluster-' || cluster_id AS topic_id,
                  arg_min(text, pick_rank) AS headline, bool_or(agentic_bonus > 0) AS agentic, bool_or(strategic_flag) AS strategic,
                  count(*) AS n_bullets, max(weighted_total) AS score, max(actionability) AS actionability, count(*) AS picked_count
-          FROM picked GROUP BY cluster_id),
+          FROM picked GROUP BY briefing_id, cluster_id),
 bullets AS (SELECT 'cluster-' || cluster_id AS topic_id, cluster_id, briefing_id, pick_rank AS bullet_pos, text, url, fact_id, doc_id
             FROM picked WHERE pick_rank <= 4),
 bundles AS (SELECT briefing_id, cluster_id, n_items,
                    row_number() OVER (PARTITION BY briefing_id ORDER BY n_items DESC, first, cluster_id) AS bundle_pos
             FROM (SELECT briefing_id, cluster_id, count(*) AS n_items, min(doc_id) AS first FROM fi GROUP BY ALL)),
-psrc AS (SELECT cluster_id, arg_min(source, doc_id) AS primary_source FROM fi WHERE source IS NOT NULL AND source <> '' GROUP BY cluster_id),
+psrc AS (SELECT briefing_id, cluster_id, arg_min(source, doc_id) AS primary_source FROM fi WHERE source IS NOT NULL AND source <> '' GROUP BY briefing_id, cluster_id),
 tin AS (SELECT d.*, b.bundle_pos, ps.primary_source,
                row_number() OVER (PARTITION BY d.briefing_id ORDER BY d.score DESC, d.actionability DESC, d.picked_count DESC, b.bundle_pos) AS ord
-        FROM drafts d JOIN bundles b USING (cluster_id) LEFT JOIN psrc ps USING (cluster_id)),
+        FROM drafts d JOIN bundles b USING (briefing_id, cluster_id) LEFT JOIN psrc ps USING (briefing_id, cluster_id)),
 fsplit AS (SELECT *, agentic AND NOT (n_gen = 0 AND (n_ag = 1 OR ord = first_ag)) AS in_focus
            FROM (SELECT *, count(*) FILTER (WHERE NOT agentic) OVER (PARTITION BY briefing_id) AS n_gen,
                          count(*) FILTER (WHERE agentic) OVER (PARTITION BY briefing_id) AS n_ag,
@@ -219,7 +216,7 @@ placed AS (SELECT g2.*, row_number() OVER (PARTITION BY briefing_id ORDER BY
            FROM g2 LEFT JOIN r3 USING (briefing_id)),
 fb AS (SELECT * FROM (SELECT f.briefing_id, b.text, b.url,
                  row_number() OVER (PARTITION BY f.briefing_id ORDER BY f.ord, b.bullet_pos) AS bullet_pos
-          FROM fsplit f JOIN bullets b USING (topic_id) WHERE f.in_focus) WHERE bullet_pos <= 4),
+          FROM fsplit f JOIN bullets b USING (briefing_id, topic_id) WHERE f.in_focus) WHERE bullet_pos <= 4),
 hasf AS (SELECT DISTINCT briefing_id FROM fb),
 final AS (SELECT briefing_id, place + (CASE WHEN briefing_id IN (SELECT briefing_id FROM hasf) THEN 1 ELSE 0 END) AS topic_pos,
                  {S.sanitize_topic_id('cluster_id')} AS topic_id, {S.flag_headline('headline', 'strategic')} AS headline,
@@ -227,6 +224,6 @@ final AS (SELECT briefing_id, place + (CASE WHEN briefing_id IN (SELECT briefing
           FROM placed
           UNION ALL
           SELECT briefing_id, 1, 'agentic-focus', 'Agentic Focus', count(*), NULL FROM fb GROUP BY briefing_id),
-final_bullets AS (SELECT f.briefing_id, f.topic_pos, b.bullet_pos, b.text, b.url FROM final f JOIN bullets b ON b.topic_id = f.draft_id
+final_bullets AS (SELECT f.briefing_id, f.topic_pos, b.bullet_pos, b.text, b.url FROM final f JOIN bullets b ON b.topic_id = f.draft_id AND b.briefing_id = f.briefing_id
                   UNION ALL
                   SELECT briefing_id, 1, bullet_pos, text, url FROM fb)"""

@@ -14,6 +14,7 @@ from tidings.plans import sqlfrag as S
 from tidings.plans.registry import register
 from tidings.sources.items import (
     documents_as_items,
+    ingest_forum_posts,
     split_entries,
     split_valid,
     time_window,
@@ -71,29 +72,42 @@ def q_window_report(spark, sf):
     ev = events_items(spark, sf)
     as_of = max_ts(ev)
     items = ev.select(F.col("event_type").alias("briefing_id"), parse_ts(_event_raw_ts(F.col("ts"))).alias("ts"),
-                      F.lit("x").alias("text"), F.lit("https://x").alias("url"))
+                      F.col("props").alias("text"), F.concat(F.lit("https://events.example.com/"), "event_id").alias("url"))
     return window_report(split_valid(items, WINDOW_HOURS, as_of))
 
 
-@register("parse_timestamps", f"""
-SELECT event_id, raw, epoch_us({S.parse_ts('raw')}) AS ts_us
-FROM (SELECT event_id, CASE event_id % 6
-        WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ')
-        WHEN 1 THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S+02:00')
-        WHEN 2 THEN strftime(ts, '%a, %d %b %Y %H:%M:%S +0000')
-        WHEN 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-        WHEN 4 THEN 'not-a-date'
-        ELSE strftime(ts, '%Y') END AS raw FROM events)""")
+# Planted forms of the same instant: (SQL format of it, Spark pattern, hours the written clock is ahead, what the form keeps)
+TS_FORMS = [
+    ("%Y-%m-%dT%H:%M:%S.%gZ", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", 0, "millisecond"),
+    ("%Y-%m-%dT%H:%M:%S+02:00", "yyyy-MM-dd'T'HH:mm:ss'+02:00'", 2, "second"),
+    ("%a, %d %b %Y %H:%M:%S +0000", "EEE, dd MMM yyyy HH:mm:ss '+0000'", 0, "second"),
+    ("%Y-%m-%d %H:%M:%S", "yyyy-MM-dd HH:mm:ss", 0, "second"),
+    ("%a, %d %b %Y %H:%M:%S GMT", "EEE, dd MMM yyyy HH:mm:ss 'GMT'", 0, "second"),
+    ("%d %b %Y %H:%M:%S EST", "dd MMM yyyy HH:mm:ss 'EST'", -5, "second"),
+    ("%a, %d %b %Y %H:%M +0000", "EEE, dd MMM yyyy HH:mm '+0000'", 0, "minute"),
+    ("%Y%m%dT%H%M%SZ", "yyyyMMdd'T'HHmmss'Z'", 0, "second"),
+    ("%d %b %Y %H:%M", "dd MMM yyyy HH:mm", 0, "minute"),
+    ("%Y-%m-%d", "yyyy-MM-dd", 0, "day"),
+    ("%Y", "yyyy", 0, None),
+    ("not-a-date", "'not-a-date'", 0, None),
+]
+
+
+def _sql_forms() -> str:
+    n = len(TS_FORMS)
+    raw = " ".join(f"WHEN {i} THEN strftime(ts + INTERVAL ({h}) HOUR, {S.lit(f)})" for i, (f, _, h, _) in enumerate(TS_FORMS))
+    # the expected instant comes from the column itself, not from parsing the text again
+    us = " ".join(f"WHEN {i} THEN epoch_us(date_trunc('{k}', ts))" for i, (_, _, _, k) in enumerate(TS_FORMS) if k)
+    return f"SELECT event_id, CASE event_id % {n} {raw} END AS raw, CASE event_id % {n} {us} END AS ts_us FROM events"
+
+
+@register("parse_timestamps", _sql_forms())
 def q_parse_timestamps(spark, sf):
     ev = events_items(spark, sf)
-    ts = F.col("ts")
-    m = F.col("event_id") % 6
-    raw = (F.when(m == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-           .when(m == 1, F.date_format(ts + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss'+02:00'"))
-           .when(m == 2, F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss '+0000'"))
-           .when(m == 3, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
-           .when(m == 4, F.lit("not-a-date"))
-           .otherwise(F.date_format(ts, "yyyy")))
+    m = F.col("event_id") % len(TS_FORMS)
+    raw = F.lit(None).cast("string")
+    for i, (_, pattern, hours, _) in enumerate(TS_FORMS):
+        raw = F.when(m == i, F.date_format(F.col("ts") + F.expr(f"INTERVAL {hours} HOURS"), pattern)).otherwise(raw)
     return ev.select("event_id", raw.alias("raw")).select(
         "event_id", "raw", F.unix_micros(parse_ts(F.col("raw"))).alias("ts_us"))
 
@@ -201,6 +215,24 @@ def q_top_n_per_source(spark, sf):
     return top_n_per_source(items, 5, "new").select("source", "id", "rn")
 
 
+# forum posts made of the documents: section = language, score from the id (some without), an hour apart
+@register("forum_top", """
+WITH f AS (SELECT doc_id, lang, CASE WHEN doc_id % 10 <> 0 THEN (doc_id * 7919) % 1000 END AS score FROM documents),
+m AS (SELECT max(doc_id) AS d FROM f)
+SELECT CAST(doc_id AS VARCHAR) AS id, lang AS subreddit, rn FROM (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC NULLS LAST, CAST(doc_id AS VARCHAR))::INTEGER AS rn
+  FROM f WHERE doc_id >= (SELECT d FROM m) - 240) WHERE rn <= 3""")
+def q_forum_top(spark, sf):
+    d = read(spark, sf, "documents")
+    did = F.col("doc_id")
+    raw = d.select(did.alias("id"), F.lit("post").alias("title"), F.col("text").alias("selftext"), F.concat(F.lit("/r/"), did.cast("string")).alias("permalink"),
+                   F.lit("a").alias("author"), (F.lit(1704067200) + did * 3600).alias("created_utc"), F.col("lang").alias("subreddit"),
+                   F.when(did % 10 != 0, (did * 7919) % 1000).alias("score"))
+    posts = ingest_forum_posts(raw)
+    top = top_n_per_source(posts, 3, "top", hours=240, as_of=posts.agg(F.max("ts")).first()[0])
+    return top.select("id", F.col("metadata")["subreddit"].alias("subreddit"), "rn")
+
+
 # ---------------------------------------------------------------- K02 / K05 / K06
 @register("archive_layout", """
 SELECT event_id, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, event_type AS briefing_id,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.operators.render import render_channel, render_markdown, split_messages
+from tidings.functions.scores import SCORE_DIMENSIONS
+from tidings.operators.render import briefing_json, render_channel, render_html, render_markdown, split_messages
 from tidings.operators.requests import build_requests, parse_briefings, parse_responses
+from tidings.operators.responses import parse_drafts, parse_facts, parse_selections
 from tidings.plans import sqlfrag as S
 from tidings.plans.digest import SQL_CHAIN, digest_tables
 from tidings.plans.registry import register
@@ -45,7 +47,8 @@ md AS (SELECT briefing_id, {S.py_strip("string_agg(l, chr(10) ORDER BY a, b, c)"
 @register("render_markdown", W + _md_sql() + "\nSELECT briefing_id, md5(markdown) AS md_md5, length(markdown)::INTEGER AS n_chars FROM md")
 def q_render_markdown(spark, sf):
     t = digest_tables(spark, sf)
-    md = render_markdown(t["final"], t["final_bullets"], _titles(t["final"]), LABEL)
+    topics, bullets, _ = t["published"]
+    md = render_markdown(topics, bullets, _titles(topics), LABEL)
     return md.select("briefing_id", F.md5("markdown").alias("md_md5"), F.length("markdown").alias("n_chars"))
 
 
@@ -70,7 +73,8 @@ msg AS (SELECT briefing_id, {S.py_strip("string_agg(l, chr(10) || chr(10) ORDER
 @register("render_channel", W + _channel_sql() + "\nSELECT briefing_id, md5(message) AS msg_md5, length(message)::INTEGER AS n_chars FROM msg")
 def q_render_channel(spark, sf):
     t = digest_tables(spark, sf)
-    m = render_channel(t["final"], t["final_bullets"], _titles(t["final"]), LABEL)
+    topics, bullets, _ = t["published"]
+    m = render_channel(topics, bullets, _titles(topics), LABEL)
     return m.select("briefing_id", F.md5("message").alias("msg_md5"), F.length("message").alias("n_chars"))
 
 
@@ -107,15 +111,15 @@ def q_split_messages(spark, sf):
 TEMPLATE = "[CLUSTER CONTEXT]\n{{ cluster_json }}\n\nReturn the facts of {{ cluster_id }} as JSON.\n"
 
 
-@register("build_requests", W + f""", its AS (SELECT cluster_id, doc_id, url, source, text,
-   row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) AS r FROM fi QUALIFY r <= 300),
-js AS (SELECT cluster_id, to_json({{'cluster_id': cluster_id, 'items': list({{'item_id': CAST(doc_id AS VARCHAR), 'url': url, 'source': source, 'text': text}} ORDER BY r)}}) AS j
-       FROM its GROUP BY cluster_id)
-SELECT cluster_id, md5(replace(replace({S.lit(TEMPLATE)}, '{{{{ cluster_json }}}}', j), '{{{{ cluster_id }}}}', cluster_id)) AS prompt_md5,
+@register("build_requests", W + f""", its AS (SELECT briefing_id, cluster_id, doc_id, url, source, text,
+   ((row_number() OVER (PARTITION BY briefing_id, cluster_id ORDER BY doc_id) - 1) // 5 + 1)::INTEGER AS request FROM fi),
+js AS (SELECT briefing_id, cluster_id, request, to_json({{'cluster_id': cluster_id, 'items': list({{'item_id': CAST(doc_id AS VARCHAR), 'url': url, 'source': source, 'text': text}} ORDER BY doc_id)}}) AS j
+       FROM its GROUP BY briefing_id, cluster_id, request)
+SELECT briefing_id, cluster_id, request, md5(replace(replace({S.lit(TEMPLATE)}, '{{{{ cluster_json }}}}', j), '{{{{ cluster_id }}}}', cluster_id)) AS prompt_md5,
        length(replace(replace({S.lit(TEMPLATE)}, '{{{{ cluster_json }}}}', j), '{{{{ cluster_id }}}}', cluster_id))::INTEGER AS n_chars FROM js""")
 def q_build_requests(spark, sf):
-    r = build_requests(digest_tables(spark, sf)["items"], TEMPLATE)
-    return r.select("cluster_id", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("n_chars"))
+    r = build_requests(digest_tables(spark, sf)["items"], TEMPLATE, per_request=5)
+    return r.select("briefing_id", "cluster_id", "request", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("n_chars"))
 
 
 @register("parse_responses", """
@@ -133,32 +137,137 @@ def q_parse_responses(spark, sf):
     return p.select("event_id", "status", "k")
 
 
-SQL_BRIEF_JSON = """(CASE WHEN turn % 7 = 6 THEN '{"title": "broken' ELSE
-  '{"title": "Model ' || conv_id || '"' || CASE WHEN turn % 3 = 0 THEN '' ELSE ', "date": "2024-01-0' || (turn % 9 + 1) || 'T00:00:00Z"' END ||
-  ', "topics": [' || CASE turn % 4 WHEN 0 THEN ''
-     WHEN 1 THEN '{"topic_id": "c' || conv_id || '-1", "headline": "' || role || ' ' || turn || '", "bullets": []}'
-     ELSE '{"topic_id": "c' || conv_id || '-1", "headline": "' || role || ' ' || turn || '", "bullets": []}, {"topic_id": "c' || conv_id || '-2", "headline": "second ' || turn || '", "bullets": []}' END
-  || ']}' END)"""
+# A whole-briefing response per turn: its text is the bullet. Planted: broken JSON, no topics, a second topic whose
+# bullet is cut to three characters, a missing date.
+SQL_BRIEFS = """WITH c AS (SELECT conv_id, turn, role, 'Turn: ' || coalesce(text, '') AS body FROM conversations),
+st AS (SELECT *, CASE WHEN turn % 7 = 6 THEN 'unparsable' WHEN turn % 4 = 0 THEN 'empty' WHEN turn % 5 = 3 THEN 'invalid' ELSE 'ok' END AS status FROM c),
+tp AS (SELECT *, 1 AS topic_pos FROM st WHERE status = 'ok' UNION ALL SELECT *, 2 FROM st WHERE status = 'ok' AND turn % 4 <> 1)
+"""
 
 
-@register("parse_briefings", f"""
-SELECT conv_id, turn, (generate_subscripts(b.topics, 1))::INTEGER AS topic_pos, unnest(b.topics).topic_id AS topic_id,
-       unnest(b.topics).headline AS headline, 'Configured Digest' AS title, coalesce(b.date, '{DATE}') AS date
-FROM (SELECT conv_id, turn, CASE WHEN json_valid(j) THEN from_json(j, '{{"title":"VARCHAR","date":"VARCHAR","topics":[{{"topic_id":"VARCHAR","headline":"VARCHAR"}}]}}') END AS b
-      FROM (SELECT conv_id, turn, {SQL_BRIEF_JSON} AS j FROM conversations))""")
-def q_parse_briefings(spark, sf):
+def _brief_responses(spark, sf):
     c = read(spark, sf, "conversations")
-    t = F.col("turn")
-    conv = F.col("conv_id").cast("string")
-    tp1 = F.concat(F.lit('{"topic_id": "c'), conv, F.lit('-1", "headline": "'), F.col("role"), F.lit(" "), t.cast("string"),
-                   F.lit('", "bullets": []}'))
-    tp2 = F.concat(tp1, F.lit(', {"topic_id": "c'), conv, F.lit('-2", "headline": "second '), t.cast("string"), F.lit('", "bullets": []}'))
-    topics = F.when(t % 4 == 0, F.lit("")).when(t % 4 == 1, tp1).otherwise(tp2)
-    date = F.when(t % 3 == 0, F.lit("")).otherwise(F.concat(F.lit(', "date": "2024-01-0'), (t % 9 + 1).cast("string"), F.lit('T00:00:00Z"')))
+    t, conv = F.col("turn"), F.col("conv_id").cast("string")
+    body = F.concat(F.lit("Turn: "), F.coalesce(F.col("text"), F.lit("")))
+    url = F.concat(F.lit("https://conv.example.com/"), conv, F.lit("/"), t.cast("string"))
+
+    def topic(n, headline, text):
+        return F.struct(F.concat(F.lit("c"), conv, F.lit(f"-{n}")).alias("topic_id"), headline.alias("headline"),
+                        F.array(F.struct(text.alias("text"), url.alias("url"))).alias("bullets"))
+
+    one = topic(1, F.concat("role", F.lit(" "), t.cast("string")), body)
+    two = topic(2, F.concat(F.lit("second "), t.cast("string")), F.when(t % 5 == 3, F.substring(body, 1, 3)).otherwise(body))
+    one = F.when(t % 5 == 3, one.withField("bullets", F.array(F.struct(F.substring(body, 1, 3).alias("text"), url.alias("url"))))).otherwise(one)
+    topics = F.when(t % 4 == 0, F.slice(F.array(one), 1, 0)).when(t % 4 == 1, F.array(one)).otherwise(F.array(one, two))
+    date = F.when(t % 3 != 0, F.concat(F.lit("2024-01-0"), (t % 9 + 1).cast("string"), F.lit("T00:00:00Z")))
     j = F.when(t % 7 == 6, F.lit('{"title": "broken')).otherwise(
-        F.concat(F.lit('{"title": "Model '), conv, F.lit('"'), date, F.lit(', "topics": ['), topics, F.lit("]}")))
-    p = parse_briefings(c.select("conv_id", "turn", j.alias("j")), "j", title="Configured Digest", default_date=DATE)
-    return p.select("conv_id", "turn", F.col("topic_pos").cast("int").alias("topic_pos"), "topic_id", "headline", "title", "date")
+        F.to_json(F.struct(F.concat(F.lit("Model "), conv).alias("title"), date.alias("date"), topics.alias("topics"))))
+    return parse_briefings(c.select("conv_id", "turn", j.alias("j")), "j", title="Configured Digest", default_date=DATE)
+
+
+@register("parse_briefings", SQL_BRIEFS + f"""SELECT conv_id, turn, topic_pos, 'c' || conv_id || '-' || topic_pos AS topic_id,
+  CASE WHEN topic_pos = 1 THEN role || ' ' || turn ELSE 'second ' || turn END AS headline, 1 AS n_bullets, 'Configured Digest' AS title,
+  CASE WHEN turn % 3 = 0 THEN '{DATE}' ELSE '2024-01-0' || (turn % 9 + 1) || 'T00:00:00Z' END AS date FROM tp""")
+def q_parse_briefings(spark, sf):
+    p = _brief_responses(spark, sf)[0]
+    return p.select("conv_id", "turn", F.col("topic_pos").cast("int").alias("topic_pos"), "topic_id", "headline", "n_bullets", "title", "date")
+
+
+@register("parse_briefing_bullets", SQL_BRIEFS + """SELECT conv_id, turn, topic_pos, 1 AS bullet_pos, body AS text,
+  'https://conv.example.com/' || conv_id || '/' || turn AS url FROM tp""")
+def q_parse_briefing_bullets(spark, sf):
+    return _brief_responses(spark, sf)[1]
+
+
+@register("parse_briefing_status", SQL_BRIEFS + "SELECT conv_id, turn, status FROM st")
+def q_parse_briefing_status(spark, sf):
+    return _brief_responses(spark, sf)[2]
+
+
+# Stage responses: one JSON per cluster made from the chain's own tables, some of them broken by bundle position
+def _responses(t, df, payload, broken):
+    """``df`` (cluster rows with the struct ``payload``) to JSON; every ``broken``-th bundle's text is cut."""
+    j = df.join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
+    text = F.to_json(payload)
+    return j.select("briefing_id", "cluster_id", F.when(F.col("bundle_pos") % broken == 0, F.substr(text, F.lit(1), F.length(text) - 3))
+                    .otherwise(text).alias("response"))
+
+
+@register("parse_facts", W + """SELECT s.briefing_id, s.cluster_id, fact_idx::INTEGER AS pos, fact_id, text, url FROM scored s JOIN bundles b USING (briefing_id, cluster_id)
+WHERE b.bundle_pos % 5 <> 0 AND b.bundle_pos % 7 <> 0""")
+def q_parse_facts(spark, sf):
+    t = digest_tables(spark, sf)
+    url = F.when(F.col("bundle_pos") % 7 != 0, F.col("url"))
+    f = t["facts"].join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
+    g = f.groupBy("briefing_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
+        "fact_idx", "fact_id", "text", url.alias("url")))), lambda x: x.dropFields("fact_idx")).alias("facts"))
+    return parse_facts(_responses(t, g, F.struct("cluster_id", "facts"), 5))[0]
+
+
+@register("parse_selections", W + """SELECT p.briefing_id, p.cluster_id, pick_rank::INTEGER AS pick_rank, fact_id, text, url, actionability, novelty, impact, reusability,
+  reliability, agentic_bonus, strategic_flag::INTEGER AS strategic_flag FROM picked p JOIN bundles b USING (briefing_id, cluster_id)
+WHERE b.bundle_pos % 5 <> 0 AND b.bundle_pos % 7 <> 0""")
+def q_parse_selections(spark, sf):
+    t = digest_tables(spark, sf)
+    p = t["picked"].join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
+    scores = F.struct(*[(F.when(F.col("bundle_pos") % 7 == 0, F.lit(9)).otherwise(F.col(d)) if d == "novelty" else
+                         F.when(F.col(d) != 0, F.col(d)) if d == "agentic_bonus" else F.col(d)).alias(d) for d in SCORE_DIMENSIONS])
+    flag = F.when(F.col("strategic_flag"), F.lit(True))  # a missing flag is false
+    g = p.groupBy("briefing_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
+        "pick_rank", "fact_id", "text", "url", scores.alias("scores"), flag.alias("strategic_flag"), F.lit("rule table").alias("rationale")))),
+        lambda x: x.dropFields("pick_rank")).alias("picked"))
+    got = parse_selections(_responses(t, g, F.struct("cluster_id", "picked"), 5))[0]
+    return got.drop("rationale").withColumn("strategic_flag", F.col("strategic_flag").cast("int"))
+
+
+@register("parse_drafts", W + """SELECT d.briefing_id, d.cluster_id, 'cluster-' || d.cluster_id AS topic_id, headline, agentic::INTEGER AS agentic,
+  strategic::INTEGER AS strategic, least(n_bullets, 2)::INTEGER AS n_bullets FROM drafts d JOIN bundles b USING (briefing_id, cluster_id)
+WHERE b.bundle_pos % 5 <> 0 AND b.bundle_pos % 7 <> 0""")
+def q_parse_drafts(spark, sf):
+    t = digest_tables(spark, sf)
+    pos = t["bundles"].select("briefing_id", "cluster_id", "bundle_pos")
+    keys = ["briefing_id", "cluster_id"]
+    b = t["bullets"].groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("bullet_pos", "text", "url"))),
+                                                    lambda x: x.dropFields("bullet_pos")).alias("bullets"))
+    d = t["drafts"].join(b, keys).join(pos, keys)
+    # every seventh draft comes back with its bullets six times over: more than four, so it is refused
+    six = F.when(F.col("bundle_pos") % 7 == 0, F.flatten(F.array_repeat("bullets", 6))).otherwise(F.col("bullets"))
+    d = d.withColumn("bullets", six).withColumn("annotations", F.create_map(
+        F.lit("agentic"), "agentic", F.lit("strategic"), "strategic")).drop("bundle_pos")
+    got = parse_drafts(_responses(t, d, F.struct("headline", "bullets", "annotations"), 5), max_bullets=2)[0]
+    return got.withColumn("agentic", F.col("agentic").cast("int")).withColumn("strategic", F.col("strategic").cast("int"))
+
+
+@register("response_status", W + """SELECT d.briefing_id, d.cluster_id, CASE WHEN b.bundle_pos % 5 = 0 THEN 'unparsable' WHEN b.bundle_pos % 7 = 0 THEN 'invalid' ELSE 'ok' END AS status
+FROM drafts d JOIN bundles b USING (briefing_id, cluster_id)""")
+def q_response_status(spark, sf):
+    t = digest_tables(spark, sf)
+    f = t["picked"].join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
+    bad = F.when(F.col("bundle_pos") % 7 != 0, F.col("text"))
+    g = f.groupBy("briefing_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
+        "fact_idx", "fact_id", bad.alias("text"), "url"))), lambda x: x.dropFields("fact_idx")).alias("facts"))
+    return parse_facts(_responses(t, g, F.struct("facts"), 5))[1]
+
+
+@register("briefing_json", W + f""", tb AS (SELECT briefing_id, topic_pos, list({{'text': text, 'url': url}} ORDER BY bullet_pos) AS bullets FROM final_bullets GROUP BY ALL),
+js AS (SELECT f.briefing_id, to_json({{'title': 'Digest ' || f.briefing_id, 'date': '{DATE}',
+   'topics': list({{'topic_id': f.topic_id, 'headline': f.headline, 'bullets': tb.bullets}} ORDER BY f.topic_pos)}}) AS j
+  FROM final f JOIN tb USING (briefing_id, topic_pos) GROUP BY f.briefing_id)
+SELECT briefing_id, md5(j) AS json_md5, length(j)::INTEGER AS n_chars FROM js""")
+def q_briefing_json(spark, sf):
+    topics, bullets, _ = digest_tables(spark, sf)["published"]
+    j = briefing_json(topics, bullets, _titles(topics))
+    return j.select("briefing_id", F.md5("json").alias("json_md5"), F.length("json").alias("n_chars"))
+
+
+@register("html_page", W + _md_sql() + """
+SELECT briefing_id, md5('<!DOCTYPE html>' || chr(10) || '<html><head><meta charset="utf-8"><title>Digest ' || briefing_id || '</title></head>' || chr(10)
+  || '<body><pre>' || chr(10) || markdown || chr(10) || '</pre></body></html>') AS page_md5 FROM md""")
+def q_html_page(spark, sf):
+    topics, bullets, _ = digest_tables(spark, sf)["published"]
+    titles = _titles(topics)
+    md = render_markdown(topics, bullets, titles, LABEL).join(titles, "briefing_id")
+    return md.select("briefing_id", F.md5(render_html("markdown", "title")).alias("page_md5"))
 
 
 @register("sanitize_bundles", f"""

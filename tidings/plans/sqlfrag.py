@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from tidings.functions.html import HTML_RULES
 from tidings.functions.text import CONTROL_CHARS, PY_WHITESPACE, REDACTION_RULES, STRATEGIC_PREFIX
-from tidings.functions.timefmt import ISO_GUARD, RFC_GUARD, RFC_WEEKDAY
 from tidings.functions.urls import ALLOWED_SCHEMES, HTTP_URL_PATTERN, MAX_URL_LENGTH, SCHEME_PATTERN
 
 
@@ -65,11 +64,14 @@ def safe_url(e: str) -> str:
 
 
 def parse_ts(e: str) -> str:
+    """ISO values by DuckDB's own cast, mail dates by its formats, after the zone name is spelt as an offset."""
     s = py_strip(e)
-    rfc = rr(s, RFC_WEEKDAY, "")
-    return (f"(CASE WHEN {e} IS NULL OR {s} = '' THEN NULL ELSE coalesce("
-            f"CASE WHEN regexp_matches({s}, {lit(ISO_GUARD)}) THEN try_cast({s} AS TIMESTAMPTZ) END, "
-            f"CASE WHEN regexp_matches({rfc}, {lit(RFC_GUARD)}) THEN try_strptime({rfc}, '%d %b %Y %H:%M:%S %z') END) END)")
+    mail = rr(s, r"^[A-Za-z]{3}, *", "")
+    for name, off in (("GMT", "+0000"), ("EST", "-0500")):
+        mail = f"replace({mail}, ' {name}', ' {off}')"
+    formats = ", ".join(lit(f) for f in ("%d %b %Y %H:%M:%S %z", "%d %b %Y %H:%M %z"))
+    return (f"(CASE WHEN {e} IS NULL OR {s} = '' THEN NULL WHEN regexp_matches({s}, '^[0-9][0-9][0-9][0-9]-') "
+            f"THEN try_cast({s} AS TIMESTAMPTZ) ELSE try_strptime({mail}, [{formats}]) END)")
 
 
 def redact(e: str) -> str:

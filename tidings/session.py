@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", "65536")
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("TIDINGS_SPLIT_BYTES", str(8 << 20)))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TIDINGS_DRIVER_MEMORY", "16g"))
@@ -61,34 +65,72 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Parquet in ``spark.checkpoint.dir`` survives executor loss like a reliable checkpoint, is columnar and
     compressed (cheaper than serialised RDD blocks) and gives the optimizer real sizes. Never a local
-    checkpoint, never a machine-local folder on a cluster.
+    checkpoint, never a machine-local folder on a cluster. The table lives until :func:`release`, until the
+    enclosing :func:`stage_scope` ends, or until :func:`release_all` at the end of the job.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    _TABLES[id(out)] = path
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    (_SCOPES[-1] if _SCOPES else _OPEN).append(path)
     return out
 
 
-_TABLES: dict[int, str] = {}
+_OPEN: list[str] = []  # stage tables outside any scope
+_SCOPES: list[list[str]] = []
 
 
-def release(df: DataFrame) -> None:
-    """Delete the table behind a :func:`cut_lineage` result once nothing reads it any more (round states)."""
-    path = _TABLES.pop(id(df), None)
-    if path is None:
-        return
-    spark = df.sparkSession
+def _delete(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the table behind a :func:`cut_lineage` result once nothing reads it any more."""
+    path = getattr(df, "_stage_path", None)
+    if path is None:
+        raise ValueError("not a stage table")
+    for held in [_OPEN, *_SCOPES]:
+        if path in held:
+            held.remove(path)
+    _delete(df.sparkSession, path)
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Stage tables written inside are deleted at the end, but for those passed to the yielded ``keep``."""
+    _SCOPES.append([])
+    kept: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df._stage_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        written = _SCOPES.pop()
+        outer = _SCOPES[-1] if _SCOPES else _OPEN
+        for path in written:
+            if path in kept:
+                outer.append(path)
+            else:
+                _delete(spark, path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete every stage table of the session that is left (end of a job; results must have been written)."""
+    while _OPEN:
+        _delete(spark, _OPEN.pop())
+
 
 def checkpoint_round(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a small per-round state table (greedy dedup, components) into the shared
-    checkpoint folder. For these small tables it is cheaper than a written table (no commit protocol);
-    Spark's cleaner removes superseded checkpoints. Never a local checkpoint."""
+    checkpoint folder. For these small tables it is cheaper than a written table (no commit protocol). Where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as in :func:`local_session`, Spark deletes a
+    superseded state once nothing refers to it; elsewhere they stay until the folder is cleared. Never a
+    local checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

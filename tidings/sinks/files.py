@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def utc(ts_col: str | Column) -> Column:
+    """The timestamp's UTC clock, whatever the session's time zone, for formatting."""
+    return F.to_utc_timestamp(ts_col, F.current_timezone())
+
+
 def archive_layout(df: DataFrame, name: Column, ts_col: str = "ts") -> DataFrame:
     """Adds ``year``, ``month`` and ``path`` = ``YYYY/MM/<briefing_id>/<name>``."""
-    y = F.date_format(ts_col, "yyyy")
-    m = F.date_format(ts_col, "MM")
+    y = F.date_format(utc(ts_col), "yyyy")
+    m = F.date_format(utc(ts_col), "MM")
     return df.withColumn("year", y).withColumn("month", m).withColumn(
         "path", F.concat_ws("/", y, m, F.col("briefing_id"), name))
 
@@ -27,27 +32,28 @@ def expired_runs(runs: DataFrame, as_of, days: int = 7, *, key: str = "briefing_
     """Run partitions (key, run date) older than ``as_of - days``; deleting them is left to the caller."""
     lo = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
     return (runs.filter(F.col(ts_col) < lo)
-            .groupBy(key, F.date_format(ts_col, "yyyy-MM-dd").alias("run_date"))
+            .groupBy(key, F.date_format(utc(ts_col), "yyyy-MM-dd").alias("run_date"))
             .agg(F.count(F.lit(1)).alias("runs")))
 
 
 def write_briefings(briefings: DataFrame, out_dir: str, formats: Sequence[str] = ("md", "json"),
                     run_ts_col: str = "run_ts") -> None:
-    """One file set per briefing and run: md as text, json as JSON lines, html as text, partitioned by
-    ``briefing_id`` and ``run_ts`` (UTC, ``yyyyMMdd'T'HHmmss'Z'``)."""
-    base = briefings.withColumn("run_ts", F.date_format(run_ts_col, "yyyyMMdd'T'HHmmss'Z'")) \
+    """One file set per briefing and run: md and html as text, json as one document per line, partitioned by
+    ``briefing_id`` and ``run_ts`` (UTC, ``yyyyMMdd'T'HHmmss'Z'``). Writing a run again replaces its files.
+    ``briefings`` has briefing_id, markdown, title and (for json) ``json``, see ``render.briefing_json``."""
+    base = briefings.withColumn("run_ts", F.date_format(utc(run_ts_col), "yyyyMMdd'T'HHmmss'Z'")) \
         if dict(briefings.dtypes).get(run_ts_col) == "timestamp" else briefings
     if "md" in formats:
-        base.select("briefing_id", "run_ts", F.col("markdown").alias("value")).write.mode("append") \
-            .partitionBy("briefing_id", "run_ts").text(f"{out_dir}/md")
+        base.select("briefing_id", "run_ts", F.col("markdown").alias("value")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("briefing_id", "run_ts").text(f"{out_dir}/md")
     if "json" in formats:
-        base.select("briefing_id", "run_ts", F.col("json").alias("value")).write.mode("append") \
-            .partitionBy("briefing_id", "run_ts").text(f"{out_dir}/json")
+        base.select("briefing_id", "run_ts", F.col("json").alias("value")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("briefing_id", "run_ts").text(f"{out_dir}/json")
     if "html" in formats:
         from tidings.operators.render import render_html
 
-        base.select("briefing_id", "run_ts", render_html("markdown", "title").alias("value")).write.mode("append") \
-            .partitionBy("briefing_id", "run_ts").text(f"{out_dir}/html")
+        base.select("briefing_id", "run_ts", render_html("markdown", "title").alias("value")).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("briefing_id", "run_ts").text(f"{out_dir}/html")
 
 
 def write_stage(df: DataFrame, out_dir: str, stage: str) -> None:

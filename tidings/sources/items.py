@@ -170,14 +170,16 @@ def ingest_list_feed(raw: DataFrame, briefing_id: str = "list", source: str = "t
 
 
 def ingest_forum_posts(raw: DataFrame, briefing_id: str = "forum") -> DataFrame:
-    """Forum posts (id, title, selftext, permalink, author, created_utc, subreddit); no empty-text drop."""
+    """Forum posts (id, title, selftext, permalink, author, created_utc, subreddit and, where the listing has it,
+    score); no empty-text drop."""
+    score = F.col("score").cast("string") if "score" in raw.columns else F.lit(None).cast("string")
     text = clean_html(F.concat(F.coalesce(F.col("title"), F.lit("")), F.lit("\n\n"), F.coalesce(F.col("selftext"), F.lit(""))))
     return _project(raw.select(
         F.lit(briefing_id).alias("briefing_id"), F.col("id").cast("string").alias("id"), text.alias("text"),
         F.concat(F.lit(FORUM_HOST), F.col("permalink")).alias("url"),
         F.coalesce(nonempty(F.col("author")), F.lit("Unknown")).alias("author"),
         F.timestamp_seconds(F.col("created_utc")).alias("ts"), F.lit("reddit").alias("source"),
-        _meta(source=F.lit("reddit"), subreddit=F.col("subreddit")).alias("metadata"),
+        _meta(source=F.lit("reddit"), subreddit=F.col("subreddit"), score=score).alias("metadata"),
     ))
 
 
@@ -203,13 +205,19 @@ def union_sources(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def top_n_per_source(items: DataFrame, n: int, by: str = "new", *, partition_col: str = "source") -> DataFrame:
-    """At most ``n`` items per source: ``new`` = latest first, ``top`` = highest ``metadata['score']``."""
+def top_n_per_source(items: DataFrame, n: int, by: str = "new", *, partition_cols: tuple[str, ...] = ("source", "channel"),
+                     hours: float | None = None, as_of=None) -> DataFrame:
+    """At most ``n`` items per source and channel (a forum's sections are channels of one source; a missing channel
+    is one of its own): ``new`` = latest first, ``top`` = highest ``metadata['score']``. With ``hours`` only items of
+    the last ``hours`` before ``as_of`` compete, as a forum's ``top`` of the day does."""
     from pyspark.sql import Window
 
-    key = F.col("ts").desc() if by == "new" else F.col("metadata")["score"].cast("double").desc_nulls_last()
-    w = Window.partitionBy(partition_col).orderBy(key, F.col("id"))
-    return items.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    pool = items if hours is None else time_window(items, hours, as_of)
+    if "channel" not in pool.columns:
+        pool = pool.withColumn("channel", F.col("metadata")["subreddit"] if "metadata" in pool.columns else F.lit(None).cast("string"))
+    key = F.col("ts").desc() if by == "new" else F.col("metadata")["score"].try_cast("double").desc_nulls_last()
+    w = Window.partitionBy(*partition_cols).orderBy(key, F.col("id"))
+    return pool.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
 
 
 def time_window(items: DataFrame, hours: float, as_of, ts_col: str = "ts") -> DataFrame:

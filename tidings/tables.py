@@ -1,4 +1,4 @@
-"""Readers for the landed tables. Column pruning and filters are left to Catalyst."""
+"""Readers for the landed tables. Column pruning and filters are left to Catalyst, split sizes to the session."""
 
 from __future__ import annotations
 
@@ -11,13 +11,5 @@ TABLES = (
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a landed table. A scan with fewer splits than the session's parallelism (a small file with one
-    row group) is spread round-robin so per-row text work uses every core; at cluster scale the scan
-    already has thousands of splits and nothing is added. Filters and projections still reach the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a Connect session): leave the scan as it is
-        return df
-    return df.repartition(target) if splits < target else df
+    """Read a landed table as it lies."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
