@@ -116,12 +116,14 @@ def fit_linear(x: list, y: np.ndarray, twins: list, prior: float, strength: floa
     if not len(columns):
         return Model(columns.astype(np.int32), np.zeros(0), float(np.log(prior / (1 - prior))))
     row, col = _rows(x, columns)
-    pairs = [(a, b) for a, b in zip(x, twins, strict=True) if b is not None]
+    # a text and its twin differ in the swapped terms only
+    pairs = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in zip(x, twins, strict=True) if b is not None]
     row_a, col_a = _rows([a for a, _ in pairs], columns)
     row_b, col_b = _rows([b for _, b in pairs], columns)
     w, v, b, t = np.zeros(len(columns)), np.zeros(len(columns)), 0.0, 1.0
-    norm = np.bincount(row, minlength=len(y)).mean() + 1
-    step = 4.0 / (norm + 4 * strength)
+    # one over a bound of the curvature: traces of the two quadratic forms
+    apart = (len(row_a) + len(row_b)) / max(len(pairs), 1)
+    step = 1.0 / (0.25 * (len(row) / len(y) + 1) + 2 * strength * apart + L2)
     vb = b
     for _ in range(STEPS):
         margin = np.bincount(row, weights=v[col], minlength=len(y)) + vb
