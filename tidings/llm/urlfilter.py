@@ -60,7 +60,7 @@ def matching_rule(host: Column, path: Column, rules) -> Column:
 
 
 def vocabulary_hits(strict, soft):
-    """Pandas UDF: struct<n_strict, n_soft (distinct), weight> of an url's vocabulary terms."""
+    """Pandas UDF: struct<n_strict, n_soft, weight> of an url's vocabulary terms, each counted once."""
     strict, soft = tuple(strict), dict(soft)
 
     @F.pandas_udf("struct<n_strict:int,n_soft:int,weight:double>")
@@ -78,17 +78,15 @@ def vocabulary_hits(strict, soft):
         for urls in batches:
             out = []
             for url in urls:
-                seen_strict, seen_soft = 0, set()
+                seen = set()
                 if url and len(machine):
                     u = url.translate(lower)
                     for end, (term, n) in machine.iter(u):
                         if (end + 1 < len(u) and u[end + 1] in word) or (end >= n and u[end - n] in word):
                             continue
-                        if term in strict_set:
-                            seen_strict += 1
-                        else:
-                            seen_soft.add(term)
-                out.append((seen_strict, len(seen_soft), float(sum(soft[t] for t in sorted(seen_soft)))))
+                        seen.add(term)
+                soft_seen = sorted(seen - strict_set)
+                out.append((len(seen & strict_set), len(soft_seen), float(sum(soft[t] for t in soft_seen))))
             yield pd.DataFrame(out, columns=["n_strict", "n_soft", "weight"])
 
     return hits
