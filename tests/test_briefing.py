@@ -3,30 +3,97 @@ import random
 from tidings.operators.briefing import diversify_top3, finalize
 
 
-def diversity_py(entries):
-    pending, ordered = list(entries), []
-    while pending:
-        idx = 0
-        if len(ordered) < 3:
-            used = {e[1] for e in ordered if e[1]}
-            idx = next((i for i, e in enumerate(pending) if not e[1] or e[1] not in used), 0)
-        ordered.append(pending.pop(idx))
-    return [e[0] for e in ordered]
-
-
-def test_diversity_random_against_loop(spark):
-    rng = random.Random(1)
-    rows, expect = [], {}
-    for b in range(60):
-        n = rng.randint(1, 7)
-        ents = [(f"t{b}-{i}", rng.choice([None, "", "a", "b", "c"])) for i in range(n)]
-        expect[f"b{b}"] = diversity_py(ents)
-        rows += [(f"b{b}", tid, i + 1, src if src else None) for i, (tid, src) in enumerate(ents)]
+def order_of(spark, sources):
+    rows = [("b", f"t{i}", i + 1, src) for i, src in enumerate(sources)]
     df = spark.createDataFrame(rows, "briefing_id string, topic_id string, ord int, primary_source string")
-    got = {}
-    for r in diversify_top3(df).orderBy("briefing_id", "place").collect():
-        got.setdefault(r.briefing_id, []).append(r.topic_id)
-    assert got == expect
+    return [int(r.topic_id[1:]) for r in diversify_top3(df).orderBy("place").collect()]
+
+
+def test_diversity_by_hand(spark):
+    assert order_of(spark, ["a"]) == [0]
+    assert order_of(spark, ["a", "a", "b"]) == [0, 2, 1]  # the first other source moves up
+    assert order_of(spark, ["a", "a", "a", "b", "c"]) == [0, 3, 4, 1, 2]
+    assert order_of(spark, ["a", "b", "a", "b", "c"]) == [0, 1, 4, 2, 3]
+    assert order_of(spark, ["a", None, "a"]) == [0, 1, 2]  # no source differs from every source
+    assert order_of(spark, [None, "a", "a", "b"]) == [0, 1, 3, 2]
+    assert order_of(spark, ["a", "a", "a", "a"]) == [0, 1, 2, 3]  # nothing else: plain order
+    assert order_of(spark, ["a", "b", "b", "a"]) == [0, 1, 2, 3]  # no third source: the next one
+
+
+def test_diversity_properties(spark):
+    rng = random.Random(1)
+    for _ in range(12):
+        src = [rng.choice([None, "a", "b", "c"]) for _ in range(rng.randint(1, 7))]
+        got = order_of(spark, src)
+        assert sorted(got) == list(range(len(src))) and got[0] == 0 and got[3:] == sorted(got[3:])
+        for place in (1, 2):
+            if place < len(got):
+                used = {src[i] for i in got[:place]} - {None}
+                fresh = [i for i in range(len(src)) if i not in got[:place] and (src[i] is None or src[i] not in used)]
+                left = [i for i in range(len(src)) if i not in got[:place]]
+                assert got[place] == (fresh or left)[0]
+
+
+def test_digests_with_equal_cluster_ids_do_not_mix(spark):
+    from tidings.operators.facts import compose_topics, extract_facts, pick_facts, score_facts
+
+    items = spark.createDataFrame([
+        ("A", "cluster-0", 1, "Release 4, now. Same words here, really.", "https://a.example.com/1"),
+        ("B", "cluster-0", 2, "Same words here, really. Other news: 7 things.", "https://b.example.com/2"),
+    ], "briefing_id string, cluster_id string, doc_id long, text string, url string")
+    facts, rejected = extract_facts(items)
+    assert rejected.count() == 0
+    got = sorted((r.briefing_id, r.fact_id, r.text) for r in facts.collect())
+    assert got == [("A", "fact-0", "Release 4, now."), ("A", "fact-1", "Same words here, really."),
+                   ("B", "fact-0", "Same words here, really."), ("B", "fact-1", "Other news: 7 things.")]
+    picked, dropped = pick_facts(score_facts(facts))
+    topics, bullets = compose_topics(picked)
+    assert sorted((r.briefing_id, r.n_bullets) for r in topics.collect()) == [("A", 2), ("B", 2)]
+    enriched = topics.drop("n_bullets").selectExpr("*", "10.0D AS score", "1 AS actionability", "2L AS picked_count", "1 AS bundle_pos", "'s' AS primary_source")
+    final, fb = finalize(enriched, bullets)
+    assert sorted((r.briefing_id, r.n_bullets) for r in final.collect()) == [("A", 2), ("B", 2)]
+    assert fb.count() == 4 and dropped.count() == 0
+
+
+def test_gates_in_order(spark):
+    from tidings.operators.facts import gate_clusters
+
+    bundles = spark.createDataFrame([("A", "c0", 1), ("A", "c1", 2), ("B", "c0", 1)], "briefing_id string, cluster_id string, bundle_pos int")
+    picked = spark.createDataFrame([("A", "c0"), ("A", "c1")], "briefing_id string, cluster_id string")
+    bullets = spark.createDataFrame([("A", "c1"), ("A", "c1")], "briefing_id string, cluster_id string")
+    got = [(r.briefing_id, r.cluster_id, r.status) for r in gate_clusters(bundles, picked, bullets).orderBy("briefing_id", "bundle_pos").collect()]
+    assert got == [("A", "c0", "skipped: no bullets"), ("A", "c1", "topic"), ("B", "c0", "skipped: no picked fact")]
+
+
+def test_record_checks_fail_on_nulls(spark):
+    from tidings.operators.quality import check_records
+
+    dims = "actionability int, novelty int, impact int, reusability int, reliability int, agentic_bonus int"
+    picked = spark.createDataFrame([("A", "c", "f", "text", "https://x.org", 9, 9, 9, 9, 9, None)],
+                                   f"briefing_id string, cluster_id string, fact_id string, text string, url string, {dims}")
+    topics = spark.createDataFrame([("A", 1, "t", "\u3000\n", None)], "briefing_id string, topic_pos int, topic_id string, headline string, n_bullets long")
+    bullets = spark.createDataFrame([("A", 1, 1, None, "ftp://x")], "briefing_id string, topic_pos int, bullet_pos int, text string, url string")
+    headers = spark.createDataFrame([("A", None, "2024")], "briefing_id string, title string, date string")
+    rules = sorted((r.entity, r.rule) for r in check_records(picked, topics, bullets, headers).collect())
+    assert len([r for e, r in rules if e == "fact"]) == 6
+    assert [r for e, r in rules if e != "fact"] == ["title missing", "bullet text shorter than 8", "url not http(s)", "bullets outside 1..4", "empty headline"]
+
+
+def test_invalid_digest_is_quarantined(spark):
+    from tidings.operators.briefing import mark_valid, split_valid
+
+    t = spark.createDataFrame([("A", 1, 5), ("A", 2, 1), ("B", 1, 2)], "briefing_id string, topic_pos int, n_bullets long")
+    b = spark.createDataFrame([("A", 1), ("B", 1)], "briefing_id string, topic_pos int")
+    good, bullets, bad = split_valid(mark_valid(t), b)
+    assert [r.briefing_id for r in good.collect()] == ["B"] and [r.briefing_id for r in bullets.collect()] == ["B"] and bad.count() == 2
+
+
+def test_settings():
+    from tidings.functions.scores import Settings
+
+    s = Settings.read({"processing": {"max_bullets_per_topic": "9"}, "scoring": {"weights": {"novelty": "x", "impact": "5", "else": 1}}})
+    assert s.max_bullets == 4 and s.weights["impact"] == 5.0 and s.weights["novelty"] == 2.0 and "else" not in s.weights
+    assert Settings.read(None).max_bullets == 4 and Settings.read({"processing": {"max_bullets_per_topic": 0}}).max_bullets == 1
 
 
 def test_finalize_focus_first(spark):
@@ -37,9 +104,9 @@ def test_finalize_focus_first(spark):
     ], "briefing_id string, topic_id string, cluster_id string, headline string, agentic boolean, strategic boolean, "
        "score double, actionability int, picked_count long, bundle_pos int, primary_source string")
     bullets = spark.createDataFrame([
-        ("cluster-cluster-hn-001", 1, "hn bullet text", "https://news.example.com/1"),
-        ("cluster-cluster-tw-002", 1, "tw bullet text", "https://twitter.com/x/1"),
-    ], "topic_id string, bullet_pos int, text string, url string")
+        ("b", "cluster-cluster-hn-001", 1, "hn bullet text", "https://news.example.com/1"),
+        ("b", "cluster-cluster-tw-002", 1, "tw bullet text", "https://twitter.com/x/1"),
+    ], "briefing_id string, topic_id string, bullet_pos int, text string, url string")
     final, fb = finalize(topics, bullets)
     rows = final.orderBy("topic_pos").collect()
     assert [(r.topic_id, r.headline, r.n_bullets) for r in rows] == [
@@ -73,7 +140,7 @@ def test_split_focus_edge_cases(spark):
 def test_lookup_exact_key_wins(spark):
     from tidings.operators.briefing import lookup_with_fallback
 
-    left = spark.createDataFrame([("cluster-x",), ("cluster-y",), ("z",)], "key string")
-    dim = spark.createDataFrame([("cluster-x", 1), ("x", 2), ("y", 3)], "cluster_id string, v int")
-    got = {r.key: r.d_v for r in lookup_with_fallback(left, dim, left_key="key", dim_key="cluster_id").collect()}
-    assert got == {"cluster-x": 1, "cluster-y": 3, "z": None}
+    left = spark.createDataFrame([("A", "cluster-x"), ("A", "cluster-y"), ("A", "z"), ("B", "cluster-x")], "briefing_id string, key string")
+    dim = spark.createDataFrame([("A", "cluster-x", 1), ("A", "x", 2), ("A", "y", 3), ("B", "x", 4)], "briefing_id string, cluster_id string, v int")
+    got = {(r.briefing_id, r.key): r.d_v for r in lookup_with_fallback(left, dim, left_key="key", dim_key="cluster_id").collect()}
+    assert got == {("A", "cluster-x"): 1, ("A", "cluster-y"): 3, ("A", "z"): None, ("B", "cluster-x"): 4}

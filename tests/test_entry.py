@@ -33,3 +33,31 @@ def test_heavy_plans_have_no_cartesian(spark):
     for name in ["near_dup_text", "rerank_bm25", "density_cluster", "dedup_report", "finalize_briefing", "quality_report"]:
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), name
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="driver data absent")
+def test_no_rows_meet_in_one_partition(spark):
+    """A single partition may only take the counts per range partition."""
+    import re
+
+    from tidings.plans import QUERIES, load_all
+
+    load_all()
+    for name in ["density_cluster", "bundles", "top_k_centroid", "rerank_bm25", "doc_bundles", "near_dup_text", "extract_facts"]:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        for after in re.findall(r"Exchange SinglePartition[^\n]*\n([^\n]*)", plan):
+            assert "HashAggregate(keys=[_range" in after, name
+
+
+def test_stage_tables_are_scoped(spark):
+    from tidings.session import cut_lineage, release, release_all, stage_scope
+
+    fs = lambda df: spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+    there = lambda p: p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    with stage_scope(spark) as keep:
+        inner, kept = cut_lineage(spark.range(3)), keep(cut_lineage(spark.range(4)))
+    assert not there(fs(inner)) and there(fs(kept)) and kept.count() == 4
+    release(kept)
+    outer = cut_lineage(spark.range(5))
+    release_all(spark)
+    assert not there(fs(kept)) and not there(fs(outer))

@@ -17,7 +17,7 @@ def test_encoder_hook(spark):
         return lambda texts: [[float(len(t)), float(t.count("a"))] for t in texts]
 
     df = spark.createDataFrame([(1, "banana\x01"), (2, "  apple  "), (3, "x" * 50)], "id long, text string")
-    got = {r.id: r.embedding for r in embed(df, _encoder, max_batch_tokens=5, chars_per_token=2.0).collect()}
+    got = {r.id: r.embedding for r in embed(df, _encoder, max_batch_tokens=5, max_item_chars=240, chars_per_token=2.0).collect()}
     assert got[1] == [6.0, 3.0] and got[2] == [5.0, 1.0] and got[3] == [10.0, 0.0]
 
 

@@ -2,24 +2,10 @@ import math
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from tidings.operators.cluster import density_cluster
 from tidings.operators.vectors import cosine_pairs, medoids, near_dup_keep
 
 
-def greedy_py(vecs, t):
-    u = [np.array(v) / np.linalg.norm(v) for v in vecs]
-    keep = [True] * len(u)
-    for i in range(len(u)):
-        if not keep[i]:
-            continue
-        for j in range(i + 1, len(u)):
-            if keep[j] and float(u[i] @ u[j]) >= t:
-                keep[j] = False
-    return keep
-
-
 def run_keep(spark, vecs, t, block_rows=2048):
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, embedding array<double>")
     pairs = cosine_pairs(df, t, block_rows=block_rows)
@@ -38,12 +24,122 @@ def test_chain_is_greedy_not_naive(spark):
     assert run_keep(spark, a, 0.92) == [True, False, True]
 
 
-def test_random_against_loop(spark):
+def cosines(vecs):
+    u = np.array(vecs, dtype=float)
+    u = u / np.maximum(np.linalg.norm(u, axis=1, keepdims=True), 1e-300)
+    return u @ u.T
+
+
+def test_kept_set_meets_its_definition(spark):
+    """Kept rows are pairwise below the threshold; every dropped row has an earlier kept neighbour."""
     rng = np.random.default_rng(7)
     base = rng.normal(size=(12, 8))
     vecs = [base[rng.integers(0, 12)] + rng.normal(scale=0.3, size=8) for _ in range(120)]
+    cos = cosines(vecs)
     for t in (0.8, 0.9):
-        assert run_keep(spark, vecs, t, block_rows=16) == greedy_py(vecs, t)
+        keep = run_keep(spark, vecs, t, block_rows=16)
+        for j in range(len(vecs)):
+            earlier = [i for i in range(j) if keep[i] and cos[i, j] >= t]
+            assert keep[j] == (not earlier)
+
+
+def test_pairs_equal_brute_force_for_any_cells(spark):
+    from tidings.operators.similarity import block_pair_join
+
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(9, 6))
+    vecs = [base[rng.integers(0, 9)] + rng.normal(scale=0.2, size=6) for _ in range(150)] + [np.zeros(6)] * 2
+    vecs += vecs[:5]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vecs)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    cos = cosines(vecs)
+    gap = np.linalg.norm(np.array(vecs)[:, None] - np.array(vecs)[None], axis=-1)
+    n = len(vecs)
+    for t in (0.95, 0.5):
+        want = {(i, j) for i in range(n) for j in range(i + 1, n) if cos[i, j] >= t}
+        got = [(r.a, r.b) for r in cosine_pairs(df, t, block_rows=20).collect()]
+        assert set(got) == want and len(got) == len(want)
+    for pivots, block in ((1, 2048), (7, 2048), (7, 10), (400, 2048)):
+        want = {(i, j) for i in range(n) for j in range(i + 1, n) if gap[i, j] <= 0.8}
+        got = [(r.a, r.b) for r in block_pair_join(df, "id", "embedding", 0.8, metric="euclid", pivots=pivots, block_rows=block).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_cells_prune_at_high_thresholds(spark):
+    """Rows are copied to few cells when clusters are tight; the work stays clearly below all pairs."""
+    from tidings.operators.similarity import _cells
+
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(40, 16))
+    v = base[rng.integers(0, 40, 2000)] + rng.normal(scale=0.05, size=(2000, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    import pandas as pd
+
+    pdf = pd.DataFrame({"id": range(2000), "_v": list(v)})
+    (out,) = list(_cells(v[::20], float(np.sqrt(2 - 2 * 0.98)))([pdf]))
+    cells = out.groupby("_cell").size()
+    assert (cells.astype(float) ** 2).sum() < 0.35 * 2000**2
+
+
+def test_near_duplicates_collapse_copies(spark):
+    from tidings.operators.vectors import near_duplicates
+
+    rows = [("k", [1.0, 0.0]), ("b", [1.0, 0.0]), ("z", [0.0, 0.0]), ("y", [0.0, 0.0]), ("c", [0.9, 0.1]), ("d", [0.0, 1.0]), ("e", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id string, embedding array<double>")
+    assert {r.id for r in near_duplicates(df, 0.95).collect()} == {"b", "d", "y", "z"}
+
+
+def test_long_chain_settles(spark):
+    from tidings.operators.greedy import greedy_keep_first
+
+    e = spark.createDataFrame([(i, i + 1) for i in range(40)], "early long, late long")
+    assert sorted(r.node for r in greedy_keep_first(e).collect()) == list(range(1, 41, 2))
+
+
+def test_text_pairs_equal_brute_force(spark):
+    from collections import Counter
+
+    from tidings.operators.textvec import embed_tf, text_cosine_pairs, text_near_duplicates
+
+    rng = random.Random(21)
+    vocab = [f"w{int(rng.paretovariate(0.9))}" for _ in range(3000)]
+    docs = []
+    for _ in range(40):
+        base = [rng.choice(vocab) for _ in range(rng.randint(1, 60))]
+        for _ in range(rng.randint(1, 4)):
+            w = list(base)
+            for _ in range(rng.randint(0, 2)):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            docs.append(" ".join(w))
+    df = spark.createDataFrame([("g", i, d) for i, d in enumerate(docs)], "grp string, id long, text string")
+    vec = embed_tf(df, group_cols=["grp"])
+    tf = [Counter(d.split()) for d in docs]
+    norm = [math.sqrt(sum(x * x for x in c.values())) for c in tf]
+    cos = {(i, j): sum(c * tf[j][w] for w, c in tf[i].items()) / norm[i] / norm[j] for i in range(len(docs)) for j in range(i + 1, len(docs))}
+    for t in (0.95, 0.8):
+        got = {(r.a, r.b): r.cos for r in text_cosine_pairs(vec, t, group_cols=["grp"]).collect()}
+        sure = {k for k, v in cos.items() if v >= t + 1e-9}
+        assert sure <= set(got) <= {k for k, v in cos.items() if v >= t - 1e-9}
+        assert all(abs(got[k] - cos[k]) < 1e-9 for k in got)
+    lost = {r.id for r in text_near_duplicates(vec, 0.9, group_cols=["grp"]).collect()}
+    for j in range(len(docs)):
+        assert (j in lost) == any(cos[i, j] >= 0.9 and i not in lost for i in range(j))
+
+
+def test_medoid_of_string_ids(spark):
+    rows = [("a", 1, [1.0, 0.0]), ("b", 1, [1.0, 0.0]), ("c", 1, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id string, label int, embedding array<double>")
+    assert [(r.label, r.id) for r in medoids(df).collect()] == [(1, "a")]
+
+
+def test_bundles_tie_on_first_appearance(spark):
+    from tidings.operators.vectors import build_bundles
+
+    ranked = spark.createDataFrame([("x", 5, 1), ("y", 3, 1)], "label string, id long, rank int")
+    members = spark.createDataFrame([("x", 5), ("x", 1), ("y", 3)], "label string, id long")
+    pos = lambda d: {r.label: r.bundle_pos for r in d.collect()}
+    assert pos(build_bundles(ranked)) == {"y": 1, "x": 2}
+    assert pos(build_bundles(ranked, members=members)) == {"x": 1, "y": 2}
 
 
 def test_medoid_matches_bruteforce(spark):

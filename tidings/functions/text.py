@@ -121,8 +121,3 @@ def safe_segment(col) -> Column:
 def flag_headline(headline, strategic) -> Column:
     h = py_strip(headline)
     return F.when(_c(strategic) & ~h.startswith(STRATEGIC_PREFIX), F.concat(F.lit(STRATEGIC_PREFIX), h)).otherwise(h)
-
-
-def approx_tokens_py(text: str, chars_per_token: float = CHARS_PER_TOKEN) -> int:
-    """Plain-Python twin of :func:`approx_tokens`, for tests."""
-    return max(1, int(math.ceil(len(text) / max(0.1, chars_per_token))))

@@ -18,17 +18,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import connected_components
-from tidings.session import checkpoint_round, cut_lineage
+from tidings.operators.ranking import prefix_row_number
 from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join
+from tidings.session import checkpoint_round, cut_lineage
+
+
+def neighbour_pairs(vecs: DataFrame, eps: float, *, id_col: str = "id", vec_col: str = "embedding",
+                    group_cols: Sequence[str] = (), block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Pairs within ``eps`` with their distance (``a``, ``b``, ``score``), written once as a stage table."""
+    return cut_lineage(block_pair_join(vecs, id_col, vec_col, eps, metric="euclid", group_cols=list(group_cols), block_rows=block_rows))
 
 
 def density_cluster(vecs: DataFrame, eps: float, min_size: int = 3, *, id_col: str = "id",
                     vec_col: str = "embedding", group_cols: Sequence[str] = (),
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """``group_cols, id, label, is_core`` for every input row."""
+                    block_rows: int = DEFAULT_BLOCK_ROWS, pairs: DataFrame | None = None) -> DataFrame:
+    """``group_cols, id, label, is_core`` for every input row. ``pairs`` may hold the neighbour pairs of this
+    ``eps`` or a larger one."""
     g = list(group_cols)
-    # the eps-neighbour pairs feed degrees, core points and core edges: computed once
-    pairs = cut_lineage(block_pair_join(vecs, id_col, vec_col, eps, metric="euclid", group_cols=g, block_rows=block_rows))
+    if pairs is None:
+        pairs = neighbour_pairs(vecs, eps, id_col=id_col, vec_col=vec_col, group_cols=g, block_rows=block_rows)
+    pairs = pairs.filter(F.col("score") <= eps)
     ends = pairs.select(*g, F.col("a").alias("node")).union(pairs.select(*g, F.col("b").alias("node")))
     deg = ends.groupBy(*g, "node").agg(F.count(F.lit(1)).alias("_d"))
     core = checkpoint_round(deg.filter(F.col("_d") + 1 >= min_size).select(*g, "node"))
@@ -39,9 +48,8 @@ def density_cluster(vecs: DataFrame, eps: float, min_size: int = 3, *, id_col: s
     )
     comp = connected_components(core_edges, core, g)
     size = comp.groupBy(*g, "comp").agg(F.count(F.lit(1)).alias("_n"))
-    big = size.filter(F.col("_n") >= min_size)
-    w = Window.partitionBy(*g).orderBy("comp")
-    numbered = big.withColumn("label", (F.row_number().over(w) - 1).cast("int")).select(*g, "comp", "label")
+    big = size.filter(F.col("_n") >= min_size).select(*g, "comp")
+    numbered = prefix_row_number(big, g, ["comp"], "_k").select(*g, "comp", (F.col("_k") - 1).cast("int").alias("label"))
     lab = comp.join(numbered, g + ["comp"]).select(*g, F.col("node").alias(id_col), "label")
     return (
         vecs.select(*g, id_col)
@@ -72,8 +80,10 @@ def density_hierarchy(vecs: DataFrame, eps_grid: Sequence[float], min_size: int
     lam = [1.0 / e for e in grid]
     nlev = len(grid)
     member = None
+    # one pair table at the largest eps; the levels filter it by distance
+    near = neighbour_pairs(src, grid[0], id_col=id_col, vec_col=vec_col, group_cols=g, block_rows=block_rows)
     for li, eps in enumerate(grid):
-        lab = density_cluster(src, eps, min_size, id_col=id_col, vec_col=vec_col, group_cols=g, block_rows=block_rows)
+        lab = density_cluster(src, eps, min_size, id_col=id_col, vec_col=vec_col, group_cols=g, pairs=near)
         lv = lab.filter(F.col("label") >= 0).select(*g, id_col, F.lit(li).alias("level"), F.col("label").alias("cl"))
         member = lv if member is None else member.unionByName(lv)
     member = cut_lineage(member)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidings.functions.text import CHARS_PER_TOKEN, MAX_BATCH_TOKENS, MAX_ITEM_CHARS, clean_for_embedding, truncate_for_model
+from tidings.functions.text import CHARS_PER_TOKEN, MAX_BATCH_TOKENS, clean_for_embedding, truncate_for_model
 
 Encoder = Callable[[list[str]], Sequence[Sequence[float]]]
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
@@ -36,12 +36,15 @@ def _token_batches(texts: list[str], budget: int, cpt: float) -> Iterator[list[i
 
 
 def embed(items: DataFrame, make_encoder: Callable[[], Encoder], *, text_col: str = "text",
-          max_batch_tokens: int = MAX_BATCH_TOKENS, max_item_chars: int = MAX_ITEM_CHARS,
+          max_batch_tokens: int = MAX_BATCH_TOKENS, max_item_chars: int | None = None,
           chars_per_token: float = CHARS_PER_TOKEN) -> DataFrame:
     """Adds ``embedding array<float>`` computed by the user's encoder. ``make_encoder`` is called once per
-    Python worker; texts are cleaned and truncated JVM-side, then packed into token-budget batches."""
-    prepared = items.withColumn("_etext", truncate_for_model(clean_for_embedding(F.col(text_col)), max_item_chars,
-                                                             max_batch_tokens, chars_per_token))
+    Python worker; texts are cleaned JVM-side, then packed into token-budget batches. An encoder with a length
+    limit says so in ``max_item_chars``; without, it gets whole texts."""
+    cleaned = clean_for_embedding(F.col(text_col))
+    if max_item_chars is not None:
+        cleaned = truncate_for_model(cleaned, max_item_chars, max_batch_tokens, chars_per_token)
+    prepared = items.withColumn("_etext", cleaned)
     schema = T.StructType(prepared.schema.fields + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidings.functions.text import approx_tokens
+from tidings.operators.greedy import greedy_keep_first
+from tidings.operators.ranking import prefix_row_number
+from tidings.session import cut_lineage
 
 # Token pattern and BM25 parameters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
@@ -36,128 +38,96 @@ def embed_tf(docs: DataFrame, *, id_col: str = "id", text_col: str = "text", gro
     return tf.withColumn("w", F.col("tf") / norm)
 
 
+def token_numbers(vec: DataFrame) -> DataFrame:
+    """(token, tid): distinct tokens numbered from the rarest to the commonest, written once as a table, so every
+    task reads the same numbers."""
+    df = vec.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
+    return cut_lineage(prefix_row_number(df, [], ["_df", "token"], "tid").select("token", F.col("tid").cast("long").alias("tid")))
+
+
+def _prefixes(t: float, keys: Sequence[str], id_col: str):
+    """Pandas mapper: the leading (rarest) tokens of every document, up to where what is left has norm below ``t``."""
+
+    def run(batches):
+        for pdf in batches:
+            out_id, out_tid = [], []
+            for tids, ws in zip(pdf["_t"], pdf["_w"], strict=True):
+                ws = np.asarray(ws, dtype=np.float64)
+                rest = np.cumsum((ws * ws)[::-1])[::-1]
+                n = int(np.count_nonzero(rest >= t * t - 1e-9))
+                out_id.append(n)
+                out_tid.append(np.asarray(tids, dtype=np.int64)[:n])
+            at = np.repeat(np.arange(len(pdf)), out_id)
+            res = pdf[[*keys, id_col]].iloc[at].copy()
+            res["tid"] = np.concatenate(out_tid) if out_tid else np.zeros(0, np.int64)
+            yield res
+
+    return run
+
+
+def _exact_cosines(t: float):
+    """Pandas mapper over candidate pairs with both vectors: exact cosines of a whole batch at once."""
+
+    def run(batches):
+        for pdf in batches:
+            n = len(pdf)
+            if not n:
+                continue
+
+            def flat(tokens, weights):
+                size = pdf[tokens].map(len).to_numpy()
+                pair = np.repeat(np.arange(n, dtype=np.int64), size)
+                return pair, np.concatenate(pdf[tokens].to_numpy()).astype(np.int64), np.concatenate(pdf[weights].to_numpy()).astype(np.float64)
+
+            (pa_, ta, wa), (pb, tb, wb) = flat("_ta", "_wa"), flat("_tb", "_wb")
+            top = max(int(ta.max(initial=0)), int(tb.max(initial=0))) + 1
+            _, ia, ib = np.intersect1d(pa_ * top + ta, pb * top + tb, assume_unique=True, return_indices=True)
+            score = np.bincount(pa_[ia], weights=wa[ia] * wb[ib], minlength=n)
+            res = pdf.drop(columns=["_ta", "_wa", "_tb", "_wb"]).copy()
+            res["cos"] = score
+            yield res[score >= t]
+
+    return run
+
+
 def text_cosine_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form unit vectors.
 
-    Prefix filter (Bayardo, Ma, Srikant 2007): tokens are ordered globally by (document frequency, token);
-    a document's prefix is its leading tokens up to the point where the remaining weight has norm < t.
-    Two unit vectors with cosine >= t share a prefix token, so only prefix postings are joined, and rare
-    tokens lead the prefixes. Candidates are then verified with the full dot product.
+    Prefix filter (Bayardo, Ma, Srikant 2007): tokens are ordered from rare to common; a document's prefix is
+    its leading tokens up to the point where the remaining weight has norm < t. Two unit vectors with cosine
+    >= t share a prefix token, so only prefix postings are joined (a common token in many prefixes is split by
+    the adaptive skew join). The distinct candidates are verified on whole vectors, a batch at a time.
     Output: ``group_cols, a, b, cos``.
     """
     g = list(group_cols)
-    dfreq = vec.groupBy(*g, "token").agg(F.count(F.lit(1)).alias("_df"))
-    v = vec.join(dfreq, g + ["token"])
-    w_rev = Window.partitionBy(*g, id_col).orderBy(F.col("_df").desc(), F.col("token").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rem = F.sum(F.col("w") * F.col("w")).over(w_rev)
-    prefix = v.withColumn("_rem", rem).filter(F.col("_rem") >= F.lit(t * t - 1e-9)).select(*g, id_col, "token")
-    p1 = prefix.withColumnRenamed(id_col, "a")
-    p2 = prefix.withColumnRenamed(id_col, "b")
-    cand = p1.join(p2, g + ["token"]).filter(F.col("a") < F.col("b")).select(*g, "a", "b").distinct()
-    va = vec.select(*g, F.col(id_col).alias("a"), "token", F.col("w").alias("wa"))
-    vb = vec.select(*g, F.col(id_col).alias("b"), "token", F.col("w").alias("wb"))
-    dots = (cand.join(va, g + ["a"]).join(vb, g + ["b", "token"])
-            .groupBy(*g, "a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cos")))
-    return dots.filter(F.col("cos") >= t)
-
-
-def _sparse_kernel(id_col, group_cols, threshold):
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        out_cols = list(group_cols) + ["a", "b", "score"]
-        if pdf.empty:
-            return pd.DataFrame(columns=out_cols)
-        bi, bj = int(pdf["_bi"].iat[0]), int(pdf["_bj"].iat[0])
-        left = pdf[pdf["_blk"] == bi]
-        right = left if bi == bj else pdf[pdf["_blk"] == bj]
-        if left.empty or right.empty:
-            return pd.DataFrame(columns=out_cols)
-        ta = np.unique(np.concatenate(left["_t"].to_numpy()))
-        vocab = ta if bi == bj else np.intersect1d(ta, np.unique(np.concatenate(right["_t"].to_numpy())))
-        if vocab.size == 0:
-            return pd.DataFrame(columns=out_cols)
-
-        def dense(part):
-            toks = part["_t"].to_numpy()
-            lens = np.fromiter((len(x) for x in toks), dtype=np.int64, count=len(toks))
-            rows = np.repeat(np.arange(len(toks)), lens)
-            t = np.concatenate(toks).astype(np.int64)
-            w = np.concatenate(part["_w"].to_numpy()).astype(np.float32)
-            pos = np.searchsorted(vocab, t)
-            ok = (pos < vocab.size) & (vocab[np.minimum(pos, vocab.size - 1)] == t)
-            m = np.zeros((len(toks), vocab.size), dtype=np.float32)
-            m[rows[ok], pos[ok]] = w[ok]
-            return m
-
-        A = dense(left)
-        G32 = A @ (A if bi == bj else dense(right)).T
-        del A
-        ida = left[id_col].to_numpy()
-        idb = ida if bi == bj else right[id_col].to_numpy()
-        # float32 product finds candidates; each candidate is decided by an exact float64 sparse dot product
-        near = G32 >= threshold - 1e-3
-        if bi == bj:
-            near &= ida[:, None] < idb[None, :]
-        r0, c0 = np.nonzero(near)
-        lt, lw = left["_t"].to_numpy(), left["_w"].to_numpy()
-        rt, rw = right["_t"].to_numpy(), right["_w"].to_numpy()
-        exact = np.empty(r0.size)
-        for k, (i, j) in enumerate(zip(r0, c0)):
-            ti, tj = np.asarray(lt[i]), np.asarray(rt[j])
-            _, xi, xj = np.intersect1d(ti, tj, assume_unique=True, return_indices=True)
-            exact[k] = float(np.dot(np.asarray(lw[i], dtype=np.float64)[xi], np.asarray(rw[j], dtype=np.float64)[xj]))
-        keep = exact >= threshold
-        r, c = r0[keep], c0[keep]
-        score = exact[keep]
-        a, b = ida[r], idb[c]
-        res = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "score": score})
-        for g in reversed(list(group_cols)):
-            res.insert(0, g, pdf[g].iat[0])
-        return res[out_cols]
-
-    return kernel
-
-
-def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = (),
-                     block_rows: int = 1024) -> DataFrame:
-    """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form unit vectors, by block pairs.
-
-    Tokens get exact integer ids (``monotonically_increasing_id`` on the distinct tokens, a distributed
-    dictionary), each document becomes (ids, weights) arrays, documents are hashed into blocks per group
-    (more blocks for bigger groups) and each block pair is one task that densifies both blocks over the
-    tokens they share and multiplies them; only pairs over ``t`` leave the task. Work is predictable
-    whatever the token distribution; use :func:`text_cosine_pairs` (prefix filter) for Zipfian text
-    where prefixes are short. Output: ``group_cols, a, b, cos``.
-    """
+    numbered = vec.join(token_numbers(vec), "token")
+    docs = numbered.groupBy(*g, id_col).agg(F.array_sort(F.collect_list(F.struct("tid", "w"))).alias("_v"))
+    docs = cut_lineage(docs.select(*g, id_col, F.col("_v.tid").alias("_t"), F.col("_v.w").alias("_w")))
+    kept = [f for f in docs.schema.fields if f.name in [*g, id_col]]
+    prefix = cut_lineage(docs.mapInPandas(_prefixes(t, g, id_col), schema=T.StructType([*kept, T.StructField("tid", T.LongType())])))
+    a = prefix.withColumnRenamed(id_col, "a")
+    b = prefix.withColumnRenamed(id_col, "b")
+    cand = a.join(b, [*g, "tid"]).filter(F.col("a") < F.col("b")).select(*g, "a", "b").distinct()
+    left = docs.select(*g, F.col(id_col).alias("a"), F.col("_t").alias("_ta"), F.col("_w").alias("_wa"))
+    right = docs.select(*g, F.col(id_col).alias("b"), F.col("_t").alias("_tb"), F.col("_w").alias("_wb"))
+    both = cand.join(left, [*g, "a"]).join(right, [*g, "b"]).select(*g, "a", "b", "_ta", "_wa", "_tb", "_wb")
+    out = T.StructType([*[f for f in both.schema.fields if f.name in [*g, "a", "b"]], T.StructField("cos", T.DoubleType())])
+    return both.mapInPandas(_exact_cosines(t), schema=out)
+
+
+def text_near_duplicates(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
+    """Documents (``group_cols, id``) dropped by the keep-first scan in id order at cosine ``t``, exact copies
+    first: of equal vectors only the first is compared, the others are dropped with it or by it."""
     g = list(group_cols)
-    user_groups = bool(g)
-    if not user_groups:
-        vec = vec.withColumn("_grp", F.lit(0))
-        g = ["_grp"]
-    tokens = vec.select("token").distinct().withColumn("_tid", F.monotonically_increasing_id())
-    docs = (vec.join(tokens, "token")
-            .groupBy(*g, id_col)
-            .agg(F.collect_list(F.struct(F.col("_tid"), F.col("w"))).alias("_tw")))
-    docs = docs.select(*g, id_col, F.col("_tw._tid").alias("_t"), F.col("_tw.w").alias("_w"))
-    if user_groups:
-        sizes = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-        docs = docs.join(sizes, g)
-    else:
-        docs = docs.withColumn("_n", F.lit(docs.count()))
-    docs = docs.withColumn("_g", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(block_rows)))).cast("int"))
-    docs = docs.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_g")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("_g") - 1),
-                        lambda x: F.struct(F.least(F.col("_blk"), x).alias("bi"), F.greatest(F.col("_blk"), x).alias("bj")))
-    rep = docs.withColumn("_p", F.explode(pairs)).select(*g, id_col, "_t", "_w", "_blk",
-                                                          F.col("_p.bi").alias("_bi"), F.col("_p.bj").alias("_bj"))
-    id_type = vec.schema[id_col].dataType.simpleString()
-    schema = ", ".join([f"{c} {vec.schema[c].dataType.simpleString()}" for c in g] +
-                       [f"a {id_type}", f"b {id_type}", "score double"])
-    # explicit partition count so AQE does not pack the CPU-heavy block pairs into a few tasks
-    rep = rep.repartition(int(vec.sparkSession.conf.get("spark.sql.shuffle.partitions")), *g, "_bi", "_bj")
-    out = rep.groupBy(*g, "_bi", "_bj").applyInPandas(_sparse_kernel(id_col, g, t), schema=schema)
-    out = out.withColumnRenamed("score", "cos")
-    return out if user_groups else out.drop("_grp")
+    key = [F.sum(F.xxhash64("token", "tf", F.lit(s)).cast("decimal(20,0)")).alias(f"_k{s}") for s in (1, 2)]
+    content = vec.groupBy(*g, id_col).agg(F.count(F.lit(1)).alias("_n"), *key)
+    same = [*g, "_n", "_k1", "_k2"]
+    first = content.groupBy(*same).agg(F.min(id_col).alias("_first"))
+    copies = cut_lineage(content.join(first, same).select(*g, id_col, "_first"))
+    reps = vec.join(copies.filter(F.col(id_col) == F.col("_first")).select(*g, id_col), [*g, id_col], "left_semi")
+    pairs = text_cosine_pairs(reps, t, id_col=id_col, group_cols=g)
+    lost = greedy_keep_first(pairs.select(*g, F.col("a").alias("early"), F.col("b").alias("late")), g).withColumnRenamed("node", id_col)
+    return lost.unionByName(copies.filter(F.col(id_col) != F.col("_first")).select(*g, id_col))
 
 
 def tf_medoid_scores(vec: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("cluster_id",)) -> DataFrame:
@@ -179,68 +149,64 @@ def rerank_bm25(vec: DataFrame, queries: DataFrame, *, id_col: str = "id", key_c
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)). Output ``key_cols, id, score, rank`` (rank 1 = best;
     ties by id).
 
-    The candidates of a cluster are bounded (the centroid cut), so the vectors are hash-partitioned by
-    cluster once and every statistic (N, avgdl, dl, df, query tokens) is a window or aggregate that reuses
-    that partitioning: one shuffle in place of one per statistic.
+    The query's tokens come first: only their postings are joined and counted. Lengths are one partial aggregate,
+    ranks come from range partitions; no task holds a cluster.
     """
     k = list(key_cols)
-    n = int(vec.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    v = vec.join(queries, k).repartition(n, *k)
-    wc = Window.partitionBy(*k)
-    wd = Window.partitionBy(*k, id_col)
-    wt = Window.partitionBy(*k, "token")
-    first_tok = F.row_number().over(wd.orderBy("token")) == 1
-    v = (v.withColumn("_dl", F.sum("tf").over(wd))
-         .withColumn("_df", F.count(F.lit(1)).over(wt))
-         .withColumn("_q", F.max(F.when(F.col(id_col) == F.col("qid"), F.lit(1)).otherwise(F.lit(0))).over(wt))
-         .withColumn("_first", first_tok.cast("int")))
-    v = v.withColumn("_N", F.sum("_first").over(wc)).withColumn("_sumdl", F.sum(F.when(F.col("_first") == 1, F.col("_dl"))).over(wc))
-    avgdl = F.col("_sumdl") / F.col("_N")
-    idf = F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
-    term = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / avgdl))
+    asked = vec.join(queries.withColumnRenamed("qid", id_col), [*k, id_col], "left_semi").select(*k, "token").distinct()
+    postings = cut_lineage(vec.select(*k, id_col, "token", "tf").join(asked, [*k, "token"]))
+    length = cut_lineage(vec.groupBy(*k, id_col).agg(F.sum("tf").alias("_dl")))
+    stats = length.groupBy(*k).agg(F.count(F.lit(1)).alias("_N"), F.avg("_dl").alias("_avg"))
+    idf = postings.groupBy(*k, "token").agg(F.count(F.lit(1)).alias("_df")).join(stats, k).select(
+        *k, "token", "_avg", F.log(1.0 + (F.col("_N") - F.col("_df") + 0.5) / (F.col("_df") + 0.5)).alias("_idf"))
+    term = F.col("_idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("_avg")))
+    found = postings.join(idf, [*k, "token"]).join(length, [*k, id_col]).groupBy(*k, id_col).agg(F.sum(term).alias("_s"))
     # rounded to 1e-9 so that equal scores (copies) rank by id, not by float summation order
-    scored = v.groupBy(*k, id_col).agg(F.round(F.sum(F.when(F.col("_q") == 1, term).otherwise(F.lit(0.0))), 9).alias("score"))
-    w = Window.partitionBy(*k).orderBy(F.col("score").desc(), F.col(id_col))
-    return scored.withColumn("rank", F.row_number().over(w))
+    scored = length.join(found, [*k, id_col], "left").select(*k, id_col, F.round(F.coalesce("_s", F.lit(0.0)), 9).alias("score"))
+    ranked = prefix_row_number(scored.withColumn("_down", -F.col("score")), k, ["_down", id_col], "rank")
+    return ranked.select(*k, id_col, "score", F.col("rank").cast("int").alias("rank"))
 
 
-def pack_batches(items: DataFrame, budget: int, *, group_col: str = "source", order_col: str = "id",
+def pack_batches(items: DataFrame, budget: int, *, group_cols: Sequence[str] = ("source", "shard"), order_col: str = "id",
                  tokens_col: str = "tokens", num_partitions: int | None = None) -> DataFrame:
     """Token-budget batch numbers: in order within each group, a new batch opens when the running sum
     would exceed ``budget`` (the sum resets; it is not a plain cumulative sum).
 
-    The fold is sequential by definition, so each group is range-partitioned and sorted, and a streaming
-    ``mapInPandas`` carries O(1) state across Arrow batches: no group is ever collected into memory.
+    The fold is sequential by definition, so a hot source is cut into shards by the caller (say, ranges of the
+    order column) and every (source, shard) packs on its own. Groups are hash-partitioned and sorted, and a
+    streaming ``mapInPandas`` carries O(1) state across Arrow batches: no group is ever collected into memory.
     Output adds ``batch_no`` (int, from 0).
     """
     spark = items.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    from pyspark.sql import types as T
-
-    schema = T.StructType(items.schema.fields + [T.StructField("batch_no", T.IntegerType())])
-    cols = items.columns
+    schema = T.StructType([*items.schema.fields, T.StructField("batch_no", T.IntegerType())])
+    keys = list(group_cols)
 
     def fold(batches):
-        cur_group, batch_no, cur = object(), 0, 0
+        group, batch_no, room = None, 0, budget
         for pdf in batches:
-            groups = pdf[group_col].to_numpy()
-            toks = pdf[tokens_col].to_numpy()
-            out = np.empty(len(pdf), dtype=np.int32)
-            for i in range(len(pdf)):
-                if groups[i] != cur_group:
-                    cur_group, batch_no, cur = groups[i], 0, 0
-                elif cur + toks[i] > budget and cur > 0:
-                    batch_no, cur = batch_no + 1, 0
-                cur += int(toks[i])
-                out[i] = batch_no
-            pdf = pdf[cols].copy()
-            pdf["batch_no"] = out
-            yield pdf
-
-    sorted_items = items.repartition(n, group_col).sortWithinPartitions(group_col, order_col)
+            toks = pdf[tokens_col].to_numpy(dtype=np.int64)
+            total = np.concatenate(([0], np.cumsum(toks)))
+            rows = list(pdf[keys].itertuples(index=False, name=None))
+            starts = [i for i in range(len(rows)) if i == 0 or rows[i] != rows[i - 1]]
+            out = np.empty(len(rows), dtype=np.int32)
+            for first, last in zip(starts, [*starts[1:], len(rows)], strict=True):
+                if rows[first] != group:
+                    group, batch_no, room = rows[first], 0, None
+                i = first
+                while i < last:
+                    # rows that fit into what is left of the batch; a batch takes its first row in any case
+                    fits = int(np.searchsorted(total, total[i] + (budget if room is None else room), side="right")) - 1
+                    j = min(max(fits, i + (room is None)), last)
+                    out[i:j] = batch_no
+                    if j < last:
+                        batch_no, room = batch_no + 1, None
+                    else:
+                        room = (budget if room is None else room) - int(total[j] - total[i])
+                    i = j
+            res = pdf.copy()
+            res["batch_no"] = out
+            yield res
+
+    sorted_items = items.repartition(n, *keys).sortWithinPartitions(*keys, order_col)
     return sorted_items.mapInPandas(fold, schema=schema)
-
-
-def item_tokens(text_col: str = "text", chars_per_token: float = 4.0):
-    return approx_tokens(text_col, chars_per_token)
-

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import greedy_keep_first
+from tidings.operators.ranking import prefix_row_number
 from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join, dot, unit_vector
 
-# Defaults of the reference run configuration.
+# Defaults of the run configuration, for callers that want its cuts.
 NEAR_DUP_THRESHOLD = 0.92
 INITIAL_TOPK = 1000
 MAX_CANDIDATES = 300
@@ -25,7 +26,7 @@ def cosine_pairs(vecs: DataFrame, t: float, *, id_col: str = "id", vec_col: str
 
 
 def near_dup_keep(items: DataFrame, pairs: DataFrame, *, id_col: str = "id", order_col: str | None = None,
-                  group_cols: Sequence[str] = (), max_rounds: int = 200) -> DataFrame:
+                  group_cols: Sequence[str] = ()) -> DataFrame:
     """Rows of ``items`` kept by the greedy, keep-first, in-order near-duplicate scan.
 
     ``pairs`` holds ``a``, ``b`` (ids) of every similar pair in the group. ``order_col`` is the input
@@ -44,10 +45,31 @@ def near_dup_keep(items: DataFrame, pairs: DataFrame, *, id_col: str = "id", ord
             F.when(F.col("_oa") < F.col("_ob"), F.col("b")).otherwise(F.col("a")).alias("late"),
         )
     )
-    dropped = greedy_keep_first(e, g, max_rounds=max_rounds).withColumnRenamed("node", id_col)
+    dropped = greedy_keep_first(e, g).withColumnRenamed("node", id_col)
     return items.join(dropped, g + [id_col], "left_anti")
 
 
+def near_duplicates(items: DataFrame, t: float, *, id_col: str = "id", vec_col: str = "embedding", order_col: str | None = None,
+                    group_cols: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``items`` kept by the near-duplicate scan at cosine ``t``, exact copies first.
+
+    A copy of an earlier vector is always dropped (whatever drops or keeps the first one also meets the copy), so
+    only the first row of equal vectors is compared; a group of m copies costs m rows, not m²/2 pairs. Zero
+    vectors are similar to nothing and stay.
+    """
+    g = list(group_cols)
+    order_col = order_col or id_col
+    v = F.col(vec_col).cast("array<double>")
+    key = F.when(F.exists(v, lambda x: x != 0), v)
+    place = F.struct(F.col(order_col).alias("o"), F.col(id_col).alias("i"))
+    first = items.filter(key.isNotNull()).groupBy(*g, key.alias("_key")).agg(F.min(place).alias("_first"))
+    firsts = first.select(*g, F.col("_first.i").alias(id_col))
+    alone = items.filter(key.isNull())
+    reps = items.join(firsts, g + [id_col], "left_semi").unionByName(alone)
+    return near_dup_keep(reps, cosine_pairs(reps, t, id_col=id_col, vec_col=vec_col, group_cols=g), id_col=id_col,
+                         order_col=order_col, group_cols=g)
+
+
 def centroids_long(vecs: DataFrame, *, key_cols: Sequence[str] = ("label",), vec_col: str = "embedding",
                    unit: bool = False) -> DataFrame:
     """Mean vector per key in long form ``key_cols, pos, value`` (partial aggregation before the shuffle)."""
@@ -69,27 +91,27 @@ def centroids(vecs: DataFrame, *, key_cols: Sequence[str] = ("label",), vec_col:
 
 
 def top_k_by_centroid(vecs: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("label",),
-                      vec_col: str = "embedding", k: int = INITIAL_TOPK, max_candidates: int = MAX_CANDIDATES,
-                      order_col: str | None = None) -> DataFrame:
-    """Members ranked by cosine to their raw-mean centroid; keeps ``min(k, size)`` then ``max_candidates``.
+                      vec_col: str = "embedding", k: int | None = None, order_col: str | None = None) -> DataFrame:
+    """Members ranked by cosine to their raw-mean centroid; all of them, or the first ``k`` when the caller says.
 
-    Output: ``key_cols, id, sim, rank`` (rank 1 = closest; ties by order column then id).
+    Output: ``key_cols, id, sim, rank`` (rank 1 = closest; ties by order column then id). With ``k`` the ranking
+    keeps k rows per key and task; without, ranks come from range partitions, so a hot key spreads.
     """
     order_col = order_col or id_col
     c = centroids(vecs, key_cols=key_cols, vec_col=vec_col)
     x = F.col(vec_col).cast("array<double>")
     nx = F.sqrt(dot(x, x))
     nc = F.sqrt(dot("centroid", "centroid"))
+    # rounded so that exact ties break on the order column, not on float noise
     sim = F.when((nx > 0) & (nc > 0), dot(x, F.col("centroid")) / (nx * nc)).otherwise(F.lit(0.0))
-    w = Window.partitionBy(*key_cols).orderBy(F.col("sim").desc(), F.col(order_col), F.col(id_col))
-    limit = min(k, max_candidates)
-    return (
-        vecs.join(c, list(key_cols))
-        .select(*key_cols, id_col, *([order_col] if order_col != id_col else []), sim.alias("sim"))
-        .withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= limit)
-        .select(*key_cols, id_col, "sim", "rank")
-    )
+    extra = [order_col] if order_col != id_col else []
+    scored = vecs.join(c, list(key_cols)).select(*key_cols, id_col, *extra, sim.alias("sim"))
+    if k is None:
+        ranked = prefix_row_number(scored.withColumn("_far", -F.col("sim")), list(key_cols), ["_far", *extra, id_col], "rank")
+    else:
+        w = Window.partitionBy(*key_cols).orderBy(F.col("sim").desc(), F.col(order_col), F.col(id_col))
+        ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.select(*key_cols, id_col, "sim", F.col("rank").cast("int").alias("rank"))
 
 
 def medoids(vecs: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("label",),
@@ -97,32 +119,29 @@ def medoids(vecs: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("
     """Member with the highest mean cosine to all members (self included); the first in order wins a tie.
 
     Mean cosine of ``i`` is ``û_i · mean(û)``, so the operator is one aggregate and one join (linear),
-    and the arg-max is a partial aggregate (``max_by``), never a whole group in one task.
-    Output: ``key_cols, id, score``.
+    and the arg-max is a partial aggregate, never a whole group in one task. Ids and order values may be of any
+    orderable type. Output: ``key_cols, id, score``.
     """
     order_col = order_col or id_col
     mu = centroids(vecs, key_cols=key_cols, vec_col=vec_col, unit=True)
+    # rounded to 1e-9 so that equal members tie
     scored = vecs.join(mu, list(key_cols)).select(
-        *key_cols, id_col, F.col(order_col).alias("_ord"), dot(unit_vector(vec_col), "centroid").alias("score")
-    )
-    # tie-break: highest score, then the earliest order value, then the smallest id
-    pick = scored.groupBy(*key_cols).agg(
-        F.max_by(F.struct(F.col(id_col).alias("id_"), F.col("score").alias("score_")),
-                 F.struct(F.col("score"), F.negative(F.col("_ord")), F.negative(F.col(id_col)))).alias("m")
-    )
-    return pick.select(*key_cols, F.col("m.id_").alias(id_col), F.col("m.score_").alias("score"))
+        *key_cols, F.struct((-F.round(dot(unit_vector(vec_col), "centroid"), 9)).alias("s"), F.col(order_col).alias("o"),
+                            F.col(id_col).alias("i")).alias("m"))
+    best = scored.groupBy(*key_cols).agg(F.min("m").alias("m"))
+    return best.select(*key_cols, F.col("m.i").alias(id_col), (-F.col("m.s")).alias("score"))
 
 
 def build_bundles(ranked: DataFrame, *, key_col: str = "label", id_col: str = "id", rank_col: str = "rank",
-                  order_col: str | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
+                  order_col: str | None = None, group_cols: Sequence[str] = (), members: DataFrame | None = None) -> DataFrame:
     """One bundle per cluster, items in rank order; bundles ordered by size desc, then by the first
-    appearance of the cluster (smallest order value). Output adds ``bundle_pos`` and ``n_items``.
+    appearance of the cluster: the smallest order value of all its ``members`` (default: of the ranked rows, which
+    is the same where nothing was cut). Output adds ``bundle_pos`` and ``n_items``.
     """
     g = list(group_cols)
     order_col = order_col or id_col
-    per = ranked.groupBy(*g, key_col).agg(
-        F.count(F.lit(1)).alias("n_items"), F.min(order_col).alias("_first")
-    )
-    w = Window.partitionBy(*g).orderBy(F.col("n_items").desc(), F.col("_first"), F.col(key_col))
-    per = per.withColumn("bundle_pos", F.row_number().over(w)).drop("_first")
-    return ranked.join(per, g + [key_col])
+    per = ranked.groupBy(*g, key_col).agg(F.count(F.lit(1)).alias("n_items"))
+    first = (ranked if members is None else members).groupBy(*g, key_col).agg(F.min(order_col).alias("_first"))
+    per = per.join(first, g + [key_col]).withColumn("_size", -F.col("n_items"))
+    per = prefix_row_number(per, g, ["_size", "_first", key_col], "bundle_pos").drop("_size", "_first")
+    return ranked.join(per.withColumn("bundle_pos", F.col("bundle_pos").cast("int")), g + [key_col])

@@ -88,11 +88,11 @@ def q_truncate_texts(spark, sf):
 
 
 @register("approx_tokens", f"""
-SELECT doc_id, {S.approx_tokens('text')} AS tokens, {S.approx_tokens('substring(text, 1, 6000)')} AS tokens_truncated
+SELECT doc_id, {S.approx_tokens('text')} AS tokens, {S.approx_tokens('text', 2.5)} AS tokens_dense
 FROM documents""")
 def q_approx_tokens(spark, sf):
     return _docs(spark, sf).select("doc_id", approx_tokens("text").alias("tokens"),
-                                   approx_tokens(truncate_for_model(F.col("text"))).alias("tokens_truncated"))
+                                   approx_tokens("text", 2.5).alias("tokens_dense"))
 
 
 @register("redact_secrets", f"""
@@ -131,10 +131,9 @@ def q_safe_segments(spark, sf):
 
 @register("flag_headlines", f"""
 SELECT doc_id, {S.flag_headline("h", "doc_id % 3 = 0")} AS headline FROM (
-  SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '【Strategic/Risk】' ELSE ' ' END || split_part(text, chr(10), 1) AS h FROM documents)""")
+  SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '【Strategic/Risk】' ELSE ' ' END || text AS h FROM documents)""")
 def q_flag_headlines(spark, sf):
-    h = F.concat(F.when(F.col("doc_id") % 5 == 0, F.lit("【Strategic/Risk】")).otherwise(F.lit(" ")),
-                 F.split_part("text", F.lit("\n"), F.lit(1)))
+    h = F.concat(F.when(F.col("doc_id") % 5 == 0, F.lit("【Strategic/Risk】")).otherwise(F.lit(" ")), F.col("text"))
     return _docs(spark, sf).select("doc_id", flag_headline(h, F.col("doc_id") % 3 == 0).alias("headline"))
 
 

@@ -5,15 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.functions.text import approx_tokens, truncate_for_model
-from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_block_pairs, tf_medoid_scores
-from tidings.operators.vectors import build_bundles, near_dup_keep
+from tidings.functions.text import approx_tokens
+from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_cosine_pairs, text_near_duplicates, tf_medoid_scores
+from tidings.operators.vectors import build_bundles
 from tidings.plans.registry import register
 from tidings.session import cut_lineage
 from tidings.tables import read
 
 T_TEXT = 0.95
-MAX_CANDIDATES = 300
 
 
 def doc_clusters(spark, sf):
@@ -49,8 +48,7 @@ csize AS (SELECT cluster_id, count(DISTINCT doc_id) AS n FROM w GROUP BY cluster
 mean AS (SELECT cluster_id, token, sum(w) / any_value(n) AS m FROM w JOIN csize USING (cluster_id) GROUP BY ALL),
 ms AS (SELECT w.cluster_id, doc_id, round(sum(w * m), 9) AS score FROM w JOIN mean USING (cluster_id, token) GROUP BY ALL),
 q AS (SELECT cluster_id, arg_max(doc_id, (score, -doc_id)) AS qid FROM ms GROUP BY cluster_id),
-cand AS (SELECT cluster_id, doc_id FROM (SELECT cluster_id, doc_id,
-           row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, doc_id) AS r FROM ms) WHERE r <= 300),
+cand AS (SELECT cluster_id, doc_id FROM ms),
 cv AS (SELECT w.* FROM w JOIN cand USING (cluster_id, doc_id)),
 dl AS (SELECT cluster_id, doc_id, sum(tf) AS dl FROM cv GROUP BY ALL),
 st AS (SELECT cluster_id, count(*) AS nn, avg(dl) AS avgdl FROM dl GROUP BY ALL),
@@ -71,51 +69,34 @@ def q_embed_tf(spark, sf):
     return doc_vectors(spark, sf).select("doc_id", "token", "tf", F.round("w", 6).alias("w"))
 
 
-_VEC_MEMO: dict = {}
-
-
 def doc_vectors(spark, sf):
-    """TF vectors of every document with both grouping keys (language, cluster), written once per session
-    and scale and shared by the text near-dup, pair and rerank queries (the weights do not depend on the
-    grouping)."""
-    key = (id(spark.sparkContext._jsc), sf)
-    if key not in _VEC_MEMO:
-        _VEC_MEMO[key] = cut_lineage(embed_tf(doc_clusters(spark, sf), id_col="doc_id", group_cols=["lang", "cluster_id"]))
-    return _VEC_MEMO[key]
-
-
-def _text_pairs(spark, sf):
-    d = read(spark, sf, "documents")
-    return d, text_block_pairs(doc_vectors(spark, sf), T_TEXT, id_col="doc_id", group_cols=["lang"])
+    """TF vectors of every document with both grouping keys (language, cluster), a stage table of the query
+    (the weights do not depend on the grouping)."""
+    return cut_lineage(embed_tf(doc_clusters(spark, sf), id_col="doc_id", group_cols=["lang", "cluster_id"]))
 
 
 @register("near_dup_text", "WITH RECURSIVE " + SQL_TEXT_GREEDY + "\nSELECT doc_id FROM kept")
 def q_near_dup_text(spark, sf):
-    d, pairs = _text_pairs(spark, sf)
-    return near_dup_keep(d.select("lang", "doc_id"), pairs, id_col="doc_id", group_cols=["lang"]).select("doc_id")
+    lost = text_near_duplicates(doc_vectors(spark, sf), T_TEXT, id_col="doc_id", group_cols=["lang"])
+    return read(spark, sf, "documents").select("lang", "doc_id").join(lost, ["lang", "doc_id"], "left_anti").select("doc_id")
 
 
 @register("text_pairs", "WITH " + SQL_TEXT_GREEDY.split(",\nnb AS")[0] + """
 SELECT p.a, p.b, round(sum(x.w * y.w), 6) AS cos FROM p JOIN w x ON x.doc_id = p.a JOIN w y ON y.doc_id = p.b AND y.token = x.token
 GROUP BY p.a, p.b""")
 def q_text_pairs(spark, sf):
-    _, pairs = _text_pairs(spark, sf)
+    pairs = text_cosine_pairs(doc_vectors(spark, sf), T_TEXT, id_col="doc_id", group_cols=["lang"])
     return pairs.select("a", "b", F.round("cos", 6).alias("cos"))
 
 
 def ranked_documents(spark, sf):
-    """Per cluster: TF vectors, centroid candidates (<= 300), query = medoid, BM25 rerank."""
-    # the vectors are the embed stage's output: written once, read by the medoid, candidate and BM25 steps
+    """Per cluster: TF vectors, query = medoid, BM25 rerank of all members."""
+    # the vectors are the embed stage's output: written once, read by the medoid and BM25 steps
     vec = doc_vectors(spark, sf).drop("lang")
-    ms = cut_lineage(tf_medoid_scores(vec, id_col="doc_id", key_cols=["cluster_id"]))
-    q = ms.groupBy("cluster_id").agg(
-        F.max_by("doc_id", F.struct(F.col("score"), F.negative("doc_id"))).alias("qid"))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("cluster_id").orderBy(F.col("score").desc(), "doc_id")
-    cand = ms.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= MAX_CANDIDATES).select("cluster_id", "doc_id")
-    cvec = cut_lineage(vec.join(cand, ["cluster_id", "doc_id"], "left_semi"))
-    return rerank_bm25(cvec, q, id_col="doc_id", key_cols=["cluster_id"])
+    ms = tf_medoid_scores(vec, id_col="doc_id", key_cols=["cluster_id"])
+    q = ms.groupBy("cluster_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "doc_id")).alias("m")).select(
+        "cluster_id", F.col("m.doc_id").alias("qid"))
+    return rerank_bm25(vec, q, id_col="doc_id", key_cols=["cluster_id"])
 
 
 @register("rerank_bm25", "WITH " + SQL_RERANK + "\nSELECT cluster_id, doc_id, round(score, 6) AS score, rank FROM rr")
@@ -136,16 +117,18 @@ def q_doc_bundles(spark, sf):
 
 
 @register("pack_batches", """
-WITH RECURSIVE t AS (SELECT source, doc_id, greatest(1, CAST(ceil(length(substring(text, 1, 6000)) / 4.0) AS INTEGER)) AS tokens,
-                  row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
-r(source, rn, doc_id, tokens, batch_no, cur) AS (
-  SELECT source, rn, doc_id, tokens, 0, tokens FROM t WHERE rn = 1
+WITH RECURSIVE t AS (SELECT source, doc_id // 500 AS shard, doc_id, greatest(1, CAST(ceil(length(text) / 4.0) AS INTEGER)) AS tokens,
+                  row_number() OVER (PARTITION BY source, doc_id // 500 ORDER BY doc_id) AS rn FROM documents),
+r(source, shard, rn, doc_id, tokens, batch_no, cur) AS (
+  SELECT source, shard, rn, doc_id, tokens, 0, tokens FROM t WHERE rn = 1
   UNION ALL
-  SELECT t.source, t.rn, t.doc_id, t.tokens,
+  SELECT t.source, t.shard, t.rn, t.doc_id, t.tokens,
          CASE WHEN r.cur + t.tokens > 8192 THEN r.batch_no + 1 ELSE r.batch_no END,
          CASE WHEN r.cur + t.tokens > 8192 THEN t.tokens ELSE r.cur + t.tokens END
-  FROM r JOIN t ON t.source = r.source AND t.rn = r.rn + 1)
-SELECT source, doc_id, tokens, batch_no::INTEGER AS batch_no FROM r""")
+  FROM r JOIN t ON t.source = r.source AND t.shard = r.shard AND t.rn = r.rn + 1)
+SELECT source, shard, doc_id, tokens, batch_no::INTEGER AS batch_no FROM r""")
 def q_pack_batches(spark, sf):
-    d = read(spark, sf, "documents").select("source", "doc_id", approx_tokens(truncate_for_model(F.col("text"))).alias("tokens"))
-    return pack_batches(d, 8192, group_col="source", order_col="doc_id").select("source", "doc_id", "tokens", "batch_no")
+    # shards are ranges of the input order, so a hot source packs in as many tasks as it has ranges
+    d = read(spark, sf, "documents").select("source", F.floor(F.col("doc_id") / 500).alias("shard"), "doc_id",
+                                            approx_tokens(F.col("text")).alias("tokens"))
+    return pack_batches(d, 8192, order_col="doc_id").select("source", "shard", "doc_id", "tokens", "batch_no")
