@@ -106,14 +106,16 @@ class Words:
 
 def word_counts(arr: pa.Array) -> np.ndarray:
     """Number of words of every text."""
-    raw, off = string_buffers(arr)
-    solid = ~_SPACE[raw]
-    begins = solid.copy()
-    begins[1:] &= ~solid[:-1]
-    inner = off[:-1][(off[:-1] < off[1:])]
-    begins[inner] = solid[inner]
-    total = np.concatenate(([0], np.cumsum(begins)))
-    return total[off[1:]] - total[off[:-1]]
+    out = np.zeros(len(arr), dtype=np.int64)
+    for i, j, raw, off in chunked(arr):
+        solid = ~_SPACE[raw]
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        inner = off[:-1][off[:-1] < off[1:]]
+        begins[inner] = solid[inner]
+        total = np.concatenate(([0], np.cumsum(begins)))
+        out[i:j] = total[off[1:]] - total[off[:-1]]
+    return out
 
 
 def shingles(words: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tidings.llm import kernels
 from tidings.session import cut_lineage
@@ -34,7 +35,7 @@ NEWTON_STEPS = 8  # per job
 TOLERANCE = 1e-12
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(LongType())
 def word_count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for arr in batches:
         yield pa.array(kernels.word_counts(arr), pa.int64())
