@@ -45,7 +45,24 @@ def op5_positive_unlabelled(spark, sf_dir):
     return _scored(quality.score_texts(docs, fitted), "quality", 4, 2)
 
 
-@register("op2_url_vocabulary")
+def _url_sql() -> str:
+    lower = "translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    hit = lambda t: f"regexp_matches(u, '(?s)(^|[^a-z0-9]){t}([^a-z0-9]|$)')"
+    total = lambda terms, worth: " + ".join(f"CASE WHEN {hit(t)} THEN {worth(t)} ELSE 0 END" for t in terms)
+    rule = " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{v} {h}{p}'"
+        for v, h, p in sorted(urlfilter.RULES, key=lambda r: -len(r[1] + r[2])))
+    return f"""
+WITH p AS (SELECT page_id, coalesce({lower}, '') AS u, coalesce(regexp_extract({lower}, '(?s)^.*?://([^/?#]*)', 1), '') AS host,
+                  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT *, CASE {rule} END AS r, ({total(urlfilter.STRICT, lambda t: 1)})::INTEGER AS n_strict,
+        ({total(urlfilter.SOFT, lambda t: 1)})::INTEGER AS n_soft, ({total(urlfilter.SOFT, urlfilter.SOFT.get)})::DOUBLE AS weight FROM p)
+SELECT page_id, host, path, split_part(r, ' ', 2) AS rule, CASE WHEN r IS NOT NULL THEN split_part(r, ' ', 1)
+  WHEN n_strict > 0 OR (n_soft >= {urlfilter.SOFT_DISTINCT} AND weight >= {urlfilter.SOFT_THRESHOLD}) THEN 'block' ELSE 'allow' END AS verdict,
+  n_strict, n_soft, weight FROM r"""
+
+
+@register("op2_url_vocabulary", _url_sql())
 def op2_url_vocabulary(spark, sf_dir):
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"))
 
