@@ -97,9 +97,9 @@ def test_toxicity_held_out_and_counterfactual(spark):
     free = toxicity.fit_linear  # the same sample without the penalty
     x = lambda t: toxicity._of([t.encode()])[1]
     y = np.array([float(v) for _, v in labels])
-    plain = free([x(t) for _, t in docs], y, [None] * len(docs), 0.25)
+    plain = free([x(t) for _, t in docs], y, [None] * len(docs))
     twins = [None if (s := toxicity.swapped(t.encode())) is None else toxicity._of([s])[1] for _, t in docs]
-    fair = free([x(t) for _, t in docs], y, twins, 0.25, strength=5.0)
+    fair = free([x(t) for _, t in docs], y, twins, strength=5.0)
     gap = lambda m: abs(np.diff([r.s for r in probe.select(toxicity.score_of(m, F.col("text")).alias("s")).collect()])[0])
     assert gap(fair) < gap(plain) * 0.6
 

@@ -57,6 +57,25 @@ def test_segment_join_thresholds_and_sizes(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, num)
 
 
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Groups whose copies are partly linked, through the block path only, with blocks of three sets."""
+    monkeypatch.setattr(jaccard, "LARGE", 0)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rng = random.Random(17)
+    rows = []
+    for _ in range(3):
+        base = [f"b{rng.random()}" for _ in range(70)]
+        for _ in range(18):
+            w = list(base)
+            for _ in range(rng.randrange(5)):
+                w[rng.randrange(len(w))] = f"e{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    got = jaccard.jaccard_components(docs_frame(spark, rows)).collect()
+    want = brute_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert 6 < len({c for _, c in want.values()}) < 50
+
+
 def test_chain_is_one_component(spark):
     base = [f"c{i}" for i in range(120)]
     rows = [(i, " ".join(base[3 * i: 3 * i + 90])) for i in range(10)]
@@ -148,6 +167,8 @@ def test_prefix_free_parsing_equals_brute_force(spark):
              (87, "ab" * 300), (88, "ab" * 300 + "c"), (None, rows[4][1]), (2, rows[2][1])]
     got = pfp.remove_repeats(docs_frame(spark, rows), digest=True).collect()
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept) for r in got), key=str) == brute_repeats(rows)
+    passes = pfp.remove_repeats(docs_frame(spark, rows), digest=True, per_pass=40).collect()
+    assert sorted(map(tuple, passes), key=str) == sorted(map(tuple, got), key=str)
     kept = pfp.remove_repeats(docs_frame(spark, rows)).select("doc_id", F.sha2("kept", 256).alias("h")).collect()
     assert sorted(((r.doc_id, r.h) for r in kept), key=str) == sorted(((r.doc_id, r.kept) for r in got), key=str)
 

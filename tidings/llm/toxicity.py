@@ -1,12 +1,12 @@
 """Toxicity: a linear classifier regularised with counterfactuals.
 
-Features are the distinct words of a text and their four-byte beginnings (for inflected insults), hashed. In
+Features are the distinct words of a text, their four-byte beginnings (for inflected insults), and which of them
+occur more than once, hashed. In
 the labelled sample, every text with identity terms is paired with its counterfactual, where each term is
 swapped for the next of its group; the squared change of the score between the two is added to the loss, so a
 neutral mention of a group moves the score as little as possible, whichever group it is.
 
-The model is fitted on a bounded sample (``PER_CLASS`` texts of either label, by hash of the id); the share of
-toxic labels comes from all training labels. Scoring reads every whole text once, in parallel.
+The model is fitted on a bounded sample (``PER_CLASS`` texts of either label, by hash of the id). Scoring reads every whole text once, in parallel.
 
 Defined results: a null or empty text has no features and gets the score of the intercept; label rows that
 are null or neither 0 nor 1 are ignored, of repeated ones the larger counts; without both labels in the sample
@@ -28,9 +28,9 @@ from tidings.llm import folds, kernels
 
 PER_CLASS = 4000  # bound of the training sample, texts per label
 DIMENSIONS = 1 << 20
-L1, L2, COUNTERFACTUAL = 2e-4, 1e-4, 1.0
+L1, L2, COUNTERFACTUAL = 2e-5, 1e-6, 1.0
 MIN_Z = 1.6  # features whose shares in the two classes differ by fewer standard errors are left out
-STEPS = 400
+STEPS = 600
 
 #: Groups of identity terms; a term is swapped for the next of its group.
 IDENTITY_GROUPS = (
@@ -45,12 +45,15 @@ _U = np.uint64
 
 
 def _features(w: kernels.Words) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, feature) without repeats: whole words and four-byte beginnings of longer words."""
+    """(owner, feature) without repeats: whole words, four-byte beginnings of longer words, and which of both recur."""
     long = np.flatnonzero(w.end - w.start > 4)
     whole = w.hashes()
     begin = kernels.mix(w.span_hash(w.start[long], w.start[long] + 4) + _U(0x5851F42D4C957F2D))
     f = np.concatenate([whole, begin]) & _U(DIMENSIONS - 1)
-    both = np.unique((np.concatenate([w.doc, w.doc[long]]).astype(_U) << _U(20)) | f)
+    both, times = np.unique((np.concatenate([w.doc, w.doc[long]]).astype(_U) << _U(20)) | f, return_counts=True)
+    more = both[times > 1]
+    again = kernels.mix((more & _U(DIMENSIONS - 1)) + _U(0x2545F4914F6CDD1D)) & _U(DIMENSIONS - 1)
+    both = np.unique(np.concatenate([both, (more & ~_U(DIMENSIONS - 1)) | again]))
     return (both >> _U(20)).astype(np.int64), (both & _U(DIMENSIONS - 1)).astype(np.int32)
 
 
@@ -105,8 +108,12 @@ def _rows(lists, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row[ok], at[ok]
 
 
-def fit_linear(x: list, y: np.ndarray, twins: list, prior: float, strength: float = COUNTERFACTUAL) -> Model:
-    """L1/L2 logistic regression plus ``strength`` * mean squared score change between a text and its twin."""
+def fit_linear(x: list, y: np.ndarray, twins: list, prior: float = 0.5, strength: float = COUNTERFACTUAL) -> Model:
+    """L1/L2 logistic regression plus ``strength`` * mean squared score change between a text and its twin.
+
+    Scores are probabilities for a corpus with ``prior`` toxic texts: equal classes unless told otherwise, as missing
+    a toxic text weighs as much as losing a clean one.
+    """
     pos = np.bincount(np.concatenate([f for f, t in zip(x, y, strict=True) if t]), minlength=DIMENSIONS)
     neg = np.bincount(np.concatenate([f for f, t in zip(x, y, strict=True) if not t]), minlength=DIMENSIONS)
     n_pos, n_neg = int(y.sum()), int((1 - y).sum())
@@ -140,7 +147,7 @@ def fit_linear(x: list, y: np.ndarray, twins: list, prior: float, strength: floa
         v, vb = new + (t - 1) / t_next * (new - w), new_b + (t - 1) / t_next * (new_b - b)
         w, b, t = new, new_b, t_next
     used = np.flatnonzero(w)
-    shift = np.log(prior / (1 - prior)) - np.log(n_pos / n_neg)  # the sample is balanced, the corpus is not
+    shift = np.log(prior / (1 - prior)) - np.log(n_pos / n_neg)  # from the sample's share of toxic texts
     return Model(columns[used].astype(np.int32), w[used], float(b + shift))
 
 
@@ -158,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0, np.int32), np.zeros(0), float(np.log(prior / (1 - prior))))
     lists = lambda c: [None if v is None else np.asarray(v, dtype=np.int32) for v in got[c].to_pylist()]
-    return fit_linear(lists("x"), y, lists("twin"), prior)
+    return fit_linear(lists("x"), y, lists("twin"))
 
 
 def score_of(model: Model, text: Column) -> Column:
