@@ -9,12 +9,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidings.functions.timefmt import parse_ts
+from tidings.functions.timefmt import coerce_ts, parse_ts
 from tidings.plans import sqlfrag as S
 from tidings.plans.registry import register
 from tidings.sources.items import (
     documents_as_items,
     ingest_forum_posts,
+    ingest_list_feed,
+    ingest_stories,
+    resolve_entry_url,
     split_entries,
     split_valid,
     time_window,
@@ -278,3 +281,77 @@ def q_window_counts(spark, sf):
     ev = events_items(spark, sf).withColumnRenamed("event_type", "source")
     return window_counts(ev, "1 hour").select(F.unix_micros("window_start").alias("window_start_us"), "source", "n")
 
+
+
+# ---------------------------------------------------------------- S02, S04, S05: adapters over planted documents
+SQL_CLEAN_TEXT = S.clean_html("text")
+
+
+@register("story_items", f"""
+WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos, text, source FROM documents),
+t AS (SELECT doc_id, {S.clean_html("'Title ' || doc_id || chr(10) || chr(10) || coalesce(text, '')")} AS txt,
+   CASE WHEN doc_id % 4 = 0 THEN 'https://news.ycombinator.com/item?id=' || doc_id WHEN doc_id % 9 = 1 THEN NULL
+        ELSE 'https://' || source || '.example.com/' || doc_id END AS url,
+   CASE WHEN doc_id % 3 = 0 THEN 'Unknown' ELSE 'author' || doc_id % 7 END AS author FROM r WHERE doc_id % 5 <> 2)
+SELECT CAST(doc_id AS VARCHAR) AS id, url, author, length(txt)::INTEGER AS n_chars, (1704067200 + doc_id)::BIGINT AS epoch FROM t WHERE url IS NOT NULL AND txt <> ''""")
+def q_story_items(spark, sf):
+    d = read(spark, sf, "documents")
+    did, sid = F.col("doc_id"), F.col("doc_id").cast("string")
+    # planted: other item types, stories without a link (their item page stands in), links of other schemes, no author
+    raw = d.select(did.alias("list_pos"), did.alias("id"), F.when(did % 5 == 2, F.lit("job")).otherwise(F.lit("story")).alias("type"),
+                   F.concat(F.lit("Title "), sid).alias("title"), "text",
+                   F.when(did % 4 == 0, F.lit("")).when(did % 9 == 1, F.concat(F.lit("ftp://x/"), sid))
+                   .otherwise(F.concat(F.lit("https://"), "source", F.lit(".example.com/"), sid)).alias("url"),
+                   F.when(did % 3 != 0, F.concat(F.lit("author"), (did % 7).cast("string"))).alias("by"),
+                   (did + 1704067200).alias("time"), (did % 100).alias("score"))
+    items = ingest_stories(raw, limit=1 << 62)
+    return items.select("id", "url", "author", F.length("text").alias("n_chars"), F.unix_seconds("ts").alias("epoch"))
+
+
+@register("entry_links", f"""
+SELECT page_id, CASE page_id % 6 WHEN 0 THEN url WHEN 1 THEN 'https://alt.example.com/' || page_id WHEN 2 THEN 'https://first.example.com/' || page_id
+   WHEN 3 THEN 'http://orig.example.com/' || page_id WHEN 4 THEN 'https://id.example.com/' || page_id END AS link FROM pages""")
+def q_entry_links(spark, sf):
+    p = read(spark, sf, "pages")
+    k, pid = F.col("page_id") % 6, F.col("page_id").cast("string")
+    at = lambda n, host: F.when(k == n, F.concat(F.lit(host), pid))
+    none = F.array().cast("array<struct<rel:string,href:string>>")
+    pair = lambda rel, href: F.struct(F.lit(rel).alias("rel"), href.alias("href"))
+    alt = F.concat(F.lit("https://alt.example.com/"), pid)
+    first = F.concat(F.lit("first.example.com/"), pid)
+    links = (F.when(k == 1, F.array(pair("self", F.lit("https://self.example.com/")), pair("alternate", alt)))
+             .when(k == 2, F.array(pair("self", F.lit("")), pair("enclosure", first))).otherwise(none))
+    entry = F.struct(F.when(k == 0, F.col("url")).otherwise(F.lit("")).alias("link"), links.alias("links"),
+                     at(3, "http://orig.example.com/").alias("feedburner_origlink"), F.lit(None).cast("string").alias("origlink"),
+                     F.lit("").alias("originallink"), F.when(k == 5, F.lit("javascript:void(0)")).otherwise(at(4, "id.example.com/")).alias("id"))
+    return p.select("page_id", entry.alias("e")).select("page_id", resolve_entry_url(F.col("e")).alias("link"))
+
+
+@register("list_feed_items", f"""
+WITH t AS (SELECT doc_id, {SQL_CLEAN_TEXT} AS txt FROM documents)
+SELECT CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) ELSE 'https://list.example.com/' || doc_id END AS id,
+  'https://list.example.com/' || doc_id AS url, CASE doc_id % 3 WHEN 0 THEN 'name' || doc_id WHEN 1 THEN 'plain' || doc_id ELSE 'Unknown' END AS author,
+  length(txt)::INTEGER AS n_chars, (1704067200 + doc_id * 60)::BIGINT AS epoch
+FROM t WHERE txt <> '' AND doc_id % 8 <> 7""")
+def q_list_feed_items(spark, sf):
+    d = read(spark, sf, "documents")
+    did, sid = F.col("doc_id"), F.col("doc_id").cast("string")
+    when = F.timestamp_seconds(did * 60 + 1704067200)
+    item = F.struct(
+        F.when(did % 2 == 0, sid).otherwise(F.lit("")).alias("id"), F.lit("title").alias("title"), F.col("text").alias("description"),
+        F.when(did % 4 != 1, F.concat(F.lit("https://list.example.com/"), sid)).alias("url"),
+        F.concat(F.lit("list.example.com/"), sid).alias("link"),
+        F.when(did % 3 == 0, F.concat(F.lit('{"name": "name'), sid, F.lit('"}'))).when(did % 3 == 1, F.concat(F.lit("plain"), sid)).alias("author"),
+        F.when(did % 8 == 7, F.lit("someday")).otherwise(F.date_format(F.to_utc_timestamp(when, F.current_timezone()), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).alias("pubDate"))
+    feeds = d.groupBy((did % 50).alias("feed")).agg(F.collect_list(item).alias("items"))
+    items = ingest_list_feed(feeds)
+    return items.select("id", "url", "author", F.length("text").alias("n_chars"), F.unix_seconds("ts").alias("epoch"))
+
+
+# ---------------------------------------------------------------- F11
+@register("coerced_timestamps", """
+SELECT event_id, epoch_us(ts) AS from_timestamp, epoch_us(date_trunc('second', ts)) AS from_epoch, epoch_us(date_trunc('second', ts)) AS from_text FROM events""")
+def q_coerced_timestamps(spark, sf):
+    ev = events_items(spark, sf).select("event_id", "ts", F.unix_seconds("ts").alias("epoch"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("text"))
+    us = lambda c: F.unix_micros(coerce_ts(ev, c))
+    return ev.select("event_id", us("ts").alias("from_timestamp"), us("epoch").alias("from_epoch"), us("text").alias("from_text"))

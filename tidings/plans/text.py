@@ -15,6 +15,7 @@ from tidings.functions import (
     flag_headline,
     normalize_url,
     redact,
+    repair_utf8,
     safe_segment,
     safe_url,
     sanitize_topic_id,
@@ -176,3 +177,9 @@ def q_safe_urls(spark, sf):
     raw = F.when(F.col("page_id") % 8 == 4, F.concat(F.lit("tg://resolve?domain=p"), F.col("page_id").cast("string"))) \
         .otherwise(_url_variant())
     return read(spark, sf, "pages").select("page_id", raw.alias("raw")).select("page_id", "raw", safe_url("raw").alias("url"))
+
+
+@register("repaired_utf8", "SELECT doc_id, md5(text || chr(65533) || text) AS text_md5 FROM documents")
+def q_repaired_utf8(spark, sf):
+    raw = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF")), F.col("text").cast("binary"))
+    return _docs(spark, sf).select("doc_id", F.md5(repair_utf8(raw)).alias("text_md5"))
