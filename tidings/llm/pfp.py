@@ -9,13 +9,13 @@ inside the dictionary of phrases.
 1. Parse: every phrase goes to a bucket of its trigger. There the dictionary is sorted by (trigger, phrase,
    document): a phrase that a smaller document has too is repeated as a whole; phrases that share only the
    trigger stay in question.
-2. The 50-byte suffixes of the phrases in question are sorted by (string, document) in buckets of their trigger;
-   all but those of the smallest document are repeated.
+2. The phrases in question go, as bytes, to buckets of their trigger; there their 50-byte suffixes are sorted by
+   (string, document), and all but those of the smallest document are repeated.
 3. The bytes of all repeated strings are cut out.
 
 Copies are settled in step 1, phrase by phrase; only edges of repeated passages reach step 2. Both steps combine
 inside the map task first (a string that a smaller document of the same task has is repeated, whatever others
-say), so a passage of a third of all documents sends one row per task, not one per document. Strings are
+say), so a passage of a third of all documents is sent once per task, not once per document. Strings are
 compared by 64-bit fingerprints inside buckets that an independent hash chooses.
 
 Defined results: a null text is empty; matches never cross documents; rows that share an id never remove from
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,9 @@ from tidings.session import cut_lineage
 
 LENGTH = 50
 GRAM = 16
-PER_BUCKET = 48 << 20  # bytes of text behind one bucket
+PER_BUCKET = 32 << 20  # bytes of text whose phrases one sorting task holds
+PER_PASS = 1 << 20  # phrases or strings that one sort inside a task holds
+PER_PART = 4 << 20  # bytes of text that one parsing or cutting task holds
 HOT = 16  # phrases of one trigger in one task; of more, only the smallest document's is sent
 NULL_ID = 2**63 - 1
 
@@ -47,7 +50,7 @@ _U = np.uint64
 class Parse:
     """Phrases of a chunk of texts: owner, first and last start of the 50-byte strings, trigger and phrase hashes."""
 
-    def __init__(self, raw: np.ndarray, off: np.ndarray, length: int = LENGTH):
+    def __init__(self, raw: np.ndarray, off: np.ndarray, length: int = LENGTH, phrases: bool = True):
         n = len(raw)
         self.length = length
         p, self._q = kernels._powers(n + 1)
@@ -56,7 +59,7 @@ class Parse:
         empty = np.zeros(0, dtype=np.int64)
         self.owner = self.lo = self.hi = self.at = empty
         self.order = empty
-        if n < length:
+        if n < length or not phrases:
             return
         ends = np.arange(GRAM, n + 1)
         gram = kernels.mix((self._prefix[ends] - self._prefix[: n - GRAM + 1]) * self._q[: n - GRAM + 1])
@@ -66,8 +69,9 @@ class Parse:
         wide = 1
         while wide < span:  # leftmost smallest of 2, 4, ... then ``span`` grams
             step = min(wide, span - wide)
-            left, right = best[: len(best) - step], best[step:]
-            best = np.where(rank[right] < rank[left], right, left)
+            later = rank[step:] < rank[: len(rank) - step]
+            best = np.where(later, best[step:], best[: len(best) - step])
+            rank = np.where(later, rank[step:], rank[: len(rank) - step])
             wide += step
         doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(best)]
         ok = np.flatnonzero(np.arange(len(best)) + length <= off[1:][doc])
@@ -93,11 +97,11 @@ class Parse:
         return kernels.mix(self.strings(self.lo, self.hi + self.length) + (self.at - self.lo).astype(_U))
 
 
-def _texts(batch: pa.RecordBatch):
+def _texts(batch: pa.RecordBatch, phrases: bool = True):
     """Chunks of (ids, checks, Parse, bytes, offsets); a check is 32 bits of the text's own hash."""
     ids = np.asarray(batch.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False), dtype=np.int64)
     for i, j, raw, off in kernels.chunked(batch.column("text")):
-        p = Parse(raw, off)
+        p = Parse(raw, off, phrases=phrases)
         yield ids[i:j], (p.strings(off[:-1], off[1:]) >> _U(32)).astype(np.uint32), p, raw, off
 
 
@@ -151,45 +155,57 @@ def parse_phrases(buckets: int):
                 if not len(p.at):
                     continue
                 t, c, d = p.triggers(), p.phrases(), ids[p.owner]
-                order = np.lexsort((d, c, t))
-                t, c, d, own, nth = t[order], c[order], d[order], p.owner[order], p.order[order]
-                same = _groups(t, c)
-                whole = d > _smallest(same, d)  # a smaller document of the task has the phrase
-                trig = _groups(t)
-                hot = np.bincount(trig)[trig] > HOT
-                least = _smallest(trig, d)
-                held = hot & ~whole
-                send = ~whole & (~hot | (d == least))
+                whole, held, send = _settled(t, c, d)
                 v = np.flatnonzero(whole | held)
                 verdict = np.where(whole[v], WHOLE, OPEN).astype(np.uint32)
+                # rows stay in text order inside a bucket, so ids, checks and orders compress in the shuffle
                 made = _pack(((t[send] >> _U(20)) % _U(buckets)).astype(np.int64), buckets, {
                     "triggers": (t[send] & _U(0xFFFFFFFF)).astype(np.uint32), "phrases": (c[send] >> _U(32)).astype(np.uint32),
-                    "ids": d[send], "checks": checks[own[send]], "orders": nth[send].astype(np.uint32)})
+                    "ids": d[send], "checks": checks[p.owner[send]], "orders": p.order[send].astype(np.uint32)})
                 n = len(made["part"])
                 extra = lambda x: pa.array([x.tobytes()] + [None] * (n - 1), pa.binary())  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made["part"], pa.int32()), *(pa.array(made[k], pa.binary()) for k in ("triggers", "phrases", "ids", "checks", "orders")),
-                     extra(d[v]), extra(checks[own[v]]), extra((nth[v].astype(np.uint32) << np.uint32(1)) | verdict)],
+                     extra(d[v]), extra(checks[p.owner[v]]), extra((p.order[v].astype(np.uint32) << np.uint32(1)) | verdict)],
                     names=[x.split()[0] for x in _PHRASES.split(", ")])
 
     return run
 
 
-def sort_dictionary(parts: int):
+def _settled(t: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a task can tell of its phrases (trigger, phrase, id), in their order: repeated as a whole; of a hot
+    trigger and so in question at once; to be sent to the trigger's bucket."""
+    order = np.lexsort((d, c, t))
+    t, c, d = t[order], c[order], d[order]
+    same, trig = _groups(t, c), _groups(t)
+    whole = d > _smallest(same, d)  # a smaller document of the task has the phrase
+    hot = np.bincount(trig)[trig] > HOT
+    send = ~whole & (~hot | (d == _smallest(trig, d)))
+    out = np.zeros((3, len(t)), dtype=bool)
+    out[:, order] = whole, hot & ~whole, send
+    return out[0], out[1], out[2]
+
+
+def sort_dictionary(parts: int, per_pass: int = PER_PASS):
     """Arrow group mapper over a bucket: verdicts on its phrases, by home part of the document."""
 
     def run(table: pa.Table) -> pa.Table:
         t, c, d = _unpack(table, "triggers", np.uint32), _unpack(table, "phrases", np.uint32), _unpack(table, "ids", np.int64)
         checks, nth = _unpack(table, "checks", np.uint32), _unpack(table, "orders", np.uint32)
-        order = np.lexsort((d, c, t))
-        t, c, d, checks, nth = t[order], c[order], d[order], checks[order], nth[order]
-        same, trig = _groups(t, c), _groups(t)
-        whole = d > _smallest(same, d)
-        # in question: the trigger has several phrases, and not all in one document
-        last = np.append(np.flatnonzero(trig[1:] != trig[:-1]), len(trig) - 1)
-        first = np.concatenate(([0], last[:-1] + 1))
-        many = (same[last] > same[first]) & (np.maximum.reduceat(d, first) > np.minimum.reduceat(d, first))
-        open_ = ~whole & many[trig]
+        whole, open_ = np.zeros(len(t), dtype=bool), np.zeros(len(t), dtype=bool)
+        passes = 1 + len(t) // per_pass
+        for k in range(passes):  # triggers apart, so that a sort holds about ``per_pass`` phrases
+            at = np.flatnonzero(t % np.uint32(passes) == k) if passes > 1 else np.arange(len(t))
+            at = at[np.lexsort((d[at], c[at], t[at]))]
+            if not len(at):
+                continue
+            same, trig, ids = _groups(t[at], c[at]), _groups(t[at]), d[at]
+            again = ids > _smallest(same, ids)
+            # in question: the trigger has several phrases, and not all in one document
+            last = np.append(np.flatnonzero(trig[1:] != trig[:-1]), len(trig) - 1)
+            first = np.concatenate(([0], last[:-1] + 1))
+            many = (same[last] > same[first]) & (np.maximum.reduceat(ids, first) > np.minimum.reduceat(ids, first))
+            whole[at], open_[at] = again, ~again & many[trig]
         v = np.flatnonzero(whole | open_)
         ids = np.concatenate([d[v], _unpack(table, "v_ids", np.int64)])
         checks = np.concatenate([checks[v], _unpack(table, "v_checks", np.uint32)])
@@ -237,51 +253,72 @@ def _by_document(ids: np.ndarray, checks: np.ndarray, *values: np.ndarray):
     return ids[first], checks[first], np.append(first, len(ids)), [v[order] for v in values]
 
 
-_OPEN = "bucket int, part int, keys binary, ids binary, checks binary, starts binary, ends binary"
+_OPEN = ("bucket int, lengths binary, bytes binary, ids binary, checks binary, starts binary, "
+         "s_part int, s_ids binary, s_checks binary, s_starts binary, s_ends binary")
 
 
 def open_strings(buckets: int, parts: int):
-    """Arrow cogroup mapper (verdicts, texts of a part): spans of whole phrases, and the strings in question."""
+    """Arrow cogroup mapper (verdicts, texts of a part): the phrases in question, as bytes, by bucket of their
+    trigger, and the spans that are known to go (in rows of any bucket)."""
 
     def run(verdicts: pa.Table, texts: pa.Table) -> pa.Table:
         v_ids, v_checks, bounds, (orders,) = _by_document(
             _unpack(verdicts, "ids", np.int64), _unpack(verdicts, "checks", np.uint32), _unpack(verdicts, "orders", np.uint32))
         spans, asked = [], []
         for batch in texts.combine_chunks().to_batches():
-            for ids, checks, p, _, bounds_of in _texts(batch):
+            for ids, checks, p, raw, off in _texts(batch):
                 row = _row_of(v_ids, v_checks, ids, checks)
                 flag = np.full(len(p.at), 9, dtype=np.int8)
                 starts = np.searchsorted(p.owner, np.arange(len(ids)))
                 for doc in np.flatnonzero(row >= 0):
                     o = orders[bounds[row[doc]]: bounds[row[doc] + 1]]
                     np.minimum.at(flag, starts[doc] + (o >> np.uint32(1)).astype(np.int64), (o & np.uint32(1)).astype(np.int8))
-                off = bounds_of[:-1]
                 w = np.flatnonzero(flag == WHOLE)
                 own = p.owner[w]
                 spans.append((ids[own], checks[own], p.lo[w] - off[own], p.hi[w] + LENGTH - off[own]))
                 q = np.flatnonzero(flag == OPEN)
                 n = p.hi[q] - p.lo[q] + 1
-                which = np.repeat(q, n)
-                s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + p.lo[which]
-                own = p.owner[which]
-                asked.append((p.strings(s, s + LENGTH), p.triggers()[which], ids[own], checks[own], s - off[own]))
-        key, trig, ids, checks, s = (np.concatenate(x) for x in zip(*asked, strict=True)) if asked else (np.zeros(0, _U),) * 5
-        order = np.lexsort((ids, key))
-        key, trig, ids, checks, s = key[order], trig[order], ids[order], checks[order], s[order]
-        again = ids > _smallest(_groups(key), ids) if len(key) else np.zeros(0, bool)
-        spans.append((ids[again], checks[again], s[again], s[again] + LENGTH))
-        key, trig, ids, checks, s = key[~again], trig[~again], ids[~again], checks[~again], s[~again]
-        asked = _pack(((trig >> _U(7)) % _U(buckets)).astype(np.int64), buckets, {
-            "keys": key, "ids": ids.astype(np.int64), "checks": checks.astype(np.uint32), "starts": s.astype(np.uint32)})
-        told = _pack_spans(*(np.concatenate(x) for x in zip(*spans, strict=True)), parts)
-        n, m = len(asked["part"]), len(told["part"])
-        both = lambda k: pa.array(asked.get(k, [None] * n) + told.get(k, [None] * m), pa.binary())
-        return pa.table({"bucket": pa.array(asked["part"] + [None] * m, pa.int32()), "part": pa.array([None] * n + told["part"], pa.int32()),
-                         **{k: both(k) for k in ("keys", "ids", "checks", "starts", "ends")}})
+                which = np.repeat(np.arange(len(q)), n)
+                s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + p.lo[q][which]
+                own = p.owner[q][which]
+                again = _repeated(p.strings(s, s + LENGTH), ids[own])
+                spans.append((ids[own][again], checks[own][again], (s - off[own])[again], (s - off[own])[again] + LENGTH))
+                # of a phrase, what lies between its first and last string that no smaller document here has
+                rest = np.flatnonzero(~again)
+                lo = np.full(len(q), np.iinfo(np.int64).max)
+                hi = np.full(len(q), -1)
+                np.minimum.at(lo, which[rest], s[rest])
+                np.maximum.at(hi, which[rest], s[rest])
+                some = np.flatnonzero(hi >= 0)
+                lo, size, own = lo[some], hi[some] + LENGTH - lo[some], p.owner[q][some]
+                byte = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
+                asked.append((p.triggers()[q][some], size.astype(np.uint16), raw[byte], ids[own], checks[own], (lo - off[own]).astype(np.uint32)))
+        trig, size, raw, ids, checks, s = (np.concatenate(x) for x in zip(*asked, strict=True)) if asked else (np.zeros(0, _U),) * 6
+        where = ((trig >> _U(7)) % _U(buckets)).astype(np.int64)
+        made = _pack(where, buckets, {"lengths": size.astype(np.uint16), "ids": ids.astype(np.int64), "checks": checks.astype(np.uint32),
+                                      "starts": s.astype(np.uint32)})
+        made["bytes"] = _pack(np.repeat(where, size.astype(np.int64)), buckets, {"bytes": raw.astype(np.uint8)})["bytes"]
+        told = _pack_spans(*(np.concatenate(x) for x in zip(*spans, strict=True)), parts) if spans else {"part": []}
+        n, m = len(made["part"]), len(told["part"])
+        first = [None] * m
+        return pa.table({
+            "bucket": pa.array(made["part"] + [p % buckets for p in told["part"]], pa.int32()),
+            **{k: pa.array(made[k] + first, pa.binary()) for k in ("lengths", "bytes", "ids", "checks", "starts")},
+            "s_part": pa.array([None] * n + told["part"], pa.int32()),
+            **{f"s_{k}": pa.array([None] * n + told.get(k, []), pa.binary()) for k in ("ids", "checks", "starts", "ends")}})
 
     return run
 
 
+def _repeated(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a smaller id has the same key, in the rows' order."""
+    order = np.lexsort((ids, key))
+    out = np.zeros(len(key), dtype=bool)
+    if len(key):
+        out[order] = ids[order] > _smallest(_groups(key[order]), ids[order])
+    return out
+
+
 def _pack_spans(ids, checks, start, end, parts: int) -> dict[str, list]:
     """Spans merged where they touch inside a document, as blobs by home part."""
     ids, checks, start, end = ids.astype(np.int64), checks.astype(np.uint32), start.astype(np.int64), end.astype(np.int64)
@@ -299,22 +336,55 @@ def _pack_spans(ids, checks, start, end, parts: int) -> dict[str, list]:
         "ids": ids, "checks": checks, "starts": start.astype(np.uint32), "ends": end.astype(np.uint32)})
 
 
-def sort_strings(parts: int):
-    """Arrow group mapper over a bucket of strings in question: spans of all but the smallest document's."""
+def sort_strings(parts: int, per_pass: int = PER_PASS):
+    """Arrow group mapper over a bucket of phrases in question: their 50-byte suffixes sorted by (string, document);
+    the spans of all but the smallest document's go, with the spans that were known before."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, ids = _unpack(table, "keys", _U), _unpack(table, "ids", np.int64)
-        checks, s = _unpack(table, "checks", np.uint32), _unpack(table, "starts", np.uint32).astype(np.int64)
-        order = np.lexsort((ids, key))
-        key, ids, checks, s = key[order], ids[order], checks[order], s[order]
-        again = ids > _smallest(_groups(key), ids)
-        made = _pack_spans(ids[again], checks[again], s[again], s[again] + LENGTH, parts)
-        return pa.table({"part": pa.array(made["part"], pa.int32()),
-                         **{k: pa.array(made[k], pa.binary()) for k in ("ids", "checks", "starts", "ends")}})
+        size = _unpack(table, "lengths", np.uint16).astype(np.int64)
+        raw, ids = _unpack(table, "bytes", np.uint8), _unpack(table, "ids", np.int64)
+        checks, start = _unpack(table, "checks", np.uint32), _unpack(table, "starts", np.uint32)
+        first = np.cumsum(size) - size
+        n = size - LENGTH + 1
+        passes = 1 + int(n.sum()) // per_pass
+        gone = [_again(raw, first, n, ids, passes, k) for k in range(passes)]
+        which, inside = (np.concatenate(x) for x in zip(*gone, strict=True))
+        at = start[which] + inside
+        made = _pack_spans(ids[which], checks[which], at, at + LENGTH, parts)
+        known = table.filter(pa.compute.is_valid(table.column("s_part")))
+        return pa.table({"part": pa.array(made["part"] + known.column("s_part").to_pylist(), pa.int32()),
+                         **{k: pa.array(made[k] + known.column(f"s_{k}").to_pylist(), pa.binary()) for k in ("ids", "checks", "starts", "ends")}})
 
     return run
 
 
+def _again(raw, first, n, ids, passes: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(phrase, offset) of the 50-byte strings, of those whose hash is ``k`` modulo ``passes``, that a smaller id has."""
+    keys, phrase, inside = [], [], []
+    i = 0
+    bytes_to = np.append(first, len(raw))
+    while i < len(n):
+        j = max(int(np.searchsorted(bytes_to, bytes_to[i] + kernels.CHUNK_BYTES, side="right")) - 1, i + 1)
+        base, top = int(bytes_to[i]), int(bytes_to[j])
+        p, q = kernels._powers(top - base + 1)
+        prefix = np.zeros(top - base + 1, dtype=_U)
+        np.cumsum(kernels._BYTE[raw[base:top]] * p[:-1], out=prefix[1:])
+        which = np.repeat(np.arange(i, j, dtype=np.int32), n[i:j])
+        at = np.arange(len(which)) - np.repeat(np.cumsum(n[i:j]) - n[i:j], n[i:j])
+        s = first[which] - base + at
+        key = kernels.mix((prefix[s + LENGTH] - prefix[s]) * q[s])
+        mine = np.flatnonzero(key % _U(passes) == k) if passes > 1 else np.arange(len(key))
+        keys.append(key[mine])
+        phrase.append(which[mine])
+        inside.append(at[mine].astype(np.uint16))
+        i = j
+    if not keys:
+        return np.zeros(0, np.int32), np.zeros(0, np.uint16)
+    phrase, inside = np.concatenate(phrase), np.concatenate(inside)
+    again = _repeated(np.concatenate(keys), ids[phrase])
+    return phrase[again], inside[again]
+
+
 def cut_out(digest: bool):
     """Arrow cogroup mapper (spans, texts of a part): what is left of the texts, or its sha256 in hex."""
 
@@ -329,7 +399,7 @@ def _cut_out(spans: pa.Table, texts: pa.Table, digest: bool) -> pa.Table:
         _unpack(spans, "ids", np.int64), _unpack(spans, "checks", np.uint32), _unpack(spans, "starts", np.uint32), _unpack(spans, "ends", np.uint32))
     out = []
     for batch in texts.combine_chunks().to_batches():
-        for ids, checks, p, raw, off in _texts(batch):
+        for ids, checks, _, raw, off in _texts(batch, phrases=False):
             row = _row_of(v_ids, v_checks, ids, checks)
             for doc in np.flatnonzero(row >= 0):
                 a, b = bounds[row[doc]], bounds[row[doc] + 1]
@@ -346,20 +416,21 @@ def _cut_out(spans: pa.Table, texts: pa.Table, digest: bool) -> pa.Table:
     return pa.table({k: pa.array([r[i] for r in out], kind) for i, (k, kind) in enumerate(kinds.items())})
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False,
+                   per_pass: int = PER_PASS) -> DataFrame:
     """key, n_bytes, n_removed, n_spans and kept (the bytes that are left; with ``digest`` their sha256) for every row."""
     spark = df.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     base = df.select(F.col(key).cast("long").alias("id"), body.alias("text"))
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PER_BUCKET))
-    verdicts = cut_lineage(base.mapInArrow(parse_phrases(parts), _PHRASES).groupBy("bucket").applyInArrow(sort_dictionary(parts), _VERDICTS))
+    buckets, parts = (max(int(spark.sparkContext.defaultParallelism), -(-total // per)) for per in (PER_BUCKET, PER_PART))
+    verdicts = cut_lineage(base.mapInArrow(parse_phrases(buckets), _PHRASES).groupBy("bucket").applyInArrow(
+        sort_dictionary(parts, per_pass), _VERDICTS))
     texts = lambda blobs: base.mapInArrow(
         with_home(bloom.build(blobs.mapInArrow(blob_ids, "id long"), "id"), parts), "part int, id long, text string")
-    told = cut_lineage(verdicts.groupBy("part").cogroup(texts(verdicts).groupBy("part")).applyInArrow(open_strings(parts, parts), _OPEN))
-    shape = "part int, ids binary, checks binary, starts binary, ends binary"
-    sorted_ = told.filter("bucket IS NOT NULL").groupBy("bucket").applyInArrow(sort_strings(parts), shape)
-    spans = cut_lineage(told.filter("part IS NOT NULL").select("part", "ids", "checks", "starts", "ends").union(sorted_))
+    told = verdicts.groupBy("part").cogroup(texts(verdicts).groupBy("part")).applyInArrow(open_strings(buckets, parts), _OPEN)
+    spans = cut_lineage(told.groupBy("bucket").applyInArrow(
+        sort_strings(parts, per_pass), "part int, ids binary, checks binary, starts binary, ends binary"))
     cut = spans.groupBy("part").cogroup(texts(spans).groupBy("part")).applyInArrow(
         cut_out(digest), f"id long, sha string, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")
     cut = cut.dropDuplicates(["id", "sha"]).withColumnsRenamed({"id": "_i", "sha": "_h"})
