@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20  # texts worked on at once; a longer single text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # texts worked on at once; a longer single text is a chunk of its own
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
