@@ -76,6 +76,37 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert 6 < len({c for _, c in want.values()}) < 50
 
 
+def test_hot_rows_leave_one_of_each_role_behind():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    key = rng.integers(0, 12, 400).astype(np.uint64)
+    role = rng.choice([jaccard.INDEX, jaccard.PROBE1, jaccard.PROBE2, jaccard.INDEX | jaccard.PROBE1], 400).astype(np.uint16)
+    aside, others = jaccard._hot(key, role)
+    left = np.delete(np.arange(400), aside)
+    assert len(left) <= 24 and (others == np.bincount(key.astype(int))[key[aside].astype(int)] - 1).all()
+    for k in range(12):
+        roles = np.bitwise_or.reduce(role[left][key[left] == k])
+        assert roles & jaccard.INDEX and roles & (jaccard.PROBE1 | jaccard.PROBE2)
+    few = jaccard._hot(np.arange(8, dtype=np.uint64).repeat(jaccard.HOT), np.full(8 * jaccard.HOT, 3, np.uint16))
+    assert not len(few[0])
+
+
+def test_hot_groups_over_small_sets(spark):
+    """Many small sets that share most of their shingles: hot keys of every role, checked against brute force."""
+    rng = random.Random(31)
+    vocab = [f"h{i}" for i in range(14)]
+    rows = []
+    for n in range(150):
+        k = rng.choice([6, 8, 9, 11])
+        w = vocab[:k] if rng.random() < 0.6 else vocab[1: k + 1]
+        if rng.random() < 0.5:
+            w = [*w, f"x{rng.randrange(30)}"]
+        rows.append((n, " ".join(w)))
+    got = jaccard.jaccard_components(docs_frame(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
 def test_chain_is_one_component(spark):
     base = [f"c{i}" for i in range(120)]
     rows = [(i, " ".join(base[3 * i: 3 * i + 90])) for i in range(10)]
