@@ -53,9 +53,9 @@ class Parse:
     def __init__(self, raw: np.ndarray, off: np.ndarray, length: int = LENGTH, phrases: bool = True):
         n = len(raw)
         self.length = length
-        p, self._q = kernels._powers(n + 1)
+        p, self._q = kernels.powers(n + 1)
         self._prefix = np.zeros(n + 1, dtype=_U)
-        np.cumsum(kernels._BYTE[raw] * p[:n], out=self._prefix[1:])
+        np.cumsum(kernels.BYTE_HASH[raw] * p[:n], out=self._prefix[1:])
         empty = np.zeros(0, dtype=np.int64)
         self.owner = self.lo = self.hi = self.at = empty
         self.order = empty
@@ -217,20 +217,18 @@ def sort_dictionary(parts: int, per_pass: int = PER_PASS):
     return run
 
 
-def blob_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow mapper: the distinct ids of every blob."""
-    for batch in batches:
-        ids = np.unique(_unpack(pa.Table.from_batches([batch]), "ids", np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(ids)], names=["id"])
+def part_ids(table: pa.Table) -> pa.Table:
+    """Arrow group mapper: the distinct ids of a part."""
+    return pa.table({"id": pa.array(np.unique(_unpack(table, "ids", np.int64)))})
 
 
-def with_home(bitmap: np.ndarray, parts: int):
-    """Arrow mapper over (id, text): the texts whose id may be in ``bitmap``, with their home part."""
+def with_home(parts: int, bitmap: np.ndarray | None = None):
+    """Arrow mapper over (id, text): the texts (with ``bitmap``, those whose id may be in it) and their home part."""
 
     def run(batches):
         for batch in batches:
             ids = np.asarray(batch.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False), dtype=np.int64)
-            hit = bloom.test(bitmap, ids)
+            hit = np.ones(len(ids), dtype=bool) if bitmap is None else bloom.test(bitmap, ids)
             got = batch.filter(pa.array(hit))
             yield pa.RecordBatch.from_arrays([pa.array(_home(ids[hit], parts).astype(np.int32)), pa.array(ids[hit]), got.column("text")],
                                              names=["part", "id", "text"])
@@ -366,9 +364,9 @@ def _again(raw, first, n, ids, passes: int, k: int) -> tuple[np.ndarray, np.ndar
     while i < len(n):
         j = max(int(np.searchsorted(bytes_to, bytes_to[i] + kernels.CHUNK_BYTES, side="right")) - 1, i + 1)
         base, top = int(bytes_to[i]), int(bytes_to[j])
-        p, q = kernels._powers(top - base + 1)
+        p, q = kernels.powers(top - base + 1)
         prefix = np.zeros(top - base + 1, dtype=_U)
-        np.cumsum(kernels._BYTE[raw[base:top]] * p[:-1], out=prefix[1:])
+        np.cumsum(kernels.BYTE_HASH[raw[base:top]] * p[:-1], out=prefix[1:])
         which = np.repeat(np.arange(i, j, dtype=np.int32), n[i:j])
         at = np.arange(len(which)) - np.repeat(np.cumsum(n[i:j]) - n[i:j], n[i:j])
         s = first[which] - base + at
@@ -426,12 +424,12 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", diges
     buckets, parts = (max(int(spark.sparkContext.defaultParallelism), -(-total // per)) for per in (PER_BUCKET, PER_PART))
     verdicts = cut_lineage(base.mapInArrow(parse_phrases(buckets), _PHRASES).groupBy("bucket").applyInArrow(
         sort_dictionary(parts, per_pass), _VERDICTS))
-    texts = lambda blobs: base.mapInArrow(
-        with_home(bloom.build(blobs.mapInArrow(blob_ids, "id long"), "id"), parts), "part int, id long, text string")
-    told = verdicts.groupBy("part").cogroup(texts(verdicts).groupBy("part")).applyInArrow(open_strings(buckets, parts), _OPEN)
+    texts = lambda bitmap=None: base.mapInArrow(with_home(parts, bitmap), "part int, id long, text string").groupBy("part")
+    told = verdicts.groupBy("part").cogroup(texts()).applyInArrow(open_strings(buckets, parts), _OPEN)
     spans = cut_lineage(told.groupBy("bucket").applyInArrow(
         sort_strings(parts, per_pass), "part int, ids binary, checks binary, starts binary, ends binary"))
-    cut = spans.groupBy("part").cogroup(texts(spans).groupBy("part")).applyInArrow(
+    touched = bloom.build(spans.groupBy("part").applyInArrow(part_ids, "id long"), "id")
+    cut = spans.groupBy("part").cogroup(texts(touched)).applyInArrow(
         cut_out(digest), f"id long, sha string, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")
     cut = cut.dropDuplicates(["id", "sha"]).withColumnsRenamed({"id": "_i", "sha": "_h"})
     sha = F.sha2(F.col("text").cast("binary"), 256)
