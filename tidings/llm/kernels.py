@@ -7,13 +7,15 @@ identities are 64-bit hashes; callers that need certainty compare bytes.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20  # texts worked on at once; a longer single text is a chunk of its own
+CHUNK_BYTES = 512 << 10  # texts worked on at once; a longer single text is a chunk of its own
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -23,7 +25,9 @@ LETTERS_ONLY = np.ones(256, dtype=bool)  # gaps when only ASCII letters, digits
 LETTERS_ONLY[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"): ord("Z") + 1] += 32
-_BYTE = np.random.default_rng(20240229).integers(1, 2**63, size=256, dtype=np.int64).astype(_U) | _U(1)
+_LIBC = ctypes.CDLL(None) if sys.platform.startswith("linux") else None
+if _LIBC is not None and not hasattr(_LIBC, "malloc_trim"):  # another C library
+    _LIBC = None
 _POW: dict[str, np.ndarray] = {}
 
 
@@ -36,25 +40,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n (kept per worker process)."""
-    if "p" not in _POW or len(_POW["p"]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        inverse = pow(_BASE, -1, 1 << 64)
-        for name, base in (("p", _BASE), ("q", inverse)):
-            steps = np.full(size, base, dtype=_U)
-            steps[0] = 1
-            _POW[name] = np.multiply.accumulate(steps)
+BYTE_HASH = mix(np.arange(1, 257, dtype=_U) * _U(_BASE)) | _U(1)  # one odd number per byte value
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < n; those of a usual chunk are kept per worker process."""
+    if n > CHUNK_BYTES + 1:
+        return _accumulated(_BASE, n), _accumulated(pow(_BASE, -1, 1 << 64), n)
+    if not _POW:
+        _POW.update(zip("pq", (_accumulated(_BASE, CHUNK_BYTES + 1), _accumulated(pow(_BASE, -1, 1 << 64), CHUNK_BYTES + 1)), strict=True))
     return _POW["p"][:n], _POW["q"][:n]
 
 
+def _accumulated(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=_U)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 def string_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets (n + 1) of a string array; a null is an empty text."""
+    """Bytes and offsets (n + 1) of a string array, without a copy; a null is an empty text."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    arr = pc.fill_null(arr.cast(pa.large_string()), "")
+    if arr.null_count:
+        arr = pc.fill_null(arr, "")
     _, off, data = arr.buffers()
-    offsets = np.frombuffer(off, dtype=np.int64)[arr.offset: arr.offset + len(arr) + 1]
+    kind = np.int64 if pa.types.is_large_string(arr.type) else np.int32
+    offsets = np.frombuffer(off, dtype=kind)[arr.offset: arr.offset + len(arr) + 1].astype(np.int64) if off is not None else np.zeros(1, np.int64)
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[offsets[0]: offsets[-1]], offsets - offsets[0]
 
@@ -68,6 +80,14 @@ def chunked(arr: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         j = min(max(j, i + 1), n)
         yield i, j, raw[off[i]: off[j]], off[i: j + 1] - off[i]
         i = j
+    hand_back()
+
+
+def hand_back() -> None:
+    """Give memory that the worker process has freed back to the system: idle workers of other stages share its executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 class Words:
@@ -93,9 +113,9 @@ class Words:
         self.doc = np.searchsorted(off, self.start, side="right") - 1
         self.count = np.bincount(self.doc, minlength=self.n_docs)
         self.first = np.concatenate(([0], np.cumsum(self.count)))
-        p, self._q = _powers(n + 1)
+        p, self._q = powers(n + 1)
         self._prefix = np.zeros(n + 1, dtype=_U)
-        np.cumsum(_BYTE[self.low] * p[:n], out=self._prefix[1:])
+        np.cumsum(BYTE_HASH[self.low] * p[:n], out=self._prefix[1:])
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._prefix[end] - self._prefix[start]) * self._q[start] + (end - start).astype(_U))
