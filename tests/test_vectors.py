@@ -99,7 +99,7 @@ def test_long_chain_settles(spark):
 def test_text_pairs_equal_brute_force(spark):
     from collections import Counter
 
-    from tidings.operators.textvec import embed_tf, text_cosine_pairs, text_near_duplicates
+    from tidings.operators.textvec import embed_tf, text_block_pairs, text_cosine_pairs, text_near_duplicates
 
     rng = random.Random(21)
     vocab = [f"w{int(rng.paretovariate(0.9))}" for _ in range(3000)]
@@ -117,10 +117,13 @@ def test_text_pairs_equal_brute_force(spark):
     norm = [math.sqrt(sum(x * x for x in c.values())) for c in tf]
     cos = {(i, j): sum(c * tf[j][w] for w, c in tf[i].items()) / norm[i] / norm[j] for i in range(len(docs)) for j in range(i + 1, len(docs))}
     for t in (0.95, 0.8):
-        got = {(r.a, r.b): r.cos for r in text_cosine_pairs(vec, t, group_cols=["grp"]).collect()}
-        sure = {k for k, v in cos.items() if v >= t + 1e-9}
-        assert sure <= set(got) <= {k for k, v in cos.items() if v >= t - 1e-9}
-        assert all(abs(got[k] - cos[k]) < 1e-9 for k in got)
+        sure, maybe = {k for k, v in cos.items() if v >= t + 1e-9}, {k for k, v in cos.items() if v >= t - 1e-9}
+        for pairs in (text_cosine_pairs(vec, t, group_cols=["grp"]), text_block_pairs(vec, t, group_cols=["grp"], block_rows=13),
+                      text_block_pairs(vec.drop("grp"), t)):
+            rows = pairs.collect()
+            got = {(r.a, r.b): r.cos for r in rows}
+            assert len(rows) == len(got) and sure <= set(got) <= maybe
+            assert all(abs(got[k] - cos[k]) < 1e-9 for k in got)
     lost = {r.id for r in text_near_duplicates(vec, 0.9, group_cols=["grp"]).collect()}
     for j in range(len(docs)):
         assert (j in lost) == any(cos[i, j] >= 0.9 and i not in lost for i in range(j))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,6 +116,85 @@ def text_cosine_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_col
     return both.mapInPandas(_exact_cosines(t), schema=out)
 
 
+def _block_pairs(keys: Sequence[str], id_col: str, t: float, width: int = 8192):
+    """Pandas group kernel over two blocks of documents: pairs with cosine >= t.
+
+    A float32 product over ``width`` shared tokens at a time finds the candidates (memory does not depend on the
+    vocabulary); their exact cosines are then computed together.
+    """
+    verify = _exact_cosines(t)
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        bi, bj = int(pdf["_bi"].iat[0]), int(pdf["_bj"].iat[0])
+        blk = pdf["_blk"].to_numpy()
+        rows, cols = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
+        tokens, weights = pdf["_t"].to_numpy(), pdf["_w"].to_numpy()
+        flat = lambda at: (np.concatenate([np.zeros(0, np.int64), *tokens[at]]), np.repeat(np.arange(len(at)), [len(x) for x in tokens[at]]),
+                           np.concatenate([np.zeros(0), *weights[at]]))
+        (ta, ra, wa), (tb, rb, wb) = flat(rows), flat(cols)
+        shared = np.intersect1d(ta, tb)
+        product = np.zeros((len(rows), len(cols)), dtype=np.float32)
+
+        def numbered(tok, row, w):
+            at = np.searchsorted(shared, tok)
+            ok = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == tok) if len(shared) else np.zeros(0, np.int64)
+            ok = ok[np.argsort(at[ok], kind="stable")]
+            return at[ok], row[ok], w[ok]
+
+        (ca, ra, wa), (cb, rb, wb) = numbered(ta, ra, wa), numbered(tb, rb, wb)
+        for lo in range(0, len(shared), width):
+            left, right = np.zeros((len(rows), width), np.float32), np.zeros((len(cols), width), np.float32)
+            i, j = np.searchsorted(ca, [lo, lo + width])
+            left[ra[i:j], ca[i:j] - lo] = wa[i:j]
+            i, j = np.searchsorted(cb, [lo, lo + width])
+            right[rb[i:j], cb[i:j] - lo] = wb[i:j]
+            product += left @ right.T
+        near = product >= t - 1e-3
+        if bi == bj:
+            near &= np.arange(len(rows))[:, None] < np.arange(len(cols))[None, :]
+        r, c = np.nonzero(near)
+        ids = pdf[id_col].to_numpy()
+        one, two = rows[r], cols[c]
+        swap = ids[one] > ids[two]
+        one, two = np.where(swap, two, one), np.where(swap, one, two)
+        cand = pdf[list(keys)].iloc[one].reset_index(drop=True)
+        cand["a"], cand["b"] = ids[one], ids[two]
+        for name, column, at in (("_ta", tokens, one), ("_wa", weights, one), ("_tb", tokens, two), ("_wb", weights, two)):
+            cand[name] = pd.Series(list(column[at]), dtype=object)
+        pieces = [verify(iter([cand.iloc[i: i + 2000].reset_index(drop=True)])) for i in range(0, len(cand), 2000)]
+        found = [x for piece in pieces for x in piece]
+        return pd.concat(found) if found else cand[[*keys, "a", "b"]].assign(cos=0.0).iloc[:0]
+
+    return kernel
+
+
+def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = (), block_rows: int = 1024) -> DataFrame:
+    """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form unit vectors, by block pairs.
+
+    Every document is copied once to each block of its group, and each block pair is one task: quadratic in a
+    group, but with a small constant and predictable on text whose tokens are all about equally common, where a
+    prefix filter passes most pairs (see :func:`text_cosine_pairs` for text with rare words).
+    Output: ``group_cols, a, b, cos``.
+    """
+    g = list(group_cols)
+    numbered = vec.join(token_numbers(vec), "token")
+    docs = numbered.groupBy(*g, id_col).agg(F.collect_list(F.struct("tid", "w")).alias("_v"))
+    docs = cut_lineage(docs.select(*g, id_col, F.col("_v.tid").alias("_t"), F.col("_v.w").alias("_w")))
+    sizes = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
+    docs = docs.join(sizes, g) if g else docs.withColumn("_n", F.lit(docs.count()))
+    docs = docs.withColumn("_g", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(block_rows)))).cast("int"))
+    docs = docs.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_g")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_g") - 1),
+                        lambda x: F.struct(F.least(F.col("_blk"), x).alias("bi"), F.greatest(F.col("_blk"), x).alias("bj")))
+    rep = docs.withColumn("_p", F.explode(pairs)).select(*g, id_col, "_t", "_w", "_blk", F.col("_p.bi").alias("_bi"), F.col("_p.bj").alias("_bj"))
+    kind = {f.name: f.dataType for f in docs.schema.fields}
+    out = T.StructType([*[T.StructField(c, kind[c]) for c in g], T.StructField("a", kind[id_col]), T.StructField("b", kind[id_col]),
+                        T.StructField("cos", T.DoubleType())])
+    # explicit partition count so AQE does not pack the CPU-heavy block pairs into a few tasks
+    rep = rep.repartition(int(vec.sparkSession.conf.get("spark.sql.shuffle.partitions")), *g, "_bi", "_bj")
+    return rep.groupBy(*g, "_bi", "_bj").applyInPandas(_block_pairs(g, id_col, t), schema=out)
+
+
 def text_near_duplicates(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
     """Documents (``group_cols, id``) dropped by the keep-first scan in id order at cosine ``t``, exact copies
     first: of equal vectors only the first is compared, the others are dropped with it or by it."""
@@ -125,7 +205,7 @@ def text_near_duplicates(vec: DataFrame, t: float, *, id_col: str = "id", group_
     first = content.groupBy(*same).agg(F.min(id_col).alias("_first"))
     copies = cut_lineage(content.join(first, same).select(*g, id_col, "_first"))
     reps = vec.join(copies.filter(F.col(id_col) == F.col("_first")).select(*g, id_col), [*g, id_col], "left_semi")
-    pairs = text_cosine_pairs(reps, t, id_col=id_col, group_cols=g)
+    pairs = text_block_pairs(reps, t, id_col=id_col, group_cols=g)
     lost = greedy_keep_first(pairs.select(*g, F.col("a").alias("early"), F.col("b").alias("late")), g).withColumnRenamed("node", id_col)
     return lost.unionByName(copies.filter(F.col(id_col) != F.col("_first")).select(*g, id_col))
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidings.functions.text import approx_tokens
-from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_cosine_pairs, text_near_duplicates, tf_medoid_scores
+from tidings.operators.textvec import embed_tf, pack_batches, rerank_bm25, text_block_pairs, text_near_duplicates, tf_medoid_scores
 from tidings.operators.vectors import build_bundles
 from tidings.plans.registry import register
 from tidings.session import cut_lineage
@@ -85,7 +85,7 @@ def q_near_dup_text(spark, sf):
 SELECT p.a, p.b, round(sum(x.w * y.w), 6) AS cos FROM p JOIN w x ON x.doc_id = p.a JOIN w y ON y.doc_id = p.b AND y.token = x.token
 GROUP BY p.a, p.b""")
 def q_text_pairs(spark, sf):
-    pairs = text_cosine_pairs(doc_vectors(spark, sf), T_TEXT, id_col="doc_id", group_cols=["lang"])
+    pairs = text_block_pairs(doc_vectors(spark, sf), T_TEXT, id_col="doc_id", group_cols=["lang"])
     return pairs.select("a", "b", F.round("cos", 6).alias("cos"))
 
 
