@@ -107,6 +107,30 @@ def test_hot_groups_over_small_sets(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
 
 
+def test_near_copies_side_by_side(spark):
+    """A group of near copies in one chunk: its first document indexes and looks up like the others."""
+    rows = []
+    for i in range(20):
+        w = [f"n{k}" for k in range(300)]
+        w[7 + 14 * i] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    got = jaccard.jaccard_components(docs_frame(spark, rows, extra=False).coalesce(1)).collect()
+    want = brute_components(rows)
+    assert {c for _, c in want.values()} == {0}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_hot_row_with_both_roles_stays_with_another():
+    import numpy as np
+
+    both = jaccard.INDEX | jaccard.PROBE1
+    for second in (both, jaccard.INDEX, jaccard.PROBE1, jaccard.PROBE2):
+        role = np.array([both] + [jaccard.PROBE2 if second & 6 else second] * 4 + [second] * 8, np.uint16)
+        aside, _ = jaccard._hot(np.ones(len(role), np.uint64), role)
+        left = np.delete(role, aside)
+        assert len(left) == 2 and left[0] == both and left[1] == (second if second & jaccard.INDEX else jaccard.PROBE2)
+
+
 def test_chain_is_one_component(spark):
     base = [f"c{i}" for i in range(120)]
     rows = [(i, " ".join(base[3 * i: 3 * i + 90])) for i in range(10)]
