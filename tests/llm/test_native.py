@@ -110,6 +110,37 @@ def test_line_chunks_equal_definition(spark):
     assert sum(w[3] for w in want) > 50
 
 
+def _without_repeats(rows, chunks):
+    """What is left of every row, by definition; rows of one id are told apart and ordered by the hash of their texts."""
+    order = lambda i, p, t: (2**63 - 1 if i is None else i, p, _signed(xxhash.xxh64((t or "").encode(), seed=42).intdigest()))
+    first = {}
+    for i, t in rows:
+        for p, c in enumerate(chunks(t)):
+            first["\n".join(c)] = min(first.get("\n".join(c), (2**63,)), order(i, p, t))
+    out = []
+    for i, t in rows:
+        cut = chunks(t)
+        stays = [len(c) == 1 or not "".join(c).strip() or first["\n".join(c)] == order(i, p, t) for p, c in enumerate(cut)]
+        kept = [x for c, ok in zip(cut, stays, strict=True) if ok for x in c]
+        n = len((t or "").split("\n"))
+        out.append((i, "\n".join(kept), n, n - len(kept), stays.count(False)))
+    return sorted(out, key=str)
+
+
+def test_line_chunks_of_rows_that_share_an_id(spark):
+    rng = random.Random(12)
+    shared = [[f"shared {k} {n}" for n in range(9)] for k in range(4)]
+    rows = []
+    for d in range(60):
+        lines = [f"own {d} {n}" for n in range(rng.randrange(12))]
+        rows.append((rng.choice([None, 5, 6, 100 + d]), "\n".join(lines + rng.choice(shared) + [f"end {d} {n}" for n in range(6)])))
+    rows += [(7, "\n".join(shared[0])), (7, "\n".join(shared[0] + ["more"])), (None, None), (None, "")]
+    got = sorted(map(tuple, linechunks.dedup_line_chunks(docs_frame(spark, rows)).collect()), key=str)
+    assert got == _without_repeats(rows, _chunks)
+    left = "\n".join(r[1] for r in got)
+    assert all(f"own {d} {n}" in left for d, (_, t) in enumerate(rows[:60]) for n in range(12) if f"own {d} {n}\n" in t)
+
+
 def jump(key, buckets):
     key, b, j = key & (2**64 - 1), -1, 0
     while j < buckets:

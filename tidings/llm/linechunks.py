@@ -5,9 +5,9 @@ line moves only the chunks around it. Multi-line chunks that occur more than onc
 as bytes; all but the first occurrence (smallest id, then position) are removed and the other lines stay.
 
 Defined results: a null text counts as empty (one empty line, nothing removed); chunks of one line, and
-chunks without any visible character, are left alone; rows that share an id are treated alike (first
-occurrences are told by id and position); a null id sorts last; an empty table gives an empty result; other
-columns are left out.
+chunks without any visible character, are left alone; rows that share an id are told apart by a 128-bit hash of
+their texts, which also orders equal chunks at equal positions of them (rows equal in id and text are one document
+and treated alike); a null id sorts last; an empty table gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -54,25 +54,27 @@ def _hashed(c: Column) -> list[Column]:
 def dedup_line_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
                       divisor: int = DIVISOR) -> DataFrame:
     """key, text (what is left), n_lines, n_removed_lines, n_removed_chunks for every row."""
-    base = df.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    chunked = base.select("_id", F.explode(line_chunks(F.col("_text"), window, divisor)).alias("c"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    base = df.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"),
+                     *(h.alias(n) for h, n in zip(_hashed(whole), ("_ta", "_tb"), strict=True)))
+    chunked = base.select("_id", "_ta", "_tb", F.explode(line_chunks(F.col("_text"), window, divisor)).alias("c"))
     chunk = chunked.filter(F.size("c.lines") > 1).select(
-        F.coalesce(F.col("_id"), F.lit(_LAST_ID)).alias("_id"), F.col("c.pos").alias("pos"),
+        F.coalesce(F.col("_id"), F.lit(_LAST_ID)).alias("_id"), "_ta", "_tb", F.col("c.pos").alias("pos"),
         F.array_join("c.lines", "\n").alias("chunk")).filter(F.col("chunk").rlike(r"\S"))
-    chunk = chunk.select("_id", "pos", *_hashed(F.col("chunk")), "chunk")
-    order = F.col("_id").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("pos")
+    order = F.struct("_id", "pos", "_ta", "_tb")
+    chunk = chunk.select("_id", "_ta", "_tb", "pos", *_hashed(F.col("chunk")), "chunk")
     # byte comparison: the chunks themselves are the grouping key (hashes only speed it up)
     groups = chunk.groupBy("a", "b", "chunk").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = cut_lineage(groups.filter("n > 1").select("a", "b", F.sha2("chunk", 256).alias("sha"), "first"))
     clash = repeated.groupBy("a", "b").count().filter("count > 1").isEmpty()
     on = ["a", "b"] if clash else ["a", "b", "sha"]
     spread = repeated.select(*on, "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    placed = chunk.select("_id", "pos", "a", "b", *([] if clash else [F.sha2("chunk", 256).alias("sha")]), order.alias("_order"),
-                          F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int").alias("_salt"))
+    placed = chunk.select("_id", "_ta", "_tb", "pos", "a", "b", *([] if clash else [F.sha2("chunk", 256).alias("sha")]), order.alias("_order"),
+                          F.pmod(F.xxhash64("_id", "_ta"), F.lit(SALTS)).cast("int").alias("_salt"))
     removed = (
         placed.join(spread, [*on, "_salt"]).filter(F.col("_order") != F.col("first"))
-        .groupBy("_id").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("_id", "_gid"))
-    joined = base.join(removed, F.coalesce(F.col("_id"), F.lit(_LAST_ID)) == F.col("_gid"), "left")
+        .groupBy("_id", "_ta", "_tb").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("_id", "_gid"))
+    joined = base.withColumn("_gid", F.coalesce(F.col("_id"), F.lit(_LAST_ID))).join(removed, ["_gid", "_ta", "_tb"], "left")
     gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
     kept = let(gone, lambda g: F.filter(line_chunks(F.col("_text"), window, divisor), lambda c: ~F.array_contains(g, c["pos"])))
     left = joined.select(
