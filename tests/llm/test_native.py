@@ -141,6 +141,40 @@ def test_line_chunks_of_rows_that_share_an_id(spark):
     assert all(f"own {d} {n}" in left for d, (_, t) in enumerate(rows[:60]) for n in range(12) if f"own {d} {n}\n" in t)
 
 
+def _lowest_chunks(text):
+    lines = (text or "").split("\n")
+    h = [_signed(xxhash.xxh64(x.encode(), seed=42).intdigest()) for x in lines]
+    cuts = [0, *(i for i in range(2, len(h) - 1) if h[i - 1] > h[i] <= h[i + 1]), len(h)]
+    return [lines[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _planted(length, docs=120):
+    """Pairs of documents of lines of their own around a passage that both hold."""
+    rng = random.Random(length)
+    rows = []
+    for d in range(docs):
+        around = [f"own {d} {rng.random()}" for _ in range(rng.randrange(6, 40))]
+        at = rng.randrange(3, len(around) - 2)
+        rows.append((d, "\n".join([*around[:at], *(f"passage {length} {d // 2} {n}" for n in range(length)), *around[at:]])))
+    return rows
+
+
+def test_op9_cuts_at_lowest_lines(spark, tmp_path):
+    """The query's chunks have two lines or more, and most lines of repeated passages of eight lines go."""
+    from tidings.llm import queries
+
+    planted = _planted(8)
+    rows = planted + [(200, None), (201, ""), (202, "\n\n\n\n\n"), (203, "one"), (204, "one"), (205, "a\nb"), (206, "a\nb"),
+                      (207, "\n".join(["x", "", "y", ""] * 9)), (None, planted[0][1]), (3, planted[9][1])]
+    assert all(len(c) > 1 for _, t in planted for c in _lowest_chunks(t))
+    got = linechunks.dedup_line_chunks(docs_frame(spark, rows), lowest=True)
+    assert not python_stage(got)
+    assert sorted(map(tuple, got.collect()), key=str) == _without_repeats(rows, _lowest_chunks)
+    spark.createDataFrame(planted, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    gone = queries.QUERIES["op9_line_chunks"](spark, str(tmp_path)).agg(F.sum("n_removed_lines")).first()[0]
+    assert gone > 0.45 * 8 * len(planted) / 2
+
+
 def jump(key, buckets):
     key, b, j = key & (2**64 - 1), -1, 0
     while j < buckets:

@@ -1,7 +1,9 @@
 """Line deduplication by content-defined line chunks, as DataFrame functions.
 
 Every line is hashed; a rolling window over the line hashes picks the chunk ends, so an inserted or deleted
-line moves only the chunks around it. Multi-line chunks that occur more than once in the table are compared
+line moves only the chunks around it. With ``lowest`` (as op9 runs) a chunk begins at every line whose hash is lower
+than its neighbours': only these three lines decide, and every chunk of a longer text has two lines or more (three
+on average). Multi-line chunks that occur more than once in the table are compared
 as bytes; all but the first occurrence (smallest id, then position) are removed and the other lines stay.
 
 Defined results: a null text counts as empty (one empty line, nothing removed); chunks of one line, and
@@ -28,14 +30,17 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def line_chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
+def line_chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR, lowest: bool = False) -> Column:
     """array<struct<pos, lines:array<string>>> covering all lines of the text in order."""
 
     def ends(h: Column) -> Column:
         n = F.size(h)
         rolling = lambda i: F.xxhash64(F.slice(h, i - window + 1, window))
         is_end = lambda i: (i == n) | ((i >= window) & (F.pmod(F.when(i >= window, rolling(i)), F.lit(divisor)) == 0))
-        return F.filter(F.sequence(F.lit(1), n), is_end)
+        # before a lowest line, but not so that the first or last line would be alone
+        low = lambda i: (F.get(h, i) < F.get(h, i - 1)) & (F.get(h, i) <= F.get(h, i + 1))
+        is_low = lambda i: (i == n) | ((i > 1) & (i < n - 1) & low(i))
+        return F.filter(F.sequence(F.lit(1), n), is_low if lowest else is_end)
 
     def cut(lines: Column) -> Column:
         def spans(e: Column) -> Column:
@@ -52,12 +57,12 @@ def _hashed(c: Column) -> list[Column]:
 
 
 def dedup_line_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
-                      divisor: int = DIVISOR) -> DataFrame:
+                      divisor: int = DIVISOR, lowest: bool = False) -> DataFrame:
     """key, text (what is left), n_lines, n_removed_lines, n_removed_chunks for every row."""
     whole = F.coalesce(F.col(text), F.lit(""))
     base = df.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"),
                      *(h.alias(n) for h, n in zip(_hashed(whole), ("_ta", "_tb"), strict=True)))
-    chunked = base.select("_id", "_ta", "_tb", F.explode(line_chunks(F.col("_text"), window, divisor)).alias("c"))
+    chunked = base.select("_id", "_ta", "_tb", F.explode(line_chunks(F.col("_text"), window, divisor, lowest)).alias("c"))
     chunk = chunked.filter(F.size("c.lines") > 1).select(
         F.coalesce(F.col("_id"), F.lit(_LAST_ID)).alias("_id"), "_ta", "_tb", F.col("c.pos").alias("pos"),
         F.array_join("c.lines", "\n").alias("chunk")).filter(F.col("chunk").rlike(r"\S"))
@@ -76,7 +81,7 @@ def dedup_line_chunks(df: DataFrame, key: str = "doc_id", text: str = "text", wi
         .groupBy("_id", "_ta", "_tb").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("_id", "_gid"))
     joined = base.withColumn("_gid", F.coalesce(F.col("_id"), F.lit(_LAST_ID))).join(removed, ["_gid", "_ta", "_tb"], "left")
     gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
-    kept = let(gone, lambda g: F.filter(line_chunks(F.col("_text"), window, divisor), lambda c: ~F.array_contains(g, c["pos"])))
+    kept = let(gone, lambda g: F.filter(line_chunks(F.col("_text"), window, divisor, lowest), lambda c: ~F.array_contains(g, c["pos"])))
     left = joined.select(
         "_id", F.size(F.split(F.coalesce(F.col("_text"), F.lit("")), "\n", -1)).alias("n_lines"),
         F.size(gone).alias("n_removed_chunks"),

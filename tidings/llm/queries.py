@@ -132,5 +132,5 @@ def op8_jump_shards(spark, sf_dir):
 
 @register("op9_line_chunks")
 def op9_line_chunks(spark, sf_dir):
-    d = linechunks.dedup_line_chunks(table(spark, sf_dir, "documents"))
+    d = linechunks.dedup_line_chunks(table(spark, sf_dir, "documents"), lowest=True)
     return d.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.sha2("text", 256).alias("kept_sha256"))
