@@ -235,5 +235,21 @@ def test_hot_passage_is_combined_in_the_task(spark):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept) for r in got), key=str) == brute_repeats(rows)
 
 
+def test_hot_passage_whose_first_copy_is_elsewhere(spark):
+    """Variants of a passage in one chunk; only the smallest document's phrases are sent, and a smaller one has them too."""
+    rng = random.Random(21)
+    passage = [rng.choice("abcdefghij klm") for _ in range(400)]
+    rows = [(100, "".join(passage))]
+    for d in range(101, 141):
+        w = list(passage)
+        for at in rng.sample(range(400), 6):
+            w[at] = "#"
+        rows.append((d, "".join(w)))
+    rows = [(1, rows[0][1]), *((k, "short") for k in range(2, 42)), *rows]  # two slices of 41 rows
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    got = pfp.remove_repeats(df, digest=True).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept) for r in got), key=str) == brute_repeats(rows)
+
+
 def test_prefix_free_parsing_empty_table(spark):
     assert pfp.remove_repeats(docs_frame(spark, [])).count() == 0

@@ -41,7 +41,7 @@ GRAM = 16
 PER_BUCKET = 32 << 20  # bytes of text whose phrases one sorting task holds
 PER_PASS = 1 << 20  # phrases or strings that one sort inside a task holds
 PER_PART = 4 << 20  # bytes of text that one parsing or cutting task holds
-HOT = 16  # phrases of one trigger in one task; of more, only the smallest document's is sent
+HOT = 16  # phrases of one trigger in one task; of more, only the smallest document's is sent, marked if others stay
 NULL_ID = 2**63 - 1
 
 _U = np.uint64
@@ -155,15 +155,16 @@ def parse_phrases(buckets: int):
                 if not len(p.at):
                     continue
                 t, c, d = p.triggers(), p.phrases(), ids[p.owner]
-                whole, held, send = _settled(t, c, d)
+                whole, held, send, more = _settled(t, c, d)
                 v = np.flatnonzero(whole | held)
                 verdict = np.where(whole[v], WHOLE, OPEN).astype(np.uint32)
                 # rows stay in text order inside a bucket, so ids, checks and orders compress in the shuffle
                 made = _pack(((t[send] >> _U(20)) % _U(buckets)).astype(np.int64), buckets, {
                     "triggers": (t[send] & _U(0xFFFFFFFF)).astype(np.uint32), "phrases": (c[send] >> _U(32)).astype(np.uint32),
-                    "ids": d[send], "checks": checks[p.owner[send]], "orders": p.order[send].astype(np.uint32)})
+                    "ids": d[send], "checks": checks[p.owner[send]], "orders": (p.order[send].astype(np.uint32) << np.uint32(1)) | more[send].astype(np.uint32)})
                 n = len(made["part"])
-                extra = lambda x: pa.array([x.tobytes()] + [None] * (n - 1), pa.binary())  # noqa: E731,B023
+                row = int(t[0] % _U(n))  # the chunk's own verdicts ride with any bucket, not all chunks' with the first
+                extra = lambda x: pa.array([None] * row + [x.tobytes()] + [None] * (n - 1 - row), pa.binary())  # noqa: E731,B023
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made["part"], pa.int32()), *(pa.array(made[k], pa.binary()) for k in ("triggers", "phrases", "ids", "checks", "orders")),
                      extra(d[v]), extra(checks[p.owner[v]]), extra((p.order[v].astype(np.uint32) << np.uint32(1)) | verdict)],
@@ -172,18 +173,19 @@ def parse_phrases(buckets: int):
     return run
 
 
-def _settled(t: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _settled(t: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """What a task can tell of its phrases (trigger, phrase, id), in their order: repeated as a whole; of a hot
-    trigger and so in question at once; to be sent to the trigger's bucket."""
+    trigger and so in question at once; to be sent to the trigger's bucket; of a trigger with phrases not sent."""
     order = np.lexsort((d, c, t))
     t, c, d = t[order], c[order], d[order]
     same, trig = _groups(t, c), _groups(t)
     whole = d > _smallest(same, d)  # a smaller document of the task has the phrase
     hot = np.bincount(trig)[trig] > HOT
     send = ~whole & (~hot | (d == _smallest(trig, d)))
-    out = np.zeros((3, len(t)), dtype=bool)
-    out[:, order] = whole, hot & ~whole, send
-    return out[0], out[1], out[2]
+    more = (np.bincount(trig, weights=~whole & ~send) > 0)[trig]
+    out = np.zeros((4, len(t)), dtype=bool)
+    out[:, order] = whole, hot & ~whole, send, more
+    return out[0], out[1], out[2], out[3]
 
 
 def sort_dictionary(parts: int, per_pass: int = PER_PASS):
@@ -192,6 +194,7 @@ def sort_dictionary(parts: int, per_pass: int = PER_PASS):
     def run(table: pa.Table) -> pa.Table:
         t, c, d = _unpack(table, "triggers", np.uint32), _unpack(table, "phrases", np.uint32), _unpack(table, "ids", np.int64)
         checks, nth = _unpack(table, "checks", np.uint32), _unpack(table, "orders", np.uint32)
+        more, nth = (nth & np.uint32(1)) > 0, nth >> np.uint32(1)
         whole, open_ = np.zeros(len(t), dtype=bool), np.zeros(len(t), dtype=bool)
         passes = 1 + len(t) // per_pass
         for k in range(passes):  # triggers apart, so that a sort holds about ``per_pass`` phrases
@@ -201,10 +204,11 @@ def sort_dictionary(parts: int, per_pass: int = PER_PASS):
                 continue
             same, trig, ids = _groups(t[at], c[at]), _groups(t[at]), d[at]
             again = ids > _smallest(same, ids)
-            # in question: the trigger has several phrases, and not all in one document
+            # in question: the trigger has several phrases, and not all in one document, or a task kept some back
             last = np.append(np.flatnonzero(trig[1:] != trig[:-1]), len(trig) - 1)
             first = np.concatenate(([0], last[:-1] + 1))
             many = (same[last] > same[first]) & (np.maximum.reduceat(ids, first) > np.minimum.reduceat(ids, first))
+            many |= np.maximum.reduceat(more[at], first)
             whole[at], open_[at] = again, ~again & many[trig]
         v = np.flatnonzero(whole | open_)
         ids = np.concatenate([d[v], _unpack(table, "v_ids", np.int64)])
