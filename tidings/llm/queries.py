@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidings.llm import chunkdedup, decontam, folds, jaccard, linechunks, mixing, pfp, quality, sharding, toxicity, urlfilter
+from tidings.llm import chunkdedup, covers, decontam, folds, jaccard, linechunks, merkle, mixing, pfp, quality, sharding, spelling, sql, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -134,3 +134,25 @@ def op8_jump_shards(spark, sf_dir):
 def op9_line_chunks(spark, sf_dir):
     d = linechunks.dedup_line_chunks(table(spark, sf_dir, "documents"), lowest=True)
     return d.select("doc_id", "n_lines", "n_removed_lines", "n_removed_chunks", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op11_pivotal_grams", sql.spelling())
+def op11_pivotal_grams(spark, sf_dir):
+    return spelling.group_variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+@register("op12_difference_cover", sql.windows())
+def op12_difference_cover(spark, sf_dir):
+    left = covers.remove_repeated_windows(table(spark, sf_dir, "documents"), digest=True)
+    return left.withColumnRenamed("kept", "kept_sha256")
+
+
+@register("op13_interval_manifest", sql.manifest())
+def op13_interval_manifest(spark, sf_dir):
+    fields = lambda text: [*map(F.col, ("doc_id", "source", "lang", "n_chars")), text]
+    low = F.translate("text", sql.UPPER, sql.LOWER)
+    tampered = F.when(folds.fold(F.col("doc_id"), 3) == 0, merkle.digest_of(fields(low)))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), "doc_id", fields(F.col("text")), "lang", {"tampered": tampered})
+    found = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
