@@ -64,8 +64,8 @@ def test_variants_equal_definition(spark):
     rows = [(i, " ".join(rng.choice(pool) + rng.choice(["", "1", ",", "’"]) for _ in range(60))) for i in range(60)]
     rows += [(None, rows[0][1]), (None, None), (7, ""), (5, rows[5][1]), (-4, "Zebra zebra ZEBRA zebr zebr zebr zebrá zebrá zebrá")]
     rows += [(900 + i, "q" * 3000 + " " + "q" * 3001) for i in range(3)]  # long words of one bigram
-    got = rows_of(spelling.group_variants(spelling.vocabulary(docs_frame(spark, rows))))
-    assert got == variants(rows)
+    for hot in (0, 5, spelling.HOT):  # every key, some and no key keyed anew
+        assert rows_of(spelling.group_variants(spelling.vocabulary(docs_frame(spark, rows)), hot=hot)) == variants(rows)
     assert rows_of(spelling.group_variants(spelling.vocabulary(docs_frame(spark, [(1, None), (2, "")], extra=False)))) == []
 
 

@@ -9,8 +9,17 @@ pivots survives and so lies in the prefix of the other. So pivots are looked up
 
 Positions limit the search: the edit lies wholly before or wholly after a surviving bigram, so the bigram keeps its
 place from the end or from the start, and the text from it to that end is equal. The index key is the hash of the
-side, that text and the word's length; a pivot looks for its own length and one more or less. Candidates are verified
-on the words themselves (edit distance 1), so a clash of hashes only adds candidates.
+side, that text and the word's length; a pivot looks for its own length and one more or less. An edit that spares the
+second pivot lies before it, any other lies after the first, so the first looks to its left and the second to its
+right only. With a key go two 64-bit maps of the word, which bigrams it has and which letters it has an odd number of
+times; one edit changes four bits of the one and two of the other at most, and pairs that differ in more never leave
+the join.
+
+Some keys are common all the same (two letters at the start, say). Where index rows and look-ups of a key would make
+more than ``HOT`` pairs, its rows are keyed anew: what lies on the other side of the key, where the edit is, is one
+edit apart, so the two share that text or the text less one code point. The number of rows grows by the length of a
+word there, and the pairs stay in proportion to the words. Candidates are verified on the words themselves (edit
+distance 1), so a clash of hashes only adds candidates.
 
 The number of different bigrams is bounded by the square of the alphabet of ``LETTERS`` (90 letters after
 lower-casing, 8,100 bigrams), so their numbers are the one thing the driver holds. The vocabulary never leaves the cluster.
@@ -37,6 +46,7 @@ SHORTEST, FEWEST = 5, 3  # code points and occurrences of a word
 DELETE_ONE_IN = 97
 TIMES = 2  # a form occurs at least so many times as often as the word
 GRAM, EDITS = 2, 1
+HOT = 256  # pairs of a key that are listed; the rows of a key with more are keyed anew
 
 _U = np.uint64
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -93,6 +103,30 @@ def rare_disjoint(places: list[int], costs: list[int], take: int, width: int) ->
     return out[::-1]
 
 
+def _spans(words: list[str]):
+    """Code points of the words put together, lengths, firsts, and hashes of spans: whole, and less one of their places."""
+    point = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+    length = np.array([len(w) for w in words], dtype=np.int64)
+    p, q = kernels.powers(len(point) + 2)
+    prefix = np.zeros(len(point) + 1, dtype=_U)
+    np.cumsum(kernels.mix(point.astype(_U) + _U(1)) * p[: len(point)], out=prefix[1:])
+    span = lambda a, b: kernels.mix((prefix[b] - prefix[a]) * q[a])
+    less = lambda a, b, at: kernels.mix((prefix[at] - prefix[a]) * q[a] + (prefix[b] - prefix[at + 1]) * q[a + 1])
+    return point, length, np.cumsum(length) - length, span, less
+
+
+def _runs(words: list[str], most: int = 1 << 18):
+    """(first, end) of runs of words with about ``most`` code points."""
+    i = 0
+    while i < len(words):
+        j, size = i, 0
+        while j < len(words) and (j == i or size + len(words[j]) <= most):
+            size += len(words[j])
+            j += 1
+        yield i, j
+        i = j
+
+
 def pivot_rows(code: np.ndarray, rank: np.ndarray, count: np.ndarray):
     """Arrow mapper over (id, word): index rows of the gram prefix and look-up rows of the pivots."""
     take = EDITS + 1
@@ -101,23 +135,11 @@ def pivot_rows(code: np.ndarray, rank: np.ndarray, count: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = batch.column("word").to_pylist()
-            i = 0
-            while i < len(words):  # about a million code points at a time
-                j, size = i, 0
-                while j < len(words) and (j == i or size + len(words[j]) <= 1 << 20):
-                    size += len(words[j])
-                    j += 1
+            for i, j in _runs(words):
                 yield rows_of(batch.column("id").slice(i, j - i).to_numpy(), words[i:j])
-                i = j
 
     def rows_of(ids: np.ndarray, words: list[str]) -> pa.RecordBatch:
-        point = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
-        length = np.array([len(w) for w in words], dtype=np.int64)
-        first = np.cumsum(length) - length
-        p, q = kernels.powers(len(point) + 1)
-        prefix = np.zeros(len(point) + 1, dtype=_U)
-        np.cumsum(kernels.mix(point.astype(_U) + _U(1)) * p[:-1], out=prefix[1:])
-        span = lambda a, b: kernels.mix((prefix[b] - prefix[a]) * q[a])
+        point, length, first, span, _ = _spans(words)
         n = length - GRAM + 1
         word = np.repeat(np.arange(len(words)), n)
         at = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n) + first[word]
@@ -130,33 +152,77 @@ def pivot_rows(code: np.ndarray, rank: np.ndarray, count: np.ndarray):
         places, costs = at[held].tolist(), count[which[held]].tolist()
         pivots = np.array([x for k in range(len(words)) for x in rare_disjoint(places[edge[k]: edge[k + 1]], costs[edge[k]: edge[k + 1]], take, GRAM)],
                           dtype=np.int64)
-        keys, owners, roles = [], [], []
-
-        def put(at, word, more, role):
-            tag = kernels.mix((length[word] + more).astype(_U) + _U(0x1000))
-            keys.append(kernels.mix(span(first[word], at + GRAM) ^ tag))  # equal up to the gram
-            keys.append(kernels.mix((span(at, first[word] + length[word]) + _U(0x9E3779B97F4A7C15)) ^ tag))  # equal from the gram on
-            owners.extend([word, word])
-            roles.extend([np.full(len(word), role)] * 2)
-
-        put(at[held], word[held], 0, False)
-        for more in range(-EDITS, EDITS + 1):
-            put(pivots, np.repeat(np.arange(len(words)), take), more, True)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[np.concatenate(owners)]),
-                                           pa.array(np.concatenate(roles).astype(bool))], names=["key", "id", "pivot"])
+        odd = np.bitwise_xor.reduceat(_U(1) << (kernels.mix(point.astype(_U)) & _U(63)), first) if len(words) else np.zeros(0, _U)
+        bits = np.bitwise_or.reduceat(_U(1) << (kernels.mix((point[at] << 21 | point[at + 1]).astype(_U)) & _U(63)), start) if len(words) else np.zeros(0, _U)
+        keys, owners, roles, cuts = [], [], [], []
+
+        def put(at, word, left, more, role):
+            key = span(first[word], at + GRAM) if left else span(at, first[word] + length[word]) + _U(0x9E3779B97F4A7C15)
+            keys.append(kernels.mix(key ^ kernels.mix((length[word] + more).astype(_U) + _U(0x1000))))
+            owners.append(word)
+            roles.append(np.full(len(word), role))
+            cuts.append(at + GRAM - first[word] if left else -1 - (at - first[word]))
+
+        own = np.arange(len(words))
+        for left, pivot in ((True, pivots[::take]), (False, pivots[take - 1:: take])):
+            put(at[held], word[held], left, 0, False)
+            for more in range(-EDITS, EDITS + 1):
+                put(pivot, own, left, more, True)
+        owner = np.concatenate(owners)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[owner]), pa.array(bits[owner].view(np.int64)),
+                                           pa.array(odd[owner].view(np.int64)), pa.array(np.concatenate(cuts).astype(np.int32)),
+                                           pa.array(np.concatenate(roles).astype(bool))], names=["key", "id", "bits", "odd", "cut", "pivot"])
 
     return run
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def keyed_anew(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow mapper over (key, id, bits, odd, cut, pivot, word): rows by the text on the edit's side, whole and less one code point."""
+    for batch in batches:
+        words = batch.column("word").to_pylist()
+        for i, j in _runs(words, 1 << 16):
+            part = batch.slice(i, j - i)
+            _, length, first, span, less = _spans(words[i:j])
+            cut = part.column("cut").to_numpy().astype(np.int64)
+            a = first + np.where(cut > 0, cut, 0)
+            b = first + np.where(cut > 0, length, -1 - cut)
+            row = np.repeat(np.arange(len(a)), b - a)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + a[row]
+            key = part.column("key").to_numpy().view(_U)
+            row = np.concatenate([np.arange(len(a)), row])
+            new = kernels.mix(key[row] ^ np.concatenate([span(a, b), less(a[row[len(a):]], b[row[len(a):]], at)]))
+            order = np.lexsort((new, row))
+            keep = np.ones(len(order), dtype=bool)
+            keep[1:] = (new[order][1:] != new[order][:-1]) | (row[order][1:] != row[order][:-1])
+            row, new = row[order][keep], new[order][keep]
+            own = part.select(["id", "bits", "odd", "pivot"]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([pa.array(new.view(np.int64)), *own.columns], names=["key", "id", "bits", "odd", "pivot"])
+
+
+_ROWS = "key long, id long, bits long, odd long"
+
+
+def _found(rows: DataFrame) -> DataFrame:
+    """(a, b) of look-ups and index rows of equal key whose maps allow one edit."""
+    index = rows.filter("not pivot").select("key", F.col("id").alias("b"), F.col("bits").alias("bb"), F.col("odd").alias("ob"))
+    asked = rows.filter("pivot").select("key", F.col("id").alias("a"), F.col("bits").alias("ba"), F.col("odd").alias("oa"))
+    both = asked.join(index, "key").filter(
+        f"a <> b AND bit_count(oa ^ ob) <= {2 * EDITS} AND bit_count(ba ^ bb) <= {2 * GRAM * EDITS}")
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def near_words(words: DataFrame, hot: int = HOT) -> DataFrame:
     """(a, b) both ways: numbers of the words of ``words`` (id, word) that are one edit apart."""
     code, rank, count = gram_order(words)
-    rows = cut_lineage(words.select("id", "word").mapInArrow(pivot_rows(code, rank, count), "key long, id long, pivot boolean"))
-    index = rows.filter("not pivot").select("key", F.col("id").alias("b")).distinct()
-    found = rows.filter("pivot").select("key", F.col("id").alias("a")).distinct().join(index, "key").filter("a <> b")
-    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows = cut_lineage(words.select("id", "word").mapInArrow(pivot_rows(code, rank, count), f"{_ROWS}, cut int, pivot boolean"))
+    pairs = rows.groupBy("key").agg((F.count_if(F.col("pivot")) * F.count_if(~F.col("pivot"))).alias("pairs"))
+    pairs = cut_lineage(pairs.filter("pairs > 0"))  # a key with one side only finds nothing
+    common = rows.join(pairs.filter(F.col("pairs") > hot).select("key"), "key").join(words.select("id", "word"), "id")
+    anew = common.select("key", "id", "bits", "odd", "cut", "pivot", "word").mapInArrow(keyed_anew, f"{_ROWS}, pivot boolean")
+    few = rows.join(pairs.filter(F.col("pairs") <= hot).select("key"), "key")
+    found = _found(few).union(_found(cut_lineage(anew))).distinct()
     named = lambda c: words.select(F.col("id").alias(c), F.col("word").alias(f"w{c}"))
-    near = pairs.join(named("a"), "a").join(named("b"), "b").filter(F.levenshtein("wa", "wb", EDITS) == EDITS)
+    near = found.join(named("a"), "a").join(named("b"), "b").filter(F.levenshtein("wa", "wb", EDITS) == EDITS)
     return cut_lineage(near.select("a", "b").union(near.select("b", "a")))
 
 
@@ -172,7 +238,7 @@ def roots(forms: DataFrame) -> DataFrame:
         state = step.select("id", "up")
 
 
-def group_variants(counts: DataFrame, times: int = TIMES) -> DataFrame:
+def group_variants(counts: DataFrame, times: int = TIMES, hot: int = HOT) -> DataFrame:
     """word, form, root, n, n_near and form_n for every word of ``counts`` (word, n), words of at least four code points.
 
     A word's form is its near word of largest n (of equal ones the smallest in code-point order) if that is at least
@@ -180,7 +246,7 @@ def group_variants(counts: DataFrame, times: int = TIMES) -> DataFrame:
     """
     words = cut_lineage(counts.select("word", "n").withColumn("id", F.monotonically_increasing_id()))
     with stage_scope(counts.sparkSession) as keep:
-        links = near_words(words)
+        links = near_words(words, hot)
         other = words.select(F.col("id").alias("b"), F.col("word").alias("form"), F.col("n").alias("form_n"))
         best = links.join(other, "b").groupBy("a").agg(
             F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("form_n")).alias("m"), "form", "b", "form_n")).alias("x"))
