@@ -4,9 +4,11 @@ Every source gets a share of the wanted words by weight, but not more than ``cap
 over goes to the other sources by weight, until none is above its cap. Document rates (expected copies) are those
 closest in relative entropy, per word, to one copy each under the constraint that every source takes its target:
 rate = exp(lambda of the source). The convex dual sum_s (S_s exp(lambda_s) - t_s lambda_s) is solved by Newton steps
-on the table of sources, S_s being summed over all documents. Rates become copies by systematic rounding along
-the sizes of each source, so the words taken differ from the target by a few documents at most, and no document
-is taken more than ceil(cap) times.
+on the table of sources, S_s being summed over all documents. Rates become copies by rounding in words: the sizes of
+a source are walked from the largest down, each takes the whole number of copies that comes nearest to its words and
+what the larger ones have left open, so the small texts close the gap and the words taken differ from the target
+by about half a small text. The copies of a size are spread evenly over its documents; none is taken more than
+ceil(cap) times, and all documents of a size together not more than cap times.
 
 Defined results: a null or blank text has size 0; a null source is a source of its own, last in order; a source
 of no words has target 0 and rate 0; rows that are equal are rounded apart, with the same result as a set on
@@ -20,7 +22,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -91,12 +93,34 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", weights=WEIG
     sized = cut_lineage(rows.select(F.col(source).alias("source"), "size", "_block").groupBy("source", "size", "_block").agg(
         F.count(F.lit(1)).alias("n")))
     targets = source_targets(sized.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, cap)
-    before = Window.partitionBy("source").orderBy("size", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    cells = sized.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(
-        targets.withColumnRenamed("source", "_t"), F.col("source").eqNullSafe(F.col("_t"))).select(
-        F.col("source").alias("_s"), F.col("size").alias("_z"), F.col("_block").alias("_b"), "_before", "source_size", "target", "rate")
+    per_size = sized.groupBy("source", "size").agg(F.sum("n").alias("n")).join(
+        targets.withColumnRenamed("source", "_t"), F.col("source").eqNullSafe(F.col("_t"))).drop("_t")
+    kinds = {f.name: f.dataType.simpleString() for f in per_size.schema.fields}
+    names = ("source", "size", "n", "source_size", "target")
+    taken = cut_lineage(per_size.groupBy("source").applyInArrow(round_sizes(cap), ", ".join(f"{c} {kinds[c]}" for c in names) + ", taken long"))
+    before = Window.partitionBy("source", "size").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    cells = sized.select("source", "size", "_block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")).alias("c").join(
+        taken.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")) & (F.col("c.size") == F.col("t.size"))).select(
+        F.col("c.source").alias("_s"), F.col("c.size").alias("_z"), F.col("_block").alias("_b"), "_before", F.col("n").alias("_n"), F.col("taken").alias("_k"),
+        "source_size", "target")
     rank = F.row_number().over(Window.partitionBy(source, "size", "_block").orderBy(key)) + F.col("_before")
     joined = rows.join(cells, F.col(source).eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")) & (F.col("_block") == F.col("_b")))
-    along: Column = rank.cast("double")
-    copies = F.floor(F.col("rate") * along + 0.5) - F.floor(F.col("rate") * (along - 1) + 0.5)
-    return joined.withColumn("copies", F.least(copies, F.lit(math.ceil(cap))).cast("int")).drop("_s", "_z", "_b", "_block", "_before", "rate")
+    joined = joined.withColumn("_rank", rank)
+    copies = F.expr("(_k * _rank) div _n - (_k * (_rank - 1)) div _n")
+    return joined.withColumn("copies", copies.cast("int")).drop("_s", "_z", "_b", "_block", "_before", "_n", "_k", "_rank")
+
+
+def round_sizes(cap: float):
+    """Arrow group mapper over the sizes of a source (at most as many rows as the longest text has words): copies of each."""
+
+    def kernel(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("size", "descending")])
+        rate, left, out = table.column("rate")[0].as_py(), 0.0, []
+        for size, n in zip(table.column("size").to_pylist(), table.column("n").to_pylist(), strict=True):
+            wanted = rate * size * n + left
+            k = min(max(math.floor(wanted / size + 0.5), 0), math.floor(cap * n)) if size else 0
+            left = wanted - size * k
+            out.append(k)
+        return table.select(["source", "size", "n", "source_size", "target"]).append_column("taken", pa.array(out, pa.int64()))
+
+    return kernel
