@@ -157,11 +157,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     trusted = folds.bounded(known.filter("y = 1"), positives, "trusted").select("id", F.lit(1).alias("y"))
     open_ids = texts.select("id").filter(F.col("id").isNotNull() & (folds.fold(F.col("id"), folds_) != held))
     web = folds.bounded(open_ids.distinct(), unlabelled, "web").select("id", F.lit(0).alias("y"))
-    got = texts.join(F.broadcast(trusted.union(web)), "id").select("text", "y").mapInArrow(_arrays, "y int, x array<double>").toArrow()
+    drawn = texts.join(F.broadcast(trusted.union(web)), "id").groupBy("id", "y").agg(F.min("text").alias("text"))  # an id is one text
+    got = drawn.select("text", "y").mapInArrow(_arrays, "y int, x array<double>").toArrow()
     y = got["y"].to_numpy()
     if not (y == 1).any() or not (y == 0).any():
         return None, prior
-    x = np.array(got["x"].to_pylist())
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     return fit_nnpu(x[y == 1], x[y == 0], min(prior, 0.99)), prior
 
 

@@ -159,13 +159,19 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     prior = ((toxic or 0) + 1) / (n + 2)
     sample = folds.bounded(known.filter("y = 1"), per_class, "toxic").union(folds.bounded(known.filter("y = 0"), per_class, "clean"))
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    got = texts.join(F.broadcast(sample), "id").select("text", "y").mapInArrow(
-        sample_features, "y int, x array<int>, twin array<int>").toArrow()
+    drawn = texts.join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))  # an id is one text
+    got = drawn.select("text", "y").mapInArrow(sample_features, "y int, x array<int>, twin array<int>").toArrow()
     y = got["y"].to_numpy().astype(np.float64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0, np.int32), np.zeros(0), float(np.log(prior / (1 - prior))))
-    lists = lambda c: [None if v is None else np.asarray(v, dtype=np.int32) for v in got[c].to_pylist()]
-    return fit_linear(lists("x"), y, lists("twin"))
+    return fit_linear(_lists(got["x"]), y, _lists(got["twin"]))
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """The lists of a column as views of its one buffer."""
+    lists = column.combine_chunks()
+    off, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [values[a:b] if ok else None for a, b, ok in zip(off[:-1], off[1:], lists.is_valid().to_numpy(zero_copy_only=False), strict=True)]
 
 
 def score_of(model: Model, text: Column) -> Column:
