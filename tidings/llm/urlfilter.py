@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,13 +26,20 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-#: Default vocabulary: strict terms reject alone, soft terms carry weights.
-STRICT = ("porn", "porno", "xxx", "hentai", "sexcam", "escorts", "camgirls", "warez", "torrent-porn", "casino-bonus")
-SOFT = {
-    "sex": 1.0, "nude": 1.0, "adult": 0.5, "erotic": 1.0, "fetish": 1.0, "webcam": 0.5, "dating": 0.5, "hot": 0.5,
-    "casino": 1.0, "poker": 0.5, "betting": 1.0, "slots": 0.5, "jackpot": 0.5, "bonus": 0.5, "crack": 0.5,
-    "keygen": 1.0, "serial": 0.5, "pills": 0.5, "viagra": 1.0, "cialis": 1.0, "loan": 0.5, "payday": 1.0,
-}
+#: Default vocabulary, the usual terms of published lists by subject: strict terms reject alone, soft terms carry weights.
+STRICT = (
+    "porn", "porno", "pornhub", "xxx", "xxxx", "hentai", "sexcam", "sexcams", "sexchat", "escorts", "camgirl", "camgirls", "milf", "upskirt",
+    "gangbang", "blowjob", "bukkake", "creampie", "cumshot", "shemale", "bestiality", "warez", "keygens", "nulled", "torrent-porn", "casino-bonus",
+    "free-porn", "sex-video", "sex-videos", "buy-viagra", "buy-cialis", "carding", "cvv-shop", "ddos-for-hire", "phishing-kit",
+)
+_FULL = ("sex", "sexy", "nude", "nudes", "naked", "erotic", "erotica", "fetish", "escort", "swinger", "lingerie", "casino", "casinos", "betting",
+         "sportsbook", "gambling", "roulette", "blackjack", "baccarat", "jackpot", "viagra", "cialis", "levitra", "tramadol", "xanax", "ambien",
+         "pills", "pharmacy", "steroids", "keygen", "cracked", "torrent", "torrents", "payday", "spam", "malware", "phishing", "replica", "counterfeit")
+_HALF = ("adult", "adults", "hot", "girls", "webcam", "cams", "dating", "hookup", "singles", "mature", "teen", "poker", "slots", "slot", "bet",
+         "bets", "bingo", "lottery", "bonus", "win", "winner", "prize", "cheap", "cheapest", "discount", "free", "buy", "order", "deal", "deals",
+         "offer", "loan", "loans", "credit", "cash", "money", "rich", "crypto", "crack", "serial", "hack", "hacks", "cheats", "download", "weight",
+         "diet", "detox", "pill", "meds", "rx", "seo", "backlinks", "clicks", "traffic", "popup", "banner", "ads", "promo", "spin", "spins")
+SOFT = {**dict.fromkeys(_FULL, 1.0), **dict.fromkeys(_HALF, 0.5)}
 SOFT_THRESHOLD = 1.5
 SOFT_DISTINCT = 2
 
@@ -76,18 +84,24 @@ def vocabulary_hits(strict, soft):
         word = set("abcdefghijklmnopqrstuvwxyz0123456789")
         strict_set = set(strict)
         for urls in batches:
-            out = []
-            for url in urls:
-                seen = set()
-                if url and len(machine):
-                    u = url.translate(lower)
-                    for end, (term, n) in machine.iter(u):
-                        if (end + 1 < len(u) and u[end + 1] in word) or (end >= n and u[end - n] in word):
-                            continue
-                        seen.add(term)
-                soft_seen = sorted(seen - strict_set)
-                out.append((len(seen & strict_set), len(soft_seen), float(sum(soft[t] for t in soft_seen))))
-            yield pd.DataFrame(out, columns=["n_strict", "n_soft", "weight"])
+            # one pass over all urls of a batch, a line break between them: no term holds one
+            texts = [(u or "").translate(lower).replace("\n", " ") for u in urls]
+            starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            joined = "\n".join(texts)
+            found = set()
+            if len(machine):
+                hits_at = [(end, term, n) for end, (term, n) in machine.iter(joined)
+                           if not ((end + 1 < len(joined) and joined[end + 1] in word) or (end >= n and joined[end - n] in word))]
+                owners = np.searchsorted(starts, [end for end, _, _ in hits_at], side="right") - 1
+                found = set(zip(owners.tolist(), [term for _, term, _ in hits_at], strict=True))  # a term counts once per url
+            n_strict, n_soft, weight = np.zeros(len(texts), np.int32), np.zeros(len(texts), np.int32), np.zeros(len(texts))
+            for owner, term in found:
+                if term in strict_set:
+                    n_strict[owner] += 1
+                else:
+                    n_soft[owner] += 1
+                    weight[owner] += soft[term]
+            yield pd.DataFrame({"n_strict": n_strict, "n_soft": n_soft, "weight": weight})
 
     return hits
 
