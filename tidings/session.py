@@ -60,13 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, scoped: bool = True) -> DataFrame:
     """Cut the lineage with a table written to the shared checkpoint folder and read back.
 
     Parquet in ``spark.checkpoint.dir`` survives executor loss like a reliable checkpoint, is columnar and
     compressed (cheaper than serialised RDD blocks) and gives the optimizer real sizes. Never a local
     checkpoint, never a machine-local folder on a cluster. The table lives until :func:`release`, until the
-    enclosing :func:`stage_scope` ends, or until :func:`release_all` at the end of the job.
+    enclosing :func:`stage_scope` ends (unless not ``scoped``), or until :func:`release_all` at the end of the job.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -74,7 +74,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
-    (_SCOPES[-1] if _SCOPES else _OPEN).append(path)
+    (_SCOPES[-1] if _SCOPES and scoped else _OPEN).append(path)
     return out
 
 
@@ -127,10 +127,11 @@ def release_all(spark: SparkSession) -> None:
 
 
 def checkpoint_round(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small per-round state table (greedy dedup, components) into the shared
-    checkpoint folder. For these small tables it is cheaper than a written table (no commit protocol). Where
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as in :func:`local_session`, Spark deletes a
-    superseded state once nothing refers to it; elsewhere they stay until the folder is cleared. Never a
-    local checkpoint."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """State of a round (greedy dedup, components, spanning trees) as a written table, see :func:`cut_lineage`.
+
+    Not ``DataFrame.checkpoint()``: its result keeps the optimizer's size estimate of the plan that made it, a
+    product over all joins, so the digits of the estimate multiply from round to round and planning takes
+    longer than the work after a few of them. A table read back has its real size. The states are small and results
+    refer to them, so they outlive the enclosing scope.
+    """
+    return cut_lineage(df, scoped=False)
