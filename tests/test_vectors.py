@@ -13,12 +13,6 @@ def run_keep(spark, vecs, t, block_rows=2048):
     return [i in kept for i in range(len(vecs))]
 
 
-def test_reference_cases(spark):
-    assert run_keep(spark, [(1, 0, 0), (1, 0, 0), (0, 1, 0)], 0.9) == [True, False, True]
-    assert run_keep(spark, [(1, 0, 0), (0.99, 0.01, 0), (0, 1, 0)], 0.95) == [True, False, True]
-    assert run_keep(spark, [(1, 0, 0), (0, 1, 0), (0, 0, 1)], 0.9) == [True, True, True]
-
-
 def test_chain_is_greedy_not_naive(spark):
     a = [(math.cos(math.radians(d)), math.sin(math.radians(d)), 0.0) for d in (0, 20, 40)]
     assert run_keep(spark, a, 0.92) == [True, False, True]
@@ -65,20 +59,31 @@ def test_pairs_equal_brute_force_for_any_cells(spark):
         assert set(got) == want and len(got) == len(want)
 
 
-def test_cells_prune_at_high_thresholds(spark):
-    """Rows are copied to few cells when clusters are tight; the work stays clearly below all pairs."""
-    from tidings.operators.similarity import _cells
+def test_work_is_never_above_all_pairs(spark):
+    from tidings.operators.similarity import products_formed
 
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 16))
-    v = base[rng.integers(0, 40, 2000)] + rng.normal(scale=0.05, size=(2000, 16))
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    import pandas as pd
+    tight = base[rng.integers(0, 40, 2000)] + rng.normal(scale=0.05, size=(2000, 16))
+    loose = rng.normal(size=(2000, 16))
+    every = 2000**2 / 2
+    for v, t, most in ((tight, 0.98, 0.35), (loose, 0.9, 0.6), (loose, 0.2, 1.08)):
+        v = v / np.linalg.norm(v, axis=1, keepdims=True)
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, embedding array<double>")
+        for pivots in (1, 8, 32, 125):
+            assert products_formed(df, "id", "embedding", t, pivots=pivots).first().products <= most * every
+
 
-    pdf = pd.DataFrame({"id": range(2000), "_v": list(v)})
-    (out,) = list(_cells(v[::20], float(np.sqrt(2 - 2 * 0.98)))([pdf]))
-    cells = out.groupby("_cell").size()
-    assert (cells.astype(float) ** 2).sum() < 0.35 * 2000**2
+def test_null_zero_and_equal_vectors(spark):
+    from tidings.operators.vectors import near_duplicates
+
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0, 0.0]), (5, [None, 1.0]), (6, None), (7, [0.0, 0.0]), (8, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    assert [(r.a, r.b) for r in cosine_pairs(df, 0.9).collect()] == [(1, 4)]
+    assert sorted(r.id for r in near_duplicates(df, 0.9).collect()) == [1, 2, 3, 5, 6, 7, 8]
+    assert cosine_pairs(df.filter("id > 99"), 0.9).count() == 0
+    lab = {r.id: r.label for r in density_cluster(df, 0.1, 2).collect()}
+    assert lab == {1: 0, 2: -1, 3: 1, 4: 0, 5: -1, 6: -1, 7: 1, 8: -1}
 
 
 def test_near_duplicates_collapse_copies(spark):
@@ -168,33 +173,3 @@ def test_no_cartesian_in_similarity_plan(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "id long, embedding array<double>")
     plan = cosine_pairs(df, 0.5)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
-def test_density_hierarchy_prefers_stable_children(spark):
-    from tidings.operators.cluster import density_hierarchy
-
-    def blob(cx, cy):
-        return [(cx + dx * 0.05, cy + dy * 0.05) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
-
-    pts = blob(0, 0) + blob(0.6, 0) + blob(5, 5) + [(20, 20)]
-    df = spark.createDataFrame([(i, [float(x), float(y)]) for i, (x, y) in enumerate(pts)], "id long, embedding array<double>")
-    lab = {r.id: r.label for r in density_hierarchy(df, [2.0, 1.0, 0.3, 0.1], 3).collect()}
-    a, b, c = {lab[i] for i in range(9)}, {lab[i] for i in range(9, 18)}, {lab[i] for i in range(18, 27)}
-    assert len(a) == len(b) == len(c) == 1 and len(a | b | c) == 3 and -1 not in a | b | c
-    assert lab[27] == -1
-
-
-def test_density_hierarchy_per_group(spark):
-    from tidings.operators.cluster import density_hierarchy
-
-    def blob(cx, cy):
-        return [(cx + dx * 0.05, cy + dy * 0.05) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
-
-    rows = []
-    for grp, pts in (("g1", blob(0, 0) + blob(0.6, 0)), ("g2", blob(0, 0) + [(9, 9)])):
-        rows += [(grp, i, [float(x), float(y)]) for i, (x, y) in enumerate(pts)]
-    df = spark.createDataFrame(rows, "grp string, id long, embedding array<double>")
-    lab = {(r.grp, r.id): r.label for r in density_hierarchy(df, [2.0, 0.3, 0.1], 3, group_cols=["grp"]).collect()}
-    g1a, g1b = {lab[("g1", i)] for i in range(9)}, {lab[("g1", i)] for i in range(9, 18)}
-    assert len(g1a) == len(g1b) == 1 and g1a != g1b and -1 not in g1a | g1b
-    assert {lab[("g2", i)] for i in range(9)} == {0} and lab[("g2", 9)] == -1

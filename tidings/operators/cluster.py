@@ -3,18 +3,14 @@
 Flat cut at ``eps`` (DBSCAN*): a core point has at least ``min_size`` points, itself included, within
 ``eps``; clusters are the connected components of core points joined by ``eps`` edges; components of
 fewer than ``min_size`` core points and every non-core point get -1. Labels are numbered 0.. in the
-order of each cluster's smallest id.
-
-:func:`density_hierarchy` runs the flat cut over a grid of ``eps`` values (descending) and selects clusters
-by excess-of-mass stability (Campello et al. 2013). It equals a hierarchical density clustering only as
-the grid gets finer; with a coarse grid it is an approximation of it.
+order of each cluster's smallest id. The hierarchy over all ``eps`` is :mod:`tidings.operators.hierarchy`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import connected_components
@@ -58,90 +54,3 @@ def density_cluster(vecs: DataFrame, eps: float, min_size: int = 3, *, id_col: s
         .select(*g, id_col, F.coalesce("label", F.lit(-1)).alias("label"),
                 F.coalesce("is_core", F.lit(False)).alias("is_core"))
     )
-
-
-def density_hierarchy(vecs: DataFrame, eps_grid: Sequence[float], min_size: int = 3, *, id_col: str = "id",
-                      vec_col: str = "embedding", group_cols: Sequence[str] = (),
-                      block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Clusters selected by stability over a grid of ``eps`` values: ``group_cols, id, label`` (-1 = noise).
-
-    Every grid level is a flat cut (:func:`density_cluster`); a cluster at a smaller ``eps`` lies inside
-    one cluster at the next larger ``eps``. A node that is the only child of its parent continues the
-    parent's cluster; two or more children are a split and start new clusters. With ``lambda = 1/eps``, a
-    cluster born at level ``b`` has stability ``sum over its points of (lambda_leave - lambda_b)``, where a
-    point leaves after the last level it is still in the cluster. Bottom-up, a cluster is selected when its
-    stability is at least the summed best stability of its child clusters (excess of mass). The loops run
-    over grid levels on small per-cluster tables; points are only joined, never collected.
-    """
-    user = list(group_cols)
-    g = user or ["_grp"]
-    src = vecs if user else vecs.withColumn("_grp", F.lit(0))
-    grid = sorted({float(e) for e in eps_grid}, reverse=True)
-    lam = [1.0 / e for e in grid]
-    nlev = len(grid)
-    member = None
-    # one pair table at the largest eps; the levels filter it by distance
-    near = neighbour_pairs(src, grid[0], id_col=id_col, vec_col=vec_col, group_cols=g, block_rows=block_rows)
-    for li, eps in enumerate(grid):
-        lab = density_cluster(src, eps, min_size, id_col=id_col, vec_col=vec_col, group_cols=g, pairs=near)
-        lv = lab.filter(F.col("label") >= 0).select(*g, id_col, F.lit(li).alias("level"), F.col("label").alias("cl"))
-        member = lv if member is None else member.unionByName(lv)
-    member = cut_lineage(member)
-    c, p = member.alias("c"), member.alias("p")
-    parent = (c.join(p, [F.col(f"c.{x}") == F.col(f"p.{x}") for x in g + [id_col]]
-                     + [F.col("p.level") == F.col("c.level") - 1])
-              .select(*[F.col(f"c.{x}").alias(x) for x in g], F.col("c.level").alias("level"), F.col("c.cl").alias("cl"),
-                      F.col("p.cl").alias("pcl"))
-              .distinct())
-    nkids = parent.groupBy(*g, (F.col("level") - 1).alias("plevel"), "pcl").agg(F.count(F.lit(1)).alias("_k"))
-    nodes = member.select(*g, "level", "cl").distinct()
-    # cluster identity: (birth level, cl); an only child inherits its parent's identity
-    cid = nodes.filter(F.col("level") == 0).select(*g, "level", "cl", F.col("level").alias("b"), F.col("cl").alias("bc"))
-    for li in range(1, nlev):
-        lvl = (parent.filter(F.col("level") == li).alias("x")
-               .join(nkids.filter(F.col("plevel") == li - 1).alias("k"),
-                     [F.col(f"x.{v}") == F.col(f"k.{v}") for v in g] + [F.col("x.pcl") == F.col("k.pcl")])
-               .join(cid.filter(F.col("level") == li - 1).alias("q"),
-                     [F.col(f"x.{v}") == F.col(f"q.{v}") for v in g] + [F.col("x.pcl") == F.col("q.cl")])
-               .select(*[F.col(f"x.{v}").alias(v) for v in g], F.col("x.level").alias("level"), F.col("x.cl").alias("cl"),
-                       F.when(F.col("k._k") == 1, F.col("q.b")).otherwise(F.col("x.level")).alias("b"),
-                       F.when(F.col("k._k") == 1, F.col("q.bc")).otherwise(F.col("x.cl")).alias("bc")))
-        cid = checkpoint_round(cid.unionByName(lvl))
-    lam_of = F.create_map(*[x for i, v in enumerate(lam) for x in (F.lit(i), F.lit(v))])
-    lam_next = F.create_map(*[x for i in range(nlev) for x in (F.lit(i), F.lit(lam[min(i + 1, nlev - 1)]))])
-    pts = member.join(cid, g + ["level", "cl"]).groupBy(*g, "b", "bc", id_col).agg(F.max("level").alias("_last"))
-    stab = pts.groupBy(*g, "b", "bc").agg(F.sum(lam_next[F.col("_last")] - lam_of[F.col("b")]).alias("stab"))
-    # cluster tree: a new cluster's parent cluster is the identity of its parent node
-    births = cid.filter((F.col("level") == F.col("b")) & (F.col("level") > 0))
-    ctree = (births.alias("n").join(parent.alias("e"), [F.col(f"n.{v}") == F.col(f"e.{v}") for v in g]
-                                    + [F.col("n.level") == F.col("e.level"), F.col("n.cl") == F.col("e.cl")])
-             .join(cid.alias("q"), [F.col(f"e.{v}") == F.col(f"q.{v}") for v in g]
-                   + [F.col("q.level") == F.col("e.level") - 1, F.col("q.cl") == F.col("e.pcl")])
-             .select(*[F.col(f"n.{v}").alias(v) for v in g], F.col("n.b").alias("b"), F.col("n.bc").alias("bc"),
-                     F.col("q.b").alias("pb"), F.col("q.bc").alias("pbc")))
-    best = stab.withColumn("best", F.col("stab")).withColumn("sel", F.lit(True))
-    for li in range(nlev - 1, -1, -1):
-        kid_sum = (ctree.join(best.select(*g, "b", "bc", "best"), g + ["b", "bc"])
-                   .groupBy(*g, F.col("pb").alias("b"), F.col("pbc").alias("bc")).agg(F.sum("best").alias("_ks")))
-        best = (best.join(kid_sum, g + ["b", "bc"], "left")
-                .withColumn("sel", F.when(F.col("b") == li, F.col("stab") >= F.coalesce("_ks", F.lit(0.0))).otherwise(F.col("sel")))
-                .withColumn("best", F.when(F.col("b") == li, F.greatest("stab", F.coalesce("_ks", F.lit(0.0)))).otherwise(F.col("best")))
-                .drop("_ks"))
-        best = checkpoint_round(best)
-    # keep selected clusters without a selected ancestor (top-down over levels)
-    chosen = best.filter("sel").select(*g, "b", "bc")
-    blocked = None
-    for li in range(1, nlev):
-        up = ctree.filter(F.col("b") == li)
-        anc_sel = chosen.select(*g, F.col("b").alias("pb"), F.col("bc").alias("pbc"))
-        if blocked is not None:
-            anc_sel = anc_sel.unionByName(blocked.select(*g, F.col("b").alias("pb"), F.col("bc").alias("pbc")))
-        newly = up.join(anc_sel, g + ["pb", "pbc"], "left_semi").select(*g, "b", "bc")
-        blocked = newly if blocked is None else checkpoint_round(blocked.unionByName(newly))
-    final = chosen if blocked is None else chosen.join(blocked, g + ["b", "bc"], "left_anti")
-    w = Window.partitionBy(*g).orderBy("b", "bc")
-    final = final.withColumn("label", (F.row_number().over(w) - 1).cast("int"))
-    lab = pts.join(final, g + ["b", "bc"]).select(*g, id_col, "label")
-    out = src.select(*g, id_col).join(lab, g + [id_col], "left").select(
-        *g, id_col, F.coalesce("label", F.lit(-1)).alias("label"))
-    return out if user else out.drop("_grp")
