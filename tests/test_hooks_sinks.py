@@ -2,12 +2,13 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidings.functions import coerce_ts, max_bullets, repair_utf8
 from tidings.operators.hooks import embed, rerank_with
 from tidings.operators.render import render_html
-from tidings.sinks.files import write_briefings, write_metrics, write_stage
+from tidings.sinks.files import read_run_table, write_briefings, write_metrics, write_run_table, write_stage
 from tidings.sources.items import ingest_forum_posts, ingest_stories
 
 
@@ -67,10 +68,30 @@ def test_writers(spark):
     write_briefings(b, d, ("md", "json", "html"))
     assert os.path.isdir(os.path.join(d, "md", "briefing_id=en", "run_ts=20240102T030405Z"))
     assert os.path.isdir(os.path.join(d, "html", "briefing_id=en"))
-    write_stage(spark.createDataFrame([("en", "c1", 1)], "briefing_id string, cluster_id string, n int"), os.path.join(d, "st"), "stage1")
-    assert spark.read.parquet(os.path.join(d, "st")).filter("stage = 'stage1'").count() == 1
-    write_metrics(spark.createDataFrame([("en", 3)], "briefing_id string, topics_final int"), os.path.join(d, "m"))
-    assert spark.read.json(os.path.join(d, "m")).count() == 1
+    for n in (1, 2):  # the second write of a run replaces the first, also where it has fewer briefings
+        rows = [("en", "c1", n)] + [("de", "c1", n)] * (n == 1)
+        write_stage(spark.createDataFrame(rows, "briefing_id string, cluster_id string, n int"), os.path.join(d, "st"), "stage1", "r1")
+    write_stage(spark.createDataFrame([("en", "c2", 7)], "briefing_id string, cluster_id string, n int"), os.path.join(d, "st"), "stage1", "2024-01-02")
+    write_metrics(spark.createDataFrame([("en", 3)], "briefing_id string, topics_final int"), os.path.join(d, "st"), "r1")
+    schema = "cluster_id string, n int, briefing_id string"
+    got = read_run_table(spark, os.path.join(d, "st"), "stage1", schema).select("run_id", "briefing_id", "cluster_id", "n").collect()
+    assert sorted(map(tuple, got)) == [("2024-01-02", "en", "c2", 7), ("r1", "en", "c1", 2)]
+    assert read_run_table(spark, os.path.join(d, "st"), "stage1", schema, run_id="r1").count() == 1
+    (m,) = read_run_table(spark, os.path.join(d, "st"), "metrics", "briefing_id string, topics_final int", fmt="json").collect()
+    assert (m.run_id, m.topics_final) == ("r1", 3)
+
+
+def test_readers_skip_what_is_not_committed(spark):
+    d = tempfile.mkdtemp(prefix="tidings-sinks-", dir="/tmp")
+    good = spark.createDataFrame([("en", 1)], "briefing_id string, n int")
+    write_run_table(good, d, "r1", "t")
+    with pytest.raises(Exception, match="lost"):
+        write_run_table(good.withColumn("n", F.raise_error(F.lit("lost")).cast("int")), d, "r2", "t")
+    assert [r.run_id for r in read_run_table(spark, d, "t", "briefing_id string, n int").collect()] == ["r1"]
+    write_run_table(good, d, "r2", "t")
+    assert read_run_table(spark, d, "t", "briefing_id string, n int").count() == 2
+    with pytest.raises(ValueError, match="folder name"):
+        write_run_table(good, d, "../r", "t")
 
 
 def test_parse_responses_defaults_and_quarantine(spark):
@@ -89,3 +110,35 @@ def test_duplicate_cluster_ids(spark):
     kept, viol = duplicate_clusters(b)
     assert sorted((r.cluster_id, r.bundle_pos) for r in kept.collect()) == [("c1", 1), ("c2", 2)]
     assert [(r.key, r.rule) for r in viol.collect()] == [("en/c1", "duplicate cluster id")]
+
+
+@pytest.mark.parametrize(("patch", "status"), [
+    ({}, "ok"), ({"notes": "n"}, "ok"), ({"mood": 1}, "invalid"), ({"picked": None}, "ok"), ({"picked": "no list"}, "ok"),
+    ({"dropped": [{"fact_id": "f", "reason": "r"}]}, "ok"), ({"dropped": [{"fact_id": "f", "reason": "r", "x": None}]}, "invalid"),
+    ({"fact": {"x": 1}}, "invalid"), ({"scores": {"x": 1}}, "invalid"), ({"scores": {"impact": 3}}, "invalid"), ({"scores": {"agentic_bonus": 1}}, "ok"),
+])
+def test_unknown_keys_are_refused_at_every_level(spark, patch, status):
+    import json
+
+    from tidings.operators.responses import parse_selections
+
+    patch = dict(patch)
+    scores = {"actionability": 1, "novelty": 1, "impact": 1, "reusability": 0, "reliability": 1, **patch.pop("scores", {})}
+    fact = {"fact_id": "f", "text": "t", "url": "https://a.example.com/", "scores": scores, "rationale": "r", **patch.pop("fact", {})}
+    record = {"cluster_id": "c", "picked": [fact], **patch}
+    df = spark.createDataFrame([("en", "c", json.dumps(record))], "briefing_id string, cluster_id string, response string")
+    assert [r.status for r in parse_selections(df)[2].collect()] == [status]
+
+
+def test_unknown_keys_of_drafts_and_facts(spark):
+    from tidings.operators.responses import parse_drafts, parse_facts
+
+    def status(parse, *texts):
+        df = spark.createDataFrame([("en", str(i), t) for i, t in enumerate(texts)], "briefing_id string, cluster_id string, response string")
+        return [r.status for r in parse(df)[-1].orderBy("cluster_id").collect()]
+
+    assert status(parse_drafts, '{"headline": "h", "bullets": [{"text": "t", "url": "https://a.example.com/"}], "annotations": {"agentic": true, "any": false}}',
+                  '{"headline": "h", "bullets": [{"text": "t", "url": "https://a.example.com/", "rank": 1}]}', '{"headline": "h", "style": {}}',
+                  '["headline"]') == ["ok", "invalid", "invalid", "invalid"]
+    assert status(parse_facts, '{"facts": [], "rejected": [{"reason": "r"}]}', '{"facts": [], "rejected": [{"reason": "r", "why": 1}]}',
+                  '{"fact": []}', "null") == ["ok", "invalid", "invalid", "ok"]

@@ -30,7 +30,7 @@ def test_stream_ingest_equals_batch(spark):
     from pyspark.sql import functions as F
 
     from tidings.sources.items import split_entries
-    from tidings.streaming.streams import stream_ingest
+    from tidings.streaming.streams import read_ingested, stream_ingest
 
     d = tempfile.mkdtemp(prefix="tidings-ingest-", dir="/tmp")
     os.makedirs(os.path.join(d, "in"))
@@ -45,9 +45,35 @@ def test_stream_ingest_equals_batch(spark):
         fh.write("\n".join(json.dumps(e) for e in entries))
     schema = "id string, link string, title string, summary string, published string"
     q = stream_ingest(spark, os.path.join(d, "in"), os.path.join(d, "out"), os.path.join(d, "ck"),
-                      schema, hours=12, as_of=dt.datetime(2024, 1, 2, 6))
+                      schema, hours=12, clock=lambda batch: dt.datetime(2024, 1, 2, 6, tzinfo=dt.timezone.utc))
     q.awaitTermination()
-    got = {r.id: r.status for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    got = {r.id: r.status for r in read_ingested(spark, os.path.join(d, "out"), "quarantine").collect()}
+    got |= {r.id: "kept" for r in read_ingested(spark, os.path.join(d, "out")).collect()}
     assert got == {"a": "kept", "urn:b": "invalid_url", "c": "empty_text", "d": "too_old", "e": "invalid_ts"}
     batch = split_entries(spark.read.schema(schema).json(os.path.join(d, "in")))
     assert {r.id for r in batch.filter(F.col("status") == "kept").collect()} == {"a", "d"}
+
+
+def test_replayed_batches_change_nothing(spark):
+    """A batch is written again after its horizon has been written down: same rows, whatever the clock says by then."""
+    from tidings.streaming.streams import _batch_clock, ingest_batch, read_ingested
+
+    d = tempfile.mkdtemp(prefix="tidings-replay-", dir="/tmp")
+    rows = [(str(i), dt.datetime(2024, 1, 1, i), "kept" if i % 4 else "invalid_url") for i in range(12)]
+    items = spark.createDataFrame(rows, "id string, ts timestamp, status string")
+    for hour in (10, 23):  # the second try comes later
+        at = _batch_clock(spark, d, 0, lambda batch, h=hour: dt.datetime(2024, 1, 1, h, tzinfo=dt.timezone.utc))
+        ingest_batch(items, d, 0, at, 6)
+        assert sorted(int(r.id) for r in read_ingested(spark, d).collect()) == [5, 6, 7, 9, 10, 11]
+        assert {(r.id, r.status) for r in read_ingested(spark, d, "quarantine").collect()} == {
+            ("0", "invalid_url"), ("4", "invalid_url"), ("8", "invalid_url"), ("1", "too_old"), ("2", "too_old"), ("3", "too_old")}
+
+
+def test_unfinished_batches_are_not_read(spark):
+    from tidings.streaming.streams import ingest_batch, read_ingested
+
+    d = tempfile.mkdtemp(prefix="tidings-replay-", dir="/tmp")
+    items = spark.createDataFrame([("a", dt.datetime(2024, 1, 1), "kept")], "id string, ts timestamp, status string")
+    ingest_batch(items, d, 0, dt.datetime(2024, 1, 1), 6)
+    items.drop("status").withColumn("batch", items.id.isNull().cast("long") + 1).write.parquet(f"{d}/items/b=1")  # died before its marker
+    assert [(r.id, r.batch) for r in read_ingested(spark, d).collect()] == [("a", 0)]

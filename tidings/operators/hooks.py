@@ -11,11 +11,12 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.functions.text import CHARS_PER_TOKEN, MAX_BATCH_TOKENS, clean_for_embedding, truncate_for_model
+from tidings.operators.ranking import prefix_row_number
 
 Encoder = Callable[[list[str]], Sequence[Sequence[float]]]
 Scorer = Callable[[list[str], list[str]], Sequence[float]]
@@ -77,5 +78,5 @@ def rerank_with(cands: DataFrame, make_scorer: Callable[[], Scorer], *, key_cols
             yield pdf
 
     scored = cands.mapInPandas(run, schema=schema)
-    w = Window.partitionBy(*key_cols).orderBy(F.col("score").desc(), F.col(id_col))
-    return scored.withColumn("rank", F.row_number().over(w))
+    # ranks come from range partitions, so no task holds a hot cluster; the scores are written once with them
+    return prefix_row_number(scored.withColumn("_down", -F.col("score")), list(key_cols), ["_down", id_col], "rank").drop("_down")

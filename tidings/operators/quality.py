@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA
 from tidings.functions.text import py_strip
 from tidings.functions.urls import normalize_url
+from tidings.operators.records import SCORES, within
 from tidings.operators.textvec import embed_tf, text_cosine_pairs
 
 # Shortest bullet text; our near-identical bullet threshold.
@@ -35,7 +35,7 @@ def check_records(picked: DataFrame, topics: DataFrame, bullets: DataFrame, head
     bullets per topic, bullet text of at least 8 characters and an http(s) url, and (with ``headers``) title
     and date of a briefing. A missing value fails its rule. Output: entity, key, rule."""
     f = _violations(picked, "fact", _key("briefing_id", "cluster_id", "fact_id"), [
-        *[(f"{d} out of range", F.col(d).between(0, SCORE_MAXIMA[d])) for d in SCORE_DIMENSIONS],
+        *[(f"{d} out of range", within(F.col(d), kind)) for d, kind in SCORES.items()],
         ("fact id missing", _filled("fact_id")),
         ("fact text missing", _filled("text")),
         ("url not http(s)", normalize_url(F.col("url")).isNotNull()),

@@ -1,10 +1,10 @@
-"""Row numbers that no single task has to count: range partitions, then a prefix sum over the partitions."""
+"""Row numbers and running sums that no single task has to compute: range partitions, then a prefix sum over the partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.session import cut_lineage
@@ -27,3 +27,20 @@ def prefix_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         on = on & c
     joined = placed.alias("p").join(counts.alias("c"), on).select("p.*", "c._before")
     return joined.withColumn(out, F.col("_before") + F.row_number().over(inside)).drop("_range", "_before")
+
+
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """``df`` with a running sum (the row's own value included) per name of ``sums``, per ``keys`` in ``order``, which must
+    be unique inside a key. Rows are placed as in :func:`prefix_row_number`; the values must not be null."""
+    named = {f"_s{i}": c for i, c in enumerate(sums.values())}
+    placed = cut_lineage(df.withColumns(named).repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
+    totals = placed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(c) for c in named])
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*keys, "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}b") for c in named])
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col("p._range") == F.col("c._range")
+    for k in keys:
+        same = same & F.col("p." + k).eqNullSafe(F.col("c." + k))
+    joined = placed.alias("p").join(starts.alias("c"), same).select("p.*", *[f"c.{c}b" for c in named])
+    out = {name: F.col(f"{c}b") + F.sum(c).over(inside) for name, c in zip(sums, named, strict=True)}
+    return joined.withColumns(out).drop("_range", *named, *[f"{c}b" for c in named])

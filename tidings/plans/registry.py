@@ -18,6 +18,8 @@ _MODULES = [
     "tidings.plans.facts",
     "tidings.plans.briefing",
     "tidings.plans.outputs",
+    "tidings.plans.chain",
+    "tidings.plans.streams",
 ]
 
 

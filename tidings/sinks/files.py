@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -56,10 +57,49 @@ def write_briefings(briefings: DataFrame, out_dir: str, formats: Sequence[str] =
             .option("partitionOverwriteMode", "dynamic").partitionBy("briefing_id", "run_ts").text(f"{out_dir}/html")
 
 
-def write_stage(df: DataFrame, out_dir: str, stage: str) -> None:
-    """Persist a stage table for audit: parquet partitioned by stage and briefing (cluster stays a column)."""
-    df.withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage", "briefing_id").parquet(out_dir)
+def _run_path(run_id: str, name: str) -> str:
+    for part in (run_id, name):
+        if part != "*" and not re.fullmatch(r"[\w.\-]+", part) or part in (".", ".."):
+            raise ValueError(f"not usable as a folder name: {part!r}")
+    return f"run={run_id}/table={name}"
 
 
-def write_metrics(metrics: DataFrame, out_dir: str) -> None:
-    metrics.write.mode("append").json(out_dir)
+def mark_run_table(spark: SparkSession, out_dir: str, run_id: str, name: str, state: str) -> None:
+    """Set the commit marker of a run's table: ``open`` while it is written, ``done`` once it is whole."""
+    row = spark.createDataFrame([(run_id, name, state)], "run_id string, table_name string, state string")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/commits/{_run_path(run_id, name)}")
+
+
+def write_run_table(df: DataFrame, out_dir: str, run_id: str, name: str, *, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
+    """Write a run's table so that it can be written again: the run's own folder is replaced whole, and readers take it
+    only once its commit marker says ``done``. A job that fails on the way leaves the marker ``open``."""
+    spark = df.sparkSession
+    mark_run_table(spark, out_dir, run_id, name, "open")
+    rows = df.withColumns({"run_id": F.lit(run_id), "table_name": F.lit(name)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).format(fmt).save(
+        f"{out_dir}/{fmt}/{_run_path(run_id, name)}")
+    mark_run_table(spark, out_dir, run_id, name, "done")
+
+
+def committed(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(run_id, table_name) of the tables that were written whole."""
+    marks = spark.read.schema("run_id string, table_name string, state string").option("recursiveFileLookup", "true").parquet(f"{out_dir}/commits")
+    return marks.filter("state = 'done'").select("run_id", "table_name")
+
+
+def read_run_table(spark: SparkSession, out_dir: str, name: str, schema: str, *, fmt: str = "parquet", run_id: str | None = None) -> DataFrame:
+    """The rows (``schema``, with run_id) of all committed runs of a table, or of one."""
+    runs = F.lit(True) if run_id is None else F.col("run_id") == run_id
+    rows = spark.read.schema(f"{schema}, run_id string, table_name string").option("basePath", f"{out_dir}/{fmt}").format(fmt).load(
+        f"{out_dir}/{fmt}/{_run_path('*', name)}")
+    return rows.filter(runs).join(committed(spark, out_dir), ["run_id", "table_name"], "left_semi").drop("table_name", "run", "table")
+
+
+def write_stage(df: DataFrame, out_dir: str, stage: str, run_id: str) -> None:
+    """Persist a run's stage table for audit: parquet partitioned by briefing (cluster stays a column). A rerun replaces it."""
+    write_run_table(df, out_dir, run_id, stage, partition_by=["briefing_id"])
+
+
+def write_metrics(metrics: DataFrame, out_dir: str, run_id: str) -> None:
+    """A run's metrics as JSON lines. A rerun replaces them."""
+    write_run_table(metrics, out_dir, run_id, "metrics", fmt="json")
