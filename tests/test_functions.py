@@ -66,3 +66,30 @@ def test_truncation(spark):
 def test_clean_html(spark):
     (t,) = one(spark, clean_html, ['<p>Hello <a href="https://e.com">link</a><img src="x.png"></p>\n\n\n\n<p>World &amp; co</p>'])
     assert t == "Hello [link](https://e.com)\n\nWorld & co"
+
+
+def test_html_beyond_the_pages(spark):
+    cases = {
+        "<a href='https://e.com/?a=1&amp;b=2'>x</a> <a class=c href=https://f.com/y>y</a> <a name=z>z</a>": "[x](https://e.com/?a=1&b=2) [y](https://f.com/y) z",
+        "it&#8217;s &#x2014; &eacute;&hellip; AT&T &nosuch; 5 < 6 & 7 > 3": "it\u2019s \u2014 é… AT&T &nosuch; 5 < 6 & 7 > 3",
+        "<ul><li>a<ul><li>b</li></ul></li><li>c</li></ul>": "* a\n    * b\n  * c",
+        "<table><tr><th>h</th><th>i</th></tr><tr><td>1</td><td>2</td></tr></table>": "h | i\n\n1 | 2",
+        '<img alt="a > b" src=x>t<a title="1 > 0" href="u">v</a>': "t[v](u)",
+        "<header>kept</header><SCRIPT>var x = '</p>';</SCRIPT><!-- <b> -->end<a href='u'>open": "kept\n\nendopen",
+        "<p>a</p\n>b<br/>c<unknown>d</unknown>": "a\n\nb\ncd", "": "", None: "",
+    }
+    assert one(spark, clean_html, list(cases)) == list(cases.values())
+
+
+def test_html_time_is_linear():
+    import time
+
+    from tidings.functions.html import html_to_text
+
+    def took(text):
+        began = time.perf_counter()
+        html_to_text(text)
+        return time.perf_counter() - began
+
+    for unit in ('<p class="x">word &amp; <a href="u">link</a></p>\n', "<a href='", "&amp", "<<<", '<b x="', "<!--", "<script>", "<b <b", "<!"):
+        assert took(unit * (400_000 // len(unit))) < 20 * max(took(unit * (40_000 // len(unit))), 0.02)

@@ -25,8 +25,20 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _int(s: Column, pattern: str, group: int) -> Column:
-    part = F.regexp_extract(s, pattern, group)
+_MARK = "\u0001"  # between the groups of a match; a value that holds one is no timestamp
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _groups(s: Column, pattern: str, n: int) -> Column:
+    """The ``n`` groups of a match by one pass of the pattern, as an array; another length where it does not match."""
+    return F.split(F.regexp_replace(s, pattern, _MARK.join(f"${i}" for i in range(1, n + 1))), _MARK)
+
+
+def _int(part: Column) -> Column:
     return F.when(part == "", F.lit(0)).otherwise(part.try_cast("int"))
 
 
@@ -39,21 +51,23 @@ def _offset(zone: Column) -> Column:
 
 
 def _iso(s: Column, pattern: str) -> Column:
-    fraction = F.rpad(F.substring(F.regexp_extract(s, pattern, 7), 1, 6), 6, "0")
-    seconds = _int(s, pattern, 6).cast("decimal(8,6)") + (fraction.try_cast("int") / 1_000_000).cast("decimal(8,6)")
-    return F.when(s.rlike(pattern), F.try_make_timestamp(
-        _int(s, pattern, 1), _int(s, pattern, 2), _int(s, pattern, 3), _int(s, pattern, 4), _int(s, pattern, 5),
-        seconds.cast("decimal(8,6)"), _offset(F.regexp_extract(s, pattern, 8))))
+    def made(g: Column) -> Column:
+        fraction = F.rpad(F.substring(F.get(g, 6), 1, 6), 6, "0")
+        seconds = _int(F.get(g, 5)).cast("decimal(8,6)") + (fraction.try_cast("int") / 1_000_000).cast("decimal(8,6)")
+        return F.when(F.size(g) == 8, F.try_make_timestamp(_int(F.get(g, 0)), _int(F.get(g, 1)), _int(F.get(g, 2)), _int(F.get(g, 3)), _int(F.get(g, 4)), seconds.cast("decimal(8,6)"), _offset(F.get(g, 7))))
+
+    return _bound(_groups(s, pattern, 8), made)
 
 
 def _mail(s: Column) -> Column:
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.regexp_extract(s, MAIL_DATE, 2))).cast("int")
-    year = _int(s, MAIL_DATE, 3)
-    short = F.length(F.regexp_extract(s, MAIL_DATE, 3)) == 2
-    year = F.when(short & (year > 68), year + 1900).when(short, year + 2000).otherwise(year)
-    return F.when(s.rlike(MAIL_DATE) & (month > 0), F.try_make_timestamp(
-        year, month, _int(s, MAIL_DATE, 1), _int(s, MAIL_DATE, 4), _int(s, MAIL_DATE, 5),
-        _int(s, MAIL_DATE, 6).cast("decimal(8,6)"), _offset(F.regexp_extract(s, MAIL_DATE, 7))))
+    def made(g: Column) -> Column:
+        month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.get(g, 1))).cast("int")
+        year, short = _int(F.get(g, 2)), F.length(F.get(g, 2)) == 2
+        year = F.when(short & (year > 68), year + 1900).when(short, year + 2000).otherwise(year)
+        return F.when((F.size(g) == 7) & (month > 0), F.try_make_timestamp(
+            year, month, _int(F.get(g, 0)), _int(F.get(g, 3)), _int(F.get(g, 4)), _int(F.get(g, 5)).cast("decimal(8,6)"), _offset(F.get(g, 6))))
+
+    return _bound(_groups(s, MAIL_DATE, 7), made)
 
 
 def parse_ts(col) -> Column:
@@ -61,7 +75,7 @@ def parse_ts(col) -> Column:
     named or numeric zone). Values without a zone are UTC in any session; anything else (``2024``, ``12:30``)
     is null."""
     s = py_strip(_c(col))
-    return F.coalesce(_iso(s, ISO_EXTENDED), _iso(s, ISO_BASIC), _mail(s))
+    return _bound(F.when(~F.contains(s, F.lit(_MARK)), s), lambda s: F.coalesce(_iso(s, ISO_EXTENDED), _iso(s, ISO_BASIC), _mail(s)))
 
 
 def coerce_ts(df, col: str) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidings.functions.text import py_lstrip, py_strip
+from tidings.functions.text import py_strip
 from tidings.functions.urls import safe_url
 
 # The channel message size limit.
@@ -115,40 +117,46 @@ def render_html(markdown, title) -> Column:
                     F.lit("</title></head>\n<body><pre>\n"), md, F.lit("\n</pre></body></html>"))
 
 
-def _rfind(window: Column, token: str) -> Column:
-    p = F.instr(F.reverse(window), token[::-1])
-    return F.when(p == 0, F.lit(-1)).otherwise(F.length(window) - p - F.lit(len(token)) + 1)
-
-
 def split_messages(df: DataFrame, text_col: str, limit: int = CHANNEL_LIMIT, headroom: int = 0,
                    id_cols=("msg_id",)) -> DataFrame:
     """Split each message into parts of at most ``min(limit, 4096) - headroom`` characters.
 
     Cut at the last blank line, ``</pre>`` or ``</blockquote>`` in the window when it lies at 70 % of
     the window or later (closing tags stay with the left part), else hard-cut; the rest is left-stripped.
-    A fold over a ``sequence`` per row (bounded by the row's own length), then ``posexplode``.
+    A part is decided by the characters of its own window, so a text is cut in one pass over offsets: time and memory
+    grow with its length, not with its square. Texts go through an Arrow mapper, a row stays in its task.
     Output: id columns, part (0..), text.
     """
     max_len = max(1, min(limit, CHANNEL_LIMIT) - max(0, headroom))
-    floor = int(max_len * 0.7)
-    step_min = max(1, floor)
-
-    def step(acc, _):
-        rest = acc["rest"]
-        window = F.substring(rest, 1, max_len)
-        idx = [_rfind(window, tok) for tok, _ in BOUNDARY_TOKENS]
-        best = F.greatest(*idx)
-        include = F.when(best == idx[0], F.lit(0)).when(best == idx[1], F.lit(6)).otherwise(F.lit(13))
-        cut = F.when((best == -1) | (best < floor), F.lit(max_len)).otherwise(best + include)
-        cut = F.when(cut <= 0, F.lit(max_len)).otherwise(cut)
-        short = F.length(rest) <= max_len
-        new_parts = F.when(rest == "", acc["parts"]).when(short, F.array_append(acc["parts"], rest)) \
-            .otherwise(F.array_append(acc["parts"], F.substring(rest, 1, cut)))
-        new_rest = F.when((rest == "") | short, F.lit("")).otherwise(py_lstrip(F.substr(rest, cut + 1)))
-        return F.struct(new_rest.alias("rest"), new_parts.alias("parts"))
-
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    steps = F.sequence(F.lit(1), (F.ceil(F.length(text) / F.lit(step_min)) + 1).cast("int"))
-    init = F.struct(text.alias("rest"), F.array().cast("array<string>").alias("parts"))
-    folded = F.aggregate(steps, init, step)
-    return df.select(*id_cols, F.posexplode(folded["parts"]).alias("part", "text"))
+    rows = df.select(*id_cols, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "text"], T.StructField("part", T.IntegerType()), T.StructField("text", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            owner, number, parts = [], [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                for n, (a, b) in enumerate(part_bounds(text, max_len)):
+                    owner.append(row)
+                    number.append(n)
+                    parts.append(text[a:b])
+            out = batch.drop_columns(["text"]).take(pa.array(owner, pa.int64())) if id_cols else None
+            columns = [] if out is None else out.columns
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(number, pa.int32()), pa.array(parts, pa.string())], names=[*id_cols, "part", "text"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def part_bounds(text: str, max_len: int) -> list[tuple[int, int]]:
+    """(start, end) of the parts of a text, see :func:`split_messages`."""
+    out, at, least = [], 0, int(max_len * 0.7)
+    while at < len(text):
+        end = min(at + max_len, len(text))
+        if end < len(text):
+            found, kept = max((text.rfind(token, at, end), -k, size) for k, (token, size) in enumerate(BOUNDARY_TOKENS))[0::2]
+            if found >= 0 and found - at >= least and found - at + kept > 0:
+                end = found + kept
+        out.append((at, end))
+        at = end
+        while at < len(text) and text[at].isspace():
+            at += 1
+    return out

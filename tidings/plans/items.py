@@ -343,7 +343,7 @@ def q_list_feed_items(spark, sf):
         F.concat(F.lit("list.example.com/"), sid).alias("link"),
         F.when(did % 3 == 0, F.concat(F.lit('{"name": "name'), sid, F.lit('"}'))).when(did % 3 == 1, F.concat(F.lit("plain"), sid)).alias("author"),
         F.when(did % 8 == 7, F.lit("someday")).otherwise(F.date_format(F.to_utc_timestamp(when, F.current_timezone()), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")).alias("pubDate"))
-    feeds = d.groupBy((did % 50).alias("feed")).agg(F.collect_list(item).alias("items"))
+    feeds = d.groupBy(F.floor(did / 40).alias("feed")).agg(F.collect_list(item).alias("items"))
     items = ingest_list_feed(feeds)
     return items.select("id", "url", "author", F.length("text").alias("n_chars"), F.unix_seconds("ts").alias("epoch"))
 

@@ -193,13 +193,14 @@ def _responses(t, df, payload, broken):
                     .otherwise(text).alias("response"))
 
 
-@register("parse_facts", W + """SELECT s.briefing_id, s.cluster_id, fact_idx::INTEGER AS pos, fact_id, text, url FROM scored s JOIN bundles b USING (briefing_id, cluster_id)
-WHERE b.bundle_pos % 5 <> 0 AND b.bundle_pos % 7 <> 0""")
+@register("parse_facts", W + """SELECT s.briefing_id, s.cluster_id, (row_number() OVER (PARTITION BY s.briefing_id, s.cluster_id, s.doc_id ORDER BY fact_idx) - 1)::INTEGER AS pos,
+  fact_id, text, url FROM scored s JOIN bundles b USING (briefing_id, cluster_id) WHERE b.bundle_pos % 5 <> 0 AND b.bundle_pos % 7 <> 0""")
 def q_parse_facts(spark, sf):
+    """One response per document, as one request is."""
     t = digest_tables(spark, sf)
     url = F.when(F.col("bundle_pos") % 7 != 0, F.col("url"))
     f = t["facts"].join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
-    g = f.groupBy("briefing_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
+    g = f.groupBy("briefing_id", "cluster_id", "doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "fact_idx", "fact_id", "text", url.alias("url")))), lambda x: x.dropFields("fact_idx")).alias("facts"))
     return parse_facts(_responses(t, g, F.struct("cluster_id", "facts"), 5))[0]
 
@@ -238,15 +239,34 @@ def q_parse_drafts(spark, sf):
     return got.withColumn("agentic", F.col("agentic").cast("int")).withColumn("strategic", F.col("strategic").cast("int"))
 
 
-@register("response_status", W + """SELECT d.briefing_id, d.cluster_id, CASE WHEN b.bundle_pos % 5 = 0 THEN 'unparsable' WHEN b.bundle_pos % 7 = 0 THEN 'invalid' ELSE 'ok' END AS status
-FROM drafts d JOIN bundles b USING (briefing_id, cluster_id)""")
+@register("response_status", W + """SELECT d.briefing_id, d.cluster_id, CASE WHEN b.bundle_pos % 5 = 0 THEN 'unparsable' WHEN b.bundle_pos % 7 = 0 OR b.bundle_pos % 8 IN (3, 6)
+  THEN 'invalid' ELSE 'ok' END AS status FROM drafts d JOIN bundles b USING (briefing_id, cluster_id)""")
 def q_response_status(spark, sf):
+    """Fact responses, some broken, some without a text, some with a key too many at the top or in a fact."""
     t = digest_tables(spark, sf)
     f = t["picked"].join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
     bad = F.when(F.col("bundle_pos") % 7 != 0, F.col("text"))
+    inner = F.when(F.col("bundle_pos") % 8 == 3, F.lit(0.5))  # null fields are not written
     g = f.groupBy("briefing_id", "cluster_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(
-        "fact_idx", "fact_id", bad.alias("text"), "url"))), lambda x: x.dropFields("fact_idx")).alias("facts"))
-    return parse_facts(_responses(t, g, F.struct("facts"), 5))[1]
+        "fact_idx", "fact_id", bad.alias("text"), "url", inner.alias("confidence")))), lambda x: x.dropFields("fact_idx")).alias("facts"),
+        F.max(F.when(F.col("bundle_pos") % 8 == 6, F.lit("sure"))).alias("remark"))
+    return parse_facts(_responses(t, g, F.struct("facts", "remark"), 5))[1]
+
+
+@register("selection_status", W + """SELECT d.briefing_id, d.cluster_id, CASE WHEN b.bundle_pos % 5 = 0 THEN 'unparsable' WHEN b.bundle_pos % 8 IN (2, 4, 7)
+  THEN 'invalid' ELSE 'ok' END AS status FROM drafts d JOIN bundles b USING (briefing_id, cluster_id)""")
+def q_selection_status(spark, sf):
+    """Selection responses, some broken, some with a key too many in the scores, in a dropped fact, or with a score out of range."""
+    t = digest_tables(spark, sf)
+    p = t["picked"].join(t["bundles"].select("briefing_id", "cluster_id", "bundle_pos"), ["briefing_id", "cluster_id"])
+    nth = F.col("bundle_pos") % 8
+    scores = F.struct(*[(F.when(nth == 7, F.lit(-1)).otherwise(F.col(d)) if d == "impact" else F.col(d)).alias(d) for d in SCORE_DIMENSIONS],
+                      F.when(nth == 2, F.lit(1)).alias("surprise"))
+    gone = F.array(F.struct(F.lit("fact-x").alias("fact_id"), F.lit("old").alias("reason"), F.when(nth == 4, F.lit("me")).alias("by")))
+    g = p.groupBy("briefing_id", "cluster_id").agg(
+        F.collect_list(F.struct("fact_id", "text", "url", scores.alias("scores"), "strategic_flag", F.lit("rule table").alias("rationale"))).alias("picked"),
+        F.first(gone).alias("dropped"), F.lit("none").alias("notes"))
+    return parse_selections(_responses(t, g, F.struct("cluster_id", "picked", "dropped", "notes"), 5))[2]
 
 
 @register("briefing_json", W + f""", tb AS (SELECT briefing_id, topic_pos, list({{'text': text, 'url': url}} ORDER BY bullet_pos) AS bullets FROM final_bullets GROUP BY ALL),

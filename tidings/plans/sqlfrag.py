@@ -2,11 +2,43 @@
 
 from __future__ import annotations
 
-from tidings.functions.html import HTML_RULES
 from tidings.functions.text import CONTROL_CHARS, PY_WHITESPACE, REDACTION_RULES, STRATEGIC_PREFIX
 from tidings.functions.urls import ALLOWED_SCHEMES, HTTP_URL_PATTERN, MAX_URL_LENGTH, SCHEME_PATTERN
 
 
+# HTML to text as a chain of rewrites, for the tags and entities that the driver's pages have: another way than the
+# library's tokeniser, with the same result on them.
+_HTML_RULES = [
+    (r"(?is)<!--.*?-->", ""),
+    (r"(?is)<head[^>]*>.*?</head>", ""),
+    (r"(?is)<script[^>]*>.*?</script>", ""),
+    (r"(?is)<style[^>]*>.*?</style>", ""),
+    (r"(?is)<img[^>]*>", ""),
+    (r"(?is)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>", "[$2]($1)"),
+    (r"(?i)<br\s*/?>", "\n"),
+    (r"(?i)<h1[^>]*>", "\n\n# "),
+    (r"(?i)<h2[^>]*>", "\n\n## "),
+    (r"(?i)<h3[^>]*>", "\n\n### "),
+    (r"(?i)<h[4-6][^>]*>", "\n\n#### "),
+    (r"(?i)</h[1-6]>", "\n\n"),
+    (r"(?i)</?(b|strong)>", "**"),
+    (r"(?i)</?(i|em)>", "_"),
+    (r"(?i)<li[^>]*>", "\n  * "),
+    (r"(?i)</?(p|div|article|section|ul|ol|nav|header|footer|main|aside|table|tr|blockquote)[^>]*>", "\n\n"),
+    (r"(?s)<[^>]*>", ""),
+    (r"&nbsp;", " "),
+    (r"&copy;", "©"),
+    (r"&middot;", "·"),
+    (r"&lt;", "<"),
+    (r"&gt;", ">"),
+    (r"&quot;", "\""),
+    (r"&#39;", "'"),
+    (r"&amp;", "&"),
+    (r"[ \t]+\n", "\n"),
+    (r"\n{3,}", "\n\n"),
+]
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -43,7 +75,7 @@ def clean_for_embedding(e: str) -> str:
 
 def clean_html(e: str) -> str:
     e = f"coalesce({e}, '')"
-    for pat, rep in HTML_RULES:
+    for pat, rep in _HTML_RULES:
         e = rr(e, pat, rep)
     return py_strip(e)
 
