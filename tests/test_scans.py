@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidings.operators.greedy import greedy_keep_first
+from tidings.operators.greedy import connected_components, greedy_keep_first
 from tidings.operators.hashing import embed_hashed
 from tidings.operators.packing import pack_batches_exact
 from tidings.operators.ranking import running_sums
@@ -87,3 +87,21 @@ def test_hashed_vectors(spark):
             v[int(h[:8], 16) % 16] += n if h[8] < "8" else -n
         norm = np.linalg.norm(v)
         assert np.allclose(got[i], v / norm if norm else v)
+
+
+@pytest.mark.parametrize("task_edges", [0, 10**6])
+def test_components_equal_search(spark, task_edges):
+    rng = random.Random(2)
+    for keys in (range(120), [f"k{rng.randrange(10**6)}é" for _ in range(120)]):
+        keys = list(keys)
+        edges = [(g, rng.choice(keys), rng.choice(keys)) for g in ("a", "b") for _ in range(70)]
+        near = {(g, k): {k} for g in "ab" for k in keys}
+        for g, x, y in edges:
+            both = near[g, x] | near[g, y]
+            for k in both:
+                near[g, k] = both
+        kind = "long" if isinstance(keys[0], int) else "string"
+        e = spark.createDataFrame(edges, f"grp string, src {kind}, dst {kind}")
+        n = spark.createDataFrame([(g, k) for g in "ab" for k in keys], f"grp string, node {kind}")
+        got = {(r.grp, r.node): r.comp for r in connected_components(e, n, ["grp"], task_edges=task_edges).collect()}
+        assert got == {k: min(v) for k, v in near.items()}
