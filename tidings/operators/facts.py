@@ -72,20 +72,19 @@ def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFr
     s = split_sentences(items)
     s = s.withColumn("fact_url", fact_url if fact_url is not None else F.col("url"))
     s = s.withColumn("_h1", F.xxhash64("sentence")).withColumn("_h2", F.xxhash64(F.lit("second"), F.col("sentence")))
-    # the candidate sentences are the stage-1 table: written once, read by the dedup, evidence and numbering steps
-    s = cut_lineage(s)
-    first = s.groupBy(*CLUSTER, "_h1", "_h2").agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
-    s = s.join(first, [*CLUSTER, "_h1", "_h2"])
+    # the candidate sentences are the stage-1 table, written once; the dedup, evidence and numbering steps carry row numbers
+    # instead of sentences, and the sentences are joined once at the end
+    s = cut_lineage(s.withColumn("_row", F.monotonically_increasing_id()))
+    slim = s.select(*CLUSTER, "doc_id", "_p", "_row", "_h1", "_h2", "fact_url")
+    first = slim.groupBy(*CLUSTER, "_h1", "_h2").agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
+    slim = verify_evidence(slim.join(first, [*CLUSTER, "_h1", "_h2"]), items, url_col="fact_url")
     is_dup = F.struct("doc_id", "_p") != F.col("_first")
-    s = verify_evidence(s, items, url_col="fact_url")
-    reason = F.when(is_dup, F.lit("duplicate")).when(~F.col("verified"), F.lit("unverifiable"))
-    s = s.withColumn("reason", reason).drop("_first", "_h1", "_h2", "verified")
-    rejected = s.filter(F.col("reason").isNotNull()).select(
+    slim = slim.withColumn("reason", F.when(is_dup, F.lit("duplicate")).when(~F.col("verified"), F.lit("unverifiable")))
+    rejected = slim.filter(F.col("reason").isNotNull()).select(
         *CLUSTER, F.col("doc_id").cast("string").alias("item_id"), F.col("_p").alias("pos"), "reason")
-    kept = s.filter(F.col("reason").isNull()).drop("reason")
-    facts = prefix_row_number(kept, CLUSTER, ["doc_id", "_p"], "_nth")
-    facts = (facts.withColumn("fact_idx", (F.col("_nth") - 1).cast("long"))
-             .withColumn("fact_id", F.concat(F.lit("fact-"), F.col("fact_idx").cast("string"))).drop("_nth"))
+    kept = prefix_row_number(slim.filter(F.col("reason").isNull()).select(*CLUSTER, "doc_id", "_p", "_row"), CLUSTER, ["doc_id", "_p", "_row"], "_nth")
+    facts = s.drop("_h1", "_h2").join(kept.select("_row", (F.col("_nth") - 1).cast("long").alias("fact_idx")), "_row").drop("_row")
+    facts = facts.withColumn("fact_id", F.concat(F.lit("fact-"), F.col("fact_idx").cast("string")))
     facts = facts.withColumnRenamed("sentence", "text").withColumnRenamed("_p", "pos")
     return facts.drop("url").withColumnRenamed("fact_url", "url"), rejected
 

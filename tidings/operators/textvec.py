@@ -46,6 +46,13 @@ def token_numbers(vec: DataFrame) -> DataFrame:
     return cut_lineage(prefix_row_number(df, [], ["_df", "token"], "tid").select("token", F.col("tid").cast("long").alias("tid")))
 
 
+def hashed_tokens(vec: DataFrame) -> DataFrame:
+    """``vec`` with ``tid``, a 64-bit hash of the token; where two tokens of ``vec`` share one, their numbers instead."""
+    hashed = vec.withColumn("tid", F.xxhash64("token"))
+    clash = hashed.groupBy("tid").agg(F.min("token").alias("a"), F.max("token").alias("b")).filter("a <> b")
+    return hashed if clash.isEmpty() else vec.join(token_numbers(vec), "token")
+
+
 def _prefixes(t: float, keys: Sequence[str], id_col: str):
     """Pandas mapper: the leading (rarest) tokens of every document, up to where what is left has norm below ``t``."""
 
@@ -81,7 +88,8 @@ def _exact_cosines(t: float):
                 return pair, np.concatenate(pdf[tokens].to_numpy()).astype(np.int64), np.concatenate(pdf[weights].to_numpy()).astype(np.float64)
 
             (pa_, ta, wa), (pb, tb, wb) = flat("_ta", "_wa"), flat("_tb", "_wb")
-            top = max(int(ta.max(initial=0)), int(tb.max(initial=0))) + 1
+            tokens, place = np.unique(np.concatenate([ta, tb]), return_inverse=True)  # token numbers may be hashes
+            ta, tb, top = place[: len(ta)], place[len(ta):], len(tokens)
             _, ia, ib = np.intersect1d(pa_ * top + ta, pb * top + tb, assume_unique=True, return_indices=True)
             score = np.bincount(pa_[ia], weights=wa[ia] * wb[ib], minlength=n)
             res = pdf.drop(columns=["_ta", "_wa", "_tb", "_wb"]).copy()
@@ -177,8 +185,7 @@ def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols
     Output: ``group_cols, a, b, cos``.
     """
     g = list(group_cols)
-    numbered = vec.join(token_numbers(vec), "token")
-    docs = numbered.groupBy(*g, id_col).agg(F.collect_list(F.struct("tid", "w")).alias("_v"))
+    docs = hashed_tokens(vec).groupBy(*g, id_col).agg(F.collect_list(F.struct("tid", "w")).alias("_v"))
     docs = cut_lineage(docs.select(*g, id_col, F.col("_v.tid").alias("_t"), F.col("_v.w").alias("_w")))
     sizes = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     docs = docs.join(sizes, g) if g else docs.withColumn("_n", F.lit(docs.count()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -74,12 +75,19 @@ def cut_lineage(df: DataFrame, scoped: bool = True) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
-    (_SCOPES[-1] if _SCOPES and scoped else _OPEN).append(path)
+    (_SCOPES.stack[-1] if _SCOPES.stack and scoped else _OPEN).append(path)
     return out
 
 
+class _Scopes(threading.local):
+    """The open scopes of a thread, so that jobs of several threads do not delete each other's tables."""
+
+    def __init__(self):
+        self.stack: list[list[str]] = []
+
+
 _OPEN: list[str] = []  # stage tables outside any scope
-_SCOPES: list[list[str]] = []
+_SCOPES = _Scopes()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -92,7 +100,7 @@ def release(df: DataFrame) -> None:
     path = getattr(df, "_stage_path", None)
     if path is None:
         raise ValueError("not a stage table")
-    for held in [_OPEN, *_SCOPES]:
+    for held in [_OPEN, *_SCOPES.stack]:
         if path in held:
             held.remove(path)
     _delete(df.sparkSession, path)
@@ -101,7 +109,7 @@ def release(df: DataFrame) -> None:
 @contextmanager
 def stage_scope(spark: SparkSession):
     """Stage tables written inside are deleted at the end, but for those passed to the yielded ``keep``."""
-    _SCOPES.append([])
+    _SCOPES.stack.append([])
     kept: list[str] = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -111,8 +119,8 @@ def stage_scope(spark: SparkSession):
     try:
         yield keep
     finally:
-        written = _SCOPES.pop()
-        outer = _SCOPES[-1] if _SCOPES else _OPEN
+        written = _SCOPES.stack.pop()
+        outer = _SCOPES.stack[-1] if _SCOPES.stack else _OPEN
         for path in written:
             if path in kept:
                 outer.append(path)
