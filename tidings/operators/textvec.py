@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,20 +23,28 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
 TOKEN_SEPARATOR = r"[^\p{L}\p{N}_]+"
 BM25_K1 = 1.2
 BM25_B = 0.75
+# Block pairs: commonest tokens that travel as two bytes, copies of a document, rows of a block, tokens compared first.
+COMMON_TOKENS = 1 << 15
+COPIES = 8
+MAX_BLOCK_ROWS = 1 << 15
+LEAD_TOKENS = 256
+REST_CLASSES = 64
 
 
-def embed_tf(docs: DataFrame, *, id_col: str = "id", text_col: str = "text", group_cols: Sequence[str] = ()) -> DataFrame:
+def embed_tf(docs: DataFrame, *, id_col: str = "id", text_col: str = "text", group_cols: Sequence[str] = (), norm_col: str | None = None) -> DataFrame:
     """Term-frequency unit vectors in long form: ``group_cols, id, token, tf, w``.
 
-    The token counts are a partial aggregate, so a long document never materialises as one array.
+    Texts are dealt by (group, id) once; counting tokens and lengths then needs no other shuffle, so what moves is the
+    text and not its tokens. ``norm_col`` names a column for the norm, which then comes in place of ``w``.
     """
     g = list(group_cols)
+    dealt = docs.select(*g, id_col, text_col).repartition(*g, id_col)
     # maximal runs of letters, digits and underscore == the pieces between runs of anything else
-    toks = docs.select(*g, id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SEPARATOR)).alias("token")) \
+    toks = dealt.select(*g, id_col, F.explode(F.split(F.lower(F.col(text_col)), TOKEN_SEPARATOR)).alias("token")) \
         .filter(F.col("token") != "")
     tf = toks.groupBy(*g, id_col, "token").agg(F.count(F.lit(1)).alias("tf"))
     norm = F.sqrt(F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(*g, id_col)))
-    return tf.withColumn("w", F.col("tf") / norm)
+    return tf.withColumn(norm_col, norm) if norm_col else tf.withColumn("w", F.col("tf") / norm)
 
 
 def token_numbers(vec: DataFrame) -> DataFrame:
@@ -47,10 +55,18 @@ def token_numbers(vec: DataFrame) -> DataFrame:
 
 
 def hashed_tokens(vec: DataFrame) -> DataFrame:
-    """``vec`` with ``tid``, a 64-bit hash of the token; where two tokens of ``vec`` share one, their numbers instead."""
-    hashed = vec.withColumn("tid", F.xxhash64("token"))
-    clash = hashed.groupBy("tid").agg(F.min("token").alias("a"), F.max("token").alias("b")).filter("a <> b")
-    return hashed if clash.isEmpty() else vec.join(token_numbers(vec), "token")
+    """``vec`` with ``tid``: 0 to ``COMMON_TOKENS`` - 1 for the commonest tokens, a 64-bit hash for the others; where two tokens
+    of ``vec`` would share one, numbers by count instead, rarest last."""
+    counts = cut_lineage(vec.groupBy("token").agg(F.count(F.lit(1)).alias("_df")).withColumn("_hash", F.xxhash64("token")))
+    clash = counts.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("_hash").between(0, COMMON_TOKENS - 1))
+    if not clash.isEmpty():
+        numbers = prefix_row_number(counts.withColumn("_down", -F.col("_df")), [], ["_down", "token"], "tid")
+        return vec.join(cut_lineage(numbers.select("token", (F.col("tid") - 1).cast("long").alias("tid"))), "token")
+    top = counts.orderBy(F.col("_df").desc(), "token").limit(COMMON_TOKENS)
+    top = prefix_row_number(top.withColumn("_down", -F.col("_df")), [], ["_down", "token"], "_place")
+    common = cut_lineage(top.select("token", (F.col("_place") - 1).cast("long").alias("_common")))
+    held = vec.join(F.broadcast(common), "token", "left")
+    return held.withColumn("tid", F.coalesce("_common", F.xxhash64("token"))).drop("_common")
 
 
 def _prefixes(t: float, keys: Sequence[str], id_col: str):
@@ -124,95 +140,146 @@ def text_cosine_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_col
     return both.mapInPandas(_exact_cosines(t), schema=out)
 
 
-def _block_pairs(keys: Sequence[str], id_col: str, t: float, width: int = 8192):
-    """Pandas group kernel over two blocks of documents: pairs with cosine >= t.
-
-    A float32 product over ``width`` shared tokens at a time finds the candidates (memory does not depend on the
-    vocabulary); their exact cosines are then computed together.
+class _Side:
+    """Documents of one block: tokens (numbered within the task) and weights, row after row."""
+
+    def __init__(self, table: pa.Table, rows: np.ndarray):
+        table = table.take(pa.array(rows))
+        flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        size = lambda c: np.diff(table.column(c).combine_chunks().offsets.to_numpy()).astype(np.int64)
+        self.n, two = len(rows), (size("_c"), size("_t"))
+        self.size = two[0] + two[1]
+        row = np.concatenate([np.repeat(np.arange(self.n), x) for x in two])
+        order = np.argsort(row, kind="stable")
+        self.row, self.token = row[order], np.concatenate([flat("_c"), flat("_t")])[order]
+        tf = np.concatenate([flat("_cf"), flat("_tf")])[order].astype(np.float64)
+        self.weight = tf / np.sqrt(np.bincount(self.row, tf * tf, self.n))[self.row]
+        self.start = np.concatenate(([0], np.cumsum(self.size)))
+
+    def lead(self, place: np.ndarray, lead: int, classes: int) -> np.ndarray:
+        """Weights of the leading tokens, and the norms of what is left by class: a product of two such rows is never below the
+        cosine."""
+        out = np.zeros((self.n, lead + classes), dtype=np.float32)
+        at = place[self.token]
+        first = at < lead
+        out[self.row[first], at[first]] = self.weight[first]
+        rest = np.bincount(self.row[~first] * classes + at[~first] % classes, self.weight[~first] ** 2, self.n * classes)
+        out[:, lead:] = np.sqrt(rest).reshape(self.n, classes)
+        return out
+
+
+def _scores(left: _Side, right: _Side, r: np.ndarray, c: np.ndarray, scratch: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    """Exact cosines of the pairs (r, c), which come in order of r."""
+    out = np.zeros(len(r))
+    for lo, hi in zip(*_runs(r), strict=True):
+        own = slice(left.start[r[lo]], left.start[r[lo] + 1])
+        scratch[left.token[own]] = left.weight[own]
+        for i in range(lo, hi, at_once):
+            other = c[i: min(i + at_once, hi)]
+            size = right.size[other]
+            begin = np.cumsum(size) - size
+            at = np.arange(size.sum()) + np.repeat(right.start[other] - begin, size)
+            out[i: i + len(other)] = np.add.reduceat(scratch[right.token[at]] * right.weight[at], begin)
+        scratch[left.token[own]] = 0.0
+    return out
+
+
+def _runs(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    begin = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1]))) if len(r) else np.zeros(0, np.int64)
+    return begin, np.concatenate((begin[1:], [len(r)])).astype(np.int64) if len(r) else begin
+
+
+def _block_pairs(keys: Sequence[str], id_col: str, t: float, rows_at_once: int = 128):
+    """Arrow group kernel over two blocks of documents: pairs with cosine >= t.
+
+    A float32 product over the tokens of most weight, with the norms of the other tokens by class, bounds every cosine from
+    above; pairs that pass are multiplied whole.
     """
-    verify = _exact_cosines(t)
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(pdf["_bi"].iat[0]), int(pdf["_bj"].iat[0])
-        blk = pdf["_blk"].to_numpy()
+    def kernel(table: pa.Table) -> pa.Table:
+        bi, bj = table.column("_bi")[0].as_py(), table.column("_bj")[0].as_py()
+        blk = table.column("_blk").to_numpy()
         rows, cols = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
-        tokens, weights = pdf["_t"].to_numpy(), pdf["_w"].to_numpy()
-        flat = lambda at: (np.concatenate([np.zeros(0, np.int64), *tokens[at]]), np.repeat(np.arange(len(at)), [len(x) for x in tokens[at]]),
-                           np.concatenate([np.zeros(0), *weights[at]]))
-        (ta, ra, wa), (tb, rb, wb) = flat(rows), flat(cols)
-        shared = np.intersect1d(ta, tb)
-        product = np.zeros((len(rows), len(cols)), dtype=np.float32)
-
-        def numbered(tok, row, w):
-            at = np.searchsorted(shared, tok)
-            ok = np.flatnonzero(shared[np.minimum(at, len(shared) - 1)] == tok) if len(shared) else np.zeros(0, np.int64)
-            ok = ok[np.argsort(at[ok], kind="stable")]
-            return at[ok], row[ok], w[ok]
-
-        (ca, ra, wa), (cb, rb, wb) = numbered(ta, ra, wa), numbered(tb, rb, wb)
-        for lo in range(0, len(shared), width):
-            left, right = np.zeros((len(rows), width), np.float32), np.zeros((len(cols), width), np.float32)
-            i, j = np.searchsorted(ca, [lo, lo + width])
-            left[ra[i:j], ca[i:j] - lo] = wa[i:j]
-            i, j = np.searchsorted(cb, [lo, lo + width])
-            right[rb[i:j], cb[i:j] - lo] = wb[i:j]
-            product += left @ right.T
-        near = product >= t - 1e-3
-        if bi == bj:
-            near &= np.arange(len(rows))[:, None] < np.arange(len(cols))[None, :]
-        r, c = np.nonzero(near)
-        ids = pdf[id_col].to_numpy()
-        one, two = rows[r], cols[c]
-        swap = ids[one] > ids[two]
-        one, two = np.where(swap, two, one), np.where(swap, one, two)
-        cand = pdf[list(keys)].iloc[one].reset_index(drop=True)
-        cand["a"], cand["b"] = ids[one], ids[two]
-        for name, column, at in (("_ta", tokens, one), ("_wa", weights, one), ("_tb", tokens, two), ("_wb", weights, two)):
-            cand[name] = pd.Series(list(column[at]), dtype=object)
-        pieces = [verify(iter([cand.iloc[i: i + 2000].reset_index(drop=True)])) for i in range(0, len(cand), 2000)]
-        found = [x for piece in pieces for x in piece]
-        return pd.concat(found) if found else cand[[*keys, "a", "b"]].assign(cos=0.0).iloc[:0]
+        left, right = _Side(table, rows), _Side(table, cols)
+        tokens, number = np.unique(np.concatenate([left.token, right.token]), return_inverse=True)
+        left.token, right.token = number[: len(left.token)], number[len(left.token):]
+        mass = np.bincount(left.token, left.weight**2, len(tokens)) + np.bincount(right.token, right.weight**2, len(tokens))
+        place = np.empty(len(tokens), dtype=np.int64)
+        place[np.argsort(-mass, kind="stable")] = np.arange(len(tokens))
+        lead = min(LEAD_TOKENS, len(tokens))
+        a, b, scratch = left.lead(place, lead, REST_CLASSES), right.lead(place, lead, REST_CLASSES), np.zeros(len(tokens))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for i in range(0, left.n, rows_at_once):
+            first = i if bi == bj else 0
+            r, c = np.nonzero(a[i: i + rows_at_once] @ b[first:].T >= t - 1e-3)
+            r, c = r + i, c + first
+            if bi == bj:
+                r, c = r[r < c], c[r < c]
+            score = _scores(left, right, r, c, scratch)
+            ok = score >= t
+            found.append((r[ok], c[ok], score[ok]))
+        r, c, score = (np.concatenate(x) for x in zip(*found, strict=True))
+        one, two = table.column(id_col).take(pa.array(rows[r])), table.column(id_col).take(pa.array(cols[c]))
+        swap = pa.compute.greater(one, two)
+        out = {k: table.column(k).take(pa.array(rows[r])) for k in keys}
+        out["a"], out["b"] = pa.compute.if_else(swap, two, one), pa.compute.if_else(swap, one, two)
+        return pa.table({**out, "cos": pa.array(score)})
 
     return kernel
 
 
+def document_rows(vec: DataFrame, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
+    """A row per document, written once: ``group_cols, id``, its common tokens (``_c``, two bytes each) and others (``_t``) with
+    their counts (``_cf``, ``_tf``), and a key of its content (``_n``, ``_k1``, ``_k2``)."""
+    g = list(group_cols)
+    common = F.col("tid").between(0, COMMON_TOKENS - 1)
+    tf = F.col("tf").cast("int")
+    key = [F.sum(F.xxhash64("token", "tf", F.lit(s)).cast("decimal(20,0)")).alias(f"_k{s}") for s in (1, 2)]
+    return cut_lineage(hashed_tokens(vec).groupBy(*g, id_col).agg(
+        F.collect_list(F.when(common, F.col("tid").cast("smallint"))).alias("_c"), F.collect_list(F.when(common, tf)).alias("_cf"),
+        F.collect_list(F.when(~common, F.col("tid"))).alias("_t"), F.collect_list(F.when(~common, tf)).alias("_tf"),
+        F.count(F.lit(1)).alias("_n"), *key))
+
+
 def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = (), block_rows: int = 1024) -> DataFrame:
-    """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form unit vectors, by block pairs.
+    """Exact pairs ``a < b`` (same group) with cosine ``>= t`` over long-form vectors (``token``, ``tf``), by block pairs.
 
-    Every document is copied once to each block of its group, and each block pair is one task: quadratic in a
-    group, but with a small constant and predictable on text whose tokens are all about equally common, where a
-    prefix filter passes most pairs (see :func:`text_cosine_pairs` for text with rare words).
+    A document is copied to ``COPIES`` block pairs of its group, whatever the group's size, until a block would hold more
+    than ``MAX_BLOCK_ROWS`` rows; each block pair is one task. The work is quadratic in a group, with a small constant: see
+    :func:`_block_pairs`, and :func:`text_cosine_pairs` for text with rare words.
     Output: ``group_cols, a, b, cos``.
     """
-    g = list(group_cols)
-    docs = hashed_tokens(vec).groupBy(*g, id_col).agg(F.collect_list(F.struct("tid", "w")).alias("_v"))
-    docs = cut_lineage(docs.select(*g, id_col, F.col("_v.tid").alias("_t"), F.col("_v.w").alias("_w")))
-    sizes = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    docs = docs.join(sizes, g) if g else docs.withColumn("_n", F.lit(docs.count()))
-    docs = docs.withColumn("_g", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(block_rows)))).cast("int"))
+    return _pairs_of_rows(document_rows(vec, id_col=id_col, group_cols=group_cols), t, id_col, list(group_cols), block_rows)
+
+
+def _pairs_of_rows(docs: DataFrame, t: float, id_col: str, g: list[str], block_rows: int = 1024) -> DataFrame:
+    docs = docs.select(*g, id_col, "_c", "_cf", "_t", "_tf")
+    sizes = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("_rows"))
+    docs = docs.join(sizes, g) if g else docs.withColumn("_rows", F.lit(docs.count()))
+    blocks = F.greatest(F.least(F.ceil(F.col("_rows") / float(block_rows)), F.lit(COPIES)), F.ceil(F.col("_rows") / float(MAX_BLOCK_ROWS)), F.lit(1))
+    docs = docs.withColumn("_g", blocks.cast("int"))
     docs = docs.withColumn("_blk", F.pmod(F.xxhash64(F.col(id_col)), F.col("_g")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("_g") - 1),
                         lambda x: F.struct(F.least(F.col("_blk"), x).alias("bi"), F.greatest(F.col("_blk"), x).alias("bj")))
-    rep = docs.withColumn("_p", F.explode(pairs)).select(*g, id_col, "_t", "_w", "_blk", F.col("_p.bi").alias("_bi"), F.col("_p.bj").alias("_bj"))
+    rep = docs.withColumn("_p", F.explode(pairs)).select(*g, id_col, "_c", "_cf", "_t", "_tf", "_blk", F.col("_p.bi").alias("_bi"), F.col("_p.bj").alias("_bj"))
     kind = {f.name: f.dataType for f in docs.schema.fields}
     out = T.StructType([*[T.StructField(c, kind[c]) for c in g], T.StructField("a", kind[id_col]), T.StructField("b", kind[id_col]),
                         T.StructField("cos", T.DoubleType())])
     # explicit partition count so AQE does not pack the CPU-heavy block pairs into a few tasks
-    rep = rep.repartition(int(vec.sparkSession.conf.get("spark.sql.shuffle.partitions")), *g, "_bi", "_bj")
-    return rep.groupBy(*g, "_bi", "_bj").applyInPandas(_block_pairs(g, id_col, t), schema=out)
+    rep = rep.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *g, "_bi", "_bj")
+    return rep.groupBy(*g, "_bi", "_bj").applyInArrow(_block_pairs(g, id_col, t), schema=out)
 
 
 def text_near_duplicates(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
     """Documents (``group_cols, id``) dropped by the keep-first scan in id order at cosine ``t``, exact copies
     first: of equal vectors only the first is compared, the others are dropped with it or by it."""
     g = list(group_cols)
-    key = [F.sum(F.xxhash64("token", "tf", F.lit(s)).cast("decimal(20,0)")).alias(f"_k{s}") for s in (1, 2)]
-    content = vec.groupBy(*g, id_col).agg(F.count(F.lit(1)).alias("_n"), *key)
+    docs = document_rows(vec, id_col=id_col, group_cols=g)
     same = [*g, "_n", "_k1", "_k2"]
-    first = content.groupBy(*same).agg(F.min(id_col).alias("_first"))
-    copies = cut_lineage(content.join(first, same).select(*g, id_col, "_first"))
-    reps = vec.join(copies.filter(F.col(id_col) == F.col("_first")).select(*g, id_col), [*g, id_col], "left_semi")
-    pairs = text_block_pairs(reps, t, id_col=id_col, group_cols=g)
+    first = docs.groupBy(*same).agg(F.min(id_col).alias("_first"))
+    copies = cut_lineage(docs.select(*same, id_col).join(first, same).select(*g, id_col, "_first"))
+    reps = docs.join(copies.filter(F.col(id_col) == F.col("_first")).select(*g, id_col), [*g, id_col], "left_semi")
+    pairs = _pairs_of_rows(reps, t, id_col, g)
     lost = greedy_keep_first(pairs.select(*g, F.col("a").alias("early"), F.col("b").alias("late")), g).withColumnRenamed("node", id_col)
     return lost.unionByName(copies.filter(F.col(id_col) != F.col("_first")).select(*g, id_col))
 

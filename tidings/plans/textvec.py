@@ -71,8 +71,9 @@ def q_embed_tf(spark, sf):
 
 def doc_vectors(spark, sf):
     """TF vectors of every document with both grouping keys (language, cluster), a stage table of the query
-    (the weights do not depend on the grouping)."""
-    return cut_lineage(embed_tf(doc_clusters(spark, sf), id_col="doc_id", group_cols=["lang", "cluster_id"]))
+    (the weights do not depend on the grouping). The table holds a document's norm, which packs better than its weights."""
+    held = cut_lineage(embed_tf(doc_clusters(spark, sf), id_col="doc_id", group_cols=["lang", "cluster_id"], norm_col="_norm"))
+    return held.withColumn("w", F.col("tf") / F.col("_norm")).drop("_norm")
 
 
 @register("near_dup_text", "WITH RECURSIVE " + SQL_TEXT_GREEDY + "\nSELECT doc_id FROM kept")
