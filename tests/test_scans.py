@@ -105,3 +105,17 @@ def test_components_equal_search(spark, task_edges):
         n = spark.createDataFrame([(g, k) for g in "ab" for k in keys], f"grp string, node {kind}")
         got = {(r.grp, r.node): r.comp for r in connected_components(e, n, ["grp"], task_edges=task_edges).collect()}
         assert got == {k: min(v) for k, v in near.items()}
+
+
+def test_greedy_rounds_before_components_equal_the_scan(spark):
+    """Dense components are thinned by rounds; what is left is scanned, and the result is that of one scan."""
+    rng = random.Random(8)
+    edges = sorted({(a, b) for a, b in ((rng.randrange(120), rng.randrange(120)) for _ in range(1500)) if a < b})
+    want, near = set(), {}
+    for a, b in edges:
+        near.setdefault(b, []).append(a)
+    for b in sorted(near):
+        if any(a not in want for a in near[b]):
+            want.add(b)
+    df = spark.createDataFrame(edges, "early long, late long")
+    assert sorted(r.node for r in greedy_keep_first(df, task_edges=30).collect()) == sorted(want)

@@ -173,3 +173,42 @@ def test_no_cartesian_in_similarity_plan(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(10)], "id long, embedding array<double>")
     plan = cosine_pairs(df, 0.5)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_row_meets_a_bounded_number_of_blocks(spark):
+    from tidings.operators.similarity import COPIES, _self_join_rows
+
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(1200, 8)))], "id long, _v array<double>")
+    rows, _ = _self_join_rows(df, "id", [], 9.0, 10, 1)
+    assert rows.groupBy("id").count().agg({"count": "max"}).first()[0] <= COPIES
+
+
+def test_unit_vector_takes_the_norm_once():
+    from tidings.operators.similarity import unit_vector
+
+    text = unit_vector("v")._jc.toString() if hasattr(unit_vector("v"), "_jc") else str(unit_vector("v"))
+    assert text.lower().count("sqrt") == 1
+
+
+def test_neighbours_are_counted_and_joined_without_listing_pairs(spark):
+    from tidings.operators.similarity import neighbour_counts, neighbour_forest
+
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(300, 3)).astype(np.float32)
+    df = spark.createDataFrame([("g", i, x.tolist()) for i, x in enumerate(v)], "grp string, id long, embedding array<float>")
+    near = np.linalg.norm(v[:, None].astype(float) - v[None].astype(float), axis=-1) <= 0.6
+    np.fill_diagonal(near, False)
+    how = {"metric": "euclid", "group_cols": ["grp"], "block_rows": 40}
+    assert {r.id: r.n for r in neighbour_counts(df, "id", "embedding", 0.6, **how).collect()} == {i: int(n) for i, n in enumerate(near.sum(1)) if n}
+    edges = [(r.src, r.dst) for r in neighbour_forest(df, "id", "embedding", 0.6, **how).collect()]
+    assert all(near[a, b] for a, b in edges) and len(edges) < near.sum() / 2
+
+    def parts(pairs):
+        lead = list(range(len(v)))
+        for a, b in pairs:
+            x, y = lead[a], lead[b]
+            lead = [min(x, y) if z in (x, y) else z for z in lead]
+        return lead
+
+    assert parts(edges) == parts(zip(*np.nonzero(near), strict=True))

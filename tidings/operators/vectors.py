@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidings.operators.greedy import greedy_keep_first
 from tidings.operators.ranking import prefix_row_number
 from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join, dot, unit_vector
+from tidings.session import cut_lineage
 
 # Defaults of the run configuration, for callers that want its cuts.
 NEAR_DUP_THRESHOLD = 0.92
@@ -34,6 +35,9 @@ def near_dup_keep(items: DataFrame, pairs: DataFrame, *, id_col: str = "id", ord
     """
     g = list(group_cols)
     order_col = order_col or id_col
+    if order_col == id_col:  # a pair is in order already
+        dropped = greedy_keep_first(pairs.select(*g, F.col("a").alias("early"), F.col("b").alias("late")), g).withColumnRenamed("node", id_col)
+        return items.join(dropped, g + [id_col], "left_anti")
     pos = items.select(*g, F.col(id_col).alias("_id"), F.struct(F.col(order_col), F.col(id_col)).alias("_o"))
     e = (
         pairs.select(*g, "a", "b")
@@ -65,7 +69,7 @@ def near_duplicates(items: DataFrame, t: float, *, id_col: str = "id", vec_col:
     first = items.filter(key.isNotNull()).groupBy(*g, key.alias("_key")).agg(F.min(place).alias("_first"))
     firsts = first.select(*g, F.col("_first.i").alias(id_col))
     alone = items.filter(key.isNull())
-    reps = items.join(firsts, g + [id_col], "left_semi").unionByName(alone)
+    reps = cut_lineage(items.join(firsts, g + [id_col], "left_semi").unionByName(alone))
     return near_dup_keep(reps, cosine_pairs(reps, t, id_col=id_col, vec_col=vec_col, group_cols=g), id_col=id_col,
                          order_col=order_col, group_cols=g)
 
