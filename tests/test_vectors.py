@@ -184,11 +184,32 @@ def test_a_row_meets_a_bounded_number_of_blocks(spark):
     assert rows.groupBy("id").count().agg({"count": "max"}).first()[0] <= COPIES
 
 
-def test_unit_vector_takes_the_norm_once():
+def test_unit_vector_takes_the_norm_once(spark):
     from tidings.operators.similarity import unit_vector
 
-    text = unit_vector("v")._jc.toString() if hasattr(unit_vector("v"), "_jc") else str(unit_vector("v"))
-    assert text.lower().count("sqrt") == 1
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<double>").select(unit_vector("v").alias("u"))
+    assert [r.u for r in df.collect()] == [[0.6, 0.8], [0.0, 0.0]]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("sqrt") <= 1
+
+
+def test_texts_are_dealt_once_and_meet_a_bounded_number_of_blocks(spark, monkeypatch):
+    import pyarrow as pa
+    from tidings.operators import textvec
+
+    docs = spark.createDataFrame([(i, f"a b{i} c{i % 7}") for i in range(90)], "id long, text string")
+    vec = textvec.embed_tf(docs)
+    assert vec._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+    def listed(keys, id_col, t):
+        def kernel(table):
+            return pa.table({"a": table.column(id_col), "b": table.column(id_col), "cos": pa.array([0.0] * table.num_rows)})
+
+        return kernel
+
+    monkeypatch.setattr(textvec, "_block_pairs", listed)
+    met = textvec.text_block_pairs(vec, 0.9, block_rows=2).groupBy("a").count().collect()
+    assert len(met) == 90 and max(r["count"] for r in met) <= textvec.COPIES
 
 
 def test_neighbours_are_counted_and_joined_without_listing_pairs(spark):
