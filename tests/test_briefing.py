@@ -144,3 +144,63 @@ def test_lookup_exact_key_wins(spark):
     dim = spark.createDataFrame([("A", "cluster-x", 1), ("A", "x", 2), ("A", "y", 3), ("B", "x", 4)], "briefing_id string, cluster_id string, v int")
     got = {(r.briefing_id, r.key): r.d_v for r in lookup_with_fallback(left, dim, left_key="key", dim_key="cluster_id").collect()}
     assert got == {("A", "cluster-x"): 1, ("A", "cluster-y"): 3, ("A", "z"): None, ("B", "cluster-x"): 4}
+
+
+def test_facts_are_stripped_scored_and_picked_without_regexes_over_every_sentence(spark):
+    from pyspark.sql import functions as F
+    from tidings.functions.text import PY_SPACES, py_strip, py_strip_valid
+    from tidings.functions.urls import url_key
+    from tidings.operators.facts import RULE_STRINGS, SCORE_RULES, pick_facts, rule_test, score_facts, split_sentences
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    texts = [None, "", " ", PY_SPACES, f"{PY_SPACES}a　b\x85{PY_SPACES}", "​x​", "a.\x01 b", ". ! ?", "né, 4:;", "Was? Ja!", "canción\n", "the tionment ,", "\x1fü. "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    got = df.select("text", py_strip("text").alias("old"), py_strip_valid("text").alias("new"),
+                    *[rule_test(F.col("text"), "regex", r).alias(f"n{i}") for i, r in enumerate(RULE_STRINGS)],
+                    *[F.col("text").rlike(r).alias(f"o{i}") for i, r in enumerate(RULE_STRINGS)]).collect()
+    for r in got:
+        assert r.old == r.new == (None if r.text is None else r.text.strip())
+        assert all(r[f"n{i}"] == r[f"o{i}"] for i in range(len(RULE_STRINGS)))
+    assert set(RULE_STRINGS) <= {arg for _, kind, arg, _ in SCORE_RULES if kind == "regex"}
+    cut = split_sentences(df)
+    assert plan(cut).count("x{85}") == 0  # the strip's regex
+    assert [(r.id, r._p, r.sentence) for r in cut.orderBy("id", "_p").collect() if r.id in (6, 7)] == [
+        (6, 0, "a."), (6, 1, "b"), (7, 0, "."), (7, 1, "!"), (7, 2, "?")]
+    urls = spark.createDataFrame([(u,) for u in [None, "", "x", "HTTP://A.b", "http://A.b?Q", "http://A.b/P", "http://A.b#F", "http://a.b/x\ny"]], "u string")
+    keys = urls.select(url_key("u").alias("k"))
+    assert plan(keys).count("regexp_extract") == 2
+    assert [r.k for r in keys.collect()] == [None, "/", "/", "http://a.b/", "http://a.b/?Q", "http://a.b/P", "http://a.b/#F", "http://a.b/"]
+    facts = spark.createDataFrame([("b", c, i, f"fact-{i}", t, f"https://x/{i}") for c, t in (("c", "Yes, 1."), ("d", "no"), ("e", "abc: d"), (None, "a, b")) for i in range(9)],
+                                  "briefing_id string, cluster_id string, fact_idx long, fact_id string, text string, url string")
+    picked, dropped = pick_facts(score_facts(facts))
+    assert plan(picked).count("WindowGroupLimit") == 2  # before and after the shuffle: a task passes on its own best ones
+    assert sorted((r.cluster_id, r.fact_idx, r.pick_rank) for r in picked.collect()) == [(c, i, i + 1) for c in "ce" for i in range(3)]
+    assert dropped.count() == 30
+
+
+def test_facts_of_their_own_items_url_are_verified_without_a_lookup(spark):
+    from pyspark.sql import functions as F
+    from tidings.operators import facts as operator
+
+    looked_up, verify = [], operator.verify_evidence
+
+    def counted(facts, items, **how):
+        looked_up.append(facts.count())
+        return verify(facts, items, **how)
+
+    items = spark.createDataFrame([
+        ("A", "c", 1, "One. Two. Three.", "https://a.example.com/1"), ("A", "c", 2, "Two. Four.", "HTTPS://B.example.com"), ("A", "d", 3, "Five.", None),
+        ("B", "c", 1, "One. One.", "https://b.example.com/2"), (None, "c", 4, "Six.", "https://a.example.com/1"),
+    ], "briefing_id string, cluster_id string, doc_id long, text string, url string")
+    cites = F.when(F.col("_p") == 2, F.lit("https://b.example.com/")).when(F.col("doc_id") == 2, F.lit("https://elsewhere.example.com/")).otherwise(F.col("url"))
+    operator.verify_evidence = counted
+    try:
+        facts, rejected = operator.extract_facts(items, fact_url=cites)
+    finally:
+        operator.verify_evidence = verify
+    assert looked_up == [4]  # the third sentence, both of the second item, the one without a url
+    assert sorted((r.briefing_id, r.fact_id, r.text, r.url) for r in facts.collect()) == [
+        ("A", "fact-0", "One.", "https://a.example.com/1"), ("A", "fact-1", "Two.", "https://a.example.com/1"),
+        ("A", "fact-2", "Three.", "https://b.example.com/"), ("B", "fact-0", "One.", "https://b.example.com/2")]
+    assert sorted((r.briefing_id, r.item_id, r.pos, r.reason) for r in rejected.collect()) == [
+        ("A", "2", 0, "duplicate"), ("A", "2", 1, "unverifiable"), ("A", "3", 0, "unverifiable"), ("B", "1", 1, "duplicate")]

@@ -13,6 +13,9 @@ PY_WHITESPACE = (
     r"[\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 
+# The same characters one by one.
+PY_SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
 # Control characters removed before embedding (everything below 32 except \t \n \r).
 CONTROL_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 
@@ -45,6 +48,11 @@ def py_strip(col) -> Column:
     return F.regexp_replace(_c(col), rf"\A{PY_WHITESPACE}+|{PY_WHITESPACE}+\z", "")
 
 
+def py_strip_valid(col) -> Column:
+    """:func:`py_strip` of valid UTF-8 (whatever a string function has made): by characters, without a regex over the whole text."""
+    return F.btrim(_c(col), F.lit(PY_SPACES))
+
+
 def py_lstrip(col) -> Column:
     return F.regexp_replace(_c(col), rf"\A{PY_WHITESPACE}+", "")
 

@@ -49,8 +49,8 @@ def url_key(col) -> Column:
     """Comparison key for stage-model urls: lower-case scheme and host, ``/`` after a bare host."""
     c = _c(col)
     scheme_host = F.lower(F.regexp_extract(c, r"\A([^:/?#]+://[^/?#]*)", 1))
-    rest = F.regexp_extract(c, r"\A[^:/?#]+://[^/?#]*(.*)\z", 1)
-    rest = F.when(rest == "", F.lit("/")).when(~rest.startswith("/"), F.concat(F.lit("/"), rest)).otherwise(rest)
+    # the slash is put in by a replacement, so the rest is extracted once
+    rest = F.regexp_replace(F.regexp_extract(c, r"\A[^:/?#]+://[^/?#]*(.*)\z", 1), r"\A(?!/)", "/")
     return F.when(c.isNull(), None).otherwise(F.concat(scheme_host, rest))
 
 

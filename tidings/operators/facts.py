@@ -8,11 +8,13 @@ a cluster id alone names nothing. Nothing is collected per cluster.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA, raw_total, weighted_total
-from tidings.functions.text import py_strip
+from tidings.functions.text import py_strip_valid
 from tidings.functions.urls import url_key
 from tidings.operators.ranking import prefix_row_number
 from tidings.session import cut_lineage
@@ -35,6 +37,13 @@ SCORE_RULES = [
     ("reusability", "minlen", 60, 1),
     ("reliability", "regex", "(?i)(eau|sch|th)", 1),
 ]
+# Rules whose regex finds one of these strings, looked for without the regex engine.
+RULE_STRINGS = {
+    ",": (",",),
+    "[0-9:;]": tuple("0123456789:;"),
+    "[!?]": ("!", "?"),
+    "(tion|ment|ung|ción)": ("tion", "ment", "ung", "ción"),
+}
 # At most three picked facts per cluster.
 TOP_FACTS = 3
 
@@ -44,7 +53,7 @@ def split_sentences(items: DataFrame, *, text_col: str = "text") -> DataFrame:
     ``. ! ?`` followed by whitespace. Whole texts; long texts only make more rows."""
     marked = F.regexp_replace(F.col(text_col), SENTENCE_END, "$1" + SENTENCE_MARK)
     parts = items.select("*", F.posexplode(F.split(marked, SENTENCE_MARK)).alias("_p", "_s"))
-    s = parts.withColumn("sentence", py_strip(F.col("_s"))).filter(F.col("sentence") != "")
+    s = parts.withColumn("sentence", py_strip_valid("_s")).filter(F.col("sentence") != "")
     return s.drop("_s", text_col)
 
 
@@ -55,9 +64,11 @@ def evidence_keys(items: DataFrame) -> DataFrame:
 
 def verify_evidence(facts: DataFrame, items: DataFrame, *, url_col: str = "url") -> DataFrame:
     """``facts`` with ``verified``: its url is the url of an item of the same cluster of the same briefing."""
-    known = evidence_keys(items).withColumn("_ev", F.lit(True))
-    return facts.withColumn("_k", url_key(F.col(url_col))).join(known, [*CLUSTER, "_k"], "left").withColumn(
-        "verified", F.col("_ev").isNotNull()).drop("_k", "_ev")
+    # a hash of the key comes first in the join, so that many rows are not sorted by equal cluster ids and schemes
+    hashed = lambda df: df.withColumn("_kh", F.xxhash64("_k"))
+    known = hashed(evidence_keys(items)).withColumn("_ev", F.lit(True))
+    return hashed(facts.withColumn("_k", url_key(F.col(url_col)))).join(known, ["_kh", *CLUSTER, "_k"], "left").withColumn(
+        "verified", F.col("_ev").isNotNull()).drop("_k", "_kh", "_ev").select(*facts.columns, "verified")
 
 
 def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFrame]:
@@ -75,11 +86,16 @@ def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFr
     # the candidate sentences are the stage-1 table, written once; the dedup, evidence and numbering steps carry row numbers
     # instead of sentences, and the sentences are joined once at the end
     s = cut_lineage(s.withColumn("_row", F.monotonically_increasing_id()))
-    slim = s.select(*CLUSTER, "doc_id", "_p", "_row", "_h1", "_h2", "fact_url")
-    first = slim.groupBy(*CLUSTER, "_h1", "_h2").agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
-    slim = verify_evidence(slim.join(first, [*CLUSTER, "_h1", "_h2"]), items, url_col="fact_url")
+    # a fact that cites its own item's url is verified as it stands; only the others are looked up among the cluster's urls
+    own = F.coalesce(F.col("fact_url") == F.col("url"), F.lit(False))
+    slim = s.select(*CLUSTER, "doc_id", "_p", "_row", "_h1", "_h2", own.alias("_own"), F.when(~own, F.col("fact_url")).alias("fact_url"))
+    same = ["_h1", "_h2", *CLUSTER]  # the hash comes first: sorting for the join then compares numbers, not equal cluster ids
+    first = slim.groupBy(*same).agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
     is_dup = F.struct("doc_id", "_p") != F.col("_first")
-    slim = slim.withColumn("reason", F.when(is_dup, F.lit("duplicate")).when(~F.col("verified"), F.lit("unverifiable")))
+    slim = cut_lineage(slim.join(first, same).select(*CLUSTER, "doc_id", "_p", "_row", "_own", "fact_url", is_dup.alias("_dup")))
+    cited = verify_evidence(slim.filter("NOT _own"), items, url_col="fact_url")
+    slim = slim.filter("_own").withColumn("verified", F.lit(True)).unionByName(cited)
+    slim = slim.withColumn("reason", F.when(F.col("_dup"), F.lit("duplicate")).when(~F.col("verified"), F.lit("unverifiable")))
     rejected = slim.filter(F.col("reason").isNotNull()).select(
         *CLUSTER, F.col("doc_id").cast("string").alias("item_id"), F.col("_p").alias("pos"), "reason")
     kept = prefix_row_number(slim.filter(F.col("reason").isNull()).select(*CLUSTER, "doc_id", "_p", "_row"), CLUSTER, ["doc_id", "_p", "_row"], "_nth")
@@ -89,6 +105,15 @@ def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFr
     return facts.drop("url").withColumnRenamed("fact_url", "url"), rejected
 
 
+def rule_test(text: F.Column, kind: str, arg) -> F.Column:
+    """Whether a text passes a rule's test."""
+    if kind != "regex":
+        return F.length(text) >= arg
+    if arg not in RULE_STRINGS:
+        return text.rlike(arg)
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in RULE_STRINGS[arg]])
+
+
 def score_facts(facts: DataFrame, *, agentic=None, strategic=None, rules=SCORE_RULES, weights: dict | None = None) -> DataFrame:
     """Stage 2 scores as column expressions (the rule table is fixed, so no join): six int columns,
     ``strategic_flag``, ``raw_total`` and ``weighted_total`` (with the configured ``weights``)."""
@@ -98,8 +123,7 @@ def score_facts(facts: DataFrame, *, agentic=None, strategic=None, rules=SCORE_R
         if dim == "agentic_bonus":
             val = F.when(agentic, F.lit(1)).otherwise(F.lit(0)) if agentic is not None else F.lit(0)
         else:
-            pts = [F.when(t.rlike(arg) if kind == "regex" else (F.length(t) >= arg), F.lit(p)).otherwise(F.lit(0))
-                   for d, kind, arg, p in rules if d == dim]
+            pts = [F.when(rule_test(t, kind, arg), F.lit(p)).otherwise(F.lit(0)) for d, kind, arg, p in rules if d == dim]
             val = F.least(sum(pts, F.lit(0)), F.lit(SCORE_MAXIMA[dim])) if pts else F.lit(0)
         out = out.withColumn(dim, val.cast("int"))
     out = out.withColumn("strategic_flag", F.coalesce(strategic, F.lit(False)) if strategic is not None else F.lit(False))
@@ -115,11 +139,15 @@ def low_value_gate(scored: DataFrame) -> DataFrame:
 
 def pick_facts(scored: DataFrame, k: int = TOP_FACTS) -> tuple[DataFrame, DataFrame]:
     """Stage 2 selection: the ``k`` best facts per cluster by (weighted total desc, fact index); clusters
-    failing :func:`low_value_gate` pick nothing. Returns ``(picked with pick_rank, dropped with reason)``."""
+    failing :func:`low_value_gate` pick nothing. Returns ``(picked with pick_rank, dropped with reason)``.
+
+    The gate judges whole clusters, so ranks do not depend on it: every task ranks its own facts first, and only ``k`` of a
+    cluster and task meet in one place.
+    """
     gate = low_value_gate(scored)
     w = Window.partitionBy(*CLUSTER).orderBy(F.col("weighted_total").desc(), F.col("fact_idx"))
-    eligible = scored.join(gate, CLUSTER, "left_semi").withColumn("pick_rank", F.row_number().over(w))
-    picked = eligible.filter(F.col("pick_rank") <= k)
+    best = scored.withColumn("pick_rank", F.row_number().over(w)).filter(F.col("pick_rank") <= k)
+    picked = best.join(gate, CLUSTER, "left_semi")
     dropped = scored.join(picked.select(*CLUSTER, "fact_id"), [*CLUSTER, "fact_id"], "left_anti").join(
         gate.withColumn("_g", F.lit(True)), CLUSTER, "left").select(
         *CLUSTER, "fact_id",
