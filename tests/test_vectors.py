@@ -233,3 +233,30 @@ def test_neighbours_are_counted_and_joined_without_listing_pairs(spark):
         return lead
 
     assert parts(edges) == parts(zip(*np.nonzero(near), strict=True))
+
+
+def test_medoid_and_bm25_send_few_rows_instead_of_shuffling_all_tokens(spark, monkeypatch):
+    from tidings.operators import textvec
+
+    rng = random.Random(5)
+    texts = [(f"c{i % 3}" if i % 11 else None, i, " ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    vec = textvec.embed_tf(spark.createDataFrame(texts, "cluster_id string, id long, text string"), group_cols=["cluster_id"])
+    rows = [(r.cluster_id, r.id, r.token, r.w) for r in vec.collect()]
+    want = {}
+    for c in ("c0", "c1", "c2"):
+        mine = {}
+        for _, i, token, w in (r for r in rows if r[0] == c):
+            mine.setdefault(i, {})[token] = w
+        mean = {}
+        for v in mine.values():
+            for token, w in v.items():
+                mean[token] = mean.get(token, 0.0) + w / len(mine)
+        want |= {(c, i): sum(w * mean[token] for token, w in v.items()) for i, v in mine.items()}
+    for most in (1, 7, 1000):  # the means of so many tokens are sent
+        monkeypatch.setattr(textvec, "COMMON_MEANS", most)
+        scores = textvec.tf_medoid_scores(vec)
+        got = {(r.cluster_id, r.id): r.score for r in scores.collect()}
+        assert set(got) == set(want) and all(math.isclose(got[k], want[k], abs_tol=2e-9) for k in want)
+    queries = spark.createDataFrame([("c0", 3), ("c1", 1)], "cluster_id string, qid long")
+    ranked = textvec.rerank_bm25(vec, queries)
+    assert sorted(r["rank"] for r in ranked.filter("cluster_id = 'c0'").collect()) == list(range(1, sum(k[0] == "c0" for k in want) + 1))

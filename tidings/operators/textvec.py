@@ -29,6 +29,8 @@ COPIES = 8
 MAX_BLOCK_ROWS = 1 << 15
 LEAD_TOKENS = 256
 REST_CLASSES = 64
+# Medoids: means of the commonest tokens of clusters that are sent to every task.
+COMMON_MEANS = 1 << 17
 
 
 def embed_tf(docs: DataFrame, *, id_col: str = "id", text_col: str = "text", group_cols: Sequence[str] = (), norm_col: str | None = None) -> DataFrame:
@@ -286,13 +288,22 @@ def text_near_duplicates(vec: DataFrame, t: float, *, id_col: str = "id", group_
 
 def tf_medoid_scores(vec: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("cluster_id",)) -> DataFrame:
     """Mean cosine of each member to all members (self included) = w · mean(w), linear in the data.
+
+    The means of the ``COMMON_MEANS`` commonest (key, token) go to every task, so most rows of the vectors are multiplied where they
+    lie; only the rows of the other tokens meet their means by a shuffle.
     Output: ``key_cols, id, score``."""
     k = list(key_cols)
+    on = [*k, "token"]
     n = vec.select(*k, id_col).distinct().groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
-    mean = vec.groupBy(*k, "token").agg(F.sum("w").alias("_s")).join(n, k).select(*k, "token", (F.col("_s") / F.col("_n")).alias("_m"))
+    sums = vec.groupBy(*on).agg(F.sum("w").alias("_s"), F.count(F.lit(1)).alias("_rows"))
+    mean = cut_lineage(sums.join(n, k).select(*on, (F.col("_s") / F.col("_n")).alias("_m"), "_rows"))
+    common = cut_lineage(mean.orderBy(F.col("_rows").desc(), *on).limit(COMMON_MEANS).select(*on, "_m"))
+    rows = vec.select(*k, id_col, "token", "w")
+    near = rows.join(F.broadcast(common), on)
+    far = rows.join(F.broadcast(common.select(*on)), on, "left_anti").join(mean.drop("_rows"), on)
+    part = lambda df: df.select(*k, id_col, (F.col("w") * F.col("_m")).alias("_x"))
     # rounded to 1e-9 so that exact ties (e.g. a two-member cluster) break on the id, not on float noise
-    return vec.join(mean, k + ["token"]).groupBy(*k, id_col).agg(
-        F.round(F.sum(F.col("w") * F.col("_m")), 9).alias("score"))
+    return part(near).union(part(far)).groupBy(*k, id_col).agg(F.round(F.sum("_x"), 9).alias("score"))
 
 
 def rerank_bm25(vec: DataFrame, queries: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("cluster_id",),
@@ -303,11 +314,13 @@ def rerank_bm25(vec: DataFrame, queries: DataFrame, *, id_col: str = "id", key_c
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)). Output ``key_cols, id, score, rank`` (rank 1 = best;
     ties by id).
 
-    The query's tokens come first: only their postings are joined and counted. Lengths are one partial aggregate,
-    ranks come from range partitions; no task holds a cluster.
+    The query's tokens come first: only their postings are joined and counted. Queries and their tokens are written as tables of
+    known size, so few of them are sent to the vectors instead of shuffling those. Lengths are one partial aggregate, ranks come from
+    range partitions; no task holds a cluster.
     """
     k = list(key_cols)
-    asked = vec.join(queries.withColumnRenamed("qid", id_col), [*k, id_col], "left_semi").select(*k, "token").distinct()
+    queries = cut_lineage(queries.select(*k, F.col("qid").alias(id_col)))
+    asked = cut_lineage(vec.join(queries, [*k, id_col], "left_semi").select(*k, "token").distinct())
     postings = cut_lineage(vec.select(*k, id_col, "token", "tf").join(asked, [*k, "token"]))
     length = cut_lineage(vec.groupBy(*k, id_col).agg(F.sum("tf").alias("_dl")))
     stats = length.groupBy(*k).agg(F.count(F.lit(1)).alias("_N"), F.avg("_dl").alias("_avg"))
