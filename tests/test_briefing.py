@@ -204,3 +204,26 @@ def test_facts_of_their_own_items_url_are_verified_without_a_lookup(spark):
         ("A", "fact-2", "Three.", "https://b.example.com/"), ("B", "fact-0", "One.", "https://b.example.com/2")]
     assert sorted((r.briefing_id, r.item_id, r.pos, r.reason) for r in rejected.collect()) == [
         ("A", "2", 0, "duplicate"), ("A", "2", 1, "unverifiable"), ("A", "3", 0, "unverifiable"), ("B", "1", 1, "duplicate")]
+
+
+def test_facts_travel_without_their_texts_and_are_numbered_in_their_ranges(spark):
+    from tidings.operators.facts import candidate_facts, number_facts, score_facts, whole_facts
+
+    items = spark.createDataFrame([(b, "c", i, f"Same one. Own {b} {i}, yes. Same two! Late {i % 3}.", f"https://x.example.com/{i}") for b in "AB" for i in (3, 1, 2, 2)]
+                                  + [(None, "c", 9, "Nobody.", "https://x.example.com/9")],
+                                  "briefing_id string, cluster_id string, doc_id long, text string, url string")
+    candidates = candidate_facts(items, score=score_facts)
+    numbered, rejected = number_facts(candidates, items, carry=["weighted_total"])
+    assert not {"text", "url"} & set(numbered.columns)  # only numbers and keys are dealt and sorted
+    got = sorted((r.briefing_id, r.fact_idx, r.doc_id, r.pos, r.text, r.weighted_total > 0) for r in whole_facts(numbered, candidates).collect())
+    seen, want, n = set(), [], {"A": 0, "B": 0}
+    for b in "AB":
+        for i, p in sorted((i, p) for i in (1, 2, 2, 3) for p in range(4)):
+            text = ["Same one.", f"Own {b} {i}, yes.", "Same two!", f"Late {i % 3}."][p]
+            if (b, text) not in seen or (b, text, i, p) in seen:  # rows that share doc and place are all first
+                want.append((b, n[b], i, p, text, True))
+                n[b] += 1
+                seen |= {(b, text), (b, text, i, p)}
+    assert got == want
+    assert {r.reason for r in rejected.collect()} == {"duplicate"}
+    assert rejected.count() == 32 - len(want)

@@ -8,6 +8,7 @@ a cluster id alone names nothing. Nothing is collected per cluster.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tidings.functions.scores import SCORE_DIMENSIONS, SCORE_MAXIMA, raw_total, weighted_total
 from tidings.functions.text import py_strip_valid
 from tidings.functions.urls import url_key
-from tidings.operators.ranking import prefix_row_number
+from tidings.operators.ranking import number_in_ranges
 from tidings.session import cut_lineage
 
 CLUSTER = ["briefing_id", "cluster_id"]
@@ -71,6 +72,50 @@ def verify_evidence(facts: DataFrame, items: DataFrame, *, url_col: str = "url")
         "verified", F.col("_ev").isNotNull()).drop("_k", "_kh", "_ev").select(*facts.columns, "verified")
 
 
+def candidate_facts(items: DataFrame, *, fact_url=None, score=None) -> DataFrame:
+    """Stage 1 before any check, a written table: every sentence of every item (``pos``, ``text``, the ``url`` it cites) with what
+    names it (``_row``), whether it cites its own item (``_own``) and a 128-bit key of the sentence in its cluster.
+
+    ``score`` is applied to the rows while their texts are at hand, as the steps after this one carry row numbers instead of texts.
+    """
+    s = split_sentences(items.filter(F.col("briefing_id").isNotNull() & F.col("cluster_id").isNotNull()))
+    s = s.withColumn("_cites", fact_url if fact_url is not None else F.col("url"))
+    s = s.withColumn("_own", F.coalesce(F.col("_cites") == F.col("url"), F.lit(False))).drop("url")
+    s = s.withColumnsRenamed({"_p": "pos", "sentence": "text", "_cites": "url"})
+    key = [*CLUSTER, "text"]
+    s = s.withColumn("_h1", F.xxhash64(*key)).withColumn("_h2", F.xxhash64(F.lit("second"), *key))
+    return cut_lineage((score(s) if score else s).withColumn("_row", F.monotonically_increasing_id()))
+
+
+def number_facts(candidates: DataFrame, items: DataFrame, carry: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(numbered, rejected)`` of :func:`candidate_facts`: the facts without texts (cluster, doc_id, pos, ``_row``, the columns of
+    ``carry``, ``fact_idx``, ``fact_id``), and the rows that are none with their reason.
+
+    The first copies of a task meet the first copies of the others, so a common sentence is no large group anywhere; rows of one
+    range of (cluster, doc, sentence) are numbered where they lie.
+    """
+    held = [*CLUSTER, "doc_id", "pos", "_row"]
+    slim = candidates.select(*held, "_h1", "_h2", "_own", F.when(~F.col("_own"), F.col("url")).alias("url"), *carry)
+    # a fact that cites its own item's url is verified as it stands; only the others are looked up among the cluster's urls
+    cited = verify_evidence(slim.filter("NOT _own"), items)
+    slim = slim.filter("_own").withColumn("verified", F.lit(True)).unionByName(cited).drop("_own", "url")
+    earliest = Window.partitionBy("_h1", "_h2").orderBy("doc_id", "pos")
+    first = cut_lineage(slim.withColumn("_nth", F.rank().over(earliest)).filter("_nth = 1").drop("_nth", "_h1", "_h2"))
+    kept = first.filter("verified").drop("verified")
+    numbered = number_in_ranges(kept, CLUSTER, ["doc_id", "pos", "_row"], "_nth")
+    numbered = numbered.withColumn("fact_idx", (F.col("_nth") - 1).cast("long")).drop("_nth")
+    numbered = numbered.withColumn("fact_id", F.concat(F.lit("fact-"), F.col("fact_idx").cast("string")))
+    named = lambda df, why: df.select(*CLUSTER, F.col("doc_id").cast("string").alias("item_id"), "pos", F.lit(why).alias("reason"))
+    repeats = candidates.select(*held).join(first.select("_row"), "_row", "left_anti")
+    return numbered, named(repeats, "duplicate").unionByName(named(first.filter("NOT verified"), "unverifiable"))
+
+
+def whole_facts(numbered: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Rows of :func:`number_facts` (or some of them, with more columns) with all columns of their candidates."""
+    own = [c for c in numbered.columns if c not in candidates.columns]
+    return candidates.drop("_h1", "_h2", "_own").join(numbered.select("_row", *own), "_row").drop("_row")
+
+
 def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFrame]:
     """Stage 1. ``items``: briefing_id, cluster_id, doc_id (input order), url, text (+ any flags).
 
@@ -80,29 +125,9 @@ def extract_facts(items: DataFrame, *, fact_url=None) -> tuple[DataFrame, DataFr
     ``fact_id = fact-<idx>``. Repeats are found on a 128-bit sentence key, numbers come from range
     partitions, so neither step holds a whole cluster in one task.
     """
-    s = split_sentences(items)
-    s = s.withColumn("fact_url", fact_url if fact_url is not None else F.col("url"))
-    s = s.withColumn("_h1", F.xxhash64("sentence")).withColumn("_h2", F.xxhash64(F.lit("second"), F.col("sentence")))
-    # the candidate sentences are the stage-1 table, written once; the dedup, evidence and numbering steps carry row numbers
-    # instead of sentences, and the sentences are joined once at the end
-    s = cut_lineage(s.withColumn("_row", F.monotonically_increasing_id()))
-    # a fact that cites its own item's url is verified as it stands; only the others are looked up among the cluster's urls
-    own = F.coalesce(F.col("fact_url") == F.col("url"), F.lit(False))
-    slim = s.select(*CLUSTER, "doc_id", "_p", "_row", "_h1", "_h2", own.alias("_own"), F.when(~own, F.col("fact_url")).alias("fact_url"))
-    same = ["_h1", "_h2", *CLUSTER]  # the hash comes first: sorting for the join then compares numbers, not equal cluster ids
-    first = slim.groupBy(*same).agg(F.min(F.struct("doc_id", "_p")).alias("_first"))
-    is_dup = F.struct("doc_id", "_p") != F.col("_first")
-    slim = cut_lineage(slim.join(first, same).select(*CLUSTER, "doc_id", "_p", "_row", "_own", "fact_url", is_dup.alias("_dup")))
-    cited = verify_evidence(slim.filter("NOT _own"), items, url_col="fact_url")
-    slim = slim.filter("_own").withColumn("verified", F.lit(True)).unionByName(cited)
-    slim = slim.withColumn("reason", F.when(F.col("_dup"), F.lit("duplicate")).when(~F.col("verified"), F.lit("unverifiable")))
-    rejected = slim.filter(F.col("reason").isNotNull()).select(
-        *CLUSTER, F.col("doc_id").cast("string").alias("item_id"), F.col("_p").alias("pos"), "reason")
-    kept = prefix_row_number(slim.filter(F.col("reason").isNull()).select(*CLUSTER, "doc_id", "_p", "_row"), CLUSTER, ["doc_id", "_p", "_row"], "_nth")
-    facts = s.drop("_h1", "_h2").join(kept.select("_row", (F.col("_nth") - 1).cast("long").alias("fact_idx")), "_row").drop("_row")
-    facts = facts.withColumn("fact_id", F.concat(F.lit("fact-"), F.col("fact_idx").cast("string")))
-    facts = facts.withColumnRenamed("sentence", "text").withColumnRenamed("_p", "pos")
-    return facts.drop("url").withColumnRenamed("fact_url", "url"), rejected
+    candidates = candidate_facts(items, fact_url=fact_url)
+    numbered, rejected = number_facts(candidates, items)
+    return whole_facts(numbered, candidates), rejected
 
 
 def rule_test(text: F.Column, kind: str, arg) -> F.Column:

@@ -44,3 +44,15 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
     joined = placed.alias("p").join(starts.alias("c"), same).select("p.*", *[f"c.{c}b" for c in named])
     out = {name: F.col(f"{c}b") + F.sum(c).over(inside) for name, c in zip(sums, named, strict=True)}
     return joined.withColumns(out).drop("_range", *named, *[f"{c}b" for c in named])
+
+
+def number_in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """:func:`prefix_row_number` for many rows of few keys, none of them null: a task numbers its sorted range as it writes it, so
+    the rows move once and are joined with a row per key and range only. ``df`` is read twice."""
+    sorted_rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    placed = cut_lineage(sorted_rows.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    counts = placed.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    joined = placed.join(cut_lineage(starts), [*keys, "_range"])
+    return joined.withColumn(out, F.col("_before") + F.col("_at") - F.col("_first") + 1).select(*df.columns, out)

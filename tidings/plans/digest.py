@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidings.functions.scores import SCORE_DIMENSIONS
 from tidings.operators.briefing import (
     cluster_sources,
     finalize,
@@ -17,7 +18,7 @@ from tidings.operators.briefing import (
     score_selection,
     split_valid,
 )
-from tidings.operators.facts import compose_topics, extract_facts, pick_facts, score_facts
+from tidings.operators.facts import candidate_facts, compose_topics, number_facts, pick_facts, score_facts, whole_facts
 from tidings.plans import sqlfrag as S
 from tidings.session import cut_lineage
 from tidings.tables import read
@@ -62,25 +63,28 @@ class Digest:
     def _stage1(self):
         fact_url = F.when((F.col("doc_id") + F.col("_p")) % 17 == 0,
                           F.concat(F.lit("https://elsewhere.example.org/"), F.col("doc_id").cast("string"))).otherwise(F.col("url"))
-        return extract_facts(self["items"], fact_url=fact_url)
+        score = lambda s: score_facts(s, agentic=F.col("agentic"), strategic=F.col("strategic"), weights=self.weights)
+        candidates = candidate_facts(self["items"], fact_url=fact_url, score=score)
+        return candidates, *number_facts(candidates, self["items"], carry=["weighted_total", "actionability", "impact"])
 
     def _facts(self):
-        return self["scored"].drop(*[c for c in self["scored"].columns if c in (
-            "actionability", "novelty", "impact", "reusability", "reliability", "agentic_bonus", "strategic_flag",
-            "raw_total", "weighted_total")])
+        return self["scored"].drop(*SCORE_DIMENSIONS, "strategic_flag", "raw_total", "weighted_total")
 
     def _rejected(self):
-        return cut_lineage(self["stage1"][1])
+        return cut_lineage(self["stage1"][2])
+
+    def _numbered(self):
+        return self["stage1"][1]
 
     def _scored(self):
-        facts = self["stage1"][0]
-        return cut_lineage(score_facts(facts, agentic=F.col("agentic"), strategic=F.col("strategic"), weights=self.weights))
+        return whole_facts(self["numbered"], self["stage1"][0])
 
     def _stage2(self):
-        return pick_facts(self["scored"])
+        return pick_facts(self["numbered"])
 
     def _picked(self):
-        return cut_lineage(self["stage2"][0])
+        # the picks are written first: few rows then look for their texts
+        return cut_lineage(whole_facts(cut_lineage(self["stage2"][0]), self["stage1"][0]))
 
     def _dropped(self):
         return self["stage2"][1]
