@@ -227,3 +227,47 @@ def test_facts_travel_without_their_texts_and_are_numbered_in_their_ranges(spark
     assert got == want
     assert {r.reason for r in rejected.collect()} == {"duplicate"}
     assert rejected.count() == 32 - len(want)
+
+
+def test_picks_are_numbered_without_numbering_or_sorting_all_facts(spark):
+    """Picks and numbers are those of a single-machine scan; a pick is a fact of one of the few best totals, and no range partition is made."""
+    from tidings.operators.facts import PLACE, best_facts, number_kept, number_picks, pick_facts
+
+    rows, seen = [], 0
+    for b, c, n in (("en", "c1", 60), ("en", "c2", 5), ("de", "c1", 1), ("de", "c9", 8)):
+        for i in range(n):
+            low = c == "c9"
+            rows.append((b, c, None if i == 3 else (i * 7) % n // 2, i % 3, seen, 4.0 if low else float(i * 5 % 4), 0 if low else 1, 0, f"t{seen}"))
+            seen += 1
+    kept = spark.createDataFrame(rows, "briefing_id string, cluster_id string, doc_id long, pos int, _row long, weighted_total double, "
+                                       "actionability int, impact int, text string").repartition(5)
+    want = []
+    for key in sorted({r[:2] for r in rows}):
+        facts = sorted((r for r in rows if r[:2] == key), key=lambda r: (r[2] is not None, r[2] or 0, r[3], r[4]))
+        if any(r[6] > 0 or r[7] > 0 for r in facts):
+            best = sorted(enumerate(facts), key=lambda x: (-x[1][5], x[0]))[:3]
+            want += [(*key, rank, i, f"fact-{i}", r[8]) for rank, (i, r) in enumerate(best, 1)]
+    picks = best_facts(kept, order=PLACE)
+    got = number_picks(picks, kept)
+    read = lambda df: sorted((r.briefing_id, r.cluster_id, r.pick_rank, r.fact_idx, r.fact_id, r.text) for r in df.collect())
+    assert read(got) == want and len(want) == 7
+    numbered = number_kept(kept)
+    picked, dropped = pick_facts(numbered)
+    assert read(picked) == want
+    assert sorted((r.briefing_id, r.cluster_id, r.reason) for r in dropped.collect()) == sorted(
+        [("en", "c1", "not in top picks")] * 57 + [("en", "c2", "not in top picks")] * 2 + [("de", "c9", "low value")] * 8)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+
+
+def test_the_digest_picks_without_numbering_every_fact(spark, monkeypatch, tmp_path):
+    from tidings.plans import digest
+
+    docs = [(i, f"Alpha {i}, beta. Gamma! Delta {i}?", "en", f"src{i % 2}") for i in range(1, 9)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(digest, "number_kept", lambda kept: (_ for _ in ()).throw(AssertionError("all facts are numbered")))
+    picked = digest.digest_tables(spark, str(tmp_path))["picked"]
+    assert sorted((r.cluster_id, r.pick_rank, r.fact_id, r.text) for r in picked.collect()) == [
+        ("cluster-src0", 1, "fact-0", "Alpha 2, beta."), ("cluster-src0", 2, "fact-3", "Alpha 4, beta."), ("cluster-src0", 3, "fact-5", "Alpha 6, beta."),
+        ("cluster-src1", 1, "fact-0", "Alpha 1, beta."), ("cluster-src1", 2, "fact-3", "Alpha 3, beta."), ("cluster-src1", 3, "fact-5", "Alpha 5, beta.")]

@@ -18,7 +18,18 @@ from tidings.operators.briefing import (
     score_selection,
     split_valid,
 )
-from tidings.operators.facts import candidate_facts, compose_topics, number_facts, pick_facts, score_facts, whole_facts
+from tidings.operators.facts import (
+    PLACE,
+    best_facts,
+    candidate_facts,
+    check_facts,
+    compose_topics,
+    drop_facts,
+    number_kept,
+    number_picks,
+    score_facts,
+    whole_facts,
+)
 from tidings.plans import sqlfrag as S
 from tidings.session import cut_lineage
 from tidings.tables import read
@@ -65,7 +76,7 @@ class Digest:
                           F.concat(F.lit("https://elsewhere.example.org/"), F.col("doc_id").cast("string"))).otherwise(F.col("url"))
         score = lambda s: score_facts(s, agentic=F.col("agentic"), strategic=F.col("strategic"), weights=self.weights)
         candidates = candidate_facts(self["items"], fact_url=fact_url, score=score)
-        return candidates, *number_facts(candidates, self["items"], carry=["weighted_total", "actionability", "impact"])
+        return candidates, *check_facts(candidates, self["items"], carry=["weighted_total", "actionability", "impact"])
 
     def _facts(self):
         return self["scored"].drop(*SCORE_DIMENSIONS, "strategic_flag", "raw_total", "weighted_total")
@@ -74,20 +85,19 @@ class Digest:
         return cut_lineage(self["stage1"][2])
 
     def _numbered(self):
-        return self["stage1"][1]
+        return number_kept(self["stage1"][1])
 
     def _scored(self):
         return whole_facts(self["numbered"], self["stage1"][0])
 
-    def _stage2(self):
-        return pick_facts(self["numbered"])
-
     def _picked(self):
-        # the picks are written first: few rows then look for their texts
-        return cut_lineage(whole_facts(cut_lineage(self["stage2"][0]), self["stage1"][0]))
+        # the picks are written first: few rows then look for their numbers and texts
+        candidates, kept, _ = self["stage1"]
+        picks = cut_lineage(best_facts(kept, order=PLACE))
+        return cut_lineage(whole_facts(cut_lineage(number_picks(picks, kept)), candidates))
 
     def _dropped(self):
-        return self["stage2"][1]
+        return drop_facts(self["numbered"], self["picked"])
 
     def _stage3(self):
         return compose_topics(self["picked"], max_bullets=self.max_bullets)
