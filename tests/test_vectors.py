@@ -260,3 +260,65 @@ def test_medoid_and_bm25_send_few_rows_instead_of_shuffling_all_tokens(spark, mo
     queries = spark.createDataFrame([("c0", 3), ("c1", 1)], "cluster_id string, qid long")
     ranked = textvec.rerank_bm25(vec, queries)
     assert sorted(r["rank"] for r in ranked.filter("cluster_id = 'c0'").collect()) == list(range(1, sum(k[0] == "c0" for k in want) + 1))
+
+
+def _greedy(v, t):
+    kept = []
+    for i in range(len(v)):
+        if not (v[kept] @ v[i] >= t).any():
+            kept.append(i)
+    return kept
+
+
+def test_large_groups_are_scanned_by_slices_without_listing_all_pairs(spark, monkeypatch):
+    from tidings.operators import vectors
+
+    rng = np.random.default_rng(21)
+    rows, listed = [], []
+    for g, n in (("x", 230), ("y", 60), ("z", 7)):
+        v = rng.normal(size=(9, 40))[rng.integers(0, 9, n)] + rng.normal(scale=0.25, size=(n, 40))
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        v[3] = 0.0
+        at = rng.permutation(n)  # the scan's order is not that of the ids
+        rows += [(g, int(at[i]), i // 2, x.tolist()) for i, x in enumerate(v)]
+    want = set()
+    for g in "xyz":
+        mine = sorted((r for r in rows if r[0] == g), key=lambda r: (r[2], r[1]))
+        want |= {(g, mine[i][1]) for i in _greedy(np.array([r[3] for r in mine]), 0.9)}
+    df = spark.createDataFrame(rows, "grp string, id long, at long, embedding array<double>")
+
+    def counted(*args, real=vectors.cosine_pairs, **how):
+        found = real(*args, **how)
+        listed.append(found.count())
+        return found
+
+    monkeypatch.setattr(vectors, "cosine_pairs", counted)
+    monkeypatch.setattr(vectors, "SLICE_ROWS", 16)
+    got = vectors.near_duplicates(df, 0.9, order_col="at", group_cols=["grp"]).select("grp", "id", "at", "embedding").collect()
+    assert {(r.grp, r.id) for r in got} == want and len(got) == len(want) < 250
+    every = sum((np.triu(np.array([r[3] for r in rows if r[0] == g]) @ np.array([r[3] for r in rows if r[0] == g]).T, 1) >= 0.9).sum() for g in "xyz")
+    assert len(listed) == 3 and sum(listed) * 2 < every  # slices end at 16, 64 and 256 rows
+
+
+def test_single_precision_decides_no_border():
+    from tidings.operators.similarity import passing_pairs
+
+    rng = np.random.default_rng(5)
+    for d in (16, 64, 256):
+        a, b = rng.normal(size=(300, d)), rng.normal(size=(200, d))
+        a[0], b[1] = b[0] * 1e20, 0.0
+        score = np.einsum("id,jd->ij", a[1:], b)
+        for t in (score[5, 7] - 1e-11, score[5, 7] + 1e-11, score.max() - 1e-11):
+            r, c, found, _ = passing_pairs(a[1:], b, "cos", t, False)
+            assert set(zip(r.tolist(), c.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(score >= t))))
+            assert np.allclose(found, score[r, c], rtol=0, atol=1e-12)
+        apart = np.sqrt(((a[:, None, :] - b[None]) ** 2).sum(2))
+        t = apart[9, 11] + 1e-11
+        r, c, found, _ = passing_pairs(a, b, "euclid", t, False)
+        assert set(zip(r.tolist(), c.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(apart <= t))))
+
+
+def test_blocks_of_wide_vectors_hold_fewer_rows():
+    from tidings.operators.similarity import MAX_BLOCK_ROWS, rows_of_block
+
+    assert rows_of_block(10**7, 2048, 64) == MAX_BLOCK_ROWS and rows_of_block(10**7, 2048, 256) == 1 << 15

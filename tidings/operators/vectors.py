@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidings.operators.greedy import greedy_keep_first
 from tidings.operators.ranking import prefix_row_number
-from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join, dot, unit_vector
-from tidings.session import cut_lineage
+from tidings.operators.similarity import DEFAULT_BLOCK_ROWS, block_pair_join, dot, rows_near, unit_vector
+from tidings.session import cut_lineage, release
 
 # Defaults of the run configuration, for callers that want its cuts.
 NEAR_DUP_THRESHOLD = 0.92
 INITIAL_TOPK = 1000
 MAX_CANDIDATES = 300
+# Near-duplicate scan: rows of a group that are listed in pairs at first, and how the next slices grow.
+SLICE_ROWS = 1 << 12
+SLICE_GROWTH = 4
 
 
 def cosine_pairs(vecs: DataFrame, t: float, *, id_col: str = "id", vec_col: str = "embedding",
@@ -59,7 +63,8 @@ def near_duplicates(items: DataFrame, t: float, *, id_col: str = "id", vec_col:
 
     A copy of an earlier vector is always dropped (whatever drops or keeps the first one also meets the copy), so
     only the first row of equal vectors is compared; a group of m copies costs m rows, not m²/2 pairs. Zero
-    vectors are similar to nothing and stay.
+    vectors are similar to nothing and stay. Groups of more than ``SLICE_ROWS`` rows are scanned by slices
+    (:func:`_keep_by_slices`).
     """
     g = list(group_cols)
     order_col = order_col or id_col
@@ -70,10 +75,35 @@ def near_duplicates(items: DataFrame, t: float, *, id_col: str = "id", vec_col:
     firsts = first.select(*g, F.col("_first.i").alias(id_col))
     alone = items.filter(key.isNull())
     reps = cut_lineage(items.join(firsts, g + [id_col], "left_semi").unionByName(alone))
+    largest = reps.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    if largest > SLICE_ROWS:
+        return _keep_by_slices(reps, t, largest, id_col, vec_col, order_col, g)
     return near_dup_keep(reps, cosine_pairs(reps, t, id_col=id_col, vec_col=vec_col, group_cols=g), id_col=id_col,
                          order_col=order_col, group_cols=g)
 
 
+def _keep_by_slices(rows: DataFrame, t: float, largest: int, id_col: str, vec_col: str, order_col: str, g: list[str]) -> DataFrame:
+    """The near-duplicate scan of large groups, by slices of the order that grow ``SLICE_GROWTH`` times.
+
+    A slice is scanned whole; what it keeps is kept, and drops its neighbours from all later slices. So pairs are listed only
+    among rows of a slice that no earlier slice drops: where a share of all pairs is similar, that is few of them.
+    """
+    named = {"id_col": id_col, "vec_col": vec_col, "group_cols": g}
+    left = cut_lineage(prefix_row_number(rows, g, list(dict.fromkeys([order_col, id_col])), "_place"))
+    end, kept = SLICE_ROWS, []
+    while True:
+        part = left.filter(F.col("_place") <= end)
+        kept.append(cut_lineage(near_dup_keep(part, cosine_pairs(part, t, **named), id_col=id_col, order_col=order_col, group_cols=g).drop("_place")))
+        if end >= largest:
+            return reduce(DataFrame.unionByName, kept)
+        rest = left.filter(F.col("_place") > end)
+        unit = (x.select(*g, id_col, unit_vector(vec_col).alias("_u")) for x in (rest, kept[-1]))
+        near = rows_near(*unit, id_col, "_u", t, group_cols=g)
+        before, left = left, cut_lineage(rest.join(near, [*g, id_col], "left_anti"))
+        release(before)
+        end *= SLICE_GROWTH
+
+
 def centroids_long(vecs: DataFrame, *, key_cols: Sequence[str] = ("label",), vec_col: str = "embedding",
                    unit: bool = False) -> DataFrame:
     """Mean vector per key in long form ``key_cols, pos, value`` (partial aggregation before the shuffle)."""
