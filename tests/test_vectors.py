@@ -322,3 +322,77 @@ def test_blocks_of_wide_vectors_hold_fewer_rows():
     from tidings.operators.similarity import MAX_BLOCK_ROWS, rows_of_block
 
     assert rows_of_block(10**7, 2048, 64) == MAX_BLOCK_ROWS and rows_of_block(10**7, 2048, 256) == 1 << 15
+
+
+def test_texts_of_large_groups_are_scanned_by_slices(spark, monkeypatch):
+    from collections import Counter
+
+    from tidings.operators import textvec
+
+    rng = random.Random(8)
+    docs = []
+    for g, n in (("x", 120), ("y", 30)):
+        bases = [[rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randint(0, 3)) for _ in range(rng.randint(4, 60))] for _ in range(6)]
+        for i in range(n):
+            w = list(bases[i % 6])
+            for _ in range(rng.randint(0, 3)):
+                w[rng.randrange(len(w))] = "n" + str(rng.randint(0, 99))
+            docs.append((g, i, " ".join(w)))
+    vec = textvec.embed_tf(spark.createDataFrame(docs, "grp string, id long, text string"), group_cols=["grp"])
+    want, edges = set(), 0
+    for g in "xy":
+        tf = [Counter(t.split()) for x, _, t in docs if x == g]
+        words = sorted(set().union(*tf))
+        v = np.array([[c[w] for w in words] for c in tf], dtype=float)
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        want |= {(g, i) for i in range(len(v)) if i not in set(_greedy(v, 0.9))}
+        edges += (np.triu(v @ v.T, 1) >= 0.9).sum()
+    listed = []
+
+    def counted(pairs, *args, real=textvec.greedy_keep_first, **how):
+        listed.append(pairs.count())
+        return real(pairs, *args, **how)
+
+    monkeypatch.setattr(textvec, "greedy_keep_first", counted)
+    monkeypatch.setattr(textvec, "SLICE_ROWS", 12)
+    got = textvec.text_near_duplicates(vec, 0.9, group_cols=["grp"]).collect()
+    assert {(r.grp, r.id) for r in got} == want and len(got) == len(want)
+    assert len(listed) == 3 and sum(listed) * 2 < edges
+
+
+def test_tiles_of_long_texts_equal_brute_force(monkeypatch):
+    import pyarrow as pa
+
+    from tidings.operators import textvec
+
+    monkeypatch.setattr(textvec, "COMMON_TOKENS", 20)
+    monkeypatch.setattr(textvec, "LEAD_TOKENS", 8)
+    monkeypatch.setattr(textvec, "REST_CLASSES", 4)
+    monkeypatch.setattr(textvec, "WIDE_TOKENS", 24)
+    monkeypatch.setattr(textvec, "WIDE_CLASSES", 16)
+    monkeypatch.setattr(textvec, "ROWS_AT_ONCE", 16)
+    monkeypatch.setattr(textvec, "COLUMNS_AT_ONCE", 32)
+    rng, n = np.random.default_rng(3), 90
+    tf = rng.integers(0, 3, (7, 60))[rng.integers(0, 7, n)] + (rng.random((n, 60)) < 0.05)
+    tf[:, 0] += 1
+    held = {k: [] for k in ("_c", "_cf", "_t", "_tf")}
+    for row in tf:
+        at = np.flatnonzero(row)
+        for keys, part in ((("_c", "_cf"), at[at < 20]), (("_t", "_tf"), at[at >= 20])):
+            held[keys[0]].append((part if keys[0] == "_c" else part * 10**15 * np.where(part % 2, 1, -1)).tolist())
+            held[keys[1]].append(row[part].tolist())
+    kinds = {"_c": pa.int16(), "_cf": pa.int32(), "_t": pa.int64(), "_tf": pa.int32()}
+    cols = {k: pa.array(x, pa.list_(kinds[k])) for k, x in held.items()} | {"id": pa.array(range(n))}
+    v = tf / np.linalg.norm(tf, axis=1, keepdims=True)
+    for dense in (0.0, 0.5, 1.0):
+        monkeypatch.setattr(textvec, "DENSE", dense)
+        for side in (0, 1):
+            blk = np.arange(n) % (side + 1)
+            table = pa.table({**cols, "_blk": blk, "_bi": np.zeros(n, int), "_bj": np.full(n, side)})
+            found = textvec._block_pairs([], "id", 0.9)(table).to_pylist()
+            cos = v @ v.T
+            want = {(i, j) for i in range(n) for j in range(i + 1, n) if cos[i, j] >= 0.9 and (not side or blk[i] != blk[j])}
+            assert {(r["a"], r["b"]) for r in found} == want and len(found) == len(want) > 50
+            assert all(abs(r["cos"] - cos[r["a"], r["b"]]) < 1e-12 for r in found)
+        hits = textvec._block_hits([], "id", 0.9)(pa.table({**cols, "_guest": np.arange(n) >= 12})).column("id").to_pylist()
+        assert sorted(hits) == [j for j in range(12, n) if (cos[:12, j] >= 0.9).any()] and hits

@@ -7,6 +7,7 @@ letters, digits and underscore after lower-casing (the same in Java regex and RE
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 
 from tidings.operators.greedy import greedy_keep_first
 from tidings.operators.ranking import prefix_row_number
-from tidings.session import cut_lineage
+from tidings.operators.similarity import meet
+from tidings.session import cut_lineage, release
 
 # Token pattern and BM25 parameters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
@@ -27,8 +29,19 @@ BM25_B = 0.75
 COMMON_TOKENS = 1 << 15
 COPIES = 8
 MAX_BLOCK_ROWS = 1 << 15
-LEAD_TOKENS = 256
-REST_CLASSES = 64
+LEAD_TOKENS = 128
+REST_CLASSES = 192
+# Where more than DENSE of a tile's pairs pass, more tokens and classes are compared before any pair is multiplied whole.
+ROWS_AT_ONCE = 256
+COLUMNS_AT_ONCE = 1024
+WIDE_TOKENS = 512
+WIDE_CLASSES = 1536
+DENSE = 0.01
+SLACK = 2e-4  # more than the rounding of a product in single precision
+TOKENS_AT_ONCE = 1 << 18
+# Near-duplicate scan: rows of a group that are listed in pairs at first, and how the next slices grow.
+SLICE_ROWS = 1 << 13
+SLICE_GROWTH = 4
 # Medoids: means of the commonest tokens of clusters that are sent to every task.
 COMMON_MEANS = 1 << 17
 
@@ -143,42 +156,53 @@ def text_cosine_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_col
 
 
 class _Side:
-    """Documents of one block: tokens (numbered within the task) and weights, row after row."""
+    """Documents of one block, from the shortest to the longest: tokens (numbered within the task) and weights, row after row."""
 
     def __init__(self, table: pa.Table, rows: np.ndarray):
-        table = table.take(pa.array(rows))
+        size = lambda c: np.diff(c.combine_chunks().offsets.to_numpy()).astype(np.int64)
+        long = sum(pa.compute.list_value_length(table.column(c)).to_numpy() for c in ("_c", "_t"))
+        self.at = rows[np.argsort(long[rows], kind="stable")]
+        table = table.select(["_c", "_cf", "_t", "_tf"]).take(pa.array(self.at))
         flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        size = lambda c: np.diff(table.column(c).combine_chunks().offsets.to_numpy()).astype(np.int64)
-        self.n, two = len(rows), (size("_c"), size("_t"))
+        self.n, two = len(rows), (size(table.column("_c")), size(table.column("_t")))
         self.size = two[0] + two[1]
         row = np.concatenate([np.repeat(np.arange(self.n), x) for x in two])
         order = np.argsort(row, kind="stable")
-        self.row, self.token = row[order], np.concatenate([flat("_c"), flat("_t")])[order]
+        self.row, self.token = row[order].astype(np.int32), np.concatenate([flat("_c"), flat("_t")])[order]
         tf = np.concatenate([flat("_cf"), flat("_tf")])[order].astype(np.float64)
         self.weight = tf / np.sqrt(np.bincount(self.row, tf * tf, self.n))[self.row]
         self.start = np.concatenate(([0], np.cumsum(self.size)))
 
-    def lead(self, place: np.ndarray, lead: int, classes: int) -> np.ndarray:
-        """Weights of the leading tokens, and the norms of what is left by class: a product of two such rows is never below the
-        cosine."""
-        out = np.zeros((self.n, lead + classes), dtype=np.float32)
-        at = place[self.token]
-        first = at < lead
-        out[self.row[first], at[first]] = self.weight[first]
-        rest = np.bincount(self.row[~first] * classes + at[~first] % classes, self.weight[~first] ** 2, self.n * classes)
-        out[:, lead:] = np.sqrt(rest).reshape(self.n, classes)
+    def lead(self, place: np.ndarray, lead: int, classes: int, first: int = 0, last: int | None = None) -> np.ndarray:
+        """Weights of the leading tokens of some rows, and the norms of what is left by class: a product of two such rows is
+        never below the cosine."""
+        last = self.n if last is None else min(last, self.n)
+        own, n = slice(self.start[first], self.start[last]), last - first
+        out = np.zeros((n, lead + classes), dtype=np.float32)
+        at, row, weight = place[self.token[own]], self.row[own] - first, self.weight[own]
+        head = at < lead
+        out[row[head], at[head]] = weight[head]
+        rest = np.bincount(row[~head] * np.int64(classes) + at[~head] % classes, weight[~head] ** 2, n * classes)
+        out[:, lead:] = np.sqrt(rest).reshape(n, classes)
         return out
 
 
-def _scores(left: _Side, right: _Side, r: np.ndarray, c: np.ndarray, scratch: np.ndarray, at_once: int = 4096) -> np.ndarray:
-    """Exact cosines of the pairs (r, c), which come in order of r."""
+def _scores(left: _Side, right: _Side, r: np.ndarray, c: np.ndarray, scratch: np.ndarray) -> np.ndarray:
+    """Exact cosines of the pairs (r, c), which come in order of r, then c."""
     out = np.zeros(len(r))
     for lo, hi in zip(*_runs(r), strict=True):
         own = slice(left.start[r[lo]], left.start[r[lo] + 1])
         scratch[left.token[own]] = left.weight[own]
-        for i in range(lo, hi, at_once):
-            other = c[i: min(i + at_once, hi)]
+        step = max(TOKENS_AT_ONCE // max(int(right.size[c[hi - 1]]), 1), 1)
+        for i in range(lo, hi, step):
+            other = c[i: min(i + step, hi)]
+            a, z = other[0], other[-1] + 1
+            begin, end = right.start[a], right.start[z]
             size = right.size[other]
+            if 3 * size.sum() > end - begin:  # most of what lies between: read it as it lies
+                x = scratch[right.token[begin:end]] * right.weight[begin:end]
+                out[i: i + len(other)] = np.add.reduceat(x, right.start[a:z] - begin)[other - a]
+                continue
             begin = np.cumsum(size) - size
             at = np.arange(size.sum()) + np.repeat(right.start[other] - begin, size)
             out[i: i + len(other)] = np.add.reduceat(scratch[right.token[at]] * right.weight[at], begin)
@@ -191,45 +215,96 @@ def _runs(r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.concatenate((begin[1:], [len(r)])).astype(np.int64) if len(r) else begin
 
 
-def _block_pairs(keys: Sequence[str], id_col: str, t: float, rows_at_once: int = 128):
-    """Arrow group kernel over two blocks of documents: pairs with cosine >= t.
+class _Blocks:
+    """Two blocks of documents and the pairs of them with cosine >= t.
 
     A float32 product over the tokens of most weight, with the norms of the other tokens by class, bounds every cosine from
-    above; pairs that pass are multiplied whole.
+    above; where many pairs of a tile pass, which is where documents are long, a product over more tokens follows. It bounds
+    cosines from below, too. What is left is multiplied whole.
     """
 
+    def __init__(self, left: _Side, right: _Side, t: float):
+        self.left, self.right, self.t = left, right, t
+        rare = [np.flatnonzero((x.token < 0) | (x.token >= COMMON_TOKENS)) for x in (left, right)]  # these are numbered anew
+        rares, number = np.unique(np.concatenate([x.token[at] for x, at in zip((left, right), rare, strict=True)]), return_inverse=True)
+        left.token[rare[0]], right.token[rare[1]] = COMMON_TOKENS + number[: len(rare[0])], COMMON_TOKENS + number[len(rare[0]):]
+        left.token, right.token = left.token.astype(np.int32), right.token.astype(np.int32)
+        self.tokens = COMMON_TOKENS + len(rares)
+        self.scratch = np.zeros(self.tokens)
+        mass = np.bincount(left.token, left.weight**2, self.tokens) + np.bincount(right.token, right.weight**2, self.tokens)
+        self.place = np.empty(self.tokens, dtype=np.int32)
+        self.place[np.argsort(-mass, kind="stable")] = np.arange(self.tokens)
+        lead = min(LEAD_TOKENS, self.tokens)
+        self.a, self.b = (x.lead(self.place, lead, REST_CLASSES) for x in (left, right))
+
+    def passing(self, same: bool, scored: bool = True, open_: np.ndarray | None = None):
+        """(row, column, score) by tiles; of one block with itself row before column. Without ``scored`` the score is None.
+        Columns that are not ``open_`` (which may change between tiles) are left out."""
+        wide = min(WIDE_TOKENS, self.tokens)
+        for i in range(0, self.left.n, ROWS_AT_ONCE):
+            many = None
+            for j in range(i if same else 0, self.right.n, COLUMNS_AT_ONCE):
+                if open_ is not None and not open_[j: j + COLUMNS_AT_ONCE].any():
+                    continue
+                g = self.a[i: i + ROWS_AT_ONCE] @ self.b[j: j + COLUMNS_AT_ONCE].T
+                r, c = np.divmod(np.flatnonzero(g >= self.t - SLACK), g.shape[1])
+                if open_ is not None:
+                    r, c = (x[open_[c + j]] for x in (r, c))
+                if same:
+                    r, c = (x[r + i < c + j] for x in (r, c))
+                sure = np.zeros(len(r), dtype=bool)
+                if len(r) > DENSE * g.size:
+                    if many is None:
+                        many = self.left.lead(self.place, wide, WIDE_CLASSES, i, i + ROWS_AT_ONCE)
+                    other = self.right.lead(self.place, wide, WIDE_CLASSES, j, j + COLUMNS_AT_ONCE)
+                    least = (many[:, :wide] @ other[:, :wide].T)[r, c]
+                    most = least + (many[:, wide:] @ other[:, wide:].T)[r, c]
+                    stay = most >= self.t - SLACK
+                    r, c, sure = r[stay], c[stay], least[stay] >= self.t + SLACK
+                r, c = r + i, c + j
+                if scored:
+                    score = _scores(self.left, self.right, r, c, self.scratch)
+                    sure = score >= self.t
+                    yield r[sure], c[sure], score[sure]
+                else:
+                    ask = np.flatnonzero(~sure)
+                    sure[ask] = _scores(self.left, self.right, r[ask], c[ask], self.scratch) >= self.t
+                    yield r[sure], c[sure], None
+
+
+def _block_pairs(keys: Sequence[str], id_col: str, t: float):
+    """Arrow group kernel over two blocks of documents: pairs with cosine >= t."""
+
     def kernel(table: pa.Table) -> pa.Table:
         bi, bj = table.column("_bi")[0].as_py(), table.column("_bj")[0].as_py()
         blk = table.column("_blk").to_numpy()
-        rows, cols = np.flatnonzero(blk == bi), np.flatnonzero(blk == bj)
-        left, right = _Side(table, rows), _Side(table, cols)
-        tokens, number = np.unique(np.concatenate([left.token, right.token]), return_inverse=True)
-        left.token, right.token = number[: len(left.token)], number[len(left.token):]
-        mass = np.bincount(left.token, left.weight**2, len(tokens)) + np.bincount(right.token, right.weight**2, len(tokens))
-        place = np.empty(len(tokens), dtype=np.int64)
-        place[np.argsort(-mass, kind="stable")] = np.arange(len(tokens))
-        lead = min(LEAD_TOKENS, len(tokens))
-        a, b, scratch = left.lead(place, lead, REST_CLASSES), right.lead(place, lead, REST_CLASSES), np.zeros(len(tokens))
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        for i in range(0, left.n, rows_at_once):
-            first = i if bi == bj else 0
-            r, c = np.nonzero(a[i: i + rows_at_once] @ b[first:].T >= t - 1e-3)
-            r, c = r + i, c + first
-            if bi == bj:
-                r, c = r[r < c], c[r < c]
-            score = _scores(left, right, r, c, scratch)
-            ok = score >= t
-            found.append((r[ok], c[ok], score[ok]))
+        left, right = _Side(table, np.flatnonzero(blk == bi)), _Side(table, np.flatnonzero(blk == bj))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), *_Blocks(left, right, t).passing(same=bi == bj)]
         r, c, score = (np.concatenate(x) for x in zip(*found, strict=True))
-        one, two = table.column(id_col).take(pa.array(rows[r])), table.column(id_col).take(pa.array(cols[c]))
+        rows, cols = left.at[r], right.at[c]
+        one, two = table.column(id_col).take(pa.array(rows)), table.column(id_col).take(pa.array(cols))
         swap = pa.compute.greater(one, two)
-        out = {k: table.column(k).take(pa.array(rows[r])) for k in keys}
+        out = {k: table.column(k).take(pa.array(rows)) for k in keys}
         out["a"], out["b"] = pa.compute.if_else(swap, two, one), pa.compute.if_else(swap, one, two)
         return pa.table({**out, "cos": pa.array(score)})
 
     return kernel
 
 
+def _block_hits(keys: Sequence[str], id_col: str, t: float):
+    """Arrow group kernel over a home block and a visitor block: visitors with cosine >= t to a document at home."""
+
+    def kernel(table: pa.Table) -> pa.Table:
+        guest = table.column("_guest").to_numpy(zero_copy_only=False).astype(bool)
+        home, away = _Side(table, np.flatnonzero(~guest)), _Side(table, np.flatnonzero(guest))
+        free = np.ones(away.n, dtype=bool)  # a document that has been hit is not asked for again
+        for _, c, _ in _Blocks(home, away, t).passing(same=False, scored=False, open_=free):
+            free[c] = False
+        return table.select([*keys, id_col]).take(pa.array(away.at[~free]))
+
+    return kernel
+
+
 def document_rows(vec: DataFrame, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
     """A row per document, written once: ``group_cols, id``, its common tokens (``_c``, two bytes each) and others (``_t``) with
     their counts (``_cf``, ``_tf``), and a key of its content (``_n``, ``_k1``, ``_k2``)."""
@@ -248,7 +323,7 @@ def text_block_pairs(vec: DataFrame, t: float, *, id_col: str = "id", group_cols
 
     A document is copied to ``COPIES`` block pairs of its group, whatever the group's size, until a block would hold more
     than ``MAX_BLOCK_ROWS`` rows; each block pair is one task. The work is quadratic in a group, with a small constant: see
-    :func:`_block_pairs`, and :func:`text_cosine_pairs` for text with rare words.
+    :class:`_Blocks`, and :func:`text_cosine_pairs` for text with rare words.
     Output: ``group_cols, a, b, cos``.
     """
     return _pairs_of_rows(document_rows(vec, id_col=id_col, group_cols=group_cols), t, id_col, list(group_cols), block_rows)
@@ -274,18 +349,55 @@ def _pairs_of_rows(docs: DataFrame, t: float, id_col: str, g: list[str], block_r
 
 def text_near_duplicates(vec: DataFrame, t: float, *, id_col: str = "id", group_cols: Sequence[str] = ()) -> DataFrame:
     """Documents (``group_cols, id``) dropped by the keep-first scan in id order at cosine ``t``, exact copies
-    first: of equal vectors only the first is compared, the others are dropped with it or by it."""
+    first: of equal vectors only the first is compared, the others are dropped with it or by it. Groups of more than
+    ``SLICE_ROWS`` documents are scanned by slices (:func:`_lost_by_slices`)."""
     g = list(group_cols)
     docs = document_rows(vec, id_col=id_col, group_cols=g)
     same = [*g, "_n", "_k1", "_k2"]
     first = docs.groupBy(*same).agg(F.min(id_col).alias("_first"))
     copies = cut_lineage(docs.select(*same, id_col).join(first, same).select(*g, id_col, "_first"))
     reps = docs.join(copies.filter(F.col(id_col) == F.col("_first")).select(*g, id_col), [*g, id_col], "left_semi")
-    pairs = _pairs_of_rows(reps, t, id_col, g)
-    lost = greedy_keep_first(pairs.select(*g, F.col("a").alias("early"), F.col("b").alias("late")), g).withColumnRenamed("node", id_col)
+    lost = _lost_by_slices(reps, t, id_col, g)
     return lost.unionByName(copies.filter(F.col(id_col) != F.col("_first")).select(*g, id_col))
 
 
+def _lost_by_slices(docs: DataFrame, t: float, id_col: str, g: list[str]) -> DataFrame:
+    """Documents dropped by the scan, by slices of the order that grow ``SLICE_GROWTH`` times.
+
+    A slice is scanned whole; what it keeps is kept, and drops its neighbours from all later slices. So pairs are listed only
+    among documents of a slice that no earlier slice drops.
+    """
+    docs = docs.select(*g, id_col, "_c", "_cf", "_t", "_tf")
+    scan = lambda rows: greedy_keep_first(
+        _pairs_of_rows(rows, t, id_col, g).select(*g, F.col("a").alias("early"), F.col("b").alias("late")), g).withColumnRenamed("node", id_col)
+    largest = docs.groupBy(*g).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    if largest <= SLICE_ROWS:
+        return scan(docs)
+    left, end, lost = cut_lineage(prefix_row_number(docs, g, [id_col], "_place")), SLICE_ROWS, []
+    while True:
+        part = left.filter(F.col("_place") <= end).drop("_place")
+        lost.append(cut_lineage(scan(part)))
+        if end >= largest:
+            return reduce(DataFrame.unionByName, lost)
+        rest = left.filter(F.col("_place") > end)
+        homes = cut_lineage(part.join(lost[-1], [*g, id_col], "left_anti"))
+        lost.append(cut_lineage(_rows_near(rest.drop("_place"), homes, t, id_col, g)))
+        before, left = left, cut_lineage(rest.join(lost[-1], [*g, id_col], "left_anti"))
+        release(homes)
+        release(before)
+        end *= SLICE_GROWTH
+
+
+def _rows_near(guests: DataFrame, homes: DataFrame, t: float, id_col: str, g: list[str], block_rows: int = 1024) -> DataFrame:
+    """``group_cols, id`` of the guests with cosine >= t to a document at home in their group; pairs are not listed."""
+    rows = max(homes.count(), guests.count())
+    block_rows = max(block_rows, min(-(-rows // COPIES), MAX_BLOCK_ROWS))
+    kind = {f.name: f.dataType.simpleString() for f in guests.schema.fields}
+    keys = g or ["_all"]
+    homes, guests = (x if g else x.withColumn("_all", F.lit(0)) for x in (homes, guests))
+    return meet(homes, guests, keys, id_col, _block_hits(g, id_col, t), ", ".join(f"`{c}` {kind[c]}" for c in [*g, id_col]), block_rows).distinct()
+
+
 def tf_medoid_scores(vec: DataFrame, *, id_col: str = "id", key_cols: Sequence[str] = ("cluster_id",)) -> DataFrame:
     """Mean cosine of each member to all members (self included) = w · mean(w), linear in the data.
 
