@@ -133,9 +133,9 @@ def pairs_by_blocks(base: DataFrame, t: float, bits: int, bands: int, id_col: st
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def kernel(table: pa.Table) -> pa.Table:
-        v, left, right, same = _sides(table)
+        v, w, left, right, same = _sides(table)
         planes = _planes(v.shape[1], bits, bands, seed)
-        r, c, score = banded_pairs(v[left], v[right], t, planes, bits, bands, same)
+        r, c, score = banded_pairs(v, w, t, planes, bits, bands, same)
         one, two = (table.column(id_col).take(pa.array(side)) for side in (left[r], right[c]))
         swap, differ = pa.compute.greater(one, two), pa.compute.not_equal(one, two)
         out = {x: table.column(x).take(pa.array(left[r])) for x in g}
